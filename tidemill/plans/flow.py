@@ -148,7 +148,7 @@ def _load(spark: SparkSession, entry: Mapping[str, Any], datasets: dict[str, Dat
         return read_sql(spark, entry["sql"], datasets, used)
     options = _arguments(entry, "id", "type", "schemaRef")
     if entry.get("schemaRef"):
-        options["schema"] = avro_schema("\n".join(r[0] for r in spark.read.text(entry["schemaRef"]).collect()))
+        options["schema"] = avro_schema(spark.read.text(entry["schemaRef"], wholetext=True).first()[0])
     if kind == "csv":
         return read_csv(spark, **options)
     if kind in ("files", "parquet"):

@@ -67,7 +67,7 @@ def _logs(spark, sf):
 
 
 _RUN_FIELDS = """run_id, pipeline_id, app_name, layer, executed_at, coalesce(CAST(rows_processed AS VARCHAR), '') AS rows_processed,
-           status, CAST(format('{{:.2f}}', duration_ms / 60000) AS DOUBLE) AS duration_minutes"""
+           status, CAST(format('{:.2f}', duration_ms / 60000) AS DOUBLE) AS duration_minutes"""
 
 
 def _printable(runs):

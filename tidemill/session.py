@@ -25,6 +25,7 @@ def local_session(app: str = "tidemill", cores: str = "*", partitions: int = 8,
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", os.environ.get("TIDEMILL_DRIVER_MEMORY", "8g"))
         .config("spark.driver.host", "127.0.0.1")
