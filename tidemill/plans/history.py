@@ -18,7 +18,7 @@ ROW_METRICS = ("rows_processed", "records_processed", "rows_written", "records_w
 
 
 def read_run_logs(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Run logs under ``path``; unreadable ones are left out.
+    """Run logs under ``path``; unreadable and empty ones are left out.
 
     ``multi_line`` reads one indented document per file, otherwise one document per line.
     Absent app and layer come from the folders ``.../<app>/<layer>/<file>``.
@@ -32,9 +32,11 @@ def read_run_logs(spark: SparkSession, path: str, multi_line: bool = True) -> Da
         .json(path)
     )
     folders = F.split(F.col("_metadata.file_path"), "/")
+    fields = [c for c in raw.columns if c not in ("metrics", "_corrupt_record")]
+    filled = F.coalesce(*fields).isNotNull() | F.col("metrics").isNotNull()
     return (
         raw.select("*", folders.alias("folders"))
-        .filter(F.col("_corrupt_record").isNull())
+        .filter(F.col("_corrupt_record").isNull() & filled)
         .withColumn("app_name", _or_folder("app_name", -3))
         .withColumn("layer", _or_folder("layer", -2))
         .drop("_corrupt_record", "folders")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """``app, layer, files`` for ``<root>/<app>/<layer>/...``, any depth below. Metadata only.
 
-    Hidden files (names starting with ``_`` or ``.``) are not listed by Spark.
+    Spark lists no hidden files (names starting with ``_`` or ``.``) and no files without bytes.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     # Count from the root's own depth: `path` is a full URI, the root may be a bare path.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -143,22 +144,24 @@ def preflight(spark: SparkSession, path: str | Iterable[str]) -> DataFrame:
     warning. Only file metadata is read, never content.
     """
     paths = names(path)
-    schema = "path string, modificationTime timestamp, length long, content binary"
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+        listed = len(files.inputFiles())
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        files = spark.createDataFrame([], schema)
-    counts = files.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.count_if(F.col("length") == 0).alias("empty_files"),
-        F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
-    )
+        files = spark.createDataFrame([], "length long")
+        listed = 0
+    # Spark plans no read for a file without bytes, so such files are listed but give no row.
+    found = files.agg(F.count(F.lit(1)).alias("filled"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+    total, filled = F.lit(listed).cast("long"), F.col("filled")
     status = (
-        F.when(F.col("files") == 0, "missing")
-        .when(F.col("files") == F.col("empty_files"), "empty")
-        .when(F.col("empty_files") > 0, "partly_empty")
-        .otherwise("ok")
+        F.when(total == 0, "missing").when(filled == 0, "empty").when(filled < total, "partly_empty").otherwise("ok")
+    )
+    return found.select(
+        F.lit(", ".join(paths)).alias("path"),
+        total.alias("files"),
+        (total - filled).alias("empty_files"),
+        "bytes",
+        status.alias("status"),
     )
-    return counts.select(F.lit(", ".join(paths)).alias("path"), "*", status.alias("status"))
