@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import col, fresh, names, require_columns
+from .ranks import median, mode
 
 #: Aggregates Spark computes with partial aggregation and a bounded buffer per group.
 SIMPLE: dict[str, Callable[[Column], Column]] = {
@@ -103,8 +104,8 @@ def aggregate(
     ``metrics`` are ``func:column`` (``count:*`` or bare ``count`` for rows); results are
     named ``func_column`` (``count_rows``).
 
-    ``median`` and ``mode`` are exact and never hold a group in one buffer: see
-    :func:`_median` and :func:`_mode`. Collecting functions put a whole group into one
+    ``median`` and ``mode`` are exact and never hold a group in one buffer (see
+    :mod:`.ranks`). Collecting functions put a whole group into one
     cell, so they run only with ``max_items``; the groups are counted first and a larger
     one raises instead of being cut.
     """
@@ -123,7 +124,7 @@ def aggregate(
     # group: each metric is non-null in one frame only, so `first` has nothing to choose.
     row_count = fresh("group_rows", df.columns)
     base = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(row_count), *[_expression(*m) for m in simple])
-    frames = [base] + [(_median if f == "median" else _mode)(df, groups, c, a) for f, c, a in ranked]
+    frames = [base] + [(median if f == "median" else mode)(df, groups, c, a) for f, c, a in ranked]
     stacked = frames[0]
     for frame in frames[1:]:
         stacked = stacked.unionByName(frame, allowMissingColumns=True)
@@ -143,85 +144,6 @@ def _check_items(df: DataFrame, groups: list[str], wanted: list[tuple[str, str]]
             raise ValueError(f"aggregate: {func}:{column} has a group of {size} items, over max_items={limit}")
 
 
-def _value_counts(df: DataFrame, groups: list[str], column: str) -> DataFrame:
-    """Distinct non-null values of a column per group with their frequency."""
-    return (
-        df.filter(col(column).isNotNull())
-        .groupBy(*[col(g) for g in groups], col(column).alias("agg_metric_value"))
-        .agg(F.count(F.lit(1)).alias("agg_freq"))
-    )
-
-
-def _mode(df: DataFrame, groups: list[str], column: str, alias: str) -> DataFrame:
-    """Most frequent value, the smallest one on ties. Two partial aggregations."""
-    counts = _value_counts(df, groups, column)
-    # min over struct(-freq, value): highest frequency first, then the smallest value
-    pick = F.min(F.struct((-F.col("agg_freq")).alias("rank"), F.col("agg_metric_value").alias("value")))
-    return counts.groupBy(*[col(g) for g in groups]).agg(pick.getField("value").alias(alias))
-
-
-def _median(df: DataFrame, groups: list[str], column: str, alias: str) -> DataFrame:
-    """Exact median without ordering a whole group in one task.
-
-    1. A quantile sketch per group gives two cut points just around the middle.
-    2. Counting the values below, between and above the cuts is exact, so it tells in
-       which of the three bands each middle rank lies whatever the sketch's error was.
-    3. Only the bands that hold a middle rank (a fraction of a percent of a group's distinct
-       values when the sketch is good) are ordered with a running count.
-    """
-    keys = [col(g) for g in groups]
-    values = _value_counts(df.withColumn(column, col(column).cast("double")), groups, column)
-    x, c = F.col("agg_metric_value"), F.col("agg_freq")
-    cuts = (
-        df.groupBy(*keys)
-        .agg(F.percentile_approx(col(column).cast("double"), [0.4995, 0.5005], 10000).alias("agg_cut"))
-        .filter(F.col("agg_cut").isNotNull())
-    )
-    cuts = cuts.withColumn("agg_low", F.col("agg_cut")[0]).withColumn("agg_high", F.col("agg_cut")[1]).drop("agg_cut")
-    banded = _with_group_values(values, cuts, groups, ["agg_low", "agg_high"]).withColumn(
-        "agg_band", F.when(x < F.col("agg_low"), 0).when(x <= F.col("agg_high"), 1).otherwise(2)
-    )
-    sizes = banded.groupBy(*keys).agg(
-        *[F.sum(F.when(F.col("agg_band") == b, c).otherwise(0)).alias(f"agg_n{b}") for b in (0, 1, 2)]
-    )
-    n = F.col("agg_n0") + F.col("agg_n1") + F.col("agg_n2")
-
-    def band_of(rank: Column) -> Column:
-        return F.when(rank <= F.col("agg_n0"), 0).when(rank <= F.col("agg_n0") + F.col("agg_n1"), 1).otherwise(2)
-
-    sizes = sizes.withColumn("agg_rank1", F.floor((n + 1) / 2)).withColumn("agg_rank2", F.floor((n + 2) / 2))
-    sizes = sizes.withColumn("agg_band1", band_of(F.col("agg_rank1"))).withColumn("agg_band2", band_of(F.col("agg_rank2")))
-    start = F.when(F.col("agg_band1") == 0, 0).when(F.col("agg_band1") == 1, F.col("agg_n0")).otherwise(F.col("agg_n0") + F.col("agg_n1"))
-    sizes = sizes.withColumn("agg_start", start).drop("agg_n0", "agg_n1", "agg_n2")
-    middle = _with_group_values(banded, sizes, groups, ["agg_rank1", "agg_rank2", "agg_band1", "agg_band2", "agg_start"]).filter(
-        F.col("agg_band").between(F.col("agg_band1"), F.col("agg_band2"))
-    )
-    running = Window.partitionBy(*keys).orderBy("agg_metric_value").rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.col("agg_start") + F.sum(c).over(running)
-    placed = middle.withColumn("agg_upto", upto).withColumn("agg_before", F.col("agg_upto") - c)
-
-    def at(rank: str) -> Column:
-        return F.max(F.when((F.col("agg_before") < F.col(rank)) & (F.col(rank) <= F.col("agg_upto")), x))
-
-    return placed.groupBy(*keys).agg(((at("agg_rank1") + at("agg_rank2")) / 2).alias(alias))
-
-
-def _with_group_values(df: DataFrame, per_group: DataFrame, groups: list[str], wanted: list[str]) -> DataFrame:
-    """Attach per-group values to rows; without groups the single row becomes scalars."""
-    if not groups:
-        row = per_group.first()
-        return df.withColumns({w: F.lit(row[w] if row is not None else None) for w in wanted})
-    test = None
-    for g in groups:
-        same = col(g, "row").eqNullSafe(col(g, "grp"))
-        test = same if test is None else test & same
-    return (
-        df.alias("row")
-        .join(per_group.alias("grp"), test, "inner")
-        .select(*[col(c, "row").alias(c) for c in df.columns], *[col(w, "grp").alias(w) for w in wanted])
-    )
-
-
 def aggregate_levels(
     df: DataFrame,
     metrics: str | Iterable[str],

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import round_binary
+from ..operators.ranks import percentiles
 
 #: Schema of one run log. Metric values are read as text: they may be numbers or digits in quotes.
 LOG_SCHEMA = (
@@ -143,23 +144,13 @@ def failure_reasons(logs: DataFrame) -> DataFrame:
 
 
 def latency_percentiles(logs: DataFrame, by: str, points: tuple[float, ...] = (0.5, 0.9, 0.99)) -> DataFrame:
-    """Nearest-rank percentiles of ``duration_ms`` per group, exact.
-
-    Equal durations are counted first, so the running count sees each distinct duration in
-    milliseconds once per group.
-    """
+    """Runs and exact nearest-rank percentiles of ``duration_ms`` per group."""
     ms = F.col("duration_ms").try_cast("long")
-    counts = logs.filter(ms.isNotNull()).groupBy(by, ms.alias("ms")).agg(F.count(F.lit(1)).alias("n"))
-    group = Window.partitionBy(by)
-    upto = F.sum("n").over(group.orderBy("ms").rowsBetween(Window.unboundedPreceding, 0))
-    placed = counts.select(by, "ms", upto.alias("upto"), F.sum("n").over(group).alias("total"))
-    return placed.groupBy(by).agg(
-        F.max("total").alias("runs"),
-        *[
-            F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * F.lit(p)), F.col("ms"))).alias(f"p{round(p * 100)}_ms")
-            for p in points
-        ],
-    )
+    timed = logs.filter(ms.isNotNull())
+    runs = timed.groupBy(by).agg(F.count(F.lit(1)).alias("runs"))
+    placed = percentiles(timed, [by], ms, {f"p{round(p * 100)}_ms": p for p in points})
+    same = F.col(f"runs.{by}").eqNullSafe(F.col(f"placed.{by}"))
+    return runs.alias("runs").join(placed.alias("placed"), same).select("runs.*", *[c for c in placed.columns if c != by])
 
 
 def sla_report(logs: DataFrame, sla_ms: int | Column, by: str) -> DataFrame:
