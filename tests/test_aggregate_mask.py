@@ -22,6 +22,7 @@ from tidemill.operators import (
     token_vault,
     unmask,
 )
+from tidemill.operators import ranks
 
 DATA = [("a", 1.0), ("a", None), ("b", None), (None, 2.0), (None, 4.0)]
 
@@ -58,9 +59,20 @@ def test_collecting_needs_room(spark):
         aggregate(frame(spark), "g", "collect_list:x", max_items=1)
 
 
-@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-4, 4).map(float))), max_size=25))
-def test_median_and_mode_match_brute_force(spark, data):
+@settings(max_examples=16, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-4, 4).map(float))), max_size=25),
+    st.sampled_from([0, 5, 100]),
+)
+def test_median_and_mode_match_brute_force(spark, data, small_group):
+    ranks.SMALL_GROUP, kept = small_group, ranks.SMALL_GROUP
+    try:
+        _check_median_and_mode(spark, data)
+    finally:
+        ranks.SMALL_GROUP = kept
+
+
+def _check_median_and_mode(spark, data):
     groups = {}
     for g, x in data:
         groups.setdefault(g, []).append(x)
@@ -74,7 +86,9 @@ def test_median_and_mode_match_brute_force(spark, data):
     assert got == sorted(expected, key=repr)
 
 
-def test_median_of_a_large_hot_group(spark):
+@pytest.mark.parametrize("small_group", [0, 5000, 10**9])
+def test_median_of_a_large_hot_group(spark, monkeypatch, small_group):
+    monkeypatch.setattr("tidemill.operators.ranks.SMALL_GROUP", small_group)
     df = spark.range(0, 30001).select(
         F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 50)).alias("g"),
         F.pmod(F.hash("id"), F.lit(9973)).cast("double").alias("x"),

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import BROADCAST_ROWS, broadcast_if_small, col, names, require_columns
+from ..functions import BROADCAST_ROWS, broadcast_if_small, col, fresh, names, require_columns
 
 #: Accepted words and the Spark join type each one stands for.
 JOIN_TYPES = {
@@ -131,10 +131,7 @@ def join(
         return _equal(pairs, left_id, right_id, null_safe) if pairs else F.expr(condition)
 
     def distinct_keys(df: DataFrame, wanted: list[str]) -> DataFrame:
-        """Only the keys, collapsed before the exchange (partial aggregation)."""
-        if not pairs:
-            return df
-        return df.select(*[col(k) for k in dict.fromkeys(wanted)]).distinct()
+        return _few_copies(df, wanted) if pairs else df
 
     a, b = left.alias(left_id), right.alias(right_id)
     if kind in ("left_semi", "left_anti"):
@@ -174,6 +171,23 @@ def join(
     return reduce(DataFrame.unionAll, parts)
 
 
+#: Copies of one key that may remain on the testing side of a semi or anti join.
+KEY_COPIES = 8
+
+
+def _few_copies(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Only the key columns, each key at most ``KEY_COPIES`` times.
+
+    Copies collapse before the exchange, so a hot key ships little. The salt keeps the result
+    from being partitioned by the key alone: the join then adds its own exchange, and adaptive
+    execution splits a hot partition of the other side only between two plain exchanges.
+    """
+    keys = list(dict.fromkeys(keys))
+    salt = fresh("key_copy", keys)
+    salted = df.select(*[col(k) for k in keys], F.pmod(F.spark_partition_id(), F.lit(KEY_COPIES)).alias(salt))
+    return salted.distinct().select(*[col(k) for k in keys])
+
+
 def _by_null_key(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:
     """Split into rows with a complete key and rows with a null in it."""
     if not keys:

@@ -113,12 +113,38 @@ def _with_cuts(counted: DataFrame, cuts: DataFrame, groups: Sequence[str]) -> Da
     )
 
 
+#: Rows up to which a group's median may be computed from one buffer.
+SMALL_GROUP = 100_000
+
+
 def median(df: DataFrame, groups: Sequence[str], column: str, alias: str) -> DataFrame:
-    """Exact median per group as a double."""
+    """Exact median per group as a double.
+
+    Groups of at most ``SMALL_GROUP`` rows use Spark's own median, whose buffer they bound;
+    larger ones, of which there can only be few, go through :func:`order_statistics`.
+    """
+    keys = [col(g) for g in groups]
+    df = df.select(*keys, col(column).cast("double").alias("rank_input"))
+    x = F.col("rank_input")
+    if not groups:
+        return _large_median(df, groups, x, alias)
+    large = df.groupBy(*keys).agg(F.count(x).alias("rank_n")).filter(F.col("rank_n") > SMALL_GROUP).select(*keys)
+    if not large.take(1):
+        return df.groupBy(*keys).agg(F.median(x).alias(alias))
+    same = None
+    for g in groups:
+        equal = col(g, "row").eqNullSafe(col(g, "big"))
+        same = equal if same is None else same & equal
+    small = df.alias("row").join(large.alias("big"), same, "left_anti")
+    huge = df.alias("row").join(large.alias("big"), same, "left_semi")
+    return small.groupBy(*keys).agg(F.median(x).alias(alias)).unionByName(_large_median(huge, groups, x, alias))
+
+
+def _large_median(df: DataFrame, groups: Sequence[str], x: Column, alias: str) -> DataFrame:
     middle = order_statistics(
         df,
         groups,
-        col(column).cast("double"),
+        x,
         [0.5],
         {"rank_low": lambda n: F.floor((n + 1) / 2), "rank_high": lambda n: F.floor((n + 2) / 2)},
     )
