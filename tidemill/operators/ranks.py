@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import col
+from ..functions import BROADCAST_ROWS, col
 
 #: Half the share of a group that lies between the two cut points around a wanted quantile.
 MARGIN = 0.0005
@@ -15,27 +16,19 @@ MARGIN = 0.0005
 ACCURACY = 10_000
 
 
-def value_counts(df: DataFrame, groups: Sequence[str], value: Column) -> DataFrame:
-    """Distinct non-null values per group (``rank_value``) with their frequency (``rank_freq``)."""
-    return (
-        df.select(*[col(g) for g in groups], value.alias("rank_value"))
-        .filter(F.col("rank_value").isNotNull())
-        .groupBy(*[col(g) for g in groups], "rank_value")
-        .agg(F.count(F.lit(1)).alias("rank_freq"))
-    )
-
-
 def order_statistics(
     df: DataFrame,
     groups: Sequence[str],
     value: Column,
     near: Sequence[float],
     ranks: Mapping[str, Callable[[Column], Column]],
+    few_groups: bool = False,
 ) -> DataFrame:
     """Per group the values at given 1-based ranks, nulls left out.
 
     ``ranks`` maps a result name to the rank as an expression of the number of values;
-    ``near`` holds the quantiles those ranks are expected at. No group is ever ordered whole:
+    ``near`` holds the quantiles those ranks are expected at; ``few_groups`` says that the
+    number of groups is known to be within the broadcast bound. No group is ever ordered whole:
 
     1. A quantile sketch per group gives two cut points around each expected quantile. They
        part the group's values into bands, narrow ones where the ranks should lie.
@@ -46,49 +39,38 @@ def order_statistics(
     """
     keys = [col(g) for g in groups]
     points = sorted({min(max(p + d, 0.0), 1.0) for p in near for d in (-MARGIN, MARGIN)})
-    number = value.cast("double")
-    cuts = (
-        df.groupBy(*keys)
-        .agg(F.percentile_approx(number, points, ACCURACY).alias("rank_cuts"))
-        .filter(F.col("rank_cuts").isNotNull())
-    )
-    counted = _with_cuts(value_counts(df, groups, value), cuts, groups)
+    small = F.broadcast if few_groups else (lambda frame: frame)
+    values = df.select(*keys, value.alias("rank_value")).filter(F.col("rank_value").isNotNull())
     x = F.col("rank_value").cast("double")
+    cuts = values.groupBy(*keys).agg(F.percentile_approx(x, points, ACCURACY).alias("rank_cuts"))
     band = sum((F.when(x > F.col("rank_cuts")[i], 1).otherwise(0) for i in range(len(points))), F.lit(0))
-    counted = counted.withColumn("rank_band", band).drop("rank_cuts")
+    values = _with_cuts(values, small(cuts), groups).withColumn("rank_band", band).drop("rank_cuts")
 
-    group = Window.partitionBy(*keys)  # at most len(points) + 1 rows per group from here on
-    sizes = counted.groupBy(*keys, "rank_band").agg(F.sum("rank_freq").alias("rank_size"))
+    group = Window.partitionBy(*keys)  # at most len(points) + 1 rows per group in this part
+    sizes = values.groupBy(*keys, "rank_band").agg(F.count(F.lit(1)).alias("rank_size"))
     upto = F.sum("rank_size").over(group.orderBy("rank_band").rowsBetween(Window.unboundedPreceding, 0))
     sizes = sizes.withColumns({"rank_end": upto, "rank_n": F.sum("rank_size").over(group)})
     sizes = sizes.withColumn("rank_start", F.col("rank_end") - F.col("rank_size"))
     wanted = {f"rank_at{i}": rank(F.col("rank_n")).cast("long") for i, rank in enumerate(ranks.values())}
     sizes = sizes.withColumns(wanted)
     inside = [(F.col("rank_start") < F.col(w)) & (F.col(w) <= F.col("rank_end")) for w in wanted]
-    any_inside = inside[0]
-    for test in inside[1:]:
-        any_inside = any_inside | test
-    sizes = sizes.filter(any_inside)
+    sizes = sizes.filter(reduce(lambda a, b: a | b, inside))
 
     same = F.col("row.rank_band") == F.col("band.rank_band")
-    for g in groups:
-        same = same & col(g, "row").eqNullSafe(col(g, "band"))
-    rows = (
-        counted.alias("row")
-        .join(sizes.alias("band"), same, "inner")
-        .select(
-            *[col(g, "row").alias(g) for g in groups],
-            "row.rank_value",
-            "row.rank_freq",
-            "row.rank_band",
-            "band.rank_start",
-            *[f"band.{w}" for w in wanted],
-        )
+    if groups:
+        same = same & _same_group(groups, "row", "band")
+    carried = ["rank_start", *wanted]
+    kept = values.alias("row").join(small(sizes).alias("band"), same, "inner").select(
+        *[col(g, "row").alias(g) for g in groups], "row.rank_band", "row.rank_value", *[f"band.{c}" for c in carried]
+    )
+    # Equal values collapse before they are moved; what is carried is constant within a band.
+    counted = kept.groupBy(*keys, "rank_band", "rank_value").agg(
+        F.count(F.lit(1)).alias("rank_freq"), *[F.first(c).alias(c) for c in carried]
     )
     running = Window.partitionBy(*keys, "rank_band").orderBy("rank_value").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("rank_upto", F.col("rank_start") + F.sum("rank_freq").over(running))
+    placed = counted.withColumn("rank_upto", F.col("rank_start") + F.sum("rank_freq").over(running))
     before = F.col("rank_upto") - F.col("rank_freq")
-    return rows.groupBy(*keys).agg(
+    return placed.groupBy(*keys).agg(
         *[
             F.max(F.when((before < F.col(w)) & (F.col(w) <= F.col("rank_upto")), F.col("rank_value"))).alias(name)
             for name, w in zip(ranks, wanted)
@@ -96,69 +78,92 @@ def order_statistics(
     )
 
 
-def _with_cuts(counted: DataFrame, cuts: DataFrame, groups: Sequence[str]) -> DataFrame:
+def _same_group(groups: Sequence[str], left: str, right: str) -> Column:
+    return reduce(lambda a, b: a & b, [col(g, left).eqNullSafe(col(g, right)) for g in groups])
+
+
+def _with_cuts(values: DataFrame, cuts: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Attach each group's cut points; without groups they are one small array."""
     if not groups:
-        row = cuts.first()
-        array = F.array(*[F.lit(c) for c in row["rank_cuts"]]) if row is not None else F.lit(None).cast("array<double>")
-        return counted.withColumn("rank_cuts", array)
-    same = None
-    for g in groups:
-        equal = col(g, "row").eqNullSafe(col(g, "cut"))
-        same = equal if same is None else same & equal
+        array = F.array(*[F.lit(c) for c in cuts.first()["rank_cuts"] or []])
+        return values.withColumn("rank_cuts", array.cast("array<double>"))
     return (
-        counted.alias("row")
-        .join(cuts.alias("cut"), same, "inner")
-        .select(*[col(c, "row").alias(c) for c in counted.columns], "cut.rank_cuts")
+        values.alias("row")
+        .join(cuts.alias("cut"), _same_group(groups, "row", "cut"), "inner")
+        .select(*[col(c, "row").alias(c) for c in values.columns], "cut.rank_cuts")
     )
 
 
-#: Rows up to which a group's median may be computed from one buffer.
+#: Values up to which a group may be ranked from one buffer.
 SMALL_GROUP = 100_000
 
 
-def median(df: DataFrame, groups: Sequence[str], column: str, alias: str) -> DataFrame:
-    """Exact median per group as a double.
+def _by_size(
+    df: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    native: Sequence[Column],
+    banded: Callable[[DataFrame, bool], DataFrame],
+) -> DataFrame:
+    """Rank small groups with Spark's own aggregates, large ones with ``banded``.
 
-    Groups of at most ``SMALL_GROUP`` rows use Spark's own median, whose buffer they bound;
-    larger ones, of which there can only be few, go through :func:`order_statistics`.
+    ``SMALL_GROUP`` bounds the buffer the native aggregates keep per group. Groups beyond it
+    are few; when their number is within the broadcast bound they are split off map-side.
     """
     keys = [col(g) for g in groups]
-    df = df.select(*keys, col(column).cast("double").alias("rank_input"))
-    x = F.col("rank_input")
     if not groups:
-        return _large_median(df, groups, x, alias)
-    large = df.groupBy(*keys).agg(F.count(x).alias("rank_n")).filter(F.col("rank_n") > SMALL_GROUP).select(*keys)
-    if not large.take(1):
-        return df.groupBy(*keys).agg(F.median(x).alias(alias))
-    same = None
-    for g in groups:
-        equal = col(g, "row").eqNullSafe(col(g, "big"))
-        same = equal if same is None else same & equal
-    small = df.alias("row").join(large.alias("big"), same, "left_anti")
-    huge = df.alias("row").join(large.alias("big"), same, "left_semi")
-    return small.groupBy(*keys).agg(F.median(x).alias(alias)).unionByName(_large_median(huge, groups, x, alias))
-
-
-def _large_median(df: DataFrame, groups: Sequence[str], x: Column, alias: str) -> DataFrame:
-    middle = order_statistics(
-        df,
-        groups,
-        x,
-        [0.5],
-        {"rank_low": lambda n: F.floor((n + 1) / 2), "rank_high": lambda n: F.floor((n + 2) / 2)},
-    )
-    both = (F.col("rank_low") + F.col("rank_high")) / 2
-    return middle.select(*[col(g) for g in groups], both.alias(alias))
+        return banded(df, True)
+    large = df.groupBy(*keys).agg(F.count(value).alias("rank_n")).filter(F.col("rank_n") > SMALL_GROUP).select(*keys)
+    found = len(large.select(F.lit(1).alias("one")).take(BROADCAST_ROWS + 1))
+    if not found:
+        return df.groupBy(*keys).agg(*native)
+    few = found <= BROADCAST_ROWS
+    same = _same_group(groups, "row", "big")
+    big = (F.broadcast(large) if few else large).alias("big")
+    small = df.alias("row").join(big, same, "left_anti")
+    huge = df.alias("row").join(big, same, "left_semi")
+    return small.groupBy(*keys).agg(*native).unionByName(banded(huge, few))
+
+
+def median(df: DataFrame, groups: Sequence[str], column: str, alias: str) -> DataFrame:
+    """Exact median per group as a double."""
+    df = df.select(*[col(g) for g in groups], col(column).cast("double").alias("rank_input"))
+    x = F.col("rank_input")
+    middle = {"rank_low": lambda n: F.floor((n + 1) / 2), "rank_high": lambda n: F.floor((n + 2) / 2)}
+    both = ((F.col("rank_low") + F.col("rank_high")) / 2).alias(alias)
+
+    def banded(rows: DataFrame, few: bool) -> DataFrame:
+        return order_statistics(rows, groups, x, [0.5], middle, few).select(*[col(g) for g in groups], both)
+
+    return _by_size(df, groups, "rank_input", [F.median(x).alias(alias)], banded)
 
 
 def percentiles(df: DataFrame, groups: Sequence[str], value: Column, points: Mapping[str, float]) -> DataFrame:
-    """Nearest-rank percentiles per group: the smallest value that ``p`` of the values do not exceed."""
+    """Nearest-rank percentiles per group: the smallest value that a share ``p`` does not exceed."""
+    df = df.select(*[col(g) for g in groups], value.alias("rank_input"))
     ranks = {name: (lambda n, p=p: F.greatest(F.ceil(n * F.lit(p)), F.lit(1))) for name, p in points.items()}
-    return order_statistics(df, groups, value, list(points.values()), ranks)
+    native = [
+        F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY rank_input)").cast(df.schema["rank_input"].dataType).alias(name)
+        for name, p in points.items()
+    ]
+
+    def banded(rows: DataFrame, few: bool) -> DataFrame:
+        return order_statistics(rows, groups, F.col("rank_input"), list(points.values()), ranks, few)
+
+    return _by_size(df, groups, "rank_input", native, banded)
+
+
+def _value_counts(df: DataFrame, groups: Sequence[str], value: Column) -> DataFrame:
+    """Distinct non-null values per group (``rank_value``) with their frequency (``rank_freq``)."""
+    return (
+        df.select(*[col(g) for g in groups], value.alias("rank_value"))
+        .filter(F.col("rank_value").isNotNull())
+        .groupBy(*[col(g) for g in groups], "rank_value")
+        .agg(F.count(F.lit(1)).alias("rank_freq"))
+    )
 
 
 def mode(df: DataFrame, groups: Sequence[str], column: str, alias: str) -> DataFrame:
     """Most frequent value per group, the smallest one on ties. Two partial aggregations."""
     pick = F.min(F.struct((-F.col("rank_freq")).alias("less"), F.col("rank_value").alias("value")))
-    return value_counts(df, groups, col(column)).groupBy(*[col(g) for g in groups]).agg(pick["value"].alias(alias))
+    return _value_counts(df, groups, col(column)).groupBy(*[col(g) for g in groups]).agg(pick["value"].alias(alias))

@@ -19,6 +19,14 @@ SETTINGS = {
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply ``SETTINGS`` to a running session; all of them can change at run time."""
+    for key, value in SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def local_session(app: str = "tidemill", cores: str = "*", partitions: int = 8, **conf: str) -> SparkSession:
     """A local session for tests and benchmarks."""
     builder = (
