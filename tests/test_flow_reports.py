@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemill.plans import (
     STEPS,
     check_flow,
+    check_inputs,
     custom_step,
     daily_runs,
     failure_reasons,
@@ -62,7 +63,7 @@ def sample_flow(home, **more):
         ],
         "targets": [
             {"type": "hive", "source": "masked", "table": "staging.cards", "partitionBy": "as_of_date", "mode": "overwrite"},
-            {"type": "csv", "source": "summary", "path": f"{home}/out/summary.csv", "mode": "overwrite", "singleFile": True},
+            {"type": "csv", "source": "summary", "path": f"{home}/out/summary.csv", "mode": "overwrite"},
         ],
         **more,
     }
@@ -191,6 +192,35 @@ def test_mock_path_and_schema_ref(spark, home):
     assert rows(done.datasets["typed"]) == [("a", 1.5)] and rows(done.datasets["db"]) == [("a", "1.5")]
 
 
+def test_schema_ref_may_name_columns_of_later_steps(spark, home):
+    fields = [{"name": "dept_id", "type": "string"}, {"name": "base_amt", "type": "double"}, {"name": "currency_name", "type": ["null", "string"]}]
+    (home / "cards.avsc").write_text(json.dumps({"fields": fields}))
+    flow = sample_flow(home)
+    flow["sources"][0]["schemaRef"] = f"{home}/cards.avsc"
+    done = run(spark, home, flow, write=False)
+    assert dict(done.datasets["cards"].dtypes)["base_amt"] == "double"
+    assert done.datasets["cards"].columns[-2:] == ["currency_name", "region"]
+
+
+def test_large_csv_targets_become_folders(spark, home):
+    flow = sample_flow(home, steps=[], targets=[{"type": "csv", "path": f"{home}/big.csv", "max_rows": 2}])
+    assert run(spark, home, flow).metrics["rows_written"] == 5
+    assert (home / "big.csv").is_dir() and read_csv(spark, f"{home}/big.csv").count() == 5
+
+
+def test_relative_paths_and_input_check(spark, home):
+    (home / "data" / "in").mkdir(parents=True)
+    (home / "data" / "in" / "x.csv").write_text("a\n1\n")
+    (home / "data" / "in" / "void.csv").write_text("")
+    flow = {"id": "r", "app": "a", "layer": "staging", "sources": [{"id": "x", "type": "csv", "path": "in/x.csv"}]}
+    assert run_flow(spark, flow, data_root=f"{home}/data").datasets["x"].count() == 1
+    assert check_inputs(spark, flow, f"{home}/data") == []
+    flow["sources"] += [{"id": "v", "type": "csv", "path": "in/void.csv"}, {"id": "n", "type": "csv", "path": "in/none.csv"}]
+    assert [p.split("(")[0] for p in check_inputs(spark, flow, f"{home}/data")] == [
+        "source 'v': in/void.csv is empty ", "source 'n': in/none.csv is missing "
+    ]
+
+
 # --- run logs --------------------------------------------------------------------------
 
 LOGS = {

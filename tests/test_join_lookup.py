@@ -96,12 +96,20 @@ def test_multi_key_using(spark):
     )
 
 
-@pytest.mark.parametrize("condition", [None, "", [], "l.n < r.n", "l.n <= r.n AND l.k <> r.k", "l.n != r.n"])
+@pytest.mark.parametrize("condition", [None, "", [], "l.n < r.n", "l.n <= r.n AND l.k <> r.k", "l.n != r.n", "l.k = r.k OR l.n = r.n",
+    "l.k = r.k AND l.n = 1 OR l.n = r.n", "(l.k = r.k OR l.n = r.n) AND l.n > r.n", "l.k = 'a' AND l.n < r.n", "l.k = l.k AND l.n < r.n",
+])
 def test_condition_needs_an_equality(spark, condition):
     with pytest.raises(ValueError):
         join(left(spark), right(spark), condition, left_id="l", right_id="r")
 
 
+@pytest.mark.parametrize("condition", ["upper(l.k) = upper(r.k)", "l.k <=> r.k AND (l.n > 1 OR r.s = 'x')", "l.n BETWEEN 1 AND 3 AND l.k == r.k"])
+def test_equality_inside_larger_conditions(spark, condition):
+    got = join(left(spark), right(spark), condition, left_id="l", right_id="r")
+    assert rows(got) == rows(left(spark).alias("l").join(right(spark).alias("r"), on=_native(condition)))
+
+
 def test_join_refuses(spark):
     with pytest.raises(ValueError):
         join(left(spark), right(spark), "k", "sideways")

@@ -1,4 +1,4 @@
-from .flow import FlowRun, append_run_log, check_flow, run_flow
+from .flow import FlowRun, append_run_log, check_flow, check_inputs, run_flow
 from .history import (
     daily_runs,
     failure_reasons,
@@ -20,6 +20,7 @@ __all__ = [
     "Step",
     "append_run_log",
     "check_flow",
+    "check_inputs",
     "custom_step",
     "daily_runs",
     "failure_reasons",

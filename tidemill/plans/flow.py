@@ -34,6 +34,9 @@ from pyspark.sql import functions as F
 from ..quality import quarantine, split_by_rules
 from ..sources import (
     avro_schema,
+    declare,
+    path_exists,
+    preflight,
     read_csv,
     read_database,
     read_files,
@@ -101,6 +104,19 @@ def check_flow(flow: Mapping[str, Any], steps: Mapping[str, Step] = STEPS) -> li
     return errors
 
 
+def check_inputs(spark: SparkSession, flow: Mapping[str, Any], data_root: str | None = None) -> list[str]:
+    """Problems with the files behind a flow's sources; reads listings only."""
+    found = []
+    for entry in flow.get("sources", []):
+        path = entry.get("path") or entry.get("mockDataPath")
+        if not path:
+            continue
+        state = preflight(spark, _resolve(spark, path, data_root)).first()
+        if state["status"] != "ok":
+            found.append(f"source {entry.get('id')!r}: {path} is {state['status']} ({state['empty_files']} of {state['files']} files are empty)")
+    return found
+
+
 def _missing(what: str, kind: Any, options: Mapping[str, Any], known: Mapping[str, tuple], always: tuple) -> list[str]:
     if kind not in known:
         return [f"{what}: {kind!r} is not registered; known: {sorted(known)}"]
@@ -139,7 +155,13 @@ def _arguments(entry: Mapping[str, Any], *own: str) -> dict[str, Any]:
     return {OPTION_NAMES.get(k, k): v for k, v in entry.items() if k not in own}
 
 
-def _load(spark: SparkSession, entry: Mapping[str, Any], datasets: dict[str, DataFrame], params: Mapping[str, Any]) -> DataFrame:
+def _load(
+    spark: SparkSession,
+    entry: Mapping[str, Any],
+    datasets: dict[str, DataFrame],
+    params: Mapping[str, Any],
+    data_root: str | None,
+) -> DataFrame:
     kind = entry["type"]
     if kind == "frame":
         return entry["frame"]
@@ -147,15 +169,33 @@ def _load(spark: SparkSession, entry: Mapping[str, Any], datasets: dict[str, Dat
         used = {k: v for k, v in params.items() if f":{k}" in entry["sql"]}
         return read_sql(spark, entry["sql"], datasets, used)
     options = _arguments(entry, "id", "type", "schemaRef")
-    if entry.get("schemaRef"):
-        options["schema"] = avro_schema(spark.read.text(entry["schemaRef"], wholetext=True).first()[0])
+    declared = entry.get("schemaRef")
+    if "path" in options:
+        options["path"] = _resolve(spark, options["path"], data_root)
     if kind == "csv":
-        return read_csv(spark, **options)
-    if kind in ("files", "parquet"):
-        return read_files(spark, **options)
-    if "mockDataPath" in options:
-        return read_files(spark, options["mockDataPath"])
-    return read_database(spark, **options)
+        df = read_csv(spark, **(options if not declared else {**options, "infer_schema": False}))
+    elif kind in ("files", "parquet"):
+        df = read_files(spark, **options)
+    elif "mockDataPath" in options:
+        df = read_files(spark, _resolve(spark, options["mockDataPath"], data_root))
+    else:
+        df = read_database(spark, **options)
+    if declared:
+        document = spark.read.text(_resolve(spark, declared, data_root), wholetext=True).first()[0]
+        df = declare(df, avro_schema(document))
+    return df
+
+
+def _resolve(spark: SparkSession, path: str, data_root: str | None) -> str:
+    """A relative path means the working folder where it exists there, else the data root."""
+    relative = isinstance(path, str) and "://" not in path and not path.startswith("/")
+    if not relative or data_root is None:
+        return path
+    here = path.rstrip("/")
+    parent = here.rsplit("/", 1)[0] if "/" in here else here
+    if path_exists(spark, here) or ("/" in here and path_exists(spark, parent)):
+        return path
+    return f"{data_root.rstrip('/')}/{path}"
 
 
 def _write(
@@ -164,6 +204,10 @@ def _write(
     kind, options = entry["type"], _arguments(entry, "type", "source", "dataset", "schemaRef")
     options["counted"] = counted
     if kind == "csv":
+        options["path"] = _resolve(df.sparkSession, options["path"], data_root)
+        named_like_a_file = "." in options["path"].rstrip("/").rsplit("/", 1)[-1]
+        if named_like_a_file and options.get("mode") != "append":
+            options.setdefault("single_file", "auto")
         write_csv(df, run_time=run_time, **options)
     elif kind == "database":
         write_database(df, **options)
@@ -194,7 +238,8 @@ def run_flow(
     """Load the sources, fold the steps over the named datasets, write the targets.
 
     ``params`` bind into ``sql`` sources (``:runDate``); ``run_id`` among them names the run.
-    Targets without a ``source`` take the first dataset. Row counts come from an observation on
+    Targets without a ``source`` take the first dataset; a CSV path named like a file
+    becomes one file while it is small, a folder otherwise. Row counts come from an observation on
     each write, at no extra pass. ``persist_shared`` keeps a dataset that feeds several targets
     (memory and disk; lineage stays, so a lost executor costs a recomputation, not the run).
     ``write=False`` stops after planning. With ``logs_root`` one run log row is appended, on
@@ -208,7 +253,7 @@ def run_flow(
     run = FlowRun(run_id=params.pop("run_id", None) or now.strftime("run-%Y%m%dT%H%M%S"))
     started = time.monotonic()
     try:
-        _load_sources(spark, flow, run, params, quarantine_path)
+        _load_sources(spark, flow, run, params, data_root, quarantine_path)
         _apply_steps(spark, flow, run, steps, reference_root, quarantine_path)
         if write:
             _write_targets(flow, run, data_root, now, persist_shared)
@@ -223,10 +268,10 @@ def run_flow(
     return run
 
 
-def _load_sources(spark, flow, run: FlowRun, params, quarantine_path: str | None) -> None:
+def _load_sources(spark, flow, run: FlowRun, params, data_root: str | None, quarantine_path: str | None) -> None:
     policy = flow.get("on_record_error", "quarantine")
     for entry in flow["sources"]:
-        df = _load(spark, entry, run.datasets, params)
+        df = _load(spark, entry, run.datasets, params, data_root)
         rules = flow.get("record_rules", {}).get(entry["id"])
         if rules:
             df, rejected = split_by_rules(df, rules)

@@ -10,7 +10,7 @@ from .readers import (
     read_sql,
     retain,
 )
-from .schema import avro_schema, enforce_schema, schema_drift
+from .schema import avro_schema, declare, enforce_schema, schema_drift
 from .writers import (
     jdbc_write_options,
     merge_into_table,
@@ -24,6 +24,7 @@ from .writers import (
 __all__ = [
     "CORRUPT",
     "avro_schema",
+    "declare",
     "enforce_schema",
     "jdbc_read_options",
     "jdbc_write_options",

@@ -71,6 +71,19 @@ def as_schema(schema: StructType | str) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
 
+def declare(df: DataFrame, schema: StructType | str) -> DataFrame:
+    """Give declared columns their types; a value that does not fit fails the job.
+
+    Columns the schema does not know pass through. A declared column that is absent may be
+    filled by a later step when it is nullable, and raises otherwise.
+    """
+    types = {f.name: f for f in as_schema(schema)}
+    missing = [n for n, f in types.items() if n not in df.columns and not f.nullable]
+    if missing:
+        raise ValueError(f"declare: columns {missing} not found; available: {df.columns}")
+    return df.select(*[col(c).cast(types[c].dataType).alias(c) if c in types else col(c) for c in df.columns])
+
+
 def _breaks(field: StructField) -> Column:
     """A value that is present but cannot take the declared type, or a forbidden null."""
     value = col(field.name)

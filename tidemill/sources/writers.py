@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import col, flag, names, require_columns, within_rows
+from ..functions import col, flag, fresh, names, require_columns
 from ..operators.merge import merge
 from ..session import shared_path
 
@@ -52,23 +52,27 @@ def write_csv(
     header: bool | str = True,
     compression: str | None = None,
     delimiter: str = ",",
-    single_file: bool = False,
+    single_file: bool | str = False,
     max_rows: int = SINGLE_FILE_ROWS,
     run_time: dt.datetime | None = None,
     counted: Observation | None = None,
 ) -> None:
     """Delimited text, one file per task.
 
-    ``single_file`` makes ``path`` one file for small extracts. It passes through one task,
-    so a table over ``max_rows`` rows is refused, and it cannot be appended to.
+    ``single_file`` makes ``path`` one file, for small extracts: it passes through one task,
+    so a table over ``max_rows`` rows is refused, and it cannot be appended to. With ``"auto"``
+    a larger table becomes a folder instead. The rows are computed once, counted on the way
+    into the shared folder, and keep their order.
     """
     mode, path = check_mode(mode), dated(path, run_time)
+    auto = single_file == "auto"
+    single = auto or flag(single_file, False)
 
     def writer(frame: DataFrame, how: str):
         out = frame.write.mode(how).option("header", flag(header, True)).option("sep", delimiter)
         return out.option("compression", compression) if compression else out
 
-    if not single_file:
+    if not single:
         writer(_counting(df, counted), mode).csv(path)
         return
     if mode == "append":
@@ -79,10 +83,18 @@ def write_csv(
         if mode == "ignore":
             return
         raise FileExistsError(path)
-    if not within_rows(df, max_rows):
-        raise ValueError(f"write_csv: more than {max_rows} rows for a single file; write a folder instead")
+
+    place, rows = fresh("row_place", df.columns), counted or Observation()
+    staged = shared_path(spark, "csv-stage")
+    _counting(df, rows).withColumn(place, F.monotonically_increasing_id()).write.parquet(staged)
+    back = spark.read.parquet(staged)
+    if rows.get["rows"] > max_rows:
+        if not auto:
+            raise ValueError(f"write_csv: more than {max_rows} rows for a single file; write a folder instead")
+        writer(back.orderBy(place).drop(place), mode).csv(path)
+        return
     folder = f"{path}.parts-{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}"
-    writer(_counting(df, counted).coalesce(1), "error").csv(folder)
+    writer(back.coalesce(1).sortWithinPartitions(place).drop(place), "error").csv(folder)
     parts = [s.getPath() for s in fs.listStatus(_hadoop(spark, folder)[1])]
     part = next((p for p in parts if p.getName().startswith("part-")), None)
     if part is None:
