@@ -1,6 +1,6 @@
 """Compare registered queries with their SQL on DuckDB: names, types, rows and values.
 
-Usage: python tests/compare.py [folder] [query name part ...]
+Usage: python tests/compare.py [folder] [query name part ...] [spark setting=value ...]
 """
 
 from __future__ import annotations
@@ -67,7 +67,9 @@ def main() -> int:
 
     args = sys.argv[1:]
     folder = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
-    spark = local_session("compare")
+    settings = dict(a.split("=", 1) for a in args if "=" in a)
+    args = [a for a in args if "=" not in a]
+    spark = local_session("compare", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = connect(folder), oracle_sql(), 0
     for name, run in queries().items():

@@ -12,8 +12,9 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     Spark lists no hidden files (names starting with ``_`` or ``.``) and no files without bytes.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    # Count from the root's own depth: `path` is a full URI, the root may be a bare path.
-    tail = F.element_at(F.split(F.col("path"), root.rstrip("/").split("://")[-1].lstrip("/") + "/", 2), 2)
+    # `path` is a full URI while the root may be a bare path: cut after the root's own text.
+    marker = root.rstrip("/").split("://")[-1].lstrip("/") + "/"
+    tail = F.substring_index(F.col("path"), marker, -1)
     parts = F.split(tail, "/")
     return (
         files.select(parts.alias("parts"))
