@@ -136,6 +136,17 @@ def test_outer_join_reuses_the_exchange(spark, tmp_path):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_grouped_sides_are_spread(spark):
+    counted = right(spark).groupBy("k").count()
+    got = join(left(spark), counted, "k", "full", right_id="c", grouped="c")
+    assert rows(got) == rows(join(left(spark), counted, "k", "full", split_outer=False))
+    found = lookup(left(spark), counted, "k", "count", grouped=True)
+    assert "REBALANCE" in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == rows(lookup(left(spark), counted, "k", "count"))
+    with pytest.raises(ValueError, match="grouped"):
+        join(left(spark), counted, "k", grouped="nobody")
+
+
 # --- lookup ----------------------------------------------------------------------------
 
 

@@ -1,6 +1,6 @@
 from .names import col, flag, fresh, names, quoted, require_columns
 from .rounding import round_binary
-from .sizing import BROADCAST_ROWS, broadcast_if_small, within_rows
+from .sizing import BROADCAST_ROWS, broadcast_if_small, spread, within_rows
 
 __all__ = [
     "BROADCAST_ROWS",
@@ -12,5 +12,6 @@ __all__ = [
     "quoted",
     "require_columns",
     "round_binary",
+    "spread",
     "within_rows",
 ]

@@ -23,3 +23,13 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[Data
     if within_rows(df, limit):
         return F.broadcast(df), True
     return df, False
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give up the partitioning a grouping left behind.
+
+    A join on the grouping's own keys would reuse that partitioning and skip its exchange, and
+    adaptive execution splits a hot partition of the other side only between two plain
+    exchanges. One more exchange of the grouped (collapsed) side buys that back.
+    """
+    return df.hint("rebalance")

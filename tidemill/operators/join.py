@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import BROADCAST_ROWS, broadcast_if_small, col, fresh, names, require_columns
+from ..functions import BROADCAST_ROWS, broadcast_if_small, col, fresh, names, require_columns, spread
 
 #: Accepted words and the Spark join type each one stands for.
 JOIN_TYPES = {
@@ -91,6 +91,7 @@ def join(
     select: Iterable[str] | None = None,
     null_safe: bool = False,
     split_outer: bool = True,
+    grouped: str | Iterable[str] | None = None,
 ) -> DataFrame:
     """Join two datasets.
 
@@ -117,6 +118,11 @@ def join(
     if condition is None or (not isinstance(condition, str) and not names(condition)):
         raise ValueError("join: a condition is required")
 
+    unknown = set(names(grouped)) - {left_id, right_id}
+    if unknown:
+        raise ValueError(f"join: grouped names {sorted(unknown)}, the sides are {left_id!r} and {right_id!r}")
+    left, right = (spread(df) if i in names(grouped) else df for df, i in ((left, left_id), (right, right_id)))
+
     using: list[str] = []
     pairs: list[tuple[str, str]] | None
     if not isinstance(condition, str) or re.fullmatch(r"[\w\s,]+", condition):
@@ -224,6 +230,7 @@ def lookup(
     prefix: str | None = None,
     ignore_missing: bool = False,
     unique: bool = False,
+    grouped: bool = False,
 ) -> DataFrame:
     """Enrich ``df`` with fields of a reference table, matched on equal column names.
 
@@ -235,7 +242,9 @@ def lookup(
     The reference is pruned to its key and the wanted fields first. Spark broadcasts it
     when its measured size is under the session threshold and shuffles it otherwise;
     ``broadcast=True`` raises that bound to ``broadcast_rows`` rows, counted before the
-    hint is given, and falls back to the shuffle join beyond it.
+    hint is given, and falls back to the shuffle join beyond it. ``grouped`` says that the
+    reference was just grouped by these keys (and may be large): it is spread first, so that a
+    hot key of ``df`` can be split.
     """
     keys, fields = names(join_columns), names(output_fields)
     kind = join_type(how)
@@ -259,7 +268,10 @@ def lookup(
         if repeated.take(1):
             raise ValueError(f"lookup: the reference repeats keys in {keys}")
     if broadcast:
-        slim, _ = broadcast_if_small(slim, broadcast_rows)
+        slim, small = broadcast_if_small(slim, broadcast_rows)
+        grouped = grouped and not small
+    if grouped:
+        slim = spread(slim)
     test = _equal([(k, k) for k in keys], "src", "lkp", null_safe=False)
     return (
         df.alias("src")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import BROADCAST_ROWS, col
+from ..functions import BROADCAST_ROWS, col, spread
 
 #: Half the share of a group that lies between the two cut points around a wanted quantile.
 MARGIN = 0.0005
@@ -39,7 +39,7 @@ def order_statistics(
     """
     keys = [col(g) for g in groups]
     points = sorted({min(max(p + d, 0.0), 1.0) for p in near for d in (-MARGIN, MARGIN)})
-    small = F.broadcast if few_groups else (lambda frame: frame)
+    small = F.broadcast if few_groups else spread
     values = df.select(*keys, value.alias("rank_value")).filter(F.col("rank_value").isNotNull())
     x = F.col("rank_value").cast("double")
     cuts = values.groupBy(*keys).agg(F.percentile_approx(x, points, ACCURACY).alias("rank_cuts"))
@@ -119,7 +119,7 @@ def _by_size(
         return df.groupBy(*keys).agg(*native)
     few = found <= BROADCAST_ROWS
     same = _same_group(groups, "row", "big")
-    big = (F.broadcast(large) if few else large).alias("big")
+    big = (F.broadcast(large) if few else spread(large)).alias("big")
     small = df.alias("row").join(big, same, "left_anti")
     huge = df.alias("row").join(big, same, "left_semi")
     return small.groupBy(*keys).agg(*native).unionByName(banded(huge, few))

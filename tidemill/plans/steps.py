@@ -54,6 +54,7 @@ def _join(ds: Datasets, o: Options, reference) -> DataFrame:
         left_id=o["left"],
         right_id=o["right"],
         select=names(o["select"]) if "select" in o else None,
+        grouped=o.get("grouped"),
     )
 
 
@@ -67,6 +68,7 @@ def _lookup(ds: Datasets, o: Options, reference) -> DataFrame:
         o.get("joinType", "left"),
         broadcast=flag(o.get("broadcast"), False),
         prefix=o.get("prefix"),
+        grouped=flag(o.get("grouped"), False),
     )
 
 

@@ -209,7 +209,7 @@ def lookup_multi_key(spark, sf):
     items = table(spark, sf, "lineitem")
     best = aggregate(items, "l_partkey,l_suppkey", "max:l_extendedprice")
     lines = items.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return lookup(lines, best, "l_partkey,l_suppkey", "max_l_extendedprice")
+    return lookup(lines, best, "l_partkey,l_suppkey", "max_l_extendedprice", grouped=True)
 
 
 @query(

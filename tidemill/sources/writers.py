@@ -40,6 +40,12 @@ def _hadoop(spark: SparkSession, path: str) -> tuple[Any, Any]:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def _discard(spark: SparkSession, path: str) -> None:
+    """Remove a staged copy this module wrote, once what it was for is done."""
+    fs, where = _hadoop(spark, path)
+    fs.delete(where, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, where = _hadoop(spark, path)
     return fs.exists(where)
@@ -92,6 +98,7 @@ def write_csv(
         if not auto:
             raise ValueError(f"write_csv: more than {max_rows} rows for a single file; write a folder instead")
         writer(back.orderBy(place).drop(place), mode).csv(path)
+        _discard(spark, staged)
         return
     folder = f"{path}.parts-{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}"
     writer(back.coalesce(1).sortWithinPartitions(place).drop(place), "error").csv(folder)
@@ -103,7 +110,8 @@ def write_csv(
         fs.delete(final, True)
     if not fs.rename(part, final):
         raise OSError(f"could not move {part} to {path}")
-    fs.delete(_hadoop(spark, folder)[1], True)
+    _discard(spark, folder)
+    _discard(spark, staged)
 
 
 def table_path(root: str, table: str) -> str:
@@ -153,7 +161,8 @@ def merge_into_table(
     """Upsert ``source`` into a path-based table, source rows winning.
 
     Files cannot be replaced while they are read, so the merged rows are first written to the
-    shared folder and then swapped in; after a crash in between, that copy is complete.
+    shared folder and then swapped in; after a crash in between, that copy is still there and
+    complete. It is removed after the swap.
 
     When every partition column is also a key, a row cannot change partition: only the
     partitions that ``source`` touches are read and rewritten. Otherwise the whole table is.
@@ -173,6 +182,7 @@ def merge_into_table(
     staged = shared_path(spark, "merge-stage")
     _counting(merge(source, target, keys, order_by), counted).write.format(format).save(staged)
     write_table(spark.read.format(format).load(staged), path, "overwrite", format, parts, dynamic=narrow)
+    _discard(spark, staged)
 
 
 def jdbc_write_options(
