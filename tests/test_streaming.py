@@ -4,6 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemill.streaming import (
+    drain_merge,
     drain_to_files,
     drain_updates,
     latest_updates,
@@ -48,3 +49,18 @@ def test_window_aggregate_updates(spark, tmp_path):
     drain()
     got = latest_updates(spark, out, "window_start,id").withColumn("window_start", F.date_format("window_start", "dd"))
     assert rows(got) == [("01", 1, 3, 7.0), ("02", 2, 1, 8.0)]
+
+
+def test_upsert_over_batches(spark, tmp_path):
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    feed(spark, source, [(1, "2024-01-01 00:00:00", 1.0), (1, "2024-01-01 00:00:10", 1.5), (2, "2024-01-01 00:01:00", 2.0)])
+    schema = spark.read.parquet(source).schema
+
+    def drain():
+        drain_merge(stream_files(spark, source, schema), out, f"{tmp_path}/cp", "id", order_by="t")
+
+    drain()
+    feed(spark, source, [(2, "2024-01-01 00:02:00", 9.0), (3, "2024-01-01 00:03:00", 3.0)])
+    drain()
+    drain()
+    assert rows(spark.read.parquet(out).select("id", "x")) == [(1, 1.5), (2, 9.0), (3, 3.0)]

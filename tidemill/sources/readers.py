@@ -46,7 +46,13 @@ def read_csv(
     return reader.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
-def read_files(spark: SparkSession, path: str | list[str], format: str | None = None, **options: Any) -> DataFrame:
+def read_files(
+    spark: SparkSession,
+    path: str | list[str],
+    format: str | None = None,
+    schema: StructType | str | None = None,
+    **options: Any,
+) -> DataFrame:
     """Parquet, ORC, JSON or CSV files; the format follows the suffix unless given.
 
     This is also the file stand-in for a database source: ``.parquet`` is read as Parquet,
@@ -55,8 +61,9 @@ def read_files(spark: SparkSession, path: str | list[str], format: str | None =
     first = path if isinstance(path, str) else path[0]
     kind = format or {"parquet": "parquet", "orc": "orc", "json": "json"}.get(first.rsplit(".", 1)[-1].lower(), "csv")
     if kind == "csv":
-        return read_csv(spark, path, **options)
-    return spark.read.format(kind).options(**options).load(path)
+        return read_csv(spark, path, schema=schema, **options)
+    reader = spark.read.format(kind).options(**options)
+    return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
 def read_reference(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

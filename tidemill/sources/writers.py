@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions import col, flag, fresh, names, require_columns
 from ..operators.merge import merge
@@ -174,17 +176,38 @@ def merge_into_table(
         first = merge(source, source.filter(F.lit(False)), keys, order_by)
         write_table(first, path, "error", format, parts, counted=counted)
         return
-    target = spark.read.format(format).load(path)
+    # Folder names are text: without the source's types, "007" would be read back as 7.
+    found = spark.read.format(format).load(path).schema
+    typed = [StructField(f.name, source.schema[f.name].dataType) if f.name in parts else f for f in found]
+    target = spark.read.format(format).schema(StructType(typed)).load(path)
     narrow = bool(parts) and set(parts) <= set(keys)
     if narrow:
-        touched = source.select(*[col(p) for p in parts]).distinct()
-        target = target.join(touched, parts, "left_semi").select(*target.columns)
+        target = _touched(target, source, parts)
     staged = shared_path(spark, "merge-stage")
     _counting(merge(source, target, keys, order_by), counted).write.format(format).save(staged)
     write_table(spark.read.format(format).load(staged), path, "overwrite", format, parts, dynamic=narrow)
     _discard(spark, staged)
 
 
+#: Partitions up to which a merge names them in the target's scan.
+NAMED_PARTITIONS = 1000
+
+
+def _touched(target: DataFrame, source: DataFrame, parts: list[str]) -> DataFrame:
+    """Target rows in partitions that ``source`` has rows for, null partitions included.
+
+    A limited number of partitions becomes a filter on the partition columns, which the scan
+    prunes by; beyond it a semi join decides.
+    """
+    values = source.select(*[col(p) for p in parts]).distinct()
+    named = values.take(NAMED_PARTITIONS + 1)
+    if len(named) > NAMED_PARTITIONS:
+        same = reduce(lambda a, b: a & b, [col(p, "t").eqNullSafe(col(p, "s")) for p in parts])
+        return target.alias("t").join(values.alias("s"), same, "left_semi")
+    tests = [reduce(lambda a, b: a & b, [col(p).eqNullSafe(F.lit(row[p])) for p in parts]) for row in named]
+    return target.filter(reduce(lambda a, b: a | b, tests, F.lit(False)))
+
+
 def jdbc_write_options(
     url: str,
     table: str,

@@ -1,4 +1,5 @@
 from .ingest import (
+    drain_merge,
     drain_to_files,
     drain_updates,
     latest_updates,
@@ -9,6 +10,7 @@ from .ingest import (
 )
 
 __all__ = [
+    "drain_merge",
     "drain_to_files",
     "drain_updates",
     "latest_updates",

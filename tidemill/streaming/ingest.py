@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from ..functions import col, names
 from ..operators.aggregate import SIMPLE, parse_metric
 from ..operators.dedup import deduplicate
+from ..sources.writers import merge_into_table
 
 
 def stream_files(
@@ -72,6 +73,25 @@ def drain_updates(df: DataFrame, path: str, checkpoint: str) -> None:
     _drain_batches(df, put, checkpoint)
 
 
+def drain_merge(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: str | Iterable[str],
+    partition_by: str | Iterable[str] | None = None,
+    order_by: str | Iterable[str] | None = None,
+) -> None:
+    """Upsert every batch into a path-based table, the batch winning over what is there.
+
+    A batch that is repeated after a failure merges to the same table.
+    """
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        merge_into_table(batch, path, keys, partition_by=partition_by, order_by=order_by)
+
+    _drain_batches(df, put, checkpoint)
+
+
 def _drain_batches(df: DataFrame, put: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     query = (
         df.writeStream.foreachBatch(put)
