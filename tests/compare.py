@@ -21,7 +21,9 @@ TABLES = (
 def connect(folder: str):
     con = duckdb.connect()
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+        files = Path(folder, f"{name}.parquet")
+        where = f"{files}/*.parquet" if files.is_dir() else str(files)
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{where}'")
     return con
 
 
