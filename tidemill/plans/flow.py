@@ -25,6 +25,7 @@ import logging
 import time
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import cache
 from typing import Any
 
 from pyspark import StorageLevel
@@ -287,6 +288,7 @@ def _load_sources(spark, flow, run: FlowRun, params, data_root: str | None, quar
 
 
 def _apply_steps(spark, flow, run: FlowRun, steps: Mapping[str, Step], reference_root, quarantine_path) -> None:
+    @cache
     def reference(name: str) -> DataFrame:
         if reference_root is None:
             raise KeyError(f"reference {name!r} is no dataset and no reference_root is set")

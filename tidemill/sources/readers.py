@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..functions import col, flag, names, require_columns
 
@@ -133,8 +133,17 @@ def read_increment(source: DataFrame, loaded: DataFrame, watermark: str) -> Data
     """
     require_columns(source, [watermark], "read_increment source")
     require_columns(loaded, [watermark], "read_increment loaded")
-    newest = loaded.agg(F.max(col(watermark)).alias("newest")).first()["newest"]
-    return source if newest is None else source.filter(col(watermark) > F.lit(newest))
+    kind = source.schema[watermark].dataType
+    newest = F.max(col(watermark)).cast(kind)
+    # Through text (or microseconds) the value keeps its own type, whatever the driver's zone is,
+    # so the comparison stays on the bare column and reaches the scan.
+    if isinstance(kind, TimestampType):
+        mark = loaded.agg(F.unix_micros(newest).alias("mark")).first()["mark"]
+        bound = F.timestamp_micros(F.lit(mark))
+    else:
+        mark = loaded.agg(newest.cast("string").alias("mark")).first()["mark"]
+        bound = F.lit(mark).cast(kind)
+    return source if mark is None else source.filter(col(watermark) > bound)
 
 
 def retain(df: DataFrame, time: str, days: int, today: str) -> DataFrame:
@@ -153,7 +162,7 @@ def preflight(spark: SparkSession, path: str | Iterable[str]) -> DataFrame:
     paths = names(path)
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-        listed = len(files.inputFiles())
+        listed = len(files._jdf.inputFiles())  # the length alone; the names stay in the JVM
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

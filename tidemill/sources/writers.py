@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable
 from functools import reduce
 from typing import Any
@@ -33,8 +34,8 @@ def check_mode(mode: str) -> str:
 
 
 def dated(path: str, run_time: dt.datetime | None) -> str:
-    """Fill ``%Y/%m/%d`` and friends in a target path from the run's time."""
-    return run_time.strftime(path) if run_time and "%" in path else path
+    """Fill ``%Y``, ``%m``, ``%d``, ``%H``, ``%M`` and ``%S`` in a target path from the run's time."""
+    return path if run_time is None else re.sub(r"%[YmdHMS]", lambda found: run_time.strftime(found[0]), path)
 
 
 def _hadoop(spark: SparkSession, path: str) -> tuple[Any, Any]:
