@@ -48,6 +48,15 @@ def test_engine_runs_all_rules_in_order(spark):
     ]
 
 
+def test_long_texts_are_counted_whole(spark):
+    import hashlib
+
+    long = "x" * 200
+    texts = [long, long, long + "y", "x" * 64, "x" * 64, None, None, "#" + hashlib.sha256(long.encode()).hexdigest()]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    assert verdicts(evaluate_rules(df, [Unique("once", ["s"])])) == [("once", False, 3, "Duplicate rows detected: 3")]
+
+
 def test_rules_on_an_empty_table(spark):
     rules = [NotNull("a", ["k"]), Unique("b", ["k"]), Range("c", "x", 0, 1)]
     assert [r[1:3] for r in verdicts(evaluate_rules(frame(spark, []), rules))] == [(True, 0)] * 3

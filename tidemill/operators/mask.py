@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import col, names, require_columns
 
 STRATEGIES = ("hash", "tokenize", "redact", "encrypt")
+#: Fixed value: what a redacted column holds.
 REDACTED = "***"
 
 

@@ -53,6 +53,12 @@ from .steps import STEPS, Step, dataset
 
 log = logging.getLogger(__name__)
 
+#: Counter names of a run, and the reason recorded for a failed step's rows.
+SOURCES_LOADED = "pipeline_source_loaded"
+STEP_APPLIED = "pipeline_transform_"
+TARGETS_WRITTEN = "pipeline_targets_written"
+STEP_FAILURE = "transformation_failure:"
+
 LAYERS = ("staging", "standardization", "service")
 STEP_ERRORS = ("halt", "quarantine", "skip")
 RECORD_ERRORS = ("quarantine", "skip")
@@ -284,7 +290,7 @@ def _load_sources(spark, flow, run: FlowRun, params, data_root: str | None, quar
                 quarantine(rejected, quarantine_path, f"record_rules:{entry['id']}", run.run_id, "failed_rules")
                 run.count("rows_quarantined", float(counted.get["rows"]))
         run.datasets[entry["id"]] = df
-        run.count("pipeline_source_loaded")
+        run.count(SOURCES_LOADED)
 
 
 def _apply_steps(spark, flow, run: FlowRun, steps: Mapping[str, Step], reference_root, quarantine_path) -> None:
@@ -302,7 +308,7 @@ def _apply_steps(spark, flow, run: FlowRun, steps: Mapping[str, Step], reference
             result = step.run(run.datasets, options, reference)
             output = next(options[o] for o in step.stores if options.get(o))
             run.datasets[output] = result
-            run.count(f"pipeline_transform_{name}")
+            run.count(STEP_APPLIED + name)
         except Exception as error:
             log.warning("step %s failed: %s", name, error)
             if policy == "halt":
@@ -312,7 +318,7 @@ def _apply_steps(spark, flow, run: FlowRun, steps: Mapping[str, Step], reference
             if policy == "quarantine" and source in run.datasets:
                 if quarantine_path is None:
                     raise ValueError("on_step_error 'quarantine' needs quarantine_path") from error
-                quarantine(run.datasets[source], quarantine_path, f"transformation_failure:{name}", run.run_id)
+                quarantine(run.datasets[source], quarantine_path, STEP_FAILURE + name, run.run_id)
 
 
 def _write_targets(flow, run: FlowRun, data_root, run_time, persist_shared: bool) -> None:
@@ -331,7 +337,7 @@ def _write_targets(flow, run: FlowRun, data_root, run_time, persist_shared: bool
             # A write that mode "ignore" skips never runs, and its count would never arrive.
             counted = None if entry.get("mode") == "ignore" else Observation()
             _write(df, entry, data_root, run_time, counted)
-            run.count("pipeline_targets_written")
+            run.count(TARGETS_WRITTEN)
             if counted is not None:
                 run.count("rows_written", float(counted.get["rows"]))
     finally:

@@ -9,11 +9,21 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from ..functions import col, names, require_columns
 
 
+#: The texts of failed rules.
+NULLS_FOUND = "Null values detected: {"
+REPEATS_FOUND = "Duplicate rows detected: %d"
+OUTSIDE_FOUND = "Range violations detected: %d rows"
+FAILED_FOUND = "Condition violations detected: %d rows"
+
+#: Texts longer than this are compared by their SHA-256 when rows are counted per key.
+LONG_TEXT = 64
+
+
 def _is_float(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, (FloatType, DoubleType))
 
@@ -37,7 +47,7 @@ class NotNull:
 
     def message(self, counts: list[tuple[str, Column]], total: Column) -> Column:
         found = F.concat_ws(", ", *[F.when(n > 0, F.format_string("'%s': %d", F.lit(c), n)) for c, n in counts])
-        return F.concat(F.lit("Null values detected: {"), found, F.lit("}"))
+        return F.concat(F.lit(NULLS_FOUND), found, F.lit("}"))
 
 
 @dataclass(frozen=True)
@@ -60,7 +70,7 @@ class Range:
         return tests
 
     def message(self, counts: list[tuple[str, Column]], total: Column) -> Column:
-        return F.format_string("Range violations detected: %d rows", total)
+        return F.format_string(OUTSIDE_FOUND, total)
 
 
 @dataclass(frozen=True)
@@ -75,7 +85,7 @@ class Check:
         return [("failed", ~met)]
 
     def message(self, counts: list[tuple[str, Column]], total: Column) -> Column:
-        return F.format_string("Condition violations detected: %d rows", total)
+        return F.format_string(FAILED_FOUND, total)
 
 
 @dataclass(frozen=True)
@@ -89,6 +99,17 @@ class Unique:
 Rule = NotNull | Range | Check | Unique
 
 
+def _compact(df: DataFrame, key: str) -> Column:
+    """A key column as it is moved for counting: long texts as their hash.
+
+    Kept texts have at most ``LONG_TEXT`` characters and hashes have more, so the two kinds
+    cannot meet.
+    """
+    if not isinstance(df.schema[key].dataType, StringType):
+        return col(key)
+    return F.when(F.length(col(key)) > LONG_TEXT, F.concat(F.lit("#"), F.sha2(col(key), 256))).otherwise(col(key)).alias(key)
+
+
 def _violated(test: Column) -> Column:
     return F.coalesce(test, F.lit(False))
 
@@ -122,9 +143,9 @@ def evaluate_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
         if isinstance(rule, Unique):
             keys = names(rule.columns)
             require_columns(df, keys, f"rule {rule.rule_id}")
-            repeats = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+            repeats = df.groupBy(*[_compact(df, k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
             total = repeats.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0).cast("long")).alias("total"))
-            text = F.format_string("Duplicate rows detected: %d", F.col("total"))
+            text = F.format_string(REPEATS_FOUND, F.col("total"))
             results.append(total.select(F.inline(F.array(_line(i, rule.rule_id, F.col("total"), text)))))
 
     stacked = reduce(DataFrame.unionAll, results)

@@ -23,9 +23,31 @@ SETTINGS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply ``SETTINGS`` to a running session; all of them can change at run time."""
-    for key, value in SETTINGS.items():
+#: Bytes one shuffle partition should hold: well within a task's memory before it spills.
+PARTITION_BYTES = 256 * 1024**2
+
+
+def shuffle_partitions(moved_bytes: int, cores: int) -> int:
+    """Partitions for a shuffle of ``moved_bytes``: sized for memory, at least two per core.
+
+    Adaptive execution merges small neighbours afterwards, so the number may be generous; too
+    few partitions cannot be mended the same way.
+    """
+    return min(max(-(-moved_bytes // PARTITION_BYTES), 2 * cores), 200_000)
+
+
+def tune(spark: SparkSession, moved_bytes: int | None = None) -> SparkSession:
+    """Apply ``SETTINGS`` to a running session; all of them can change at run time.
+
+    ``moved_bytes`` is the size of the largest shuffle to expect; given, it sets the number of
+    shuffle partitions, which Spark otherwise leaves at the session's value.
+    """
+    wanted = dict(SETTINGS)
+    if moved_bytes is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(
+            shuffle_partitions(moved_bytes, spark.sparkContext.defaultParallelism)
+        )
+    for key, value in wanted.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
