@@ -57,6 +57,9 @@ def test_collecting_needs_room(spark):
     assert got == sorted([("a", [1.0]), ("b", []), (None, [2.0, 4.0])], key=repr)
     with pytest.raises(ValueError, match="max_items"):
         aggregate(frame(spark), "g", "collect_list:x", max_items=1)
+    copies = frame(spark, [("a", 1.0)] * 5 + [("b", None)])
+    assert rows(aggregate(copies, "g", "listagg_distinct:x", max_items=1)) == [("a", "1.0"), ("b", None)]
+    assert rows(aggregate(copies, "g", "listagg:x", max_items=5)) == [("a", "1.0,1.0,1.0,1.0,1.0"), ("b", None)]
 
 
 @settings(max_examples=16, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -113,11 +113,16 @@ def _by_size(
     keys = [col(g) for g in groups]
     if not groups:
         return banded(df, True)
-    large = df.groupBy(*keys).agg(F.count(value).alias("rank_n")).filter(F.col("rank_n") > SMALL_GROUP).select(*keys)
-    found = len(large.select(F.lit(1).alias("one")).take(BROADCAST_ROWS + 1))
+    sizes = df.groupBy(*keys).agg(F.count(value).alias("rank_n"))
+    is_large = F.col("rank_n") > SMALL_GROUP
+    total, found = sizes.agg(F.count(F.lit(1)), F.count_if(is_large)).first()
     if not found:
         return df.groupBy(*keys).agg(*native)
     few = found <= BROADCAST_ROWS
+    if found == total:
+        return banded(df, few)
+    large = sizes.filter(is_large).select(*keys)
+    big = (F.broadcast(large) if few else spread(large)).alias("big")
     same = _same_group(groups, "row", "big")
     big = (F.broadcast(large) if few else spread(large)).alias("big")
     small = df.alias("row").join(big, same, "left_anti")
