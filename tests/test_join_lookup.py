@@ -83,6 +83,17 @@ def test_self_join_and_select(spark):
     assert rows(got) == [(1, 1), (1, 2), (2, 1), (2, 2), (3, 3)]
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "semi", "anti"])
+@pytest.mark.parametrize("test", ["l.k = r.k", "l.k = r.k AND l.n < 2"])
+def test_select_names_both_sides(spark, how, test):
+    wanted = ["l.n + 1 AS m", "l.k"] + ([] if how in ("semi", "anti") else ["coalesce(r.k, l.k) AS key", "upper(r.s) AS s"])
+    got = join(left(spark), right(spark), test, how, left_id="l", right_id="r", select=wanted)
+    kind = {"semi": "left_semi", "anti": "left_anti"}.get(how, how)
+    native = left(spark).alias("l").join(right(spark).alias("r"), on=_native(test), how=kind).selectExpr(*wanted)
+    assert got.columns == native.columns
+    assert rows(got) == rows(native)
+
+
 def test_clashing_name_is_qualified(spark):
     other = spark.createDataFrame([("a", 7)], "k string, n int")
     assert join(left(spark), other, "k", right_id="old").columns == ["k", "n", "old_n"]

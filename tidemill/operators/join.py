@@ -136,43 +136,42 @@ def join(
         require_columns(left, [x for x, _ in pairs], "join left")
         require_columns(right, [y for _, y in pairs], "join right")
 
-    if select is not None:
-        # The caller names what to keep, so nothing has to be made unique first.
-        test = F.expr(condition) if not pairs else _equal(pairs, left_id, right_id, null_safe)
-        joined = left.alias(left_id).join(right.alias(right_id), test, kind)
-        return joined.selectExpr(*select)
-
-    keep_right = {
-        c: (f"{right_id}_{c}" if c in left.columns else c) for c in right.columns if c not in using
-    }
-    if kind not in ("left_semi", "left_anti"):
-        out = [*left.columns, *keep_right.values()]
-        if len(set(out)) != len(out):
-            raise ValueError(f"join: result columns are not unique: {out}; pass select=")
-
     def on() -> Column:
         return _equal(pairs, left_id, right_id, null_safe) if pairs else F.expr(condition)
 
-    def distinct_keys(df: DataFrame, wanted: list[str]) -> DataFrame:
-        return _few_copies(df, wanted) if pairs else df
+    def few_keys(df: DataFrame, side: int) -> DataFrame:
+        return _few_copies(df, [pair[side] for pair in pairs]) if pairs else df
 
     a, b = left.alias(left_id), right.alias(right_id)
     if kind in ("left_semi", "left_anti"):
-        other = distinct_keys(right, [y for _, y in pairs or []]).alias(right_id)
-        return a.join(other, on(), kind)
+        tested = a.join(few_keys(right, 1).alias(right_id), on(), kind)
+        return tested if select is None else tested.selectExpr(*select)
+    if select is not None and (kind == "inner" or not split_outer):
+        return a.join(b, on(), kind).selectExpr(*select)
 
     left_cols = [col(c, left_id).alias(c) for c in left.columns]
-    right_cols = [col(c, right_id).alias(n) for c, n in keep_right.items()]
+    renamed = {c: (f"{right_id}_{c}" if c in left.columns else c) for c in right.columns if c not in using}
+    right_cols = [col(c, right_id).alias(n) for c, n in renamed.items()]
+    out = [*left.columns, *renamed.values()]
+    if select is None and len(set(out)) != len(out):
+        raise ValueError(f"join: result columns are not unique: {out}; pass select=")
     if kind == "inner":
         return a.join(b, on(), "inner").select(*left_cols, *right_cols)
     if not split_outer:
-        either = [F.coalesce(col(c, left_id), col(c, right_id)).alias(c) if c in using else x
-                  for c, x in zip(left.columns, left_cols)]
-        return a.join(b, on(), kind).select(*either, *right_cols)
-
-    no_left = [F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns]
-    no_right = [F.lit(None).cast(right.schema[c].dataType).alias(n) for c, n in keep_right.items()]
-    from_right = [col(c, right_id).alias(c) if c in using else x for c, x in zip(left.columns, no_left)]
+        first = [
+            F.coalesce(col(c, left_id), col(c, right_id)).alias(c) if c in using else x
+            for c, x in zip(left.columns, left_cols)
+        ]
+        return a.join(b, on(), kind).select(*first, *right_cols)
+
+    def shape(has_left: bool, has_right: bool) -> list[Column]:
+        """The result columns of rows that have a left side, a right side or both."""
+        if select is not None:  # one struct per side, so that `select` can name them by their ids
+            return [_side(left, left_id, has_left), _side(right, right_id, has_right)]
+        cols = left_cols if has_left else [
+            col(c, right_id).alias(c) if c in using else _null(left, c, c) for c in left.columns
+        ]
+        return [*cols, *(right_cols if has_right else [_null(right, c, n) for c, n in renamed.items()])]
 
     # A null key cannot match: take such rows around the join when they must be kept.
     bypass = bool(pairs) and not null_safe
@@ -180,18 +179,28 @@ def join(
     right_full, right_null = _by_null_key(right, [y for _, y in pairs] if bypass else [])
     a, b = left_full.alias(left_id), right_full.alias(right_id)
 
-    parts = [a.join(b, on(), "inner").select(*left_cols, *right_cols)]
+    parts = [a.join(b, on(), "inner").select(*shape(True, True))]
     if kind in ("left", "full"):
-        keys = distinct_keys(right_full, [y for _, y in pairs or []]).alias(right_id)
-        parts.append(a.join(keys, on(), "left_anti").select(*left_cols, *no_right))
+        parts.append(a.join(few_keys(right_full, 1).alias(right_id), on(), "left_anti").select(*shape(True, False)))
         if left_null is not None:
-            parts.append(left_null.alias(left_id).select(*left_cols, *no_right))
+            parts.append(left_null.alias(left_id).select(*shape(True, False)))
     if kind in ("right", "full"):
-        keys = distinct_keys(left_full, [x for x, _ in pairs or []]).alias(left_id)
-        parts.append(b.join(keys, on(), "left_anti").select(*from_right, *right_cols))
+        parts.append(b.join(few_keys(left_full, 0).alias(left_id), on(), "left_anti").select(*shape(False, True)))
         if right_null is not None:
-            parts.append(right_null.alias(right_id).select(*from_right, *right_cols))
-    return reduce(DataFrame.unionAll, parts)
+            parts.append(right_null.alias(right_id).select(*shape(False, True)))
+    joined = reduce(DataFrame.unionAll, parts)
+    return joined if select is None else joined.selectExpr(*select)
+
+
+def _null(df: DataFrame, column: str, name: str) -> Column:
+    return F.lit(None).cast(df.schema[column].dataType).alias(name)
+
+
+def _side(df: DataFrame, owner: str, present: bool) -> Column:
+    """A whole side as one struct column named like the dataset."""
+    if not present:
+        return F.lit(None).cast(df.schema).alias(owner)
+    return F.struct(*[col(c, owner).alias(c) for c in df.columns]).alias(owner)
 
 
 #: Copies of one key that may remain on the testing side of a semi or anti join.
