@@ -7,6 +7,17 @@ from hypothesis import strategies as st
 
 from tidemill.operators import join, lookup
 
+
+
+@pytest.fixture(scope="module", autouse=True)
+def no_broadcast(spark):
+    """Tiny frames would all be broadcast, and the split form of outer joins never used."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 LEFT = [("a", 1), ("a", 2), ("b", 3), (None, 4)]
 RIGHT = [("a", "x"), ("a", "y"), ("c", "z"), (None, "n")]
 
@@ -130,6 +141,21 @@ def test_join_refuses(spark):
         join(left(spark), right(spark), "missing")
 
 
+@pytest.mark.parametrize("how, split", [("left", False), ("right", False), ("full", True)])
+def test_small_optional_side_is_broadcast_in_one_scan(spark, tmp_path, how, split):
+    left(spark).write.parquet(f"{tmp_path}/l")
+    right(spark).write.parquet(f"{tmp_path}/r")
+    a, b = spark.read.parquet(f"{tmp_path}/l"), spark.read.parquet(f"{tmp_path}/r")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        got = join(a, b, "k", how)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert rows(got) == sorted(brute(how, LEFT, RIGHT), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert ("Union" in plan) == split and "BroadcastHashJoin" in plan
+
+
 def test_outer_join_reuses_the_exchange(spark, tmp_path):
     left(spark).write.parquet(f"{tmp_path}/l")
     right(spark).write.parquet(f"{tmp_path}/r")

@@ -1,11 +1,12 @@
 from .names import col, flag, fresh, names, quoted, require_columns
 from .rounding import round_binary
-from .sizing import BROADCAST_ROWS, broadcast_if_small, spread, within_rows
+from .sizing import BROADCAST_ROWS, broadcast_if_small, fits_broadcast, spread, within_rows
 
 __all__ = [
     "BROADCAST_ROWS",
     "broadcast_if_small",
     "col",
+    "fits_broadcast",
     "flag",
     "fresh",
     "names",

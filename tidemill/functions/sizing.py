@@ -25,6 +25,16 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[Data
     return df, False
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """True when Spark's own size estimate is within its broadcast threshold.
+
+    This is the test by which the planner picks a broadcast join; no job is run.
+    """
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return 0 <= estimate <= limit
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give up the partitioning a grouping left behind.
 

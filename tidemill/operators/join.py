@@ -9,7 +9,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import BROADCAST_ROWS, broadcast_if_small, col, fresh, names, require_columns, spread
+from ..functions import (
+    BROADCAST_ROWS,
+    broadcast_if_small,
+    col,
+    fits_broadcast,
+    fresh,
+    names,
+    require_columns,
+    spread,
+)
 
 #: Accepted words and the Spark join type each one stands for.
 JOIN_TYPES = {
@@ -146,6 +155,9 @@ def join(
     if kind in ("left_semi", "left_anti"):
         tested = a.join(few_keys(right, 1).alias(right_id), on(), kind)
         return tested if select is None else tested.selectExpr(*select)
+    optional = {"left": right, "right": left}.get(kind)
+    if optional is not None and split_outer:
+        split_outer = not fits_broadcast(optional)
     if select is not None and (kind == "inner" or not split_outer):
         return a.join(b, on(), kind).selectExpr(*select)
 
