@@ -160,7 +160,7 @@ def dq_split_reject(spark, sf):
 @query(
     "quarantine_replay",
     """
-    SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'P' THEN 'O' ELSE o_orderstatus END AS o_orderstatus FROM orders
+    SELECT DISTINCT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'P' THEN 'O' ELSE o_orderstatus END AS o_orderstatus FROM orders
     WHERE o_totalprice BETWEEN 1000 AND 400000
     """,
 )

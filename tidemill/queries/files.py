@@ -179,10 +179,10 @@ def sink_mode_ignore(spark, sf):
 @query(
     "sink_merge_mode",
     """
-    SELECT o_orderkey, o_custkey, CASE WHEN o_custkey < 500 THEN round(o_totalprice + 1, 2) ELSE o_totalprice END AS o_totalprice,
+    SELECT DISTINCT o_orderkey, o_custkey, CASE WHEN o_custkey < 500 THEN round(o_totalprice + 1, 2) ELSE o_totalprice END AS o_totalprice,
            CASE WHEN o_custkey < 500 THEN 'X' ELSE o_orderstatus END AS o_orderstatus
     FROM orders
-    UNION ALL SELECT o_orderkey + 1000000000, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'P'
+    UNION SELECT o_orderkey + 1000000000, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'P'
     """,
 )
 def sink_merge_mode(spark, sf):
@@ -200,14 +200,14 @@ def sink_merge_mode(spark, sf):
 @query(
     "sink_merge_partitions",
     """
-    SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' AND o_totalprice > 250000 THEN 0.0 ELSE o_totalprice END
+    SELECT DISTINCT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' AND o_totalprice > 250000 THEN 0.0 ELSE o_totalprice END
            AS o_totalprice, o_orderstatus
     FROM orders
     """,
 )
 def sink_merge_partitions(spark, sf):
     path, orders = shared_path(spark, "merge-partitions"), _orders(spark, sf)
-    write_table(orders, path, partition_by="o_orderstatus")
+    merge_into_table(orders, path, "o_orderkey,o_orderstatus", partition_by="o_orderstatus")
     changed = orders.filter("o_orderstatus = 'F' AND o_totalprice > 250000").withColumn("o_totalprice", F.lit(0.0))
     merge_into_table(changed, path, "o_orderkey,o_orderstatus", partition_by="o_orderstatus")
     return read_files(spark, path, "parquet")

@@ -157,7 +157,7 @@ def src_json_reference(spark, sf):
 def lookup_left_json(spark, sf):
     nations = read_reference(spark, _nation_reference(spark, sf))
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    return lookup(customers, nations, "c_nationkey", "n_name,n_regionkey", unique=True)
+    return lookup(customers, nations, "c_nationkey", "n_name,n_regionkey")
 
 
 @query(

@@ -23,7 +23,7 @@ def _events(spark, sf):
     return stream_files(spark, f"{sf}/events.parque[t]", schema)
 
 
-@query("stream_dedup", "SELECT event_id, user_id, event_type, value FROM events")
+@query("stream_dedup", "SELECT DISTINCT event_id, user_id, event_type, value FROM events")
 def stream_dedup(spark, sf):
     """Every event delivered twice, kept once."""
     twice = _events(spark, sf).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("copy")

@@ -235,7 +235,7 @@ def merge_union(spark, sf):
                  UNION ALL SELECT o_orderkey + 1000000000, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'),
          tgt AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders)
     SELECT o_orderkey, o_custkey, round(o_totalprice, 2) AS o_totalprice FROM src
-    UNION ALL
+    UNION
     SELECT o_orderkey, o_custkey, round(o_totalprice, 2) FROM tgt ANTI JOIN src USING (o_orderkey)
     """,
 )

@@ -168,7 +168,8 @@ def merge_into_table(
     complete. It is removed after the swap.
 
     When every partition column is also a key, a row cannot change partition: only the
-    partitions that ``source`` touches are read and rewritten. Otherwise the whole table is.
+    partitions that ``source`` touches are read and rewritten, the others stay as they are.
+    Otherwise the whole table is.
     """
     spark, keys, parts = source.sparkSession, names(keys), names(partition_by)
     if not keys:
