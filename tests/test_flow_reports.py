@@ -282,7 +282,7 @@ def test_rows_processed(spark, metrics, expected):
 
 def test_latency_is_nearest_rank(spark):
     df = spark.createDataFrame([("p", str(i)) for i in range(1, 101)] + [("q", "5"), ("q", None)], "pipeline_id string, duration_ms string")
-    assert rows(latency_percentiles(df, "pipeline_id")) == [("p", 100, 50, 90, 99), ("q", 1, 5, 5, 5)]
+    assert rows(latency_percentiles(df, "pipeline_id")) == [("p", 100, 50, 90, 99), ("q", 2, 5, 5, 5)]
 
 
 def test_inventory(spark, tmp_path):

@@ -193,15 +193,19 @@ def aggregate_window(
     max_items: int | None = None,
 ) -> DataFrame:
     """Aggregate per calendar period: ``daily``, ``weekly`` (from Monday), ``monthly`` or any
-    interval such as ``6 hours``. The period's start is returned as ``window_start``.
+    interval such as ``6 hours``. The period's start is returned as ``window_start``, null for
+    rows without a time.
     """
     require_columns(df, [time], "aggregate_window")
+    groups = [*names(group_by), "window_start"]
     units = {"daily": "day", "weekly": "week", "monthly": "month"}
     if window in units:
-        start = F.date_trunc(units[window], col(time))
-    else:
-        start = F.window(col(time), window)["start"]
-    return aggregate(df.withColumn("window_start", start), [*names(group_by), "window_start"], metrics, max_items)
+        return aggregate(df.withColumn("window_start", F.date_trunc(units[window], col(time))), groups, metrics, max_items)
+    timed = aggregate(df.withColumn("window_start", F.window(col(time), window)["start"]), groups, metrics, max_items)
+    # `window` leaves out rows without a time; they are a group of their own, as with periods.
+    none = F.lit(None).cast(timed.schema["window_start"].dataType)
+    untimed = df.filter(col(time).isNull()).withColumn("window_start", none)
+    return timed.unionByName(aggregate(untimed, groups, metrics, max_items))
 
 
 #: How each rolling metric folds daily results: (daily aggregate, fold over the days).

@@ -146,11 +146,10 @@ def failure_reasons(logs: DataFrame) -> DataFrame:
 def latency_percentiles(logs: DataFrame, by: str, points: tuple[float, ...] = (0.5, 0.9, 0.99)) -> DataFrame:
     """Runs and exact nearest-rank percentiles of ``duration_ms`` per group."""
     ms = F.col("duration_ms").try_cast("long")
-    timed = logs.filter(ms.isNotNull())
-    runs = timed.groupBy(by).agg(F.count(F.lit(1)).alias("runs"))
-    placed = percentiles(timed, [by], ms, {f"p{round(p * 100)}_ms": p for p in points})
+    runs = logs.groupBy(by).agg(F.count(F.lit(1)).alias("runs"))
+    placed = percentiles(logs.filter(ms.isNotNull()), [by], ms, {f"p{round(p * 100)}_ms": p for p in points})
     same = F.col(f"runs.{by}").eqNullSafe(F.col(f"placed.{by}"))
-    return runs.alias("runs").join(placed.alias("placed"), same).select("runs.*", *[c for c in placed.columns if c != by])
+    return runs.alias("runs").join(placed.alias("placed"), same, "left").select("runs.*", *[c for c in placed.columns if c != by])
 
 
 def sla_report(logs: DataFrame, sla_ms: int | Column, by: str) -> DataFrame:

@@ -16,7 +16,7 @@ def _items(spark, sf):
     "agg_count_sum",
     """
     SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS o_orderpriority, o_orderstatus,
-           count(*) AS count_rows, count(CASE WHEN o_orderstatus <> 'F' THEN 1 END) AS count_open_price,
+           count(*) AS count_rows, count(CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END) AS count_open_price,
            round(sum(o_totalprice), 2) AS sum_o_totalprice
     FROM orders GROUP BY ALL
     """,
@@ -105,9 +105,9 @@ def agg_stddev_variance(spark, sf):
     "agg_shape",
     """
     WITH m AS (SELECT l_linestatus, avg(l_quantity) AS u FROM lineitem GROUP BY 1)
-    SELECT l_linestatus, round(avg((l_quantity - u) ** 3) / avg((l_quantity - u) ** 2) ** 1.5, 5) AS skewness_l_quantity,
+    SELECT lineitem.l_linestatus AS l_linestatus, round(avg((l_quantity - u) ** 3) / avg((l_quantity - u) ** 2) ** 1.5, 5) AS skewness_l_quantity,
            round(avg((l_quantity - u) ** 4) / avg((l_quantity - u) ** 2) ** 2 - 3, 5) AS kurtosis_l_quantity
-    FROM lineitem JOIN m USING (l_linestatus) GROUP BY l_linestatus
+    FROM lineitem JOIN m ON lineitem.l_linestatus IS NOT DISTINCT FROM m.l_linestatus GROUP BY lineitem.l_linestatus
     """,
 )
 def agg_shape(spark, sf):
@@ -119,13 +119,13 @@ def agg_shape(spark, sf):
     "agg_median_mode",
     """
     WITH f AS (SELECT l_returnflag, l_partkey, row_number() OVER (PARTITION BY l_returnflag ORDER BY count(*) DESC, l_partkey) AS r
-               FROM lineitem GROUP BY l_returnflag, l_partkey),
+               FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY l_returnflag, l_partkey),
          g AS (SELECT l_returnflag, count(*) AS count_rows, median(l_extendedprice) AS median_l_extendedprice,
                       median(CAST(l_quantity AS DOUBLE)) AS median_l_quantity
                FROM lineitem GROUP BY l_returnflag)
-    SELECT l_returnflag, count_rows, round(median_l_extendedprice, 4) AS median_l_extendedprice, median_l_quantity,
+    SELECT g.l_returnflag AS l_returnflag, count_rows, round(median_l_extendedprice, 4) AS median_l_extendedprice, median_l_quantity,
            l_partkey AS mode_l_partkey
-    FROM g JOIN f USING (l_returnflag) WHERE r = 1
+    FROM g JOIN f ON g.l_returnflag IS NOT DISTINCT FROM f.l_returnflag WHERE r = 1
     """,
 )
 def agg_median_mode(spark, sf):
@@ -158,9 +158,9 @@ def agg_first_last(spark, sf):
 @query(
     "agg_collect",
     """
-    SELECT l_orderkey, array_to_string(list_sort(list(l_linenumber)), ',') AS lines,
-           array_to_string(list_sort(list(l_linenumber)), ',') AS lines_agg,
-           array_to_string(list_sort(list(DISTINCT l_linenumber)), ',') AS line_set
+    SELECT l_orderkey, coalesce(string_agg(l_linenumber, ',' ORDER BY l_linenumber), '') AS lines,
+           coalesce(string_agg(l_linenumber, ',' ORDER BY l_linenumber), '') AS lines_agg,
+           coalesce(array_to_string(list_sort(list(DISTINCT l_linenumber) FILTER (WHERE l_linenumber IS NOT NULL)), ','), '') AS line_set
     FROM lineitem GROUP BY l_orderkey
     """,
 )
@@ -326,22 +326,22 @@ def agg_window_weekly(spark, sf):
     "agg_window_interval",
     """
     SELECT strftime(time_bucket(INTERVAL '6 hours', ts), '%Y-%m-%d %H:%M') AS window_start, count(*) AS count_rows,
-           round(avg(value), 4) AS avg_value
+           round(avg(value), 8) AS avg_value
     FROM events GROUP BY 1
     """,
 )
 def agg_window_interval(spark, sf):
     out = aggregate_window(table(spark, sf, "events"), "ts", "6 hours", None, "count:*,avg:value")
-    return rounded(out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm")), "avg_value", digits=4)
+    return rounded(out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm")), "avg_value", digits=8)
 
 
 @query(
     "agg_rolling",
     """
-    WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, sum(value) AS s, max(value) AS m
+    WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, count(value) AS c, sum(value) AS s, max(value) AS m
                FROM events GROUP BY ALL)
     SELECT event_type, strftime(day, '%Y-%m-%d') AS day, CAST(sum(n) OVER w AS BIGINT) AS count_rows,
-           round(sum(s) OVER w, 2) AS sum_value, round(sum(s) OVER w / sum(n) OVER w, 4) AS avg_value,
+           round(sum(s) OVER w, 2) AS sum_value, round(sum(s) OVER w / sum(c) OVER w, 8) AS avg_value,
            max(m) OVER w AS max_value
     FROM d WINDOW w AS (PARTITION BY event_type ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)
     """,
@@ -350,4 +350,4 @@ def agg_rolling(spark, sf):
     out = aggregate_rolling(
         table(spark, sf, "events"), "ts", 7, "event_type", "count:*,sum:value,avg:value,max:value"
     )
-    return rounded(rounded(out.withColumn("day", day("day")), "sum_value"), "avg_value", digits=4)
+    return rounded(rounded(out.withColumn("day", day("day")), "sum_value"), "avg_value", digits=8)

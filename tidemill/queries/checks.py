@@ -88,9 +88,9 @@ def dq_custom_expr(spark, sf):
     """
     WITH d AS (SELECT *, nullif(lang, 'fr') AS language FROM documents),
          v AS (SELECT 'language' AS rule, count(*) FILTER (WHERE language IS NULL) AS violations FROM d
-               UNION ALL SELECT 'text_once', count(*) - count(DISTINCT text) FROM d
+               UNION ALL SELECT 'text_once', count(*) - count(DISTINCT text) - max(CASE WHEN text IS NULL THEN 1 ELSE 0 END) FROM d
                UNION ALL SELECT 'size', count(*) FILTER (WHERE n_chars < 20) + count(*) FILTER (WHERE n_chars > 20000) FROM d
-               UNION ALL SELECT 'language_once', count(*) - count(DISTINCT coalesce(language, '?') || '/' || source) FROM d
+               UNION ALL SELECT 'language_once', count(*) - count(DISTINCT coalesce(language, '?') || '/' || coalesce(source, '?')) FROM d
                UNION ALL SELECT 'counted', count(*) FILTER (WHERE n_chars <> length(text)) FROM d)
     SELECT rule, violations = 0 AS passed, violations FROM v
     """,
@@ -126,7 +126,8 @@ _ORDER_RULES = [
     Check("known_status", "o_orderstatus IN ('F', 'O')"),
     NotNull("priority", ["o_orderpriority"]),
 ]
-_BROKEN = "(o_totalprice < 1000 OR o_totalprice > 400000 OR o_orderstatus = 'P' OR o_orderpriority = '5-LOW')"
+_BROKEN = """(coalesce(o_totalprice < 1000 OR o_totalprice > 400000, false) OR coalesce(o_orderstatus = 'P', false)
+              OR o_orderpriority = '5-LOW' OR o_orderpriority IS NULL)"""
 
 
 def _rule_orders(spark, sf):
@@ -149,7 +150,7 @@ def dq_split_valid(spark, sf):
     SELECT o_orderkey, o_totalprice, o_orderstatus,
            concat_ws(',', CASE WHEN o_totalprice < 1000 OR o_totalprice > 400000 THEN 'price' END,
                      CASE WHEN o_orderstatus = 'P' THEN 'known_status' END,
-                     CASE WHEN o_orderpriority = '5-LOW' THEN 'priority' END) AS failed_rules
+                     CASE WHEN o_orderpriority = '5-LOW' OR o_orderpriority IS NULL THEN 'priority' END) AS failed_rules
     FROM orders WHERE {_BROKEN}
     """,
 )
@@ -161,7 +162,7 @@ def dq_split_reject(spark, sf):
     "quarantine_replay",
     """
     SELECT DISTINCT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'P' THEN 'O' ELSE o_orderstatus END AS o_orderstatus FROM orders
-    WHERE o_totalprice BETWEEN 1000 AND 400000
+    WHERE coalesce(o_totalprice BETWEEN 1000 AND 400000, true)
     """,
 )
 def quarantine_replay(spark, sf):
@@ -185,7 +186,7 @@ def quarantine_replay(spark, sf):
     """
     WITH s AS (SELECT o_orderstatus, count(*) AS rows,
                       count(*) FILTER (WHERE o_totalprice < 1000 OR o_totalprice > 400000) AS p,
-                      count(*) FILTER (WHERE o_orderpriority = '5-LOW') AS q FROM orders GROUP BY 1)
+                      count(*) FILTER (WHERE o_orderpriority = '5-LOW' OR o_orderpriority IS NULL) AS q FROM orders GROUP BY 1)
     SELECT o_orderstatus, 'price' AS rule, rows, p AS violations, round(1 - p / rows, 6) AS pass_rate FROM s
     UNION ALL SELECT o_orderstatus, 'priority', rows, q, round(1 - q / rows, 6) FROM s
     """,

@@ -127,8 +127,9 @@ def flow_on_error_quarantine(spark, sf):
 @query(
     "flow_on_record_error",
     """
-    SELECT 'kept' AS side, count(*) AS count_rows FROM orders WHERE o_totalprice >= 50000 AND o_orderstatus <> 'P'
-    UNION ALL SELECT 'held', count(*) FROM orders WHERE NOT (o_totalprice >= 50000 AND o_orderstatus <> 'P')
+    WITH o AS (SELECT coalesce(o_totalprice >= 50000, true) AND coalesce(o_orderstatus <> 'P', false) AS good FROM orders)
+    SELECT 'kept' AS side, count(*) AS count_rows FROM o WHERE good
+    UNION ALL SELECT 'held', count(*) FROM o WHERE NOT good
     """,
 )
 def flow_on_record_error(spark, sf):
@@ -155,7 +156,7 @@ def flow_on_record_error(spark, sf):
     UNION ALL SELECT 'pipeline_transform_deduplicate', 1.0
     UNION ALL SELECT 'pipeline_transform_mask', 1.0
     UNION ALL SELECT 'pipeline_targets_written', 2.0
-    UNION ALL SELECT 'rows_written', 2 * count(DISTINCT user_id)::DOUBLE FROM events
+    UNION ALL SELECT 'rows_written', 2 * (count(DISTINCT user_id) + max(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END))::DOUBLE FROM events
     """,
 )
 def run_metrics(spark, sf):

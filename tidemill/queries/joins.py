@@ -39,7 +39,7 @@ def _documents(spark, sf):
 
 
 def _labels(spark, sf):
-    return table(spark, sf, "labels").withColumn("mark", F.concat_ws("/", "quality", "toxic")).select("doc_id", "mark")
+    return table(spark, sf, "labels").withColumn("mark", F.concat(F.col("quality").cast("string"), F.lit("/"), F.col("toxic").cast("string"))).select("doc_id", "mark")
 
 
 _LABELS = "(SELECT doc_id, quality || '/' || toxic AS mark FROM labels)"
@@ -83,7 +83,7 @@ def join_semi(spark, sf):
     return join(customers, orders, "c.c_custkey = o.o_custkey", "semi", left_id="c", right_id="o")
 
 
-@query("join_anti", "SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 400000)")
+@query("join_anti", "SELECT c_custkey, c_mktsegment FROM customer ANTI JOIN (SELECT o_custkey AS c_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 400000) USING (c_custkey)")
 def join_anti(spark, sf):
     customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     orders = table(spark, sf, "orders").filter("o_orderstatus = 'F' AND o_totalprice > 400000")

@@ -45,12 +45,12 @@ def _dedup_lines_sql(way):
         QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {order}) = 1"""
 
 
-@query("dedup_first", _dedup_lines_sql("ASC"))
+@query("dedup_first", _dedup_lines_sql("ASC NULLS FIRST"))
 def dedup_first(spark, sf):
     return _dedup_lines(spark, sf, "first")
 
 
-@query("dedup_last", _dedup_lines_sql("DESC"))
+@query("dedup_last", _dedup_lines_sql("DESC NULLS LAST"))
 def dedup_last(spark, sf):
     return _dedup_lines(spark, sf, "last")
 
@@ -91,8 +91,8 @@ def dedup_full_row(spark, sf):
     "dedup_survivorship",
     """
     SELECT o_custkey,
-           arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS o_totalprice,
-           arg_max(o_orderpriority, (o_orderdate, o_orderkey))
+           arg_max(o_totalprice, (coalesce(o_orderdate, TIMESTAMP '0001-01-01'), o_orderkey)) AS o_totalprice,
+           arg_max(o_orderpriority, (coalesce(o_orderdate, TIMESTAMP '0001-01-01'), o_orderkey))
                FILTER (WHERE o_orderpriority <> '5-LOW') AS o_orderpriority
     FROM orders GROUP BY o_custkey
     """,
@@ -109,7 +109,7 @@ def dedup_survivorship(spark, sf):
 
 @query(
     "sort_asc_topk",
-    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice ASC, o_orderkey ASC LIMIT 100",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice ASC NULLS FIRST, o_orderkey ASC NULLS FIRST LIMIT 100",
 )
 def sort_asc_topk(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -120,7 +120,8 @@ def sort_asc_topk(spark, sf):
     "sort_desc_topk",
     """
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
-    ORDER BY l_extendedprice DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC LIMIT 100
+    ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey DESC NULLS LAST, l_linenumber DESC NULLS LAST,
+             l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST LIMIT 100
     """,
 )
 def sort_desc_topk(spark, sf):
