@@ -108,6 +108,19 @@ def test_merge_source_wins(spark):
     )
 
 
+def test_merge_into_a_unique_target_does_not_shuffle_it(spark, tmp_path):
+    spark.range(1000).select(F.col("id").alias("k"), F.lit("old").alias("v")).write.parquet(f"{tmp_path}/t")
+    target = spark.read.parquet(f"{tmp_path}/t")
+    changes = spark.createDataFrame([(3, "new"), (3, "newer"), (5000, "new")], "k bigint, v string")
+    changes.write.parquet(f"{tmp_path}/s")
+    source = spark.read.parquet(f"{tmp_path}/s")
+    merged = merge(source, target, "k", "v", target_unique=True)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    kept = plan[plan.index("LeftAnti"):]
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in kept.split("BroadcastExchange")[0]
+    assert merged.count() == 1001 and rows(merged.filter("v <> 'old'")) == [(3, "newer"), (5000, "new")]
+
+
 def test_merge_without_keys_keeps_duplicates_and_fills_columns(spark):
     source = frame(spark, DATA[:1])
     target = spark.createDataFrame([("a", 1.5)], "k string, w double")
@@ -133,5 +146,7 @@ def test_merge_matches_brute_force(spark, source, target):
         for k, t, v in side:
             best[k] = max(best.get(k, (-1, "")), (t, v))
         expected.update(best)
-    got = rows(merge(frame(spark, source), frame(spark, target), "k", "t,v"))
-    assert got == sorted(((k, t, v) for k, (t, v) in expected.items()), key=repr)
+    expected = sorted(((k, t, v) for k, (t, v) in expected.items()), key=repr)
+    assert rows(merge(frame(spark, source), frame(spark, target), "k", "t,v")) == expected
+    unique = deduplicate(frame(spark, target), "k", "latest", "t,v")
+    assert rows(merge(frame(spark, source), unique, "k", "t,v", target_unique=True)) == expected

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import col, fresh, names, require_columns
+from .dedup import deduplicate
+from .join import join
 
 
 def merge(
@@ -15,6 +17,7 @@ def merge(
     target: DataFrame | None,
     keys: str | Iterable[str] | None = None,
     order_by: str | Iterable[str] | None = None,
+    target_unique: bool = False,
 ) -> DataFrame:
     """Bring ``source`` into ``target``.
 
@@ -25,6 +28,11 @@ def merge(
 
     The keyed form is one exchange over the union. The ``row_number = 1`` filter becomes
     a group limit below the exchange, so a hot key ships one row per map task.
+
+    ``target_unique`` says that the target already holds one row per key, as every merge
+    leaves it. Then only target rows whose key the source has must go: an anti join against
+    the source's keys, which a small source turns into a broadcast, so that a huge target is
+    not shuffled at all.
     """
     if target is None:
         return source
@@ -34,6 +42,10 @@ def merge(
         return union(source, target)
     require_columns(source, keys, "merge source")
     require_columns(target, keys, "merge target")
+    if target_unique:
+        newest = deduplicate(source, keys, "latest" if order else "any", order)
+        rest = join(target, source, keys, "anti", left_id="target", right_id="source", null_safe=True)
+        return union(newest, rest)
     side = fresh("merge_side", [*source.columns, *target.columns])
     rank = fresh("merge_rank", [*source.columns, *target.columns])
     both = union(source.withColumn(side, F.lit(0)), target.withColumn(side, F.lit(1)))

@@ -142,6 +142,7 @@ OPTION_NAMES = {
     "partitionBy": "partition_by",
     "orderBy": "order_by",
     "singleFile": "single_file",
+    "targetUnique": "target_unique",
     "jdbcUrl": "url",
     "sql": "query",
     "fetchSize": "fetch_size",

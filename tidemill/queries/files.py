@@ -209,7 +209,7 @@ def sink_merge_partitions(spark, sf):
     path, orders = shared_path(spark, "merge-partitions"), _orders(spark, sf)
     merge_into_table(orders, path, "o_orderkey,o_orderstatus", partition_by="o_orderstatus")
     changed = orders.filter("o_orderstatus = 'F' AND o_totalprice > 250000").withColumn("o_totalprice", F.lit(0.0))
-    merge_into_table(changed, path, "o_orderkey,o_orderstatus", partition_by="o_orderstatus")
+    merge_into_table(changed, path, "o_orderkey,o_orderstatus", partition_by="o_orderstatus", target_unique=True)
     return read_files(spark, path, "parquet")
 
 

@@ -43,8 +43,6 @@ def _labels(spark, sf):
 
 
 _LABELS = "(SELECT doc_id, quality || '/' || toxic AS mark FROM labels)"
-_FIRST_LANG = "(SELECT doc_id, lang FROM documents WHERE lang = (SELECT min(lang) FROM documents))"
-
 
 @query("join_left", f"SELECT doc_id, lang, n_chars, mark FROM documents LEFT JOIN {_LABELS} USING (doc_id)")
 def join_left(spark, sf):
@@ -56,23 +54,28 @@ def join_right(spark, sf):
     return join(_labels(spark, sf), _documents(spark, sf), "doc_id", "right")
 
 
-def _one_language(spark, sf):
-    documents = table(spark, sf, "documents").select("doc_id", "lang")
-    smallest = documents.agg(F.min("lang")).first()[0]
-    return documents.filter(F.col("lang") == smallest)
+# A label feed under other numbers: some documents lack a label and some labels a document.
+_MOVED = "(SELECT doc_id * 2 + 1 AS doc_id, quality || '/' || toxic AS mark FROM labels)"
+
+
+def _moved_labels(spark, sf):
+    return _labels(spark, sf).withColumn("doc_id", F.col("doc_id") * 2 + 1)
 
 
-@query("join_full", f"SELECT doc_id, lang, mark FROM {_FIRST_LANG} FULL JOIN {_LABELS} USING (doc_id)")
+@query("join_full", f"SELECT doc_id, lang, n_chars, mark FROM documents FULL JOIN {_MOVED} USING (doc_id)")
 def join_full(spark, sf):
-    return join(_one_language(spark, sf), _labels(spark, sf), "doc_id", "full")
+    return join(_documents(spark, sf), _moved_labels(spark, sf), "doc_id", "full")
 
 
 @query(
     "join_full_expr",
-    f"SELECT d.doc_id AS doc_id, lang, b.doc_id AS labels_doc_id, mark FROM {_FIRST_LANG} d FULL JOIN {_LABELS} b ON d.doc_id = b.doc_id",
+    f"""
+    SELECT d.doc_id AS doc_id, lang, n_chars, b.doc_id AS labels_doc_id, mark
+    FROM documents d FULL JOIN {_MOVED} b ON d.doc_id = b.doc_id
+    """,
 )
 def join_full_expr(spark, sf):
-    left, right = _one_language(spark, sf), _labels(spark, sf)
+    left, right = _documents(spark, sf), _moved_labels(spark, sf)
     return join(left, right, "docs.doc_id = labels.doc_id", "full", left_id="docs", right_id="labels")
 
 

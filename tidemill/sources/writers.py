@@ -159,6 +159,7 @@ def merge_into_table(
     format: str = "parquet",
     partition_by: str | Iterable[str] | None = None,
     order_by: str | Iterable[str] | None = None,
+    target_unique: bool = False,
     counted: Observation | None = None,
 ) -> None:
     """Upsert ``source`` into a path-based table, source rows winning.
@@ -169,7 +170,8 @@ def merge_into_table(
 
     When every partition column is also a key, a row cannot change partition: only the
     partitions that ``source`` touches are read and rewritten, the others stay as they are.
-    Otherwise the whole table is.
+    Otherwise the whole table is. ``target_unique`` (a table that only merges have written) spares
+    the shuffle of the target, see :func:`~tidemill.operators.merge.merge`.
     """
     spark, keys, parts = source.sparkSession, names(keys), names(partition_by)
     if not keys:
@@ -186,7 +188,7 @@ def merge_into_table(
     if narrow:
         target = _touched(target, source, parts)
     staged = shared_path(spark, "merge-stage")
-    _counting(merge(source, target, keys, order_by), counted).write.format(format).save(staged)
+    _counting(merge(source, target, keys, order_by, target_unique), counted).write.format(format).save(staged)
     write_table(spark.read.format(format).load(staged), path, "overwrite", format, parts, dynamic=narrow)
     _discard(spark, staged)
 

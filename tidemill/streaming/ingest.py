@@ -81,13 +81,14 @@ def drain_merge(
     partition_by: str | Iterable[str] | None = None,
     order_by: str | Iterable[str] | None = None,
 ) -> None:
-    """Upsert every batch into a path-based table, the batch winning over what is there.
+    """Upsert every batch into a path-based table, the batch winning over what is there. Nothing
+    else may write to the table.
 
     A batch that is repeated after a failure merges to the same table.
     """
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        merge_into_table(batch, path, keys, partition_by=partition_by, order_by=order_by)
+        merge_into_table(batch, path, keys, partition_by=partition_by, order_by=order_by, target_unique=True)
 
     _drain_batches(df, put, checkpoint)
 
