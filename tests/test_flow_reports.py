@@ -106,6 +106,11 @@ def test_failure_is_logged_and_raised(spark, home):
     assert log.status == "failed" and "nope" in log.error
 
 
+def test_an_unwritable_log_does_not_fail_the_run(spark, home):
+    (home / "logs").write_text("a file where the folder should be")
+    assert run(spark, home, sample_flow(home)).status == "completed"
+
+
 def test_skip_and_quarantine_policies(spark, home):
     flow = sample_flow(home, on_step_error="skip", targets=[])
     flow["steps"][0]["keys"] = "nope"

@@ -251,7 +251,7 @@ def run_flow(
     each write, at no extra pass. ``persist_shared`` keeps a dataset that feeds several targets
     (memory and disk; lineage stays, so a lost executor costs a recomputation, not the run).
     ``write=False`` stops after planning. With ``logs_root`` one run log row is appended, on
-    failure too.
+    failure too. The counts may exceed the rows when a lost executor makes tasks run again.
     """
     errors = check_flow(flow, steps)
     if errors:
@@ -272,7 +272,10 @@ def run_flow(
         run.duration_ms = int((time.monotonic() - started) * 1000)
         run.executed_at = dt.datetime.now(dt.timezone.utc).isoformat()
         if logs_root:
-            append_run_log(spark, flow, run, logs_root)
+            try:
+                append_run_log(spark, flow, run, logs_root)
+            except Exception:  # a run's outcome must not hang on its log
+                log.exception("the log of run %s could not be written", run.run_id)
     return run
 
 
