@@ -10,7 +10,6 @@ from pyspark.sql import SparkSession
 
 #: Settings the library is tuned for; a cluster adds its own sizes on top.
 SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -64,6 +63,7 @@ def local_session(app: str = "tidemill", cores: str = "*", partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("TIDEMILL_DRIVER_MEMORY", "8g"))
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
+        .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)

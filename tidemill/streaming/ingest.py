@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampNTZType
 
 from ..functions import col, names
 from ..operators.aggregate import SIMPLE, parse_metric
@@ -24,9 +24,21 @@ def stream_files(
     return reader.load(path)
 
 
+def _zoneless(df: DataFrame, time: str) -> bool:
+    return isinstance(df.schema[time].dataType, TimestampNTZType)
+
+
+def _epochs() -> tuple[Column, Column]:
+    """The start of 1970, as an instant in UTC and as a zone-less time."""
+    return F.timestamp_seconds(F.lit(0)), F.lit("1970-01-01").cast("timestamp_ntz")
+
+
 def with_event_time(df: DataFrame, time: str, delay: str) -> DataFrame:
-    """Watermark on ``time``; a zone-less timestamp is read in the session's zone first."""
-    return df.withColumn(time, col(time).cast("timestamp")).withWatermark(time, delay)
+    """Watermark on ``time``. A watermark needs an instant: a zone-less time is read as UTC,
+    to which windows are aligned, whatever the session's zone is."""
+    instant, zoneless = _epochs()
+    value = instant + (col(time) - zoneless) if _zoneless(df, time) else col(time).cast("timestamp")
+    return df.withColumn(time, value).withWatermark(time, delay)
 
 
 def stream_deduplicate(df: DataFrame, keys: str | Iterable[str], time: str, delay: str) -> DataFrame:
@@ -37,17 +49,24 @@ def stream_deduplicate(df: DataFrame, keys: str | Iterable[str], time: str, dela
 def stream_aggregate(
     df: DataFrame, time: str, delay: str, window: str, group_by: str | Iterable[str] | None, metrics: str | Iterable[str]
 ) -> DataFrame:
-    """Tumbling-window aggregates: ``window_start``, the groups and ``func_column`` metrics."""
+    """Tumbling-window aggregates: ``window_start``, the groups and ``func_column`` metrics.
+
+    ``window_start`` has the kind of ``time`` (zone-less stays zone-less). Rows without a time
+    belong to no window and are left out.
+    """
     parsed = [parse_metric(m) for m in names(metrics)]
     if any(f not in SIMPLE for f, _, _ in parsed):
         raise ValueError("stream_aggregate: only plain aggregates can be kept as state")
     keys = [col(g) for g in names(group_by)]
     exprs = [F.count(F.lit(1)).alias(a) if c == "*" else SIMPLE[f](col(c)).alias(a) for f, c, a in parsed]
+    instant, zoneless = _epochs()
+    start = F.col("window.start")
+    start = zoneless + (start - instant) if _zoneless(df, time) else start
     return (
         with_event_time(df, time, delay)
         .groupBy(F.window(col(time), window), *keys)
         .agg(*exprs)
-        .select(F.col("window.start").alias("window_start"), *keys, *[a for _, _, a in parsed])
+        .select(start.alias("window_start"), *keys, *[a for _, _, a in parsed])
     )
 
 
