@@ -7,7 +7,8 @@ from pathlib import Path
 import pytest
 from compare import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tidemill.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="driver tables are absent")
@@ -18,9 +19,9 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
-    assert compare(spark, con, FOLDER, name, queries()[name], oracle_sql().get(name)) == ""
+    assert compare(spark, con, FOLDER, name, QUERIES[name], ORACLES.get(name)) == ""
 
 
 def test_entry(spark):
@@ -29,7 +30,7 @@ def test_entry(spark):
 
 def test_no_python_in_the_data_path(spark):
     """No registered batch query plans a Python UDF, a cartesian product or a nested loop."""
-    for name, run in queries().items():
+    for name, run in QUERIES.items():
         if name.startswith("stream_"):
             continue
         plan = run(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
