@@ -8,6 +8,7 @@ names is found and a text that only shares a pattern of placeholders is not.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -44,22 +45,31 @@ GIVEN_NAMES = """Alice Bob Carol Dave Eve Tom Jerry John Jane Jack Jill Mary Pet
     Janet Weng Betty Julie Ken Alexis Tina Toula Carla Emily George Henry Charlie Oliver Sophia Olivia Liam Noah""".split()
 
 
+def _any(words: Sequence[str]) -> str:
+    """A pattern for any of ``words``, branched on the first letter so that most places fail at once."""
+    by_first: dict[str, list[str]] = {}
+    for word in sorted(set(words)):
+        by_first.setdefault(word[0], []).append(re.escape(word[1:]))
+    return "(?:" + "|".join(f"{re.escape(c)}(?:{'|'.join(rest)})" for c, rest in by_first.items()) + ")"
+
+
 def marked(text: Column, names: Sequence[str] = GIVEN_NAMES) -> Column:
     """``text`` with every number, unit and name led by its placeholder mark, in lower case.
 
     A number is a run of digits with inner ``. , : /``, or a number word; a unit is a unit word right
-    after a number; a name is a capitalised word inside a sentence, or one of ``names`` anywhere.
+    after a number; a name is a capitalised word inside a sentence, or one of ``names`` anywhere. Patterns
+    test the character at hand before they look around it: they run over every character of a corpus.
     """
-    out = F.regexp_replace(text, f"[{NUMBER}-{PART}]", " ")
-    out = F.regexp_replace(out, r"(?<=\p{N})[.,:/](?=\p{N})", PART)
-    inside = r"(?<=[\p{L}\p{N},;:'’\"”)]\x20)\p{Lu}[\p{Ll}\p{M}]+(?![\p{L}\p{N}])"
-    known = r"(?<![\p{L}\p{N}])(?:" + "|".join(names) + r")(?![\p{L}\p{N}])"
-    out = F.regexp_replace(out, f"{inside}|{known}" if names else inside, NAME + "$0")
-    out = F.lower(out)
-    numbers = rf"\p{{N}}[\p{{N}}{PART}]*|(?<![\p{{L}}\p{{N}}{NAME}])(?:{'|'.join(NUMBER_WORDS)})(?![\p{{L}}\p{{N}}])"
-    out = F.regexp_replace(out, numbers, f" {NUMBER}$0 ")
-    units = rf"({NUMBER}[\p{{L}}\p{{N}}{PART}]+ [ -]?)({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])"
-    return F.regexp_replace(out, units, f"$1{UNIT}$2")
+    apart = r"(?![\p{L}\p{N}])"
+    out = F.translate(text, NUMBER + UNIT + NAME + PART, "    ")
+    out = F.regexp_replace(out, r"[.,:/](?=\p{N})(?<=\p{N}.)", PART)
+    inside = r"(?<=[\p{L}\p{N},;:'’\"”)]\x20)\p{Lu}[\p{Ll}\p{M}]+"
+    known = rf"(?<![\p{{L}}\p{{N}}]){_any(names)}" if names else "(?!)"
+    out = F.lower(F.regexp_replace(out, rf"(?=\p{{Lu}})(?:{inside}|{known}){apart}", NAME + "$0"))
+    first = "".join(sorted({w[0] for w in NUMBER_WORDS}))
+    spelt = rf"(?=[{first}])(?<![\p{{L}}\p{{N}}{NAME}]){_any(NUMBER_WORDS)}{apart}"
+    out = F.regexp_replace(out, rf"\p{{N}}[\p{{N}}{PART}]*|{spelt}", f" {NUMBER}$0 ")
+    return F.regexp_replace(out, rf"({NUMBER}[\p{{L}}\p{{N}}{PART}]+ [ -]?)({_any(UNITS)}){apart}", f"$1{UNIT}$2")
 
 
 def tokens(marked_text: Column) -> Column:
@@ -76,23 +86,28 @@ def template(token: Column) -> Column:
 def _window_rows(df: DataFrame, *carry: str) -> DataFrame:
     """Windows of ``marked`` texts: ``carry..., at, w0..w4, key``.
 
-    The key hashes the template words, or the values too where too few words remain:
-    placeholders alone say nothing. A text shorter than a window is one window, with nulls
-    behind its end. Windows are cut by zipping the shifted words; no text is copied along.
+    Windows are cut by zipping the shifted words; no text is copied along.
     """
     df = df.select(*carry, F.col("marked").rlike(f"[{NUMBER}-{NAME}]").alias("slotted"), tokens(F.col("marked")).alias("words"))
-    df = df.where(F.size("words") > 0)
+    df = df.select(*carry, F.posexplode(_zipped()).alias("at", "z"), "slotted")
+    return df.select(*carry, "at", *[F.col(f"z.w{k}") for k in range(WINDOW)], _key(F.col("z"), F.col("slotted")).alias("key"))
+
+
+def _zipped() -> Column:
+    """The windows of ``words``; a text shorter than a window has one, with nulls behind its end."""
     count = F.greatest(F.size("words") - (WINDOW - 1), F.lit(1))
-    zipped = F.arrays_zip(*[F.slice("words", k + 1, count).alias(f"w{k}") for k in range(WINDOW)])
-    df = df.select(*carry, "slotted", F.posexplode(zipped).alias("at", "z"))
-    words = [F.col(f"z.w{k}") for k in range(WINDOW)]
+    return F.arrays_zip(*[F.slice("words", k + 1, count).alias(f"w{k}") for k in range(WINDOW)])
+
+
+def _key(z: Column, slotted: Column) -> Column:
+    """Hash of a window's template, or of its values too where too few words remain."""
+    words = [z[f"w{k}"] for k in range(WINDOW)]
     plain = [template(w) for w in words]
-    slots = [p.isin(NUMBER, UNIT, NAME).cast("int") for p in plain]
-    real = [F.when(w.isNull(), 0).otherwise(1 - F.coalesce(s, F.lit(0))) for w, s in zip(words, slots)]
-    any_slot = sum((F.coalesce(s, F.lit(0)) for s in slots[1:]), F.coalesce(slots[0], F.lit(0))) > 0
-    few = any_slot & (sum(real[1:], real[0]) < MIN_WORDS)
-    key = F.when(~F.col("slotted"), F.xxhash64(*words)).when(few, F.xxhash64(F.lit("values"), *words)).otherwise(F.xxhash64(*plain))
-    return df.select(*carry, "at", *[w.alias(f"w{k}") for k, w in enumerate(words)], key.alias("key"))
+    slots = [F.coalesce(F.substring(w, 1, 1).isin(NUMBER, UNIT, NAME), F.lit(False)).cast("int") for w in words]
+    real = [F.when(w.isNull(), 0).otherwise(1 - s) for w, s in zip(words, slots)]
+    few = (sum(slots[1:], slots[0]) > 0) & (sum(real[1:], real[0]) < MIN_WORDS)
+    by_slots = F.when(few, F.xxhash64(F.lit("values"), *words)).otherwise(F.xxhash64(*plain))
+    return F.when(slotted, by_slots).otherwise(F.xxhash64(*words))
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", names: Sequence[str] = GIVEN_NAMES) -> DataFrame:
