@@ -134,6 +134,15 @@ def _same(a: DataFrame, b: DataFrame) -> Column:
     )
 
 
+def _judged(own: DataFrame, min_docs: int, max_share: float, max_lost: float) -> DataFrame:
+    """Rules and verdict per row of ``own``, with the hashes of boilerplate lines in ``removed``."""
+    lost = lost_words(own, boilerplate_lines(own, min_docs, max_share))
+    rules = text_rules(own, F.col("text")).drop("text")
+    found = rules.join(lost, _same(rules, lost), "left")
+    found = found.select(rules["*"], F.coalesce(lost["lost"], F.lit(0)).cast("long").alias("n_lost_words"), lost["removed"])
+    return found.withColumn("kept", ~F.col("base_failed") & (F.col("n_lost_words") <= max_lost * F.col("n_words")))
+
+
 def quality_rules(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -152,36 +161,42 @@ def quality_rules(
     """
     session(docs.sparkSession)
     own = _keyed(docs, id_col, text_col, host_col)
-    lost = lost_words(own, boilerplate_lines(own, min_docs, max_share))
-    rules = text_rules(own, F.col("text")).drop("text")
-    found = rules.join(lost, _same(rules, lost), "left").select(rules["*"], F.coalesce(lost["lost"], F.lit(0)).cast("long").alias("n_lost_words"))
-    return found.withColumn("kept", ~F.col("base_failed") & (F.col("n_lost_words") <= max_lost * F.col("n_words"))).drop("text_key")
+    return _judged(own, min_docs, max_share, max_lost).drop("text_key", "removed")
 
 
-def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", length_col: str | None = "n_chars") -> DataFrame:
+def keep_good(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+    length_col: str | None = "n_chars",
+    min_docs: int = LINE_MIN_DOCS,
+    max_share: float = LINE_MAX_SHARE,
+    max_lost: float = MAX_LOST_SHARE,
+) -> DataFrame:
     """``docs`` without rejected documents and without boilerplate lines in the others.
 
-    Columns stay as they are; ``length_col`` follows the shortened text where ``docs`` has it.
+    Columns stay as they are; ``length_col`` follows the shortened text where ``docs`` has it. Verdicts are a
+    small table, written first, so that the rules are computed once; documents meet theirs in one
+    merge join on id, host and text hash, the only step that moves texts.
     """
     session(docs.sparkSession)
-    own = _keyed(docs, id_col, text_col, host_col)
-    lost = kept(lost_words(own, boilerplate_lines(own)), "lines-lost")
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    verdicts = kept(_judged(_keyed(docs, id_col, text_col, host_col), min_docs, max_share, max_lost), "verdicts")
+    good = verdicts.where("kept").select("doc_id", "host", "text_key", "removed").dropDuplicates(["doc_id", "host", "text_key"])
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    ruled = text_rules(docs.select(row, text.alias("text"), F.xxhash64(text).alias("text_key")), F.col("text"))
-    good = ruled.where(~F.col("base_failed")).select("row", "text", "text_key", "n_words")
-    good = good.select("*", F.col(f"row.`{id_col}`").alias("doc_id"), F.col(f"row.`{host_col}`").alias("host"))
-    joined = good.join(lost, _same(good, lost), "left").where(F.coalesce(lost["lost"], F.lit(0)) <= MAX_LOST_SHARE * F.col("n_words"))
-    stay = F.filter(F.split(good["text"], "\n"), lambda x: ~F.coalesce(F.array_contains(lost["removed"], F.xxhash64(_normal(x))), F.lit(False)))
-    short = F.when(lost["removed"].isNull(), F.col(f"row.`{text_col}`")).otherwise(F.array_join(stay, "\n"))
-    out = joined.select("row", short.alias("short"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(row, F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.xxhash64(text).alias("text_key"))
+    joined = rows.join(good.hint("merge"), _same(rows, good)).select("row", good["removed"])
+    whole = F.col(f"row.`{text_col}`")
+    stay = F.filter(F.split(whole, "\n"), lambda x: ~F.array_contains("removed", F.xxhash64(_normal(x))))
+    out = joined.select("row", F.when(F.col("removed").isNull(), whole).otherwise(F.array_join(stay, "\n")).alias("short"))
     columns = []
     for c in docs.columns:
         value = F.col(f"row.`{c}`")
         if c == text_col:
             value = F.col("short")
         elif c == length_col:
-            value = F.when(F.col("short") == F.col(f"row.`{text_col}`"), value).otherwise(F.length("short").cast(docs.schema[c].dataType))
+            value = F.when(F.col("short") == whole, value).otherwise(F.length("short").cast(docs.schema[c].dataType))
         columns.append(value.alias(c))
     return out.select(*columns)
 
