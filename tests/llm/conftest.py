@@ -1,0 +1,18 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from tidemill.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = local_session("llm-tests", cores="4", partitions=4)
+    session.sparkContext.setLogLevel("ERROR")
+    return session

@@ -305,9 +305,10 @@ def _through_midpoints(probes, data, large, groups, masks, distance) -> DataFram
                     )
 
     schema = "part int, key long, mid long, fp long"
-    near = data.join(large, ["part", "key"], "left_semi").select("part", "key", F.col("v").alias("fp"), F.lit(1).alias("reach"))
+    reach = 1 if distance > 1 else 0  # two that reach a midpoint so are at most two apart
+    near = data.join(large, ["part", "key"], "left_semi").select("part", "key", F.col("v").alias("fp"), F.lit(reach).alias("reach"))
     far = probes.join(large, ["part", "key"], "left_semi").select(
-        "part", "key", F.col("u").alias("fp"), (F.lit(distance - 1) - F.col("off")).alias("reach")
+        "part", "key", F.col("u").alias("fp"), (F.lit(distance - reach) - F.col("off")).alias("reach")
     )
     near, far = near.mapInPandas(midpoints, schema), far.mapInPandas(midpoints, schema)
     centres = near.groupBy("part", "key", "mid").agg(F.min("fp").alias("centre"))

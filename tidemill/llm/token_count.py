@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import session
-from .vocab import vocabulary_path, words_of
+from .vocab import spelled, vocabulary_path, words_of
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
@@ -107,13 +107,14 @@ class Counter:
             total = len(stretches) - 1
         known = self.words
         for stretch in stretches:
-            words = words_of(stretch)
+            first, words = words_of(stretch)
+            total += sum(map(self._part, self.matches(first)))
             new = set(words).difference(known)
             if len(known) + len(new) > REMEMBERED:
                 known.clear()
                 new = set(words)
             for word in new:
-                known[word] = sum(map(self._part, self.matches(word)))
+                known[word] = sum(map(self._part, self.matches(spelled(word))))
             total += sum(map(known.__getitem__, words))
         return total
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -11,14 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import session
-from .vocab import vocabulary_path, words_of
+from .vocab import GLUED, vocabulary_path, words_of
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 #: Ids after which a block is closed. A document is never divided, so a block holds one at least.
 BLOCK_IDS = 65_536
 #: Words whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 
 # The word format: the top four bits select how many values of how many bits the other sixty hold.
 #: Values per word by selector; selector 0 and 1 are runs of zeros, 15 points to an escaped value.
@@ -63,9 +64,9 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             step = min(length, count - length)
             longest = np.maximum(longest[: len(longest) - step], longest[step:])
             length += step
-        best[: len(longest)][longest <= width] = selector
-        if not width and not (longest <= width).any():
+        if longest.min() > width:  # no longer run of fewer bits can fit either
             break
+        best[: len(longest)][longest <= width] = selector
     counts = COUNTS[best].tolist()
     places, at = [], 0
     while at < n:
@@ -103,6 +104,9 @@ def unpack(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Words the library is given in one text.
+AT_ONCE = 200
+
 class Encoder:
     """Ids of whole texts by the tokenizers library; remembers the ids of words it has met."""
 
@@ -115,26 +119,58 @@ class Encoder:
         self.library = Tokenizer.from_file(vocabulary_path(vocabulary))
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
+        self.breaks = self._whole(["\n"])[0]
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of words as ``words_of`` cuts them. Those without line breaks go to the library many at once.
+
+        They are put on lines of their own: a line break between them is a token by itself.
+        """
+        plain, other = [], []
+        for word in words:
+            text = word[1:] if word[0] == GLUED else " " + word
+            (plain if text.isprintable() and text[-1] != " " else other).append((word, text))
+        known = self.words
+        for start in range(0, len(plain), AT_ONCE):
+            some = plain[start : start + AT_ONCE]
+            (ids,) = self._whole(["\n".join(t for _, t in some)])
+            values = np.frombuffer(ids, "<u4")
+            ends = (4 * np.flatnonzero(values == np.frombuffer(self.breaks, "<u4")[0])).tolist()
+            if len(ends) != len(some) - 1:
+                other += some
+                continue
+            cuts = map(slice, [0, *(e + 4 for e in ends)], [*ends, len(ids)])
+            known.update(zip((w for w, _ in some), map(ids.__getitem__, cuts)))
+        known.update(zip((w for w, _ in other), self._whole([t for _, t in other])))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids per text. Words that are new in this batch go to the library, once each.
 
-        A text with a special string goes there whole, as its cut words might not stand alone.
+        A text with a special string goes there whole, as its cut words might not stand alone. Once
+        REMEMBERED words are known, others are forgotten after the batch; a batch of mostly
+        new words (another language) starts the memory afresh.
         """
-        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
-        apart = set(whole)
-        cut = [words_of(t) if i not in apart else [] for i, t in enumerate(texts)]
-        if len(self.words) > REMEMBERED:
+        apart = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        cut = [words_of(t) for t in texts]
+        wanted = set().union(*(rest for _, rest in cut))
+        new = wanted.difference(self.words)
+        if len(self.words) > REMEMBERED and 2 * len(new) > len(wanted):
             self.words.clear()
-        new = list(set().union(*cut).difference(self.words)) if cut else []
-        self.words.update(zip(new, self._ids(new)))
-        out = [b"".join(map(self.words.__getitem__, words)) for words in cut]
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
+            new = wanted
+        full = len(self.words) > REMEMBERED
+        self._learn(list(new))
+        heads = self._whole([first for first, _ in cut])
+        known = self.words.__getitem__
+        out = [head + b"".join(map(known, rest)) for head, (_, rest) in zip(heads, cut)]
+        for i, ids in zip(apart, self._whole([texts[i] for i in apart])):
             out[i] = ids
+        if full:
+            for word in new:
+                del self.words[word]
         return [np.frombuffer(ids, "<u4") for ids in out]
 
 

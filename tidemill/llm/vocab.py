@@ -49,12 +49,33 @@ def safe_pieces(text: str, limit: int = LONG_TEXT) -> Iterator[str]:
 
 
 _SPACE_BEFORE_WORD = re.compile(r" (?=\S)")
+#: Leads a word that no space stands before.
+GLUED = "\0"
+#: What a plain split would cut wrongly: runs of white space, and a point or comma that starts a word or a run.
+_RUNS = ("  ", " \n", "\n ", "\n\n", " ,", " .", "\n,", "\n.", ",,", "..", ",.", ".,")
 
 
-def words_of(text: str) -> list[str]:
-    """``text`` cut before each space that leads a word, in order; joined they are the text.
+def _even(text: str) -> bool:
+    """Whether ``text`` is letters and digits with single spaces, line breaks, points and commas between them."""
+    bare = text.replace(" ", "").replace(",", "").replace(".", "").replace("\n", "")
+    return bare.isalnum() and not any(run in text for run in _RUNS) and text[0] not in ".," and text[-1] not in " \n"
 
-    Tokens of byte-level vocabularies never cross these cuts, so equal words have equal tokens.
+
+def words_of(text: str) -> tuple[str, list[str]]:
+    """``(first, rest)``: ``text`` cut where no token of a byte-level vocabulary crosses.
+
+    A word of ``rest`` that starts with GLUED follows directly; a space stands before every other, and is left
+    out. Equal words so have equal tokens wherever they stand. Even texts are cut before spaces, points and commas
+    and around line breaks; others only at spaces that lead a word.
     """
-    first, *rest = _SPACE_BEFORE_WORD.split(text)
-    return [first, *(" " + word for word in rest)] if first else [" " + word for word in rest]
+    if not _even(text):
+        first, *rest = _SPACE_BEFORE_WORD.split(text)
+        return first, rest if GLUED not in text else [GLUED + " " + w if w.startswith(GLUED) else w for w in rest]
+    text = text.replace(",", " \0,").replace(".", " \0.").replace("\n", " \0\n \0")
+    first, *rest = text.split(" ")
+    return first, rest
+
+
+def spelled(word: str) -> str:
+    """A word of ``rest`` as it stands in the text."""
+    return word[1:] if word.startswith(GLUED) else " " + word
