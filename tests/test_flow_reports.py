@@ -307,3 +307,10 @@ def test_inventory(spark, tmp_path):
     assert rows(inventory_totals(summary)) == sorted(
         [("cards", None, 3, 1, 2), (None, "service", 1, 0, 0), (None, "staging", 2, 1, 2), (None, None, 3, 1, 2)], key=repr
     )
+
+
+def test_rows_processed_ignores_what_is_no_count(spark):
+    metrics = [{"rows_processed": float("nan"), "rows_in": 3.0}, {"rows_processed": 1e300}, {"rows_processed": 7.0}]
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(metrics)], "i int, metrics map<string,double>")
+    got = df.select("i", rows_processed(F.col("metrics")).alias("n")).orderBy("i").collect()
+    assert [r.n for r in got] == [3, None, 7]

@@ -55,7 +55,7 @@ def _joined(items: Column) -> Column:
     return F.when(F.size(items) > 0, F.array_join(items, ","))
 
 
-#: Aggregates whose result holds the whole group; they need ``max_items``.
+#: Aggregates whose result holds the whole group in one cell.
 COLLECTING: dict[str, Callable[[Column], Column]] = {
     "collect_list": F.collect_list,
     "array_agg": F.array_agg,
@@ -111,13 +111,13 @@ def aggregate(
 
     ``median`` and ``mode`` are exact and never hold a group in one buffer (see
     :mod:`.ranks`). Collecting functions put a whole group into one
-    cell, so they run only with ``max_items``; the groups are counted first and a larger
-    one raises instead of being cut.
+    cell. ``max_items`` is an optional guard: the groups are counted first and a larger one raises
+    instead of being cut.
     """
     groups = names(group_by)
     parsed = _parse(df, groups, metrics)
     keys = [col(g) for g in groups]
-    if any(f in COLLECTING for f, _, _ in parsed):
+    if max_items is not None and any(f in COLLECTING for f, _, _ in parsed):
         _check_items(df, groups, [(f, c) for f, c, _ in parsed if f in COLLECTING], max_items)
 
     simple = [m for m in parsed if m[0] not in RANKED]
@@ -136,9 +136,7 @@ def aggregate(
     return stacked.groupBy(*keys).agg(*[F.first(col(a), ignorenulls=True).alias(a) for _, _, a in parsed])
 
 
-def _check_items(df: DataFrame, groups: list[str], wanted: list[tuple[str, str]], limit: int | None) -> None:
-    if limit is None:
-        raise ValueError(f"aggregate: {wanted[0][0]} collects whole groups; pass max_items= as a size bound")
+def _check_items(df: DataFrame, groups: list[str], wanted: list[tuple[str, str]], limit: int) -> None:
     # Rows bound distinct values from above, so the dearer distinct count is rarely needed.
     for counting in (lambda f: F.count, lambda f: F.count_distinct if f in _COLLECT_DISTINCT else F.count):
         sizes = [counting(f)(col(c)).alias(f"n{i}") for i, (f, c) in enumerate(wanted)]

@@ -54,19 +54,21 @@ def rows_processed(metrics: Column) -> Column:
 
     The first preferred metric that holds a number (quoted or not), else the sum of all
     numeric metrics whose name contains ``row`` or ``record``. A zero sum, or nothing at
-    all, is null. Fractions are cut.
+    all, is null. Fractions are cut. NaN, infinities and values no long can hold count as absent, so one
+    bad metric does not fail the report.
     """
     text = metrics.cast("map<string,string>")
 
     def number(value: Column) -> Column:
-        return value.try_cast("double")
+        found = value.try_cast("double")
+        return F.when(~F.isnan(found) & (F.abs(found) < 2.0**63), found)
 
     preferred = [number(F.try_element_at(text, F.lit(name))) for name in ROW_METRICS]
     related = F.map_filter(text, lambda k, v: F.lower(k).contains("row") | F.lower(k).contains("record"))
     total = F.aggregate(
         F.map_values(related), F.lit(0.0), lambda acc, v: acc + F.coalesce(number(v), F.lit(0.0))
     )
-    return F.coalesce(*preferred, F.when(total > 0, total)).cast("long")
+    return F.coalesce(*preferred, F.when(total > 0, total)).try_cast("long")
 
 
 def run_history(logs: DataFrame, newest_first: bool = True) -> DataFrame:
@@ -155,7 +157,8 @@ def latency_percentiles(logs: DataFrame, by: str, points: tuple[float, ...] = (0
 def sla_report(logs: DataFrame, sla_ms: int | Column, by: str) -> DataFrame:
     """Runs inside and outside their time budget per group."""
     limit = sla_ms if isinstance(sla_ms, Column) else F.lit(sla_ms)
-    late = F.col("duration_ms").try_cast("long") > limit
+    ms = F.col("duration_ms").try_cast("double")
+    late = ~F.isnan(ms) & (ms > limit)
     return logs.groupBy(by).agg(
         F.count(F.lit(1)).alias("runs"),
         F.count_if(late).alias("late_runs"),

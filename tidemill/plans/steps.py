@@ -79,6 +79,8 @@ def _mask(ds: Datasets, o: Options, reference) -> DataFrame:
 def _aggregate(ds: Datasets, o: Options, reference) -> DataFrame:
     df = dataset(ds, o["source"])
     if "window" in o:
+        if "time" not in o:
+            raise ValueError("aggregate: a window needs the option time")
         return aggregate_window(df, o["time"], o["window"], o.get("groupBy"), o["metrics"])
     return aggregate(df, o.get("groupBy"), o["metrics"])
 

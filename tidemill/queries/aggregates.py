@@ -169,7 +169,6 @@ def agg_collect(spark, sf):
         _items(spark, sf),
         "l_orderkey",
         "collect_list:l_linenumber,array_agg:l_linenumber,collect_set:l_linenumber",
-        max_items=5_000_000,
     )
 
     def text(c):
@@ -197,7 +196,6 @@ def agg_listagg(spark, sf):
         _items(spark, sf),
         "l_orderkey",
         "listagg:l_linenumber,string_agg:l_linenumber,listagg_distinct:l_returnflag",
-        max_items=5_000_000,
     )
 
     def ordered(c):

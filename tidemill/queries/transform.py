@@ -109,11 +109,11 @@ def dedup_survivorship(spark, sf):
 
 @query(
     "sort_asc_topk",
-    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice ASC NULLS FIRST, o_orderkey ASC NULLS FIRST LIMIT 100",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice ASC NULLS FIRST, o_orderkey ASC NULLS FIRST",
 )
 def sort_asc_topk(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return sort(orders, "o_totalprice,o_orderkey").limit(100)
+    return sort(orders, "o_totalprice,o_orderkey")
 
 
 @query(
@@ -121,26 +121,26 @@ def sort_asc_topk(spark, sf):
     """
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
     ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey DESC NULLS LAST, l_linenumber DESC NULLS LAST,
-             l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST LIMIT 100
+             l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST
     """,
 )
 def sort_desc_topk(spark, sf):
     columns = ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return sort(table(spark, sf, "lineitem").select(*columns), columns, "desc").limit(100)
+    return sort(table(spark, sf, "lineitem").select(*columns), columns, "desc")
 
 
 @query(
     "sort_nulls_last",
     """
     SELECT o_orderkey, CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderpriority END AS priority, o_totalprice
-    FROM orders ORDER BY priority ASC NULLS LAST, o_totalprice DESC NULLS LAST, o_orderkey ASC LIMIT 100
+    FROM orders ORDER BY priority ASC NULLS LAST, o_totalprice DESC NULLS LAST, o_orderkey ASC
     """,
 )
 def sort_nulls_last(spark, sf):
     orders = table(spark, sf, "orders").select(
         "o_orderkey", F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("priority"), "o_totalprice"
     )
-    return sort(orders, "priority,o_totalprice,o_orderkey", "asc,desc,asc", nulls="last").limit(100)
+    return sort(orders, "priority,o_totalprice,o_orderkey", "asc,desc,asc", nulls="last")
 
 
 @query("sort_global", "SELECT l_returnflag, l_shipdate < DATE '1998-01-01' AS early, l_orderkey, l_linenumber, l_quantity FROM lineitem")

@@ -129,7 +129,9 @@ def read_increment(source: DataFrame, loaded: DataFrame, watermark: str) -> Data
     """Rows of ``source`` newer than the newest row already loaded.
 
     Only the one maximum reaches the driver; as a literal it is pushed into the source scan
-    and prunes files or partitions there. An empty ``loaded`` means everything is new.
+    and prunes files or partitions there. An empty ``loaded`` means everything is new. Rows
+    without a watermark cannot be told from loaded ones, so every increment holds all of them:
+    upsert them by key, or filter them out.
     """
     require_columns(source, [watermark], "read_increment source")
     require_columns(loaded, [watermark], "read_increment loaded")
@@ -143,14 +145,17 @@ def read_increment(source: DataFrame, loaded: DataFrame, watermark: str) -> Data
     else:
         mark = loaded.agg(newest.cast("string").alias("mark")).first()["mark"]
         bound = F.lit(mark).cast(kind)
-    return source if mark is None else source.filter(col(watermark) > bound)
+    return source if mark is None else source.filter((col(watermark) > bound) | col(watermark).isNull())
 
 
 def retain(df: DataFrame, time: str, days: int, today: str) -> DataFrame:
-    """Rows not older than ``days`` before ``today``: a plain comparison the scan can prune by."""
+    """Rows not older than ``days`` before ``today``: a plain comparison the scan can prune by.
+
+    Rows without a time stay: their age is not known, and retention must not delete them.
+    """
     require_columns(df, [time], "retain")
     cutoff = F.date_sub(F.lit(today).cast("date"), days).cast(df.schema[time].dataType)
-    return df.filter(col(time) >= cutoff)
+    return df.filter((col(time) >= cutoff) | col(time).isNull())
 
 
 def preflight(spark: SparkSession, path: str | Iterable[str]) -> DataFrame:
