@@ -222,3 +222,10 @@ def test_lookup_refuses(spark):
         lookup(left(spark), right(spark), "k", "s", unique=True)
     with pytest.raises(ValueError):
         lookup(left(spark), ref(spark), "k", "name", "full")
+
+
+def test_select_expressions_split_outside_parentheses():
+    from tidemill.functions import expressions
+
+    assert expressions("l.a, coalesce(l.v, r.w) AS z, 'x, y' AS t") == ["l.a", "coalesce(l.v, r.w) AS z", "'x, y' AS t"]
+    assert expressions(["coalesce(a, b)"]) == ["coalesce(a, b)"] and expressions(None) == []

@@ -1,4 +1,4 @@
-from .names import col, flag, fresh, names, quoted, require_columns
+from .names import col, expressions, flag, fresh, names, quoted, require_columns
 from .rounding import round_binary
 from .sizing import BROADCAST_ROWS, broadcast_if_small, fits_broadcast, spread, within_rows
 
@@ -6,6 +6,7 @@ __all__ = [
     "BROADCAST_ROWS",
     "broadcast_if_small",
     "col",
+    "expressions",
     "fits_broadcast",
     "flag",
     "fresh",

@@ -16,6 +16,27 @@ def names(value: str | Iterable[str] | None) -> list[str]:
     return [p.strip() for p in parts if p and p.strip()]
 
 
+def expressions(value: str | Iterable[str] | None) -> list[str]:
+    """As ``names`` for SQL expressions: commas inside parentheses or quotes do not separate."""
+    if not isinstance(value, str):
+        return names(value)
+    parts, depth, quote = [""], 0, ""
+    for c in value:
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "'\"`":
+            quote = c
+        elif c in "([":
+            depth += 1
+        elif c in ")]":
+            depth -= 1
+        if c == "," and not quote and depth == 0:
+            parts.append("")
+        else:
+            parts[-1] += c
+    return [p.strip() for p in parts if p.strip()]
+
+
 def flag(value: bool | str | None, default: bool) -> bool:
     """Read a true/false option that may arrive as text."""
     if value is None:

@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from ..functions import flag, names
+from ..functions import expressions, flag
 from ..operators import aggregate, aggregate_window, deduplicate, join, lookup, mask, merge, sort
 
 Datasets = Mapping[str, DataFrame]
@@ -53,7 +53,7 @@ def _join(ds: Datasets, o: Options, reference) -> DataFrame:
         o.get("type", "inner"),
         left_id=o["left"],
         right_id=o["right"],
-        select=names(o["select"]) if "select" in o else None,
+        select=expressions(o["select"]) if "select" in o else None,
         grouped=o.get("grouped"),
     )
 
