@@ -150,3 +150,25 @@ def test_merge_matches_brute_force(spark, source, target):
     assert rows(merge(frame(spark, source), frame(spark, target), "k", "t,v")) == expected
     unique = deduplicate(frame(spark, target), "k", "latest", "t,v")
     assert rows(merge(frame(spark, source), unique, "k", "t,v", target_unique=True)) == expected
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 3), st.sampled_from("xyz")), max_size=10),
+    st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 3), st.sampled_from("uvw")), max_size=10),
+)
+def test_newest_wins_across_both_sides(spark, source, target):
+    best = {}
+    for side, data in ((0, target), (1, source)):
+        for k, t, v in data:
+            best[k] = max(best.get(k, (-1, -1, "")), (t, side, v))
+    best = sorted(((k, t, side) for k, (t, side, _) in best.items()), key=repr)
+    unique = deduplicate(frame(spark, target), "k", "latest", "t,v")
+    for old, unique_target in ((frame(spark, target), False), (unique, True)):
+        got = merge(frame(spark, source), old, "k", "t", target_unique=unique_target, newest_wins=True)
+        assert sorted(((k, t, int(v in "xyz")) for k, t, v in got.collect()), key=repr) == best
+
+
+def test_newest_wins_needs_an_order(spark):
+    with pytest.raises(ValueError):
+        merge(frame(spark), frame(spark), "k", newest_wins=True)

@@ -29,41 +29,47 @@ from tidemill.plans import (
 from tidemill.quality import Range
 from tidemill.sources import read_csv
 
-from test_sources_sinks import CARDS
-
-CURRENCIES = [
-    {"base_ccy": "USD", "currency_name": "US Dollar", "region": "NA"},
-    {"base_ccy": "GBP", "currency_name": "British Pound", "region": "EMEA"},
-    {"base_ccy": "EUR", "currency_name": "Euro", "region": "EMEA"},
-]
+# Readings of river gauges; one gauge sent its first reading twice with different levels.
+READINGS = """R1|2031-05-01 06:00|2.50|upper
+R1|2031-05-01 06:00|2.75|upper
+R1|2031-05-01 18:00|3.00|upper
+R2|2031-05-01 07:00|0.25|lower
+R2|2031-05-02 07:00|0.75|lower
+R9|2031-05-02 09:00|9.00|
+"""
+REACHES = [{"reach": "upper", "keeper": "Ada", "limit": 2.9}, {"reach": "lower", "keeper": "Ben", "limit": 0.5}]
 
 
 @pytest.fixture
 def home(tmp_path):
-    (tmp_path / "in").mkdir()
+    (tmp_path / "feed").mkdir()
     (tmp_path / "ref").mkdir()
-    (tmp_path / "in" / "cards.csv").write_text(CARDS + CARDS.splitlines()[1].replace("10/22/2025", "09/30/2025") + "\n")
-    (tmp_path / "ref" / "currency_dim.json").write_text(json.dumps(CURRENCIES))
+    (tmp_path / "feed" / "may.txt").write_text(READINGS)
+    (tmp_path / "ref" / "reaches.json").write_text(json.dumps(REACHES))
     return tmp_path
 
 
-def sample_flow(home, **more):
+def gauge_flow(home, **more):
+    """Readings by day and keeper beside the alarms: a headless feed, a reduced set of columns, three targets."""
     return {
-        "id": "cards_snapshot",
-        "app": "sample_app",
-        "layer": "staging",
+        "id": "gauges",
+        "app": "rivers",
+        "layer": "standardization",
         "sources": [
-            {"id": "cards", "type": "csv", "path": f"{home}/in/cards.csv", "header": "true", "delimiter": ",", "dateFormat": "MM/dd/yyyy", "inferSchema": "true"}
+            {"id": "raw", "type": "csv", "path": f"{home}/feed/may.txt", "header": "false", "delimiter": "|",
+             "schema": "gauge string, at timestamp_ntz, level double, reach string"},
+            {"id": "readings", "type": "sql", "sql": "SELECT gauge, at, to_date(at) AS day, level, reach FROM {raw}"},
         ],
         "steps": [
-            {"step": "deduplicate", "source": "cards", "keys": "dept_id", "keep": "latest", "orderBy": "as_of_date"},
-            {"step": "lookup", "source": "cards", "reference": "currency_dim", "joinColumns": "base_ccy", "outputFields": "currency_name,region"},
-            {"step": "mask", "source": "cards", "columns": "dept_id", "strategy": "redact", "output": "masked"},
-            {"step": "aggregate", "source": "cards", "groupBy": "balance_typ", "metrics": "count:*,sum:base_amt", "output": "summary"},
+            {"step": "aggregate", "source": "readings", "groupBy": "gauge,day,reach", "metrics": "max:level,count:*", "output": "days"},
+            {"step": "lookup", "source": "days", "reference": "reaches", "joinColumns": "reach", "outputFields": "keeper,limit", "joinType": "inner"},
+            {"step": "join", "left": "readings", "right": "days", "condition": "gauge,day", "type": "semi", "output": "watched"},
+            {"step": "mask", "source": "days", "columns": "keeper"},
         ],
         "targets": [
-            {"type": "hive", "source": "masked", "table": "staging.cards", "partitionBy": "as_of_date", "mode": "overwrite"},
-            {"type": "csv", "source": "summary", "path": f"{home}/out/summary.csv", "mode": "overwrite"},
+            {"type": "table", "source": "watched", "path": f"{home}/lake/watched", "format": "orc", "partitionBy": "reach"},
+            {"type": "hive", "source": "days", "table": "standardization.days"},
+            {"type": "csv", "source": "days", "path": f"{home}/out/days", "delimiter": ";"},
         ],
         **more,
     }
@@ -76,55 +82,53 @@ def run(spark, home, flow, **more):
     )
 
 
-def test_sample_flow_end_to_end(spark, home):
-    done = run(spark, home, sample_flow(home))
+def test_flow_end_to_end(spark, home):
+    done = run(spark, home, gauge_flow(home))
     assert done.run_id == "unit-test" and done.status == "completed"
-    assert done.metrics == {
-        "pipeline_source_loaded": 1, "pipeline_transform_deduplicate": 1, "pipeline_transform_lookup": 1,
-        "pipeline_transform_mask": 1, "pipeline_transform_aggregate": 1, "pipeline_targets_written": 2, "rows_written": 8,
-    }
-    text = (home / "out" / "summary.csv").read_text()
-    assert text.splitlines()[0] == "balance_typ,count_rows,sum_base_amt"
-    summary = {r.balance_typ: (r.count_rows, r.sum_base_amt) for r in read_csv(spark, f"{home}/out/summary.csv", infer_schema=True).collect()}
-    assert summary == {"P": (1, 6409281725.92507), "C": (1, 5847865388.68597), "F": (1, 2413270633.9562), "A": (1, 9266930336.93403)}
-    masked = spark.read.parquet(f"{home}/data/hive/staging/cards")
-    assert {r.dept_id for r in masked.collect()} == {"***"}
-    assert {(r.base_ccy, r.currency_name, r.region) for r in masked.collect()} <= {tuple(c.values()) for c in CURRENCIES}
-    assert {str(r.as_of_date) for r in masked.select("as_of_date").collect()} == {"2025-10-22"}
-    log = read_run_logs(spark, f"{home}/logs/applications", multi_line=False)
-    report = run_history(log).first()
-    assert (report.run_id, report.pipeline_id, report.app_name, report.layer) == ("unit-test", "cards_snapshot", "sample_app", "staging")
-    assert (report.rows_processed, report.status) == (8, "completed")
+    steps = {f"pipeline_transform_{name}": 1 for name in ("aggregate", "lookup", "join", "mask")}
+    assert done.metrics == {"pipeline_source_loaded": 2, **steps, "pipeline_targets_written": 3, "rows_written": 5 + 3 + 3}
+    watched = spark.read.orc(f"{home}/lake/watched")
+    assert rows(watched.groupBy("reach").count()) == [("lower", 2), ("upper", 3)]
+    days = spark.read.parquet(f"{home}/data/hive/standardization/days")
+    assert rows(days.select("gauge", "max_level", "count_rows", "limit")) == [
+        ("R1", 3.0, 3, 2.9), ("R2", 0.25, 1, 0.5), ("R2", 0.75, 1, 0.5),
+    ]
+    assert all(len(r.keeper) == 64 for r in days.collect())
+    assert (home / "out" / "days").is_dir()
+    assert rows(read_csv(spark, f"{home}/out/days", delimiter=";", schema=days.schema)) == rows(days)
+    report = run_history(read_run_logs(spark, f"{home}/logs/applications", multi_line=False)).first()
+    assert (report.run_id, report.pipeline_id, report.app_name, report.layer) == ("unit-test", "gauges", "rivers", "standardization")
+    assert (report.rows_processed, report.status) == (11, "completed")
 
 
 def test_failure_is_logged_and_raised(spark, home):
-    flow = sample_flow(home)
-    flow["steps"][2]["columns"] = "nope"
-    with pytest.raises(ValueError, match="nope"):
+    flow = gauge_flow(home)
+    flow["steps"][-1]["columns"] = "keeper,colour"
+    with pytest.raises(ValueError, match="colour"):
         run(spark, home, flow)
     log = read_run_logs(spark, f"{home}/logs/applications", multi_line=False).first()
-    assert log.status == "failed" and "nope" in log.error
+    assert log.status == "failed" and "colour" in log.error
 
 
 def test_an_unwritable_log_does_not_fail_the_run(spark, home):
     (home / "logs").write_text("a file where the folder should be")
-    assert run(spark, home, sample_flow(home)).status == "completed"
+    assert run(spark, home, gauge_flow(home)).status == "completed"
 
 
 def test_skip_and_quarantine_policies(spark, home):
-    flow = sample_flow(home, on_step_error="skip", targets=[])
-    flow["steps"][0]["keys"] = "nope"
-    assert run(spark, home, flow).datasets["cards"].count() == 5
+    steps = [{"step": "deduplicate", "source": "readings", "keys": "serial"}]
+    flow = gauge_flow(home, on_step_error="skip", steps=steps, targets=[])
+    assert run(spark, home, flow).datasets["readings"].count() == 6
     run(spark, home, {**flow, "on_step_error": "quarantine"})
     held = spark.read.json(f"{home}/exceptions")
-    assert held.count() == 5 and held.first().reason == "transformation_failure:deduplicate"
+    assert held.count() == 6 and held.first().reason == "transformation_failure:deduplicate"
 
 
 def test_record_policy_splits_sources(spark, home):
-    flow = sample_flow(home, record_rules={"cards": [Range("cap", "base_amt", max_value=6e9)]}, steps=[], targets=[])
+    flow = gauge_flow(home, record_rules={"readings": [Range("plausible", "level", max_value=5)]}, steps=[], targets=[])
     done = run(spark, home, flow)
-    assert done.datasets["cards"].count() == 2 and done.metrics["rows_quarantined"] == 3
-    assert {r.rule_id for r in spark.read.json(f"{home}/exceptions").collect()} == {"cap"}
+    assert done.datasets["readings"].count() == 5 and done.metrics["rows_quarantined"] == 1
+    assert {r.rule_id for r in spark.read.json(f"{home}/exceptions").collect()} == {"plausible"}
 
 
 def test_join_sql_merge_and_custom_steps(spark, home):
@@ -152,8 +156,8 @@ def test_join_sql_merge_and_custom_steps(spark, home):
 
 
 def test_targets_default_to_the_first_dataset_and_ignore_does_not_hang(spark, home):
-    flow = sample_flow(home, steps=[], targets=[{"type": "table", "path": f"{home}/copy"}])
-    assert run(spark, home, flow).metrics["rows_written"] == 5
+    flow = gauge_flow(home, steps=[], targets=[{"type": "table", "path": f"{home}/copy"}])
+    assert run(spark, home, flow).metrics["rows_written"] == 6
     flow["targets"][0]["mode"] = "ignore"
     assert "rows_written" not in run(spark, home, flow).metrics
     flow["targets"][0]["source"] = "unknown"
@@ -162,12 +166,14 @@ def test_targets_default_to_the_first_dataset_and_ignore_does_not_hang(spark, ho
 
 
 def test_merge_target_and_shared_persist(spark, home):
-    flow = sample_flow(home, steps=[], targets=[
-        {"type": "table", "path": f"{home}/m", "mode": "merge", "keys": "dept_id", "orderBy": "as_of_date"},
+    flow = gauge_flow(home, steps=[], targets=[
+        {"type": "table", "path": f"{home}/last", "mode": "merge", "keys": "gauge", "orderBy": "at", "newestWins": "true"},
         {"type": "csv", "path": f"{home}/c"},
     ])
     assert run(spark, home, flow, persist_shared=True).metrics["rows_written"] == 9
-    assert spark.read.parquet(f"{home}/m").count() == 4
+    (home / "feed" / "may.txt").write_text("R1|2031-04-30 06:00|1.00|upper\nR2|2031-05-03 06:00|0.50|lower\n")
+    run(spark, home, flow)
+    assert rows(spark.read.parquet(f"{home}/last").select("gauge", "level")) == [("R1", 3.0), ("R2", 0.5), ("R9", 9.0)]
 
 
 def test_check_flow_lists_every_problem():
@@ -184,13 +190,13 @@ def test_check_flow_lists_every_problem():
 
 
 def test_mock_path_and_schema_ref(spark, home):
-    (home / "cards.avsc").write_text(json.dumps({"fields": [{"name": "k", "type": "string"}, {"name": "x", "type": "double"}]}))
-    (home / "in" / "small.csv").write_text("k,x\na,1.5\n")
+    (home / "small.avsc").write_text(json.dumps({"fields": [{"name": "k", "type": "string"}, {"name": "x", "type": "double"}]}))
+    (home / "feed" / "small.csv").write_text("k,x\na,1.5\n")
     flow = {
         "id": "s", "app": "a", "layer": "staging",
         "sources": [
-            {"id": "typed", "type": "csv", "path": f"{home}/in/small.csv", "schemaRef": f"{home}/cards.avsc"},
-            {"id": "db", "type": "database", "mockDataPath": f"{home}/in/small.csv"},
+            {"id": "typed", "type": "csv", "path": f"{home}/feed/small.csv", "schemaRef": f"{home}/small.avsc"},
+            {"id": "db", "type": "database", "mockDataPath": f"{home}/feed/small.csv"},
         ],
     }
     done = run_flow(spark, flow)
@@ -198,19 +204,21 @@ def test_mock_path_and_schema_ref(spark, home):
 
 
 def test_schema_ref_may_name_columns_of_later_steps(spark, home):
-    fields = [{"name": "dept_id", "type": "string"}, {"name": "base_amt", "type": "double"}, {"name": "currency_name", "type": ["null", "string"]}]
-    (home / "cards.avsc").write_text(json.dumps({"fields": fields}))
-    flow = sample_flow(home)
-    flow["sources"][0]["schemaRef"] = f"{home}/cards.avsc"
-    done = run(spark, home, flow, write=False)
-    assert dict(done.datasets["cards"].dtypes)["base_amt"] == "double"
-    assert done.datasets["cards"].columns[-2:] == ["currency_name", "region"]
-
-
-def test_large_csv_targets_become_folders(spark, home):
-    flow = sample_flow(home, steps=[], targets=[{"type": "csv", "path": f"{home}/big.csv", "max_rows": 2}])
-    assert run(spark, home, flow).metrics["rows_written"] == 5
-    assert (home / "big.csv").is_dir() and read_csv(spark, f"{home}/big.csv").count() == 5
+    (home / "feed" / "named.csv").write_text("reach,level\nupper,1.5\n")
+    fields = [{"name": "level", "type": "double"}, {"name": "reach", "type": "string"}, {"name": "keeper", "type": ["null", "string"]}]
+    (home / "levels.avsc").write_text(json.dumps({"fields": fields}))
+    source = {"id": "levels", "type": "csv", "path": f"{home}/feed/named.csv", "schemaRef": f"{home}/levels.avsc"}
+    step = {"step": "lookup", "source": "levels", "reference": "reaches", "joinColumns": "reach", "outputFields": "keeper"}
+    done = run(spark, home, gauge_flow(home, sources=[source], steps=[step]), write=False)
+    assert dict(done.datasets["levels"].dtypes)["level"] == "double"
+    assert [r.keeper for r in done.datasets["levels"].collect()] == ["Ada"]
+
+
+def test_a_csv_target_named_like_a_file_is_one_whatever_its_size(spark, home):
+    targets = [{"type": "csv", "path": f"{home}/all.csv"}, {"type": "csv", "path": f"{home}/parts.csv", "singleFile": "false"}]
+    assert run(spark, home, gauge_flow(home, steps=[], targets=targets)).metrics["rows_written"] == 12
+    assert (home / "all.csv").is_file() and (home / "parts.csv").is_dir()
+    assert rows(read_csv(spark, f"{home}/all.csv")) == rows(read_csv(spark, f"{home}/parts.csv"))
 
 
 def test_relative_paths_and_input_check(spark, home):

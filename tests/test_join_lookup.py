@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemill.operators import join, lookup
 
@@ -132,6 +133,25 @@ def test_equality_inside_larger_conditions(spark, condition):
     assert rows(got) == rows(left(spark).alias("l").join(right(spark).alias("r"), on=_native(condition)))
 
 
+@pytest.mark.parametrize("condition", ["NOT (l.k = r.k)", "l.k = r.k OR l.n = length(r.s)", "CASE WHEN l.k = r.k THEN true ELSE false END",
+    "l.n < length(r.s)", "l.k = 'a' AND r.k = 'a'", "l.k <> 'x = y'", "l.k = l.k AND l.n < length(r.s)",
+])
+def test_no_cross_product_is_planned(spark, condition):
+    for how in ("inner", "left", "full", "anti"):
+        with pytest.raises(ValueError, match="equality"):
+            join(left(spark), right(spark), condition, how, left_id="l", right_id="r")
+
+
+@pytest.mark.parametrize("condition", ["l.k = r.k AND r.s <> 'this or that'", "(l.k = r.k) AND NOT (l.n = length(r.s))",
+    "r.k = concat(l.k, '') AND CASE WHEN l.n = 1 OR r.s = 'x' THEN true ELSE false END",
+])
+def test_words_in_literals_do_not_matter(spark, condition):
+    got = join(left(spark), right(spark), condition, left_id="l", right_id="r")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert rows(got) == rows(left(spark).alias("l").join(right(spark).alias("r"), on=F.expr(condition)).selectExpr("l.*", "r.k r_k", "r.s"))
+
+
 def test_join_refuses(spark):
     with pytest.raises(ValueError):
         join(left(spark), right(spark), "k", "sideways")

@@ -64,3 +64,14 @@ def test_upsert_over_batches(spark, tmp_path):
     drain()
     drain()
     assert rows(spark.read.parquet(out).select("id", "x")) == [(1, 1.5), (2, 9.0), (3, 3.0)]
+
+
+def test_a_late_row_does_not_replace_a_newer_one(spark, tmp_path):
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    feed(spark, source, [(1, "2024-01-10 00:00:00", 1.0), (2, "2024-01-05 00:00:00", 2.0)])
+    schema = spark.read.parquet(source).schema
+    for late in ([], [(1, "2024-01-01 00:00:00", 7.0), (2, "2024-01-06 00:00:00", 8.0), (3, "2023-01-01 00:00:00", 9.0)]):
+        if late:
+            feed(spark, source, late)
+        drain_merge(stream_files(spark, source, schema), out, f"{tmp_path}/cp", "id", order_by="t")
+    assert rows(spark.read.parquet(out).select("id", "x")) == [(1, 1.0), (2, 8.0), (3, 9.0)]

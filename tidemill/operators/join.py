@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,6 @@ JOIN_TYPES = {
 
 # "a.x = b.y", the documented form of a condition; several may be chained with AND.
 _EQUALITY = re.compile(r"^\s*(\w+)\.(\w+)\s*={1,2}\s*(\w+)\.(\w+)\s*$")
-_ONE_EQUALITY = re.compile(r"^([^=<>!]+)(?:=|==|<=>)([^=<>!]+)$")
 
 
 def join_type(how: str) -> str:
@@ -65,21 +65,18 @@ def _pairs(condition: str, left_id: str, right_id: str) -> list[tuple[str, str]]
     return pairs
 
 
-def _has_equality(condition: str, left_id: str, right_id: str) -> bool:
-    """Whether some part joined by AND equates an expression of one side with one of the other."""
-    flat, before = condition, None
-    while flat != before:
-        flat, before = re.sub(r"\([^()]*\)", " ", flat), flat
-    if re.search(r"\bor\b", flat, re.IGNORECASE):
-        return False
-    for part in re.split(r"\band\b", condition, flags=re.IGNORECASE):
-        found = _ONE_EQUALITY.match(part.strip())
-        if not found or part.count("(") != part.count(")") or re.search(r"\bor\b", part, re.IGNORECASE):
-            continue
-        sides = [{i for i in (left_id, right_id) if re.search(rf"\b{re.escape(i)}\s*\.", text)} for text in found.groups()]
-        if all(len(s) == 1 for s in sides) and sides[0] != sides[1]:
-            return True
-    return False
+def _has_equality(left: DataFrame, right: DataFrame, condition: str) -> bool:
+    """Whether Spark finds an equality between the two sides in the analysed condition.
+
+    It is the planner's own extraction of join keys, so literals, NOT, OR and CASE are what
+    Spark takes them for; no job runs.
+    """
+    try:
+        plan = left.join(right, F.expr(condition), "inner")._jdf.queryExecution().analyzed()
+    except AnalysisException as error:
+        raise ValueError(f"join: the condition {condition!r} cannot be used: {error.getCondition()}") from error
+    keys = left.sparkSession._jvm.org.apache.spark.sql.catalyst.planning.ExtractEquiJoinKeys
+    return bool(keys.unapply(plan).isDefined())
 
 
 def _equal(pairs: list[tuple[str, str]], left_id: str, right_id: str, null_safe: bool) -> Column:
@@ -139,7 +136,7 @@ def join(
         pairs = [(k, k) for k in using]
     else:
         pairs = _pairs(condition, left_id, right_id)
-        if pairs is None and not _has_equality(condition, left_id, right_id):
+        if pairs is None and not _has_equality(left.alias(left_id), right.alias(right_id), condition):
             raise ValueError("join: the condition needs at least one equality between the datasets")
     if pairs is not None:
         require_columns(left, [x for x, _ in pairs], "join left")

@@ -18,6 +18,7 @@ def merge(
     keys: str | Iterable[str] | None = None,
     order_by: str | Iterable[str] | None = None,
     target_unique: bool = False,
+    newest_wins: bool = False,
 ) -> DataFrame:
     """Bring ``source`` into ``target``.
 
@@ -33,6 +34,9 @@ def merge(
     leaves it. Then only target rows whose key the source has must go: an anti join against
     the source's keys, which a small source turns into a broadcast, so that a huge target is
     not shuffled at all.
+
+    ``newest_wins`` compares ``order_by`` across both sides: a source row older than the
+    target's does not replace it, and on a tie the source wins.
     """
     if target is None:
         return source
@@ -42,6 +46,16 @@ def merge(
         return union(source, target)
     require_columns(source, keys, "merge source")
     require_columns(target, keys, "merge target")
+    if newest_wins and not order:
+        raise ValueError("merge: newest_wins needs order_by")
+    if target_unique and newest_wins:
+        # Only the target rows whose key the source has are compared; the others pass as they are.
+        newest = deduplicate(source, keys, "latest", order)
+        met, rest = (
+            join(target, newest, keys, how, left_id="target", right_id="source", null_safe=True)
+            for how in ("semi", "anti")
+        )
+        return union(merge(newest, met, keys, order, newest_wins=True), rest)
     if target_unique:
         newest = deduplicate(source, keys, "latest" if order else "any", order)
         rest = join(target, source, keys, "anti", left_id="target", right_id="source", null_safe=True)
@@ -50,7 +64,7 @@ def merge(
     rank = fresh("merge_rank", [*source.columns, *target.columns])
     both = union(source.withColumn(side, F.lit(0)), target.withColumn(side, F.lit(1)))
     require_columns(both, order, "merge")
-    window = Window.partitionBy(*[col(k) for k in keys]).orderBy(
-        col(side), *[col(c).desc_nulls_last() for c in order]
-    )
+    newest_first = [col(c).desc_nulls_last() for c in order]
+    precedence = [*newest_first, col(side)] if newest_wins else [col(side), *newest_first]
+    window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*precedence)
     return both.withColumn(rank, F.row_number().over(window)).filter(col(rank) == 1).drop(side, rank)

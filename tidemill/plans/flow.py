@@ -142,7 +142,13 @@ OPTION_NAMES = {
     "partitionBy": "partition_by",
     "orderBy": "order_by",
     "singleFile": "single_file",
+    "rowsPerFile": "rows_per_file",
+    "multiLine": "multi_line",
+    "lineSep": "line_sep",
+    "nullValue": "null_value",
+    "emptyValue": "empty_value",
     "targetUnique": "target_unique",
+    "newestWins": "newest_wins",
     "jdbcUrl": "url",
     "sql": "query",
     "fetchSize": "fetch_size",
@@ -214,8 +220,7 @@ def _write(
     if kind == "csv":
         options["path"] = _resolve(df.sparkSession, options["path"], data_root)
         named_like_a_file = "." in options["path"].rstrip("/").rsplit("/", 1)[-1]
-        if named_like_a_file and options.get("mode") != "append":
-            options.setdefault("single_file", "auto")
+        options.setdefault("single_file", named_like_a_file and options.get("mode") != "append")
         write_csv(df, run_time=run_time, **options)
     elif kind == "database":
         write_database(df, **options)
@@ -246,8 +251,8 @@ def run_flow(
     """Load the sources, fold the steps over the named datasets, write the targets.
 
     ``params`` bind into ``sql`` sources (``:runDate``); ``run_id`` among them names the run.
-    Targets without a ``source`` take the first dataset; a CSV path named like a file
-    becomes one file while it is small, a folder otherwise. Row counts come from an observation on
+    Targets without a ``source`` take the first dataset; a CSV path named like a file becomes one
+    file whatever its size, unless ``singleFile`` or the mode ``append`` says otherwise. Row counts come from an observation on
     each write, at no extra pass. ``persist_shared`` keeps a dataset that feeds several targets
     (memory and disk; lineage stays, so a lost executor costs a recomputation, not the run).
     ``write=False`` stops after planning. With ``logs_root`` one run log row is appended, on

@@ -86,7 +86,14 @@ def _aggregate(ds: Datasets, o: Options, reference) -> DataFrame:
 
 
 def _merge(ds: Datasets, o: Options, reference) -> DataFrame:
-    return merge(dataset(ds, o["source"]), ds.get(o["target"]), o.get("keys"), o.get("orderBy"), flag(o.get("targetUnique"), False))
+    return merge(
+        dataset(ds, o["source"]),
+        ds.get(o["target"]),
+        o.get("keys"),
+        o.get("orderBy"),
+        target_unique=flag(o.get("targetUnique"), False),
+        newest_wins=flag(o.get("newestWins"), False),
+    )
 
 
 #: The built-in steps; copy and extend to add your own.

@@ -133,6 +133,26 @@ def sink_csv_single(spark, sf):
     return read_csv(spark, path, schema=summary.schema)
 
 
+@query(
+    "sink_csv_text",
+    """
+    SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 11 <> 0 THEN text END AS text,
+           CASE WHEN doc_id % 5 <> 0 THEN lang END AS lang
+    FROM documents
+    """,
+)
+def sink_csv_text(spark, sf):
+    """Whole texts through delimited files: line breaks, quotes, nulls and empty texts as they were."""
+    path = shared_path(spark, "csv-text")
+    documents = table(spark, sf, "documents").select(
+        "doc_id",
+        F.expr("CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 11 <> 0 THEN text END").alias("text"),
+        F.expr("CASE WHEN doc_id % 5 <> 0 THEN lang END").alias("lang"),
+    )
+    write_csv(documents, path)
+    return read_csv(spark, path, schema=documents.schema, line_sep="\n")
+
+
 def _orders(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
 

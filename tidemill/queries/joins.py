@@ -99,13 +99,15 @@ def join_anti(spark, sf):
     SELECT o_orderpriority, count(*) AS count_rows, round(sum(l_extendedprice), 2) AS sum_l_extendedprice
     FROM orders o JOIN lineitem l
       ON o.o_orderkey = l.l_orderkey AND l.l_shipdate > o.o_orderdate AND l.l_extendedprice < o.o_totalprice
+         AND o.o_orderpriority <> 'this or that' AND NOT (l.l_extendedprice = o.o_totalprice)
     GROUP BY o_orderpriority
     """,
 )
 def join_theta(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority")
     items = table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate", "l_extendedprice")
-    test = "o.o_orderkey = l.l_orderkey AND l.l_shipdate > o.o_orderdate AND l.l_extendedprice < o.o_totalprice"
+    test = """o.o_orderkey = l.l_orderkey AND l.l_shipdate > o.o_orderdate AND l.l_extendedprice < o.o_totalprice
+              AND o.o_orderpriority <> 'this or that' AND NOT (l.l_extendedprice = o.o_totalprice)"""
     joined = join(orders, items, test, left_id="o", right_id="l")
     return rounded(aggregate(joined, "o_orderpriority", "count:*,sum:l_extendedprice"), "sum_l_extendedprice")
 

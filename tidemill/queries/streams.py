@@ -61,3 +61,21 @@ def stream_upsert(spark, sf):
     path = shared_path(spark, "stream-upsert")
     drain_merge(_events(spark, sf), path, path + "-checkpoint", "user_id", order_by="ts,event_id")
     return spark.read.parquet(path).select("user_id", "event_id", "event_type", "value")
+
+
+@query(
+    "stream_late_rows",
+    """
+    SELECT user_id, event_id, event_type, value FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+    """,
+)
+def stream_late_rows(spark, sf):
+    """As ``stream_upsert``, but the feed comes in five batches, out of time order."""
+    feed, path = shared_path(spark, "late-feed"), shared_path(spark, "late-upsert")
+    events = table(spark, sf, "events")
+    turn = F.coalesce(F.pmod(F.datediff(F.to_date("ts"), F.lit("1970-01-01")), F.lit(5)), F.lit(0))
+    for batch in (3, 0, 4, 2, 1):
+        events.filter(turn == batch).write.mode("append").parquet(feed)
+        drain_merge(stream_files(spark, feed, events.schema), path, path + "-checkpoint", "user_id", order_by="ts,event_id")
+    return spark.read.parquet(path).select("user_id", "event_id", "event_type", "value")

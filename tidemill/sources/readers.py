@@ -14,6 +14,9 @@ from ..functions import col, flag, names, require_columns
 
 CORRUPT = "_corrupt_record"
 
+#: Stands for "nothing between two delimiters"; two private-use characters keep it apart from any text.
+NULL_MARK = "\ue000null\ue000"
+
 
 def read_csv(
     spark: SparkSession,
@@ -24,14 +27,33 @@ def read_csv(
     infer_schema: bool | str = False,
     date_format: str | None = None,
     keep_bad_rows: bool = False,
+    quote: str = '"',
+    escape: str = '"',
+    multi_line: bool | str = True,
+    encoding: str = "UTF-8",
+    null_value: str | None = None,
+    empty_value: str = "",
+    line_sep: str | None = None,
 ) -> DataFrame:
     """Delimited text from a file, folder or glob.
 
     Without ``schema`` or ``infer_schema`` every column is a string. With a schema a bad
     value fails the job; ``keep_bad_rows`` keeps such rows instead, the raw text in
     ``_corrupt_record``. A schema avoids the extra pass that inference costs.
+
+    Quoted values may hold line breaks, and a quote inside one is doubled. Such a file is read
+    by one task: where no value holds a line break, ``multi_line=False`` lets a huge
+    uncompressed file be split. Lines end as the first one of a file does; ``line_sep`` names the
+    ending and so keeps any other line break inside values as it is.
+
+    Nothing between two delimiters is null, and a quoted empty text is an empty text.
+    ``null_value`` is the text that means null instead; ``""`` makes both kinds of empty null.
     """
     reader = spark.read.option("header", flag(header, True)).option("sep", delimiter)
+    reader = reader.options(quote=quote, escape=escape, encoding=encoding, emptyValue=empty_value)
+    reader = reader.options(multiLine=flag(multi_line, True), nullValue=NULL_MARK if null_value is None else null_value)
+    if line_sep:
+        reader = reader.option("lineSep", line_sep)
     if date_format:
         reader = reader.option("dateFormat", date_format)
     if schema is None:

@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ..functions import col, flag, fresh, names, require_columns
+from ..functions import col, flag, names, require_columns
 from ..operators.merge import merge
 from ..session import shared_path
+from .readers import NULL_MARK
 
 MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 
-#: Largest table that may be written as one file (it passes through one task).
-SINGLE_FILE_ROWS = 1_000_000
+#: Compressions of which files may be put one behind the other.
+JOINABLE = {None: "", "none": "", "uncompressed": "", "gzip": ".gz", "bzip2": ".bz2"}
 
 
 def _counting(df: DataFrame, counted: Observation | None) -> DataFrame:
@@ -62,59 +63,90 @@ def write_csv(
     compression: str | None = None,
     delimiter: str = ",",
     single_file: bool | str = False,
-    max_rows: int = SINGLE_FILE_ROWS,
     run_time: dt.datetime | None = None,
     counted: Observation | None = None,
+    quote: str = '"',
+    escape: str = '"',
+    encoding: str = "UTF-8",
+    null_value: str | None = None,
+    empty_value: str = '""',
+    rows_per_file: int | str = 1_000_000,
 ) -> None:
-    """Delimited text, one file per task.
-
-    ``single_file`` makes ``path`` one file, for small extracts: it passes through one task,
-    so a table over ``max_rows`` rows is refused, and it cannot be appended to. With ``"auto"``
-    a larger table becomes a folder instead. The rows are computed once, counted on the way
-    into the shared folder, and keep their order.
+    """Delimited text in a folder, at least one file per task, or in one file.
+
+    Values keep their blanks, quotes, delimiters and line breaks; a quote inside a value is
+    doubled. A null is written as nothing and an empty text as ``""``, which :func:`read_csv`
+    tells apart. A table of one column has no place for "nothing" (its line would be blank), so
+    its nulls are written as ``NULL_MARK``. A file whose values hold line breaks is read by one
+    task, so files end after ``rows_per_file`` rows.
+
+    ``single_file`` makes ``path`` one file of any size, rows in their order. It is written in
+    parallel; the parts are then put one behind the other through the file system, which
+    takes as long as copying the bytes once. It cannot be appended to, and takes no compression
+    but gzip and bzip2.
     """
     mode, path = check_mode(mode), dated(path, run_time)
-    auto = single_file == "auto"
-    single = auto or flag(single_file, False)
-
-    def writer(frame: DataFrame, how: str):
-        out = frame.write.mode(how).option("header", flag(header, True)).option("sep", delimiter)
-        return out.option("compression", compression) if compression else out
-
+    single = flag(single_file, False)
+    if null_value is None:
+        null_value = NULL_MARK if len(df.columns) == 1 else ""
+    settings = {
+        "sep": delimiter,
+        "quote": quote,
+        "escape": escape,
+        "encoding": encoding,
+        "nullValue": null_value,
+        "emptyValue": empty_value,
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    if compression:
+        settings["compression"] = compression
     if not single:
-        writer(_counting(df, counted), mode).csv(path)
+        out = _counting(df, counted).write.mode(mode).options(**settings)
+        out.option("header", flag(header, True)).option("maxRecordsPerFile", int(rows_per_file)).csv(path)
         return
     if mode == "append":
         raise ValueError("write_csv: a single file cannot be appended to")
+    if compression not in JOINABLE or encoding.upper() in ("UTF-16", "UTF-32"):
+        raise ValueError("write_csv: a single file takes gzip, bzip2 or no compression, and no encoding with a byte-order mark")
     spark = df.sparkSession
     fs, final = _hadoop(spark, path)
     if mode != "overwrite" and fs.exists(final):
         if mode == "ignore":
             return
         raise FileExistsError(path)
-
-    place, rows = fresh("row_place", df.columns), counted or Observation()
-    staged = shared_path(spark, "csv-stage")
-    _counting(df, rows).withColumn(place, F.monotonically_increasing_id()).write.parquet(staged)
-    back = spark.read.parquet(staged)
-    if rows.get["rows"] > max_rows:
-        if not auto:
-            raise ValueError(f"write_csv: more than {max_rows} rows for a single file; write a folder instead")
-        writer(back.orderBy(place).drop(place), mode).csv(path)
-        _discard(spark, staged)
-        return
     folder = f"{path}.parts-{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}"
-    writer(back.coalesce(1).sortWithinPartitions(place).drop(place), "error").csv(folder)
-    parts = [s.getPath() for s in fs.listStatus(_hadoop(spark, folder)[1])]
-    part = next((p for p in parts if p.getName().startswith("part-")), None)
-    if part is None:
-        raise FileNotFoundError(f"no output produced under {folder}")
+    _counting(df, counted).write.options(**settings).csv(f"{folder}/rows")
+    pieces = _part_files(spark, f"{folder}/rows")
+    if flag(header, True):
+        spark.createDataFrame([df.columns], ", ".join(f"c{i} string" for i in range(len(df.columns)))).coalesce(
+            1
+        ).write.options(**settings).csv(f"{folder}/header")
+        pieces = _part_files(spark, f"{folder}/header") + pieces
+    joined = _hadoop(spark, f"{folder}/joined")[1]
+    out = fs.create(joined)
+    try:
+        for piece in pieces:
+            read = fs.open(piece)
+            try:
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(read, out, 1 << 20, False)
+            finally:
+                read.close()
+    finally:
+        out.close()
     if fs.exists(final):
         fs.delete(final, True)
-    if not fs.rename(part, final):
-        raise OSError(f"could not move {part} to {path}")
+    fs.mkdirs(final.getParent())
+    if not fs.rename(joined, final):
+        raise OSError(f"could not move {joined} to {path}")
     _discard(spark, folder)
-    _discard(spark, staged)
+
+
+def _part_files(spark: SparkSession, folder: str) -> list[Any]:
+    """Files a write left in ``folder``, in the order of the tasks that wrote them."""
+    fs, where = _hadoop(spark, folder)
+    found = {s.getPath().getName(): s.getPath() for s in fs.listStatus(where)}
+    return [found[n] for n in sorted((n for n in found if n.startswith("part-")), key=lambda n: int(n.split("-")[1]))]
 
 
 def table_path(root: str, table: str) -> str:
@@ -161,12 +193,19 @@ def merge_into_table(
     order_by: str | Iterable[str] | None = None,
     target_unique: bool = False,
     counted: Observation | None = None,
+    newest_wins: bool = False,
 ) -> None:
-    """Upsert ``source`` into a path-based table, source rows winning.
+    """Upsert ``source`` into a path-based table, source rows winning, or with ``newest_wins`` the row
+    of a key that is last by ``order_by``, whichever side it is on.
+
+    The source is computed once, into the shared folder: both the choice of partitions and the
+    rows come from that copy, so they agree even if the source would give other rows a second
+    time.
 
     Files cannot be replaced while they are read, so the merged rows are first written to the
     shared folder and then swapped in; after a crash in between, that copy is still there and
-    complete. It is removed after the swap.
+    complete. It is removed after the swap. The swap is not atomic: who reads the table meanwhile
+    may see a part of it.
 
     When every partition column is also a key, a row cannot change partition: only the
     partitions that ``source`` touches are read and rewritten, the others stay as they are.
@@ -180,6 +219,9 @@ def merge_into_table(
         first = merge(source, source.filter(F.lit(False)), keys, order_by)
         write_table(first, path, "error", format, parts, counted=counted)
         return
+    incoming = shared_path(spark, "merge-source")
+    source.write.parquet(incoming)
+    source = spark.read.schema(source.schema).parquet(incoming)
     # Folder names are text: without the source's types, "007" would be read back as 7.
     found = spark.read.format(format).load(path).schema
     typed = [StructField(f.name, source.schema[f.name].dataType) if f.name in parts else f for f in found]
@@ -188,9 +230,10 @@ def merge_into_table(
     if narrow:
         target = _touched(target, source, parts)
     staged = shared_path(spark, "merge-stage")
-    _counting(merge(source, target, keys, order_by, target_unique), counted).write.format(format).save(staged)
+    _counting(merge(source, target, keys, order_by, target_unique, newest_wins), counted).write.format(format).save(staged)
     write_table(spark.read.format(format).load(staged), path, "overwrite", format, parts, dynamic=narrow)
     _discard(spark, staged)
+    _discard(spark, incoming)
 
 
 #: Partitions up to which a merge names them in the target's scan.

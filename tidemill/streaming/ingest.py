@@ -100,14 +100,16 @@ def drain_merge(
     partition_by: str | Iterable[str] | None = None,
     order_by: str | Iterable[str] | None = None,
 ) -> None:
-    """Upsert every batch into a path-based table, the batch winning over what is there. Nothing
-    else may write to the table.
+    """Upsert every batch into a path-based table. Nothing else may write to the table.
 
-    A batch that is repeated after a failure merges to the same table.
+    Without ``order_by`` the batch wins over what is there. With it the row of a key that is last
+    by these columns stays, however late its batch comes; on a tie the batch wins. A batch that
+    is repeated after a failure merges to the same table.
     """
+    newest = bool(names(order_by))
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        merge_into_table(batch, path, keys, partition_by=partition_by, order_by=order_by, target_unique=True)
+        merge_into_table(batch, path, keys, partition_by=partition_by, order_by=order_by, target_unique=True, newest_wins=newest)
 
     _drain_batches(df, put, checkpoint)
 
