@@ -8,11 +8,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import session
-from .vocab import GLUED, vocabulary_path, words_of
+from .vocab import GLUED, even_words, vocabulary_path, words_of
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
@@ -28,6 +29,8 @@ WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 #: Selector 15 with this bit set: the low bits index the block's list of values over 60 bits.
 ESCAPE_BIT = np.uint64(1 << 59)
 LARGEST = (1 << 59) - 1
+#: Bit widths of the values below 65,536.
+SHORT_WIDTHS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 
 
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -46,9 +49,10 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(wide):
         values = values.copy()
         values[wide] = ESCAPE_BIT | np.arange(len(wide), dtype=np.uint64)
-    bits = np.zeros(n, np.uint8)
-    rest = values
-    if values.max() < 1 << 32:  # the exponent of an exact float is the bit width
+    rest, largest = values, values.max()
+    if largest < 1 << 16:
+        bits = SHORT_WIDTHS[values]
+    elif largest < 1 << 32:  # the exponent of an exact float is the bit width
         bits = np.frexp(values.astype(np.float64))[1].astype(np.uint8)
     else:
         high = np.frexp((rest >> np.uint64(32)).astype(np.float64))[1].astype(np.uint8)
@@ -67,7 +71,7 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if longest.min() > width:  # no longer run of fewer bits can fit either
             break
         best[: len(longest)][longest <= width] = selector
-    counts = COUNTS[best].tolist()
+    counts = COUNTS.astype(np.uint8)[best].tobytes()
     places, at = [], 0
     while at < n:
         places.append(at)
@@ -107,6 +111,7 @@ def unpack(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
 #: Words the library is given in one text.
 AT_ONCE = 200
 
+
 class Encoder:
     """Ids of whole texts by the tokenizers library; remembers the ids of words it has met."""
 
@@ -130,8 +135,11 @@ class Encoder:
 
         They are put on lines of their own: a line break between them is a token by itself.
         """
-        plain, other = [], []
-        for word in words:
+        # A space stands only at the end of a word, and the mark of a glued one is not printable.
+        spaced = [w for w in words if w.isprintable() and w[-1] != " "]
+        plain = list(zip(spaced, map(" ".__add__, spaced)))
+        other = []
+        for word in set(words).difference(spaced):
             text = word[1:] if word[0] == GLUED else " " + word
             (plain if text.isprintable() and text[-1] != " " else other).append((word, text))
         known = self.words
@@ -150,28 +158,64 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids per text. Words that are new in this batch go to the library, once each.
 
-        A text with a special string goes there whole, as its cut words might not stand alone. Once
-        REMEMBERED words are known, others are forgotten after the batch; a batch of mostly
-        new words (another language) starts the memory afresh.
+        The words of a batch are told apart by Arrow, so that only distinct ones become Python
+        texts; ids are then spread over all words at once. A text with a special string goes
+        to the library whole, as its cut words might not stand alone. Once REMEMBERED words are known,
+        others are forgotten after the batch; with a batch of mostly new words (another language)
+        the memory starts afresh.
         """
-        apart = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
-        cut = [words_of(t) for t in texts]
-        wanted = set().union(*(rest for _, rest in cut))
-        new = wanted.difference(self.words)
-        if len(self.words) > REMEMBERED and 2 * len(new) > len(wanted):
+        apart = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
+        heads, even, uneven, loose = [""] * len(texts), [], [], []
+        lines = []
+        for i, text in enumerate(texts):
+            if i in apart:
+                continue
+            marked = even_words(text)
+            if marked is not None:
+                heads[i], _, rest = marked.partition(" ")
+                if rest:
+                    even.append(i)
+                    lines.append(rest)
+            else:
+                heads[i], words = words_of(text)
+                uneven.append((i, len(words)))
+                loose += words
+        lists = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
+        sizes = [*pc.list_value_length(lists).to_pylist(), *(n for _, n in uneven)]
+        flat = pa.concat_arrays([lists.flatten(), pa.array(loose, pa.large_string())])
+        del lists, lines, loose
+        coded = flat.dictionary_encode()
+        wanted = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        own = list(map(self.words.get, wanted))
+        gaps = [i for i, ids in enumerate(own) if ids is None]
+        if len(self.words) > REMEMBERED and 2 * len(gaps) > len(wanted):
             self.words.clear()
-            new = wanted
         full = len(self.words) > REMEMBERED
-        self._learn(list(new))
-        heads = self._whole([first for first, _ in cut])
-        known = self.words.__getitem__
-        out = [head + b"".join(map(known, rest)) for head, (_, rest) in zip(heads, cut)]
-        for i, ids in zip(apart, self._whole([texts[i] for i in apart])):
-            out[i] = ids
-        if full:
-            for word in new:
-                del self.words[word]
-        return [np.frombuffer(ids, "<u4") for ids in out]
+        new = [wanted[i] for i in gaps]
+        self._learn(new)
+        for i, word in zip(gaps, new):
+            own[i] = self.words.pop(word) if full else self.words[word]
+
+        spread, ends = self._spread(own, coded.indices.to_numpy())
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])].tolist()
+        out = [np.frombuffer(ids, "<u4") for ids in self._whole(heads)]
+        for i, start, end in zip([*even, *(i for i, _ in uneven)], bounds, bounds[1:]):
+            out[i] = np.concatenate([out[i], spread[start:end]])
+        for i, ids in zip(sorted(apart), self._whole([texts[i] for i in sorted(apart)])):
+            out[i] = np.frombuffer(ids, "<u4")
+        return out
+
+    @staticmethod
+    def _spread(own: list[bytes], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``own[p]`` for every place one behind the other, and where each one ends."""
+        ids = np.frombuffer(b"".join(own), "<u4")
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        starts = np.cumsum(sizes) - sizes
+        taken = sizes[places]
+        ends = np.cumsum(taken)
+        if not len(ends):
+            return ids, ends
+        return ids[np.repeat(starts[places] - ends + taken, taken) + np.arange(ends[-1])], ends
 
 
 @lru_cache(maxsize=4)
@@ -193,6 +237,23 @@ _BLOCK = pa.schema(
 )
 
 
+#: Bytes from which batches are encoded: the more there are, the more words repeat.
+GATHERED = 4 << 20
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together until they hold GATHERED bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= GATHERED:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def write_tokens(
     docs: DataFrame,
     path: str,
@@ -230,7 +291,7 @@ def write_tokens(
             row = [part, number, first, held, names, lengths, words.astype("<u8").tobytes(), escapes.astype("<u8").tobytes()]
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _BLOCK)], schema=_BLOCK)
 
-        for batch in batches:
+        for batch in _gathered(batches):
             found = encode(batch.column("text").to_pylist())
             for own, name, p in zip(found, batch.column("doc_id").to_pylist(), batch.column("part").to_pylist()):
                 part = p

@@ -68,12 +68,19 @@ def words_of(text: str) -> tuple[str, list[str]]:
     out. Equal words so have equal tokens wherever they stand. Even texts are cut before spaces, points and commas
     and around line breaks; others only at spaces that lead a word.
     """
+    marked = even_words(text)
+    if marked is not None:
+        first, *rest = marked.split(" ")
+        return first, rest
+    first, *rest = _SPACE_BEFORE_WORD.split(text)
+    return first, rest if GLUED not in text else [GLUED + " " + w if w.startswith(GLUED) else w for w in rest]
+
+
+def even_words(text: str) -> str | None:
+    """The words of an even text with one space between them, else None."""
     if not _even(text):
-        first, *rest = _SPACE_BEFORE_WORD.split(text)
-        return first, rest if GLUED not in text else [GLUED + " " + w if w.startswith(GLUED) else w for w in rest]
-    text = text.replace(",", " \0,").replace(".", " \0.").replace("\n", " \0\n \0")
-    first, *rest = text.split(" ")
-    return first, rest
+        return None
+    return text.replace(",", " \0,").replace(".", " \0.").replace("\n", " \0\n \0")
 
 
 def spelled(word: str) -> str:
