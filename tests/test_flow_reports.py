@@ -176,6 +176,29 @@ def test_merge_target_and_shared_persist(spark, home):
     assert rows(spark.read.parquet(f"{home}/last").select("gauge", "level")) == [("R1", 3.0), ("R2", 0.5), ("R9", 9.0)]
 
 
+def test_operators_as_steps(spark, home):
+    flow = gauge_flow(home, targets=[], steps=[
+        {"step": "golden", "source": "readings", "keys": "gauge", "orderBy": "at,level", "columns": "level,reach", "output": "golden"},
+        {"step": "rolling", "source": "readings", "time": "at", "days": "2", "groupBy": "gauge", "metrics": "max:level", "output": "rolling"},
+        {"step": "levels", "source": "readings", "cube": "reach", "metrics": "count:*", "output": "levels"},
+        {"step": "record_hash", "source": "golden", "columns": "gauge,level", "hashColumn": "h"},
+        {"step": "mask", "source": "golden", "columns": "reach", "strategy": "encrypt", "key": "0123456789abcdef", "output": "hidden"},
+        {"step": "unmask", "source": "hidden", "columns": "reach", "key": "0123456789abcdef", "output": "shown"},
+        {"step": "aggregate", "source": "readings", "groupBy": "gauge", "metrics": "collect_set:reach", "output": "sets"},
+        {"step": "lookup", "source": "golden", "reference": "reaches", "joinColumns": "reach", "outputFields": "keeper,nope", "ignoreMissing": "true", "unique": "true", "output": "kept"},
+    ])
+    found = run(spark, home, flow).datasets
+    assert rows(found["golden"].select("gauge", "level")) == [("R1", 3.0), ("R2", 0.75), ("R9", 9.0)]
+    assert ("R2", 0.75) in [(r.gauge, r.max_level) for r in found["rolling"].collect()]
+    assert sorted(r.count_rows for r in found["levels"].collect()) == [1, 2, 3, 6]
+    assert rows(found["shown"].select("gauge", "reach")) == rows(found["golden"].select("gauge", "reach"))
+    assert all(len(r.h) == 64 for r in found["golden"].collect())
+    assert {r.gauge: r.collect_set_reach for r in found["sets"].collect()} == {"R1": ["upper"], "R2": ["lower"], "R9": []}
+    assert {r.gauge: r.keeper for r in found["kept"].collect()} == {"R1": "Ada", "R2": "Ben", "R9": None}
+    flow["steps"] = [{"step": "aggregate", "source": "readings", "window": "daily", "metrics": "count:*"}, {"step": "levels", "source": "readings", "metrics": "count:*"}]
+    assert len(check_flow(flow)) == 2
+
+
 def test_check_flow_lists_every_problem():
     problems = check_flow({
         "id": "x", "layer": "gold", "on_step_error": "retry",

@@ -199,11 +199,10 @@ def aggregate_window(
     units = {"daily": "day", "weekly": "week", "monthly": "month"}
     if window in units:
         return aggregate(df.withColumn("window_start", F.date_trunc(units[window], col(time))), groups, metrics, max_items)
-    timed = aggregate(df.withColumn("window_start", F.window(col(time), window)["start"]), groups, metrics, max_items)
-    # `window` leaves out rows without a time; they are a group of their own, as with periods.
-    none = F.lit(None).cast(timed.schema["window_start"].dataType)
-    untimed = df.filter(col(time).isNull()).withColumn("window_start", none)
-    return timed.unionByName(aggregate(untimed, groups, metrics, max_items))
+    # `window` leaves out rows without a time: they go in under a stand-in and come out as null, in the same scan.
+    stand_in = F.coalesce(col(time), F.lit("1970-01-01").cast(df.schema[time].dataType))
+    start = F.when(col(time).isNotNull(), F.window(stand_in, window)["start"])
+    return aggregate(df.withColumn("window_start", start), groups, metrics, max_items)
 
 
 #: How each rolling metric folds daily results: (daily aggregate, fold over the days).

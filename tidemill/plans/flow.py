@@ -104,6 +104,10 @@ def check_flow(flow: Mapping[str, Any], steps: Mapping[str, Step] = STEPS) -> li
     for s in flow.get("steps", []):
         known = {name: step.required for name, step in steps.items()}
         errors += _missing("step", s.get("step"), s, known, ())
+        if s.get("step") == "aggregate" and s.get("window") and not s.get("time"):
+            errors.append("step 'aggregate': a window needs the option 'time'")
+        if s.get("step") == "levels" and sum(s.get(o) is not None for o in ("rollup", "cube", "sets")) != 1:
+            errors.append("step 'levels': give exactly one of rollup, cube, sets")
     for t in flow.get("targets", []):
         errors += _missing("target", t.get("type"), t, TARGET_REQUIRED, ())
         if t.get("type") == "table" and not (t.get("path") or t.get("table")):

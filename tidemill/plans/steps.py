@@ -9,7 +9,21 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from ..functions import expressions, flag
-from ..operators import aggregate, aggregate_window, deduplicate, join, lookup, mask, merge, sort
+from ..operators import (
+    aggregate,
+    aggregate_levels,
+    aggregate_rolling,
+    aggregate_window,
+    deduplicate,
+    golden_record,
+    join,
+    lookup,
+    mask,
+    merge,
+    record_hash,
+    sort,
+    unmask,
+)
 
 Datasets = Mapping[str, DataFrame]
 Options = Mapping[str, Any]
@@ -54,6 +68,7 @@ def _join(ds: Datasets, o: Options, reference) -> DataFrame:
         left_id=o["left"],
         right_id=o["right"],
         select=expressions(o["select"]) if "select" in o else None,
+        null_safe=flag(o.get("nullSafe"), False),
         grouped=o.get("grouped"),
     )
 
@@ -68,6 +83,8 @@ def _lookup(ds: Datasets, o: Options, reference) -> DataFrame:
         o.get("joinType", "left"),
         broadcast=flag(o.get("broadcast"), False),
         prefix=o.get("prefix"),
+        ignore_missing=flag(o.get("ignoreMissing"), False),
+        unique=flag(o.get("unique"), False),
         grouped=flag(o.get("grouped"), False),
     )
 
@@ -81,8 +98,33 @@ def _aggregate(ds: Datasets, o: Options, reference) -> DataFrame:
     if "window" in o:
         if "time" not in o:
             raise ValueError("aggregate: a window needs the option time")
-        return aggregate_window(df, o["time"], o["window"], o.get("groupBy"), o["metrics"])
-    return aggregate(df, o.get("groupBy"), o["metrics"])
+        return aggregate_window(df, o["time"], o["window"], o.get("groupBy"), o["metrics"], _guard(o))
+    return aggregate(df, o.get("groupBy"), o["metrics"], _guard(o))
+
+
+def _guard(o: Options) -> int | None:
+    return None if o.get("maxItems") is None else int(o["maxItems"])
+
+
+def _rolling(ds: Datasets, o: Options, reference) -> DataFrame:
+    return aggregate_rolling(dataset(ds, o["source"]), o["time"], int(o["days"]), o.get("groupBy"), o["metrics"])
+
+
+def _levels(ds: Datasets, o: Options, reference) -> DataFrame:
+    df = dataset(ds, o["source"])
+    return aggregate_levels(df, o["metrics"], o.get("rollup"), o.get("cube"), o.get("sets"), o.get("level"))
+
+
+def _golden(ds: Datasets, o: Options, reference) -> DataFrame:
+    return golden_record(dataset(ds, o["source"]), o["keys"], o["orderBy"], o.get("columns"))
+
+
+def _unmask(ds: Datasets, o: Options, reference) -> DataFrame:
+    return unmask(dataset(ds, o["source"]), o["columns"], o["key"])
+
+
+def _record_hash(ds: Datasets, o: Options, reference) -> DataFrame:
+    return record_hash(dataset(ds, o["source"]), o.get("columns"), o.get("hashColumn", "record_hash"))
 
 
 def _merge(ds: Datasets, o: Options, reference) -> DataFrame:
@@ -105,6 +147,11 @@ STEPS: dict[str, Step] = {
     "mask": Step(_mask, ("source", "columns")),
     "aggregate": Step(_aggregate, ("source", "metrics")),
     "merge": Step(_merge, ("source", "target"), ("output", "target")),
+    "rolling": Step(_rolling, ("source", "time", "days", "metrics")),
+    "levels": Step(_levels, ("source", "metrics")),
+    "golden": Step(_golden, ("source", "keys", "orderBy")),
+    "unmask": Step(_unmask, ("source", "columns", "key")),
+    "record_hash": Step(_record_hash),
 }
 
 

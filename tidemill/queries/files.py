@@ -102,9 +102,20 @@ def src_incremental(spark, sf):
     return read_increment(orders, loaded, "o_orderdate").select("o_orderkey", "o_totalprice")
 
 
-@query("src_preflight")
+@query(
+    "src_preflight",
+    """
+    SELECT count(DISTINCT o_orderstatus) AS files, CAST(0 AS BIGINT) AS empty_files,
+           CAST(sum(length(CAST(o_orderkey AS VARCHAR)) + 1) AS BIGINT) AS bytes, 'ok' AS status
+    FROM orders
+    """,
+)
 def src_preflight(spark, sf):
-    return preflight(spark, f"{sf}/*.parquet").drop("path")
+    """Order keys as text, one file per status: what a run would find before it reads them."""
+    path = shared_path(spark, "preflight")
+    keys = table(spark, sf, "orders").select("o_orderstatus", F.col("o_orderkey").cast("string").alias("value"))
+    keys.repartition("o_orderstatus").write.partitionBy("o_orderstatus").text(path)
+    return preflight(spark, path).drop("path")
 
 
 # --- sinks -----------------------------------------------------------------------------

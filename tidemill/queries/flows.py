@@ -8,7 +8,7 @@ from ..plans import STEPS, custom_step, read_run_logs, run_flow
 from ..quality import Check, NotNull
 from ..session import shared_path
 from ..sources import read_csv, read_files
-from .registry import query, rounded, table
+from .registry import day, query, rounded, table
 
 
 def _frame(name, df):
@@ -174,3 +174,43 @@ def run_metrics(spark, sf):
     run_flow(spark, flow, logs_root=logs, persist_shared=True)
     entry = read_run_logs(spark, f"{logs}/applications", multi_line=False)
     return entry.select(F.explode("metrics").alias("metric", "value")).withColumn("value", F.col("value").cast("double"))
+
+
+@query(
+    "flow_rolling",
+    """
+    WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, max(value) AS m FROM events GROUP BY ALL)
+    SELECT event_type, strftime(day, '%Y-%m-%d') AS day, CAST(sum(n) OVER w AS BIGINT) AS count_rows, max(m) OVER w AS max_value
+    FROM d WINDOW w AS (PARTITION BY event_type ORDER BY day RANGE BETWEEN INTERVAL 2 DAY PRECEDING AND CURRENT ROW)
+    """,
+)
+def flow_rolling(spark, sf):
+    step = {"step": "rolling", "source": "events", "time": "ts", "days": "3", "groupBy": "event_type", "metrics": "count:*,max:value", "output": "out"}
+    out = run_flow(spark, _flow("rolling", [_parquet("events", sf, "events")], [step]), write=False).datasets["out"]
+    return out.withColumn("day", day("day"))
+
+
+@query(
+    "flow_rollup",
+    """
+    SELECT o_orderstatus, o_orderpriority, CAST(grouping_id(o_orderstatus, o_orderpriority) AS BIGINT) AS level,
+           count(*) AS count_rows, max(o_totalprice) AS max_o_totalprice
+    FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)
+    """,
+)
+def flow_rollup(spark, sf):
+    step = {"step": "levels", "source": "orders", "rollup": "o_orderstatus,o_orderpriority", "level": "level", "metrics": "count:*,max:o_totalprice"}
+    out = run_flow(spark, _flow("rollup", [_parquet("orders", sf, "orders")], [step]), write=False).datasets["orders"]
+    return out.withColumn("level", F.col("level").cast("long"))
+
+
+@query(
+    "flow_collect_set",
+    """
+    SELECT o_custkey, array_to_string(list_sort(list(DISTINCT o_orderpriority)), ',') AS priorities FROM orders GROUP BY o_custkey
+    """,
+)
+def flow_collect_set(spark, sf):
+    step = {"step": "aggregate", "source": "orders", "groupBy": "o_custkey", "metrics": "collect_set:o_orderpriority", "output": "sets"}
+    out = run_flow(spark, _flow("sets", [_parquet("orders", sf, "orders")], [step]), write=False).datasets["sets"]
+    return out.select("o_custkey", F.array_join(F.sort_array("collect_set_o_orderpriority"), ",").alias("priorities"))

@@ -101,12 +101,19 @@ def runs_history(spark, sf):
     return _printable(run_history(read_run_logs(spark, f"{root}/applications", multi_line=False)))
 
 
-@query("run_log_roundtrip")
+@query(
+    "run_log_roundtrip",
+    """
+    SELECT 'load_' || event_type AS pipeline_id, count(*) AS runs,
+           CAST(sum(CASE event_type WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 ELSE 0 END) AS BIGINT) AS metrics
+    FROM events GROUP BY event_type
+    """,
+)
 def run_log_roundtrip(spark, sf):
     path = shared_path(spark, "run-log-table")
     _logs(spark, sf).write.mode("append").json(path)
     return read_run_logs(spark, path, multi_line=False).groupBy("pipeline_id").agg(
-        F.count(F.lit(1)).alias("runs"), F.sum(F.size("metrics")).alias("metrics")
+        F.count(F.lit(1)).alias("runs"), F.sum(F.coalesce(F.size("metrics"), F.lit(0))).cast("long").alias("metrics")
     )
 
 
@@ -260,9 +267,16 @@ def inventory_totals_query(spark, sf):
     return inventory_totals(inventory_summary(_entries(spark, sf)))
 
 
-@query("inventory_files")
+@query(
+    "inventory_files",
+    f"""
+    WITH {_LOGS_SQL}
+    SELECT 'app_name=' || app_name AS app, 'layer=' || layer AS layer, count(DISTINCT pipeline_id) AS files FROM logs GROUP BY ALL
+    """,
+)
 def inventory_files(spark, sf):
-    """Files of the logs written per application and layer; how many depends on the tasks."""
-    root = shared_path(spark, "inventory")
-    _logs(spark, sf).select("app_name", "layer", "run_id").write.partitionBy("app_name", "layer").csv(root)
+    """One file per pipeline that has logs, in folders of application and layer."""
+    root, place = shared_path(spark, "inventory"), ["app_name", "layer", "pipeline_id"]
+    pipelines = _logs(spark, sf).groupBy(*place).agg(F.max("executed_at").alias("newest"))
+    pipelines.repartition(*place).write.partitionBy(*place).csv(root)
     return file_inventory(spark, root)
