@@ -249,3 +249,12 @@ def test_select_expressions_split_outside_parentheses():
 
     assert expressions("l.a, coalesce(l.v, r.w) AS z, 'x, y' AS t") == ["l.a", "coalesce(l.v, r.w) AS z", "'x, y' AS t"]
     assert expressions(["coalesce(a, b)"]) == ["coalesce(a, b)"] and expressions(None) == []
+
+
+def test_broadcast_is_bounded_by_rows_and_bytes(spark):
+    from tidemill.functions import broadcast_if_small
+
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("t"), F.array(F.lit("y")).alias("a"), F.lit(None).cast("string").alias("n"))
+    assert broadcast_if_small(wide)[1] and broadcast_if_small(wide.limit(0))[1]
+    assert not broadcast_if_small(wide, limit=99)[1]
+    assert not broadcast_if_small(wide, max_bytes=100_000)[1]

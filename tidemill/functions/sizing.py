@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
+
+from .names import col
 
 #: Largest reference that is ever broadcast on request (rows after column pruning).
 BROADCAST_ROWS = 200_000
+#: Largest reference that is ever broadcast on request, by the bytes of its values.
+BROADCAST_BYTES = 256 * 1024**2
 
 
 def within_rows(df: DataFrame, limit: int) -> bool:
@@ -18,9 +25,26 @@ def within_rows(df: DataFrame, limit: int) -> bool:
     return len(df.select(F.lit(1).alias("one")).take(limit + 1)) <= limit
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``(hinted frame, True)`` when the row bound holds, else ``(df, False)``."""
-    if within_rows(df, limit):
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes the values of a row take."""
+
+    def one(field) -> Column:
+        kind, value = field.dataType, col(field.name)
+        if isinstance(kind, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0)).cast("long")
+        if isinstance(kind, (ArrayType, MapType, StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(value.alias("v")))), F.lit(0)).cast("long")
+        return F.lit(8).cast("long")
+
+    return reduce(lambda a, b: a + b, map(one, df.schema.fields), F.lit(8).cast("long"))
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``(hinted frame, True)`` when both bounds hold, else ``(df, False)``.
+
+    Bytes are only summed for a frame within the row bound.
+    """
+    if within_rows(df, limit) and (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= max_bytes:
         return F.broadcast(df), True
     return df, False
 

@@ -167,15 +167,14 @@ def write_table(
 ) -> None:
     """Path-based table. ``dynamic`` overwrites only the partitions that ``df`` holds.
 
-    ``cluster`` shuffles rows by partition value first, so a partition gets few files. The
-    shuffle key carries the input task's id as a salt: one huge partition value is still
-    written by many tasks.
+    ``cluster`` shuffles rows by partition value first, so a partition gets few files. Adaptive
+    execution cuts the partition of a huge value by its measured size, so it is written by as
+    many tasks as it needs, and merges small ones.
     """
     mode, parts = check_mode(mode), names(partition_by)
     require_columns(df, parts, "write_table")
     if cluster and parts:
-        salt = F.pmod(F.spark_partition_id(), F.lit(16))
-        df = df.withColumn("write_salt", salt).repartition(*[col(p) for p in parts], "write_salt").drop("write_salt")
+        df = df.hint("rebalance", *[col(p) for p in parts])
     writer = _counting(df, counted).write.mode(mode).format(format)
     if parts:
         writer = writer.partitionBy(*parts)
