@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import within_rows
 from ..operators import aggregate, join, lookup
 from ..quality import fx_reconcile
 from ..session import shared_path
@@ -130,13 +129,11 @@ def join_null_safe(spark, sf):
 
 
 def _nation_reference(spark, sf) -> str:
-    """The nation table as one JSON array document, the form reference files have."""
+    """The nation table as JSON array documents, the form reference files have: one file per thousand keys."""
     path = shared_path(spark, "nation-reference")
-    if not within_rows(table(spark, sf, "nation"), 10_000):
-        raise ValueError("a reference document holds a small table")
     nations = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
-    document = nations.agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
-    document.write.text(path)
+    documents = nations.groupBy(F.floor(F.col("c_nationkey") / 1000)).agg(F.to_json(F.collect_list(F.struct(*nations.columns))).alias("value"))
+    documents.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 
