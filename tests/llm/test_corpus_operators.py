@@ -217,6 +217,33 @@ def test_decontamination(spark):
     assert decontaminate.drop_contaminated(docs, items.limit(0)).count() == len(rows)
 
 
+def hits(spark, items, docs):
+    """``{(doc, item): row}`` of texts numbered in order."""
+    items, docs = ([(i, t) for i, t in enumerate(x)] for x in (items, docs))
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    return {(r.doc_id, r.item_id): r for r in found.collect()}
+
+
+def test_items_dense_in_numbers_are_found_with_other_values(spark):
+    items = [
+        "A train travels 60 miles in 2 hours and then 90 miles in 3 hours. What is its average speed in miles per hour?",
+        "What is 12 + 34 * 5?",
+        "3 1 4 1 5 9 2 6",
+    ]
+    docs = [
+        "A train travels 80 miles in 4 hours and then 70 miles in 5 hours. What is its average speed in miles per hour?",
+        "They ask: what is 71 + 8 * 9? Nobody knows.",
+        "1 2 3 4 5 6 7 8 9 10 11 12 13",
+        "Digits: 3 1 4 1 5 9 2 6.",
+        "60 miles in 2 hours and then 90 miles in 3 hours were sailed.",
+        f"{sentences(5)} 90 miles in 3 hours, 45 miles in 6 hours. {items[0]}",
+    ]
+    found = hits(spark, items, docs)
+    assert set(found) == {(0, 0), (1, 1), (3, 2), (5, 0)}
+    assert found[0, 0].similarity == found[0, 0].consistency == 1 and found[0, 0].n_changed == 4
+    assert found[3, 2].n_changed == found[5, 0].n_changed == 0
+
+
 def test_broadcast_and_shuffled_lookup_agree(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "benchmark"))
     one = sorted(map(tuple, decontaminate.contaminated(docs, items).collect()))

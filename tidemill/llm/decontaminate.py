@@ -22,7 +22,7 @@ WINDOW = 5
 SIMILARITY = 0.8
 #: Share of slots that must agree with the commonest mapping of their value.
 CONSISTENCY = 0.8
-#: Words in a window that are no placeholder; with fewer, the window keeps its values.
+#: Words in a window that are no placeholder; with fewer, the window is looked up at first only if need be.
 MIN_WORDS = 3
 #: Item windows that are broadcast at most; beyond that the join shuffles.
 BROADCAST_WINDOWS = 500_000
@@ -84,13 +84,17 @@ def template(token: Column) -> Column:
 
 
 def _window_rows(df: DataFrame, *carry: str) -> DataFrame:
-    """Windows of ``marked`` texts: ``carry..., at, w0..w4, key``.
+    """Windows of ``marked`` texts: ``carry..., at, w0..w4, n_real, key``.
 
-    Windows are cut by zipping the shifted words; no text is copied along.
+    Windows are cut by zipping the shifted words; no text is copied along. ``n_real`` counts the words
+    that are no placeholder.
     """
     df = df.select(*carry, F.col("marked").rlike(f"[{NUMBER}-{NAME}]").alias("slotted"), tokens(F.col("marked")).alias("words"))
     df = df.select(*carry, F.posexplode(_zipped()).alias("at", "z"), "slotted")
-    return df.select(*carry, "at", *[F.col(f"z.w{k}") for k in range(WINDOW)], _key(F.col("z"), F.col("slotted")).alias("key"))
+    words = [F.col("z")[f"w{k}"] for k in range(WINDOW)]
+    n_real = sum((_real(w) for w in words[1:]), _real(words[0]))
+    df = df.select(*carry, "at", "z", "slotted", n_real.alias("n_real"))
+    return df.select(*carry, "at", *[F.col(f"z.w{k}") for k in range(WINDOW)], "n_real", _key(words).alias("key"))
 
 
 def _zipped() -> Column:
@@ -99,36 +103,39 @@ def _zipped() -> Column:
     return F.arrays_zip(*[F.slice("words", k + 1, count).alias(f"w{k}") for k in range(WINDOW)])
 
 
-def _key(z: Column, slotted: Column) -> Column:
-    """Hash of a window's template, or of its values too where too few words remain."""
-    words = [z[f"w{k}"] for k in range(WINDOW)]
-    plain = [template(w) for w in words]
-    slots = [F.coalesce(F.substring(w, 1, 1).isin(NUMBER, UNIT, NAME), F.lit(False)).cast("int") for w in words]
-    real = [F.when(w.isNull(), 0).otherwise(1 - s) for w, s in zip(words, slots)]
-    few = (sum(slots[1:], slots[0]) > 0) & (sum(real[1:], real[0]) < MIN_WORDS)
-    by_slots = F.when(few, F.xxhash64(F.lit("values"), *words)).otherwise(F.xxhash64(*plain))
-    return F.when(slotted, by_slots).otherwise(F.xxhash64(*words))
+def _real(token: Column) -> Column:
+    """1 for a word, 0 for a placeholder or the nulls behind a text's end."""
+    return F.coalesce(~F.substring(token, 1, 1).isin(NUMBER, UNIT, NAME), F.lit(False)).cast("int")
+
+
+def _key(words: Sequence[Column]) -> Column:
+    """Hash of a window's template; of its values where it holds no word at all."""
+    by_template = F.when(F.col("slotted"), F.xxhash64(*[template(w) for w in words])).otherwise(F.xxhash64(*words))
+    return F.when(F.col("n_real") > 0, by_template).otherwise(F.xxhash64(F.lit("values"), *words))
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", names: Sequence[str] = GIVEN_NAMES) -> DataFrame:
     """``(item_id, at, key, w0..w4, n_windows, probe)``: an item's windows.
 
-    ``probe`` marks the rarest fifth plus one of its distinct windows: a document with
-    SIMILARITY of all of them holds at least one of these, so only these are looked up at first.
+    Windows of placeholders alone tell nothing about an item and do not count, unless it has
+    no others: these are compared by their values. ``probe`` marks the rarest fifth plus one of the distinct
+    windows, those of at least MIN_WORDS words first: a document with SIMILARITY of all of
+    them holds at least one of these, so only these are looked up at first.
     Rows with a null id or an empty text have no windows. Rows that repeat an id are one item.
     """
     marked_items = items.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("item_id"), marked(F.coalesce(F.col(text_col), F.lit("")), names).alias("marked")
     )
     rows = _window_rows(marked_items, "item_id")
-    keys = rows.select("item_id", "key").distinct()
+    rows = rows.withColumn("most", F.expr("max(n_real) OVER (PARTITION BY item_id)")).where("n_real > 0 OR most = 0").drop("most")
+    keys = rows.groupBy("item_id", "key").agg((F.min("n_real") < MIN_WORDS).alias("few"))
     common = keys.groupBy("key").agg(F.count("*").alias("items"))
     sizes = keys.groupBy("item_id").agg(F.count("*").alias("n_windows"))
     ranked = keys.join(common, "key").join(sizes, "item_id")
-    ranked = ranked.withColumn("rank", F.expr("row_number() OVER (PARTITION BY item_id ORDER BY items, key)"))
+    ranked = ranked.withColumn("rank", F.expr("row_number() OVER (PARTITION BY item_id ORDER BY few, items, key)"))
     spare = F.col("n_windows") - F.ceil(F.col("n_windows") * SIMILARITY) + 1
     ranked = ranked.select("item_id", "key", "n_windows", (F.col("rank") <= spare).alias("probe"))
-    return rows.join(ranked, ["item_id", "key"])
+    return rows.drop("n_real").join(ranked, ["item_id", "key"])
 
 
 def contaminated(
@@ -182,7 +189,7 @@ def contaminated(
     pairs_of_slots = hits.select(*place, F.explode(slots).alias("s")).select(*place, "s.place", "s.item", "s.doc").distinct()
     mapped = pairs_of_slots.groupBy(*place, "item", "doc").agg(F.count("*").alias("n"))
     # A place that several windows of the document fill differently counts through its best filling.
-    by_value = mapped.groupBy(*place, "item").agg(F.max("n").alias("agree"), F.max_by(F.col("item") != F.col("doc"), F.struct("n", "doc")).alias("changed"))
+    by_value = mapped.groupBy(*place, "item").agg(F.max("n").alias("agree"), F.max_by(F.col("item") != F.col("doc"), F.struct("n", F.col("item") == F.col("doc"), "doc")).alias("changed"))
     sizes = pairs_of_slots.groupBy(*place, "item").agg(F.count_distinct("place").alias("n_places"))
     judged = (
         by_value.join(sizes, (_on(by_value, sizes, place)) & (by_value["item"] == sizes["item"]))
