@@ -244,6 +244,18 @@ def test_items_dense_in_numbers_are_found_with_other_values(spark):
     assert found[3, 2].n_changed == found[5, 0].n_changed == 0
 
 
+def test_items_are_found_in_any_case_and_line_breaks(spark):
+    item = "On Monday Priya bought 4 Pounds of rice and Rahul sold Two Dozen eggs to Priya. How much did Priya and Rahul have in all?"
+    other = item.replace("Priya", "Ingrid").replace("Rahul", "Sven").replace("4", "11").replace(" ", "\n")
+    docs = [ITEM.upper().lower(), ITEM.replace(" ", "\n"), ITEM.upper(), item.lower(), item.upper(), other, item.lower().replace("4", "37"),
+            item.replace(" ", "\u00a0 \r\n\t"), "Alice and Tom", item.lower().replace("priya bought", "nobody ate").replace("eggs to", "hens of")]
+    found = hits(spark, [ITEM, item], docs)
+    assert set(found) >= {(0, 0), (1, 0), (2, 0), (3, 1), (4, 1), (5, 1), (6, 1), (7, 1)} and not any(d in (8, 9) for d, _ in found)
+    assert all(found[k].similarity == 1 and found[k].consistency == 1 for k in found)
+    assert all(found[k].n_changed == 0 for k in ((0, 0), (1, 0), (2, 0), (3, 1), (4, 1), (7, 1)))
+    assert found[6, 1].n_changed == 1 and found[5, 1].n_changed == 6
+
+
 def test_broadcast_and_shuffled_lookup_agree(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "benchmark"))
     one = sorted(map(tuple, decontaminate.contaminated(docs, items).collect()))

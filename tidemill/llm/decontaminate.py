@@ -3,13 +3,16 @@
 A text is brought to a template: numbers, names and units become typed placeholders. Windows of five
 template words are hash-joined between documents and items, and the slots behind the placeholders
 must map onto each other consistently, so that a question asked again with other numbers and
-names is found and a text that only shares a pattern of placeholders is not.
+names is found and a text that only shares a pattern of placeholders is not. Windows may also agree with
+their names as plain words, so that a copy in other letter case is found.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +32,8 @@ BROADCAST_WINDOWS = 500_000
 
 #: Placeholder marks: number, unit, name; and the mark between the parts of a number.
 NUMBER, UNIT, NAME, PART = "\ue000", "\ue001", "\ue002", "\ue003"
+#: White space, all of which counts as one blank.
+SPACES = "\t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 NUMBER_WORDS = """two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen
     seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion
@@ -57,19 +62,22 @@ def marked(text: Column, names: Sequence[str] = GIVEN_NAMES) -> Column:
     """``text`` with every number, unit and name led by its placeholder mark, in lower case.
 
     A number is a run of digits with inner ``. , : /``, or a number word; a unit is a unit word right
-    after a number; a name is a capitalised word inside a sentence, or one of ``names`` anywhere. Patterns
+    after a number; a name is a capitalised word inside a sentence, or one of ``names`` anywhere. Numbers and
+    units do not depend on letter case, and any white space is one blank. Patterns
     test the character at hand before they look around it: they run over every character of a corpus.
     """
     apart = r"(?![\p{L}\p{N}])"
-    out = F.translate(text, NUMBER + UNIT + NAME + PART, "    ")
+    marks = NUMBER + UNIT + NAME + PART
+    out = F.regexp_replace(F.translate(text, marks + SPACES, " " * len(marks + SPACES)), "  +", " ")
     out = F.regexp_replace(out, r"[.,:/](?=\p{N})(?<=\p{N}.)", PART)
-    inside = r"(?<=[\p{L}\p{N},;:'’\"”)]\x20)\p{Lu}[\p{Ll}\p{M}]+"
+    no_number = rf"(?!{_any([w.capitalize() for w in NUMBER_WORDS])}{apart})"
+    inside = rf"(?<=[\p{{L}}\p{{N}},;:'’\"”)]\x20){no_number}\p{{Lu}}[\p{{Ll}}\p{{M}}]+"
     known = rf"(?<![\p{{L}}\p{{N}}]){_any(names)}" if names else "(?!)"
     out = F.lower(F.regexp_replace(out, rf"(?=\p{{Lu}})(?:{inside}|{known}){apart}", NAME + "$0"))
     first = "".join(sorted({w[0] for w in NUMBER_WORDS}))
     spelt = rf"(?=[{first}])(?<![\p{{L}}\p{{N}}{NAME}]){_any(NUMBER_WORDS)}{apart}"
     out = F.regexp_replace(out, rf"\p{{N}}[\p{{N}}{PART}]*|{spelt}", f" {NUMBER}$0 ")
-    return F.regexp_replace(out, rf"({NUMBER}[\p{{L}}\p{{N}}{PART}]+ [ -]?)({_any(UNITS)}){apart}", f"$1{UNIT}$2")
+    return F.regexp_replace(out, rf"({NUMBER}[\p{{L}}\p{{N}}{PART}]+ [ -]?){NAME}?({_any(UNITS)}){apart}", f"$1{UNIT}$2")
 
 
 def tokens(marked_text: Column) -> Column:
@@ -83,18 +91,29 @@ def template(token: Column) -> Column:
     return F.when(first.isin(NUMBER, UNIT, NAME), first).otherwise(token)
 
 
+def bare(token: Column) -> Column:
+    """A token without its mark."""
+    return F.translate(token, NUMBER + UNIT + NAME, "")
+
+
+def _nameless(token: Column) -> Column:
+    """The template of a token whose names are words like any other, so that letter case does not matter."""
+    first = F.substring(token, 1, 1)
+    return F.when(first.isin(NUMBER, UNIT), first).when(first == NAME, F.substring(token, 2, 1 << 30)).otherwise(token)
+
+
 def _window_rows(df: DataFrame, *carry: str) -> DataFrame:
-    """Windows of ``marked`` texts: ``carry..., at, w0..w4, n_real, key``.
+    """Windows of ``marked`` texts: ``carry..., at, w0..w4, n_real, keys``.
 
     Windows are cut by zipping the shifted words; no text is copied along. ``n_real`` counts the words
-    that are no placeholder.
+    that are no placeholder. ``keys`` starts with the template's; windows are equal if they share any key.
     """
     df = df.select(*carry, F.col("marked").rlike(f"[{NUMBER}-{NAME}]").alias("slotted"), tokens(F.col("marked")).alias("words"))
     df = df.select(*carry, F.posexplode(_zipped()).alias("at", "z"), "slotted")
     words = [F.col("z")[f"w{k}"] for k in range(WINDOW)]
     n_real = sum((_real(w) for w in words[1:]), _real(words[0]))
     df = df.select(*carry, "at", "z", "slotted", n_real.alias("n_real"))
-    return df.select(*carry, "at", *[F.col(f"z.w{k}") for k in range(WINDOW)], "n_real", _key(words).alias("key"))
+    return df.select(*carry, "at", *[F.col(f"z.w{k}") for k in range(WINDOW)], "n_real", _keys(words).alias("keys"))
 
 
 def _zipped() -> Column:
@@ -108,15 +127,21 @@ def _real(token: Column) -> Column:
     return F.coalesce(~F.substring(token, 1, 1).isin(NUMBER, UNIT, NAME), F.lit(False)).cast("int")
 
 
-def _key(words: Sequence[Column]) -> Column:
-    """Hash of a window's template; of its values where it holds no word at all."""
-    by_template = F.when(F.col("slotted"), F.xxhash64(*[template(w) for w in words])).otherwise(F.xxhash64(*words))
-    return F.when(F.col("n_real") > 0, by_template).otherwise(F.xxhash64(F.lit("values"), *words))
+def _keys(words: Sequence[Column]) -> Column:
+    """Hashes of a window: of its template, with names as slots and as words; of its values where it holds no word at all."""
+    plain = F.xxhash64(*[template(w) for w in words])
+    named = reduce(or_, [F.coalesce(F.substring(w, 1, 1) == NAME, F.lit(False)) for w in words])
+    worded = F.when(named, F.array(plain, F.xxhash64(*[_nameless(w) for w in words]))).otherwise(F.array(plain))
+    values = F.xxhash64(F.lit("values"), *[bare(w) for w in words])
+    wordless = F.when(named, F.array(values, F.xxhash64(*[_nameless(w) for w in words]))).otherwise(F.array(values))
+    by_slots = F.when(F.col("n_real") > 0, worded).otherwise(wordless)
+    return F.when(F.col("slotted"), by_slots).otherwise(F.array(F.xxhash64(*words)))
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", names: Sequence[str] = GIVEN_NAMES) -> DataFrame:
-    """``(item_id, at, key, w0..w4, n_windows, probe)``: an item's windows.
+    """``(item_id, at, key, w0..w4, window, n_windows, probe)``: an item's windows, once per key.
 
+    ``window`` is the key of its template; a window is found if any of its keys is.
     Windows of placeholders alone tell nothing about an item and do not count, unless it has
     no others: these are compared by their values. ``probe`` marks the rarest fifth plus one of the distinct
     windows, those of at least MIN_WORDS words first: a document with SIMILARITY of all of
@@ -126,16 +151,17 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     marked_items = items.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("item_id"), marked(F.coalesce(F.col(text_col), F.lit("")), names).alias("marked")
     )
-    rows = _window_rows(marked_items, "item_id")
+    rows = _window_rows(marked_items, "item_id").withColumn("window", F.col("keys")[0])
     rows = rows.withColumn("most", F.expr("max(n_real) OVER (PARTITION BY item_id)")).where("n_real > 0 OR most = 0").drop("most")
-    keys = rows.groupBy("item_id", "key").agg((F.min("n_real") < MIN_WORDS).alias("few"))
-    common = keys.groupBy("key").agg(F.count("*").alias("items"))
+    keys = rows.groupBy("item_id", "window").agg((F.min("n_real") < MIN_WORDS).alias("few"))
+    common = keys.groupBy("window").agg(F.count("*").alias("items"))
     sizes = keys.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    ranked = keys.join(common, "key").join(sizes, "item_id")
-    ranked = ranked.withColumn("rank", F.expr("row_number() OVER (PARTITION BY item_id ORDER BY few, items, key)"))
+    ranked = keys.join(common, "window").join(sizes, "item_id")
+    ranked = ranked.withColumn("rank", F.expr("row_number() OVER (PARTITION BY item_id ORDER BY few, items, window)"))
     spare = F.col("n_windows") - F.ceil(F.col("n_windows") * SIMILARITY) + 1
-    ranked = ranked.select("item_id", "key", "n_windows", (F.col("rank") <= spare).alias("probe"))
-    return rows.drop("n_real").join(ranked, ["item_id", "key"])
+    ranked = ranked.select("item_id", "window", "n_windows", (F.col("rank") <= spare).alias("probe"))
+    each = rows.select("item_id", "at", "window", *[f"w{k}" for k in range(WINDOW)], F.explode("keys").alias("key"))
+    return each.join(ranked, ["item_id", "window"])
 
 
 def contaminated(
@@ -168,25 +194,28 @@ def contaminated(
     marking = marked(F.col("text"), names).alias("marked")
     every = own.select("doc_id", "text_key", marking)
     # First look: any of an item's rarest windows.
-    found = _window_rows(every, "doc_id", "text_key").select("doc_id", "text_key", "key")
+    found = _window_rows(every, "doc_id", "text_key").select("doc_id", "text_key", F.explode("keys").alias("key"))
     pairs = kept(found.join(probes, "key").select("doc_id", "text_key", "item_id").distinct(), "item-candidates")
     # Second look, at these documents only: all windows, with places and values.
     wanted_docs = pairs.select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_")).distinct()
     some = own.join(wanted_docs, own["doc_id"].eqNullSafe(F.col("id_")) & (F.col("text_key") == F.col("key_")), "left_semi")
     rows = _window_rows(some.select("doc_id", "text_key", marking), "doc_id", "text_key")
-    rows = rows.select("doc_id", "text_key", "key", *[F.col(f"w{k}").alias(f"d{k}") for k in range(WINDOW)]).distinct()
+    rows = rows.select("doc_id", "text_key", "keys", *[F.col(f"w{k}").alias(f"d{k}") for k in range(WINDOW)]).distinct()
+    rows = rows.withColumn("key", F.explode("keys")).drop("keys")
     named = pairs.select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_"), "item_id")
     rows = rows.join(named, rows["doc_id"].eqNullSafe(F.col("id_")) & (F.col("text_key") == F.col("key_"))).drop("id_", "key_")
     hits = rows.join(wanted.drop("probe"), ["item_id", "key"])
     place = ["doc_id", "text_key", "item_id"]
-    counted = hits.groupBy(*place).agg(F.count_distinct("key").alias("n_found"), F.max("n_windows").alias("n_windows"))
+    counted = hits.groupBy(*place).agg(F.count_distinct("window").alias("n_found"), F.max("n_windows").alias("n_windows"))
     counted = counted.where(F.col("n_found") >= SIMILARITY * F.col("n_windows"))
 
     slots = F.array(
         *[F.struct((F.col("at") + k).alias("place"), F.col(f"w{k}").alias("item"), F.col(f"d{k}").alias("doc")) for k in range(WINDOW)]
     )
     slots = F.filter(slots, lambda s: F.substring(s["item"], 1, 1).isin(NUMBER, UNIT, NAME))
-    pairs_of_slots = hits.select(*place, F.explode(slots).alias("s")).select(*place, "s.place", "s.item", "s.doc").distinct()
+    pairs_of_slots = hits.select(*place, F.explode(slots).alias("s"))
+    # The same value with and without a mark, as in a copy in lower case, is no change.
+    pairs_of_slots = pairs_of_slots.select(*place, "s.place", bare(F.col("s.item")).alias("item"), bare(F.col("s.doc")).alias("doc")).distinct()
     mapped = pairs_of_slots.groupBy(*place, "item", "doc").agg(F.count("*").alias("n"))
     # A place that several windows of the document fill differently counts through its best filling.
     by_value = mapped.groupBy(*place, "item").agg(F.max("n").alias("agree"), F.max_by(F.col("item") != F.col("doc"), F.struct("n", F.col("item") == F.col("doc"), "doc")).alias("changed"))
