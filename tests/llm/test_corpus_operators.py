@@ -256,6 +256,19 @@ def test_items_are_found_in_any_case_and_line_breaks(spark):
     assert found[6, 1].n_changed == 1 and found[5, 1].n_changed == 6
 
 
+def test_sentences_that_begin_with_any_name(spark):
+    item = "Natalia sold 48 clips in April. Zuleika sold half as many in May. Natalia gave a third to her aunt. Zuleika kept hers. How many are left?"
+    unlisted = item.replace("Natalia", "Oksana").replace("Zuleika", "Bertil")
+    priya = item.replace("Natalia", "Priya").replace("Zuleika", "Ingrid").replace("48", "50")
+    mixed = "Alva sold 48 clips in April. Bo sold half as many in May. Cleo gave a third to her aunt. Dag kept hers. How many are left?"
+    led = f"He writes, {unlisted}"
+    found = hits(spark, [item, unlisted], [priya, unlisted, mixed, led, f"{sentences(8)} Priya sold nothing in April. Ingrid kept hers."])
+    assert set(found) >= {(d, i) for d in (0, 1, 3) for i in (0, 1)} and not any(d == 4 for d, _ in found)
+    assert found[0, 0].similarity == found[0, 0].consistency == 1 and found[0, 0].n_changed == 5
+    assert found[1, 1].n_changed == found[3, 1].n_changed == 0 and found[1, 1].consistency == 1
+    assert (2, 1) not in found or found[2, 1].consistency < 1
+
+
 def test_broadcast_and_shuffled_lookup_agree(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "benchmark"))
     one = sorted(map(tuple, decontaminate.contaminated(docs, items).collect()))

@@ -30,8 +30,8 @@ MIN_WORDS = 3
 #: Item windows that are broadcast at most; beyond that the join shuffles.
 BROADCAST_WINDOWS = 500_000
 
-#: Placeholder marks: number, unit, name; and the mark between the parts of a number.
-NUMBER, UNIT, NAME, PART = "\ue000", "\ue001", "\ue002", "\ue003"
+#: Placeholder marks: number, unit, name; the mark between the parts of a number; a capitalised word that may be a name.
+NUMBER, UNIT, NAME, PART, MAYBE = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004"
 #: White space, all of which counts as one blank.
 SPACES = "\t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -62,44 +62,53 @@ def marked(text: Column, names: Sequence[str] = GIVEN_NAMES) -> Column:
     """``text`` with every number, unit and name led by its placeholder mark, in lower case.
 
     A number is a run of digits with inner ``. , : /``, or a number word; a unit is a unit word right
-    after a number; a name is a capitalised word inside a sentence, or one of ``names`` anywhere. Numbers and
+    after a number; a name is a capitalised word inside a sentence, or one of ``names`` anywhere. Other
+    capitalised words, as at the beginning of a sentence, may be names and have a mark of their own. Numbers and
     units do not depend on letter case, and any white space is one blank. Patterns
     test the character at hand before they look around it: they run over every character of a corpus.
     """
     apart = r"(?![\p{L}\p{N}])"
-    marks = NUMBER + UNIT + NAME + PART
+    marks = NUMBER + UNIT + NAME + PART + MAYBE
     out = F.regexp_replace(F.translate(text, marks + SPACES, " " * len(marks + SPACES)), "  +", " ")
     out = F.regexp_replace(out, r"[.,:/](?=\p{N})(?<=\p{N}.)", PART)
     no_number = rf"(?!{_any([w.capitalize() for w in NUMBER_WORDS])}{apart})"
-    inside = rf"(?<=[\p{{L}}\p{{N}},;:'’\"”)]\x20){no_number}\p{{Lu}}[\p{{Ll}}\p{{M}}]+"
+    capitalised = rf"{no_number}\p{{Lu}}[\p{{Ll}}\p{{M}}]+"
+    inside = rf"(?<=[\p{{L}}\p{{N}},;:'’\"”)]\x20){capitalised}"
     known = rf"(?<![\p{{L}}\p{{N}}]){_any(names)}" if names else "(?!)"
-    out = F.lower(F.regexp_replace(out, rf"(?=\p{{Lu}})(?:{inside}|{known}){apart}", NAME + "$0"))
+    out = F.regexp_replace(out, rf"(?=\p{{Lu}})(?:{inside}|{known}){apart}", NAME + "$0")
+    out = F.lower(F.regexp_replace(out, rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}{NAME}]){capitalised}{apart}", MAYBE + "$0"))
     first = "".join(sorted({w[0] for w in NUMBER_WORDS}))
     spelt = rf"(?=[{first}])(?<![\p{{L}}\p{{N}}{NAME}]){_any(NUMBER_WORDS)}{apart}"
     out = F.regexp_replace(out, rf"\p{{N}}[\p{{N}}{PART}]*|{spelt}", f" {NUMBER}$0 ")
-    return F.regexp_replace(out, rf"({NUMBER}[\p{{L}}\p{{N}}{PART}]+ [ -]?){NAME}?({_any(UNITS)}){apart}", f"$1{UNIT}$2")
+    return F.regexp_replace(out, rf"({NUMBER}[\p{{L}}\p{{N}}{PART}]+ [ -]?)[{NAME}{MAYBE}]?({_any(UNITS)}){apart}", f"$1{UNIT}$2")
 
 
 def tokens(marked_text: Column) -> Column:
     """Words and marked values of a text from ``marked``; all else separates them."""
-    return F.array_remove(F.split(marked_text, rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{PART}]+"), "")
+    return F.array_remove(F.split(marked_text, rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{MAYBE}]+"), "")
 
 
 def template(token: Column) -> Column:
-    """The placeholder of a marked value, or the word itself."""
+    """The placeholder of a marked value, or the word itself; what may be a name is a word here."""
     first = F.substring(token, 1, 1)
-    return F.when(first.isin(NUMBER, UNIT, NAME), first).otherwise(token)
+    return F.when(first.isin(NUMBER, UNIT, NAME), first).when(first == MAYBE, F.substring(token, 2, 1 << 30)).otherwise(token)
 
 
 def bare(token: Column) -> Column:
     """A token without its mark."""
-    return F.translate(token, NUMBER + UNIT + NAME, "")
+    return F.translate(token, NUMBER + UNIT + NAME + MAYBE, "")
 
 
 def _nameless(token: Column) -> Column:
     """The template of a token whose names are words like any other, so that letter case does not matter."""
     first = F.substring(token, 1, 1)
-    return F.when(first.isin(NUMBER, UNIT), first).when(first == NAME, F.substring(token, 2, 1 << 30)).otherwise(token)
+    return F.when(first.isin(NUMBER, UNIT), first).when(first.isin(NAME, MAYBE), F.substring(token, 2, 1 << 30)).otherwise(token)
+
+
+def _all_names(token: Column) -> Column:
+    """The template of a token where what may be a name is one."""
+    first = F.substring(token, 1, 1)
+    return F.when(first.isin(NUMBER, UNIT, NAME), first).when(first == MAYBE, NAME).otherwise(token)
 
 
 def _window_rows(df: DataFrame, *carry: str) -> DataFrame:
@@ -108,7 +117,7 @@ def _window_rows(df: DataFrame, *carry: str) -> DataFrame:
     Windows are cut by zipping the shifted words; no text is copied along. ``n_real`` counts the words
     that are no placeholder. ``keys`` starts with the template's; windows are equal if they share any key.
     """
-    df = df.select(*carry, F.col("marked").rlike(f"[{NUMBER}-{NAME}]").alias("slotted"), tokens(F.col("marked")).alias("words"))
+    df = df.select(*carry, F.col("marked").rlike(f"[{NUMBER}-{NAME}{MAYBE}]").alias("slotted"), tokens(F.col("marked")).alias("words"))
     df = df.select(*carry, F.posexplode(_zipped()).alias("at", "z"), "slotted")
     words = [F.col("z")[f"w{k}"] for k in range(WINDOW)]
     n_real = sum((_real(w) for w in words[1:]), _real(words[0]))
@@ -128,14 +137,25 @@ def _real(token: Column) -> Column:
 
 
 def _keys(words: Sequence[Column]) -> Column:
-    """Hashes of a window: of its template, with names as slots and as words; of its values where it holds no word at all."""
+    """Hashes of a window: of its template, with names as words, and with all that may be names as slots.
+
+    A window without a word has the hash of its values, and so has one that is without once
+    all that may be names are slots: these alone would be found anywhere.
+    """
+
+    def some(mark: str) -> Column:
+        return reduce(or_, [F.coalesce(F.substring(w, 1, 1) == mark, F.lit(False)) for w in words])
+
     plain = F.xxhash64(*[template(w) for w in words])
-    named = reduce(or_, [F.coalesce(F.substring(w, 1, 1) == NAME, F.lit(False)) for w in words])
-    worded = F.when(named, F.array(plain, F.xxhash64(*[_nameless(w) for w in words]))).otherwise(F.array(plain))
     values = F.xxhash64(F.lit("values"), *[bare(w) for w in words])
-    wordless = F.when(named, F.array(values, F.xxhash64(*[_nameless(w) for w in words]))).otherwise(F.array(values))
-    by_slots = F.when(F.col("n_real") > 0, worded).otherwise(wordless)
-    return F.when(F.col("slotted"), by_slots).otherwise(F.array(F.xxhash64(*words)))
+    nameless = F.xxhash64(*[_nameless(w) for w in words])
+    sure = reduce(or_, [F.coalesce(~F.substring(w, 1, 1).isin(NUMBER, UNIT, NAME, MAYBE), F.lit(False)) for w in words])
+    all_names = F.when(sure, F.xxhash64(*[_all_names(w) for w in words])).otherwise(values)
+    first = F.when(F.col("n_real") > 0, plain).otherwise(values)
+    named, maybe = some(NAME), some(MAYBE)
+    keys = F.when(named & maybe, F.array(first, nameless, all_names)).when(named, F.array(first, nameless))
+    keys = keys.when(maybe, F.array(first, all_names)).otherwise(F.array(first))
+    return F.when(F.col("slotted"), keys).otherwise(F.array(F.xxhash64(*words)))
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", names: Sequence[str] = GIVEN_NAMES) -> DataFrame:
@@ -212,16 +232,17 @@ def contaminated(
     slots = F.array(
         *[F.struct((F.col("at") + k).alias("place"), F.col(f"w{k}").alias("item"), F.col(f"d{k}").alias("doc")) for k in range(WINDOW)]
     )
-    slots = F.filter(slots, lambda s: F.substring(s["item"], 1, 1).isin(NUMBER, UNIT, NAME))
+    slots = F.filter(slots, lambda s: F.substring(s["item"], 1, 1).isin(NUMBER, UNIT, NAME, MAYBE))
     pairs_of_slots = hits.select(*place, F.explode(slots).alias("s"))
     # The same value with and without a mark, as in a copy in lower case, is no change.
-    pairs_of_slots = pairs_of_slots.select(*place, "s.place", bare(F.col("s.item")).alias("item"), bare(F.col("s.doc")).alias("doc")).distinct()
+    pairs_of_slots = pairs_of_slots.select(*place, "s.place", bare(F.col("s.item")).alias("item"), bare(F.col("s.doc")).alias("doc"), (F.substring("s.item", 1, 1) != MAYBE).alias("sure")).distinct()
     mapped = pairs_of_slots.groupBy(*place, "item", "doc").agg(F.count("*").alias("n"))
     # A place that several windows of the document fill differently counts through its best filling.
     by_value = mapped.groupBy(*place, "item").agg(F.max("n").alias("agree"), F.max_by(F.col("item") != F.col("doc"), F.struct("n", F.col("item") == F.col("doc"), "doc")).alias("changed"))
-    sizes = pairs_of_slots.groupBy(*place, "item").agg(F.count_distinct("place").alias("n_places"))
+    sizes = pairs_of_slots.groupBy(*place, "item").agg(F.count_distinct("place").alias("n_places"), F.max("sure").alias("sure"))
     judged = (
         by_value.join(sizes, (_on(by_value, sizes, place)) & (by_value["item"] == sizes["item"]))
+        .where(F.col("sure") | F.col("changed"))  # a capitalised word that stayed as it was is no slot
         .select(*[by_value[c] for c in place], "agree", "changed", "n_places")
         .groupBy(*place)
         .agg(
