@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from . import bpe_codec, chat, classifier, decontaminate, html_text, shards, simhash, token_count, token_file
+from . import bpe_codec, chat, classifier, conversation_repair, decontaminate, html_text, lexicon, merkle, shards, simhash, token_count, token_file
 from . import quality_rules as rules
 from .common import session, table
 
@@ -104,3 +104,30 @@ def op10_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = classifier.fit(docs, table(spark, folder, "labels"), ~classifier.held_out(F.col("doc_id")))
     return classifier.classify(docs, model)
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, damaged by a fixed rule and repaired with the cheapest edits."""
+    return conversation_repair.repair(conversation_repair.damage(table(spark, folder, "conversations")))
+
+
+@query("op12_merkle")
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Manifest of all documents, each one's proof, and whether its row after tampering still leads to the root."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return merkle.verify_tampered(table(spark, folder, "documents"), tampered, lower)
+
+
+@query("op13_lexicon_bpe")
+def op13_lexicon_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every text through a lexicon of its corpus, and the text they decode to, as digests."""
+    docs = table(spark, folder, "documents")
+    found = lexicon.decode(lexicon.encode(docs, lexicon.compile_lexicon(docs)))
+    return found.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
