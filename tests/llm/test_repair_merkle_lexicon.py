@@ -314,6 +314,22 @@ def test_transducer_is_minimal_and_exact():
 def test_long_matches_merge_like_short_ones():
     known = lexicon.merges()
     random.seed(3)
-    for n in (2, 7, 150, 199):
-        symbols = [known.characters[b] for b in "".join(random.choices("abcdeth in", k=n)).encode()]
-        assert known._merge_long(symbols) == known.merge(symbols)
+    short = ["".join(random.choices("abcdethinsxx é", k=random.randrange(1, 33))).encode()[:32] for _ in range(500)] + [b"xxxxxxx", b"a", b""]
+    ids, sizes = known.merge_many(short)
+    ends = sizes.cumsum()
+    for k, match in enumerate(short):
+        parts = known.merge([known.characters[b] for b in match])
+        assert [known.ids[p] for p in parts] == ids[ends[k] - sizes[k] : ends[k]].tolist(), match
+
+
+def test_merging_takes_lowest_rank_then_leftmost():
+    known = lexicon.merges()
+    for text in ("hello", " the", "aaaaaaaa", "abababab", " thethethe"):
+        parts = [known.characters[b] for b in text.encode()]
+        while True:
+            ranked = [(known.ranks[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in known.ranks]
+            if not ranked:
+                break
+            _, i = min(ranked)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        assert known.merge([known.characters[b] for b in text.encode()]) == parts

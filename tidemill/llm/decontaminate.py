@@ -44,10 +44,6 @@ UNITS = """mm cm m km in ft yd mi inch inches foot feet yard yards mile miles me
     minute minutes h hr hrs hour hours day days week weeks month months year years decade decades mph kmh kph hz khz
     mhz ghz v kv w kw mw j kj kcal cal n pa kpa bar psi c f k percent pct dollar dollars cent cents euro euros usd eur
     gbp yen rupee rupees degree degrees byte bytes kb mb gb tb""".split()
-#: Given names that count as names also where a sentence begins.
-GIVEN_NAMES = """Alice Bob Carol Dave Eve Tom Jerry John Jane Jack Jill Mary Peter Paul Anna Emma Sam Sarah Susan
-    James Robert Michael David Linda Lisa Maria Mark Lucy Kate Ben Dan Tim Jim Joe Mike Nick Julia Laura Natalia
-    Janet Weng Betty Julie Ken Alexis Tina Toula Carla Emily George Henry Charlie Oliver Sophia Olivia Liam Noah""".split()
 
 
 def _any(words: Sequence[str]) -> str:
@@ -58,14 +54,14 @@ def _any(words: Sequence[str]) -> str:
     return "(?:" + "|".join(f"{re.escape(c)}(?:{'|'.join(rest)})" for c, rest in by_first.items()) + ")"
 
 
-def marked(text: Column, names: Sequence[str] = GIVEN_NAMES) -> Column:
+def marked(text: Column) -> Column:
     """``text`` with every number, unit and name led by its placeholder mark, in lower case.
 
     A number is a run of digits with inner ``. , : /``, or a number word; a unit is a unit word right
-    after a number; a name is a capitalised word inside a sentence, or one of ``names`` anywhere. Other
-    capitalised words, as at the beginning of a sentence, may be names and have a mark of their own. Numbers and
-    units do not depend on letter case, and any white space is one blank. Patterns
-    test the character at hand before they look around it: they run over every character of a corpus.
+    after a number; a name is a capitalised word inside a sentence. Other capitalised words, as at the
+    beginning of a sentence, may be names and have a mark of their own. Numbers and units do not depend on letter
+    case, and any white space is one blank. Patterns test the character at hand before they look around it: they run
+    over every character of a corpus.
     """
     apart = r"(?![\p{L}\p{N}])"
     marks = NUMBER + UNIT + NAME + PART + MAYBE
@@ -74,8 +70,7 @@ def marked(text: Column, names: Sequence[str] = GIVEN_NAMES) -> Column:
     no_number = rf"(?!{_any([w.capitalize() for w in NUMBER_WORDS])}{apart})"
     capitalised = rf"{no_number}\p{{Lu}}[\p{{Ll}}\p{{M}}]+"
     inside = rf"(?<=[\p{{L}}\p{{N}},;:'’\"”)]\x20){capitalised}"
-    known = rf"(?<![\p{{L}}\p{{N}}]){_any(names)}" if names else "(?!)"
-    out = F.regexp_replace(out, rf"(?=\p{{Lu}})(?:{inside}|{known}){apart}", NAME + "$0")
+    out = F.regexp_replace(out, rf"(?=\p{{Lu}}){inside}{apart}", NAME + "$0")
     out = F.lower(F.regexp_replace(out, rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}{NAME}]){capitalised}{apart}", MAYBE + "$0"))
     first = "".join(sorted({w[0] for w in NUMBER_WORDS}))
     spelt = rf"(?=[{first}])(?<![\p{{L}}\p{{N}}{NAME}]){_any(NUMBER_WORDS)}{apart}"
@@ -88,10 +83,11 @@ def tokens(marked_text: Column) -> Column:
     return F.array_remove(F.split(marked_text, rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{MAYBE}]+"), "")
 
 
-def template(token: Column) -> Column:
-    """The placeholder of a marked value, or the word itself; what may be a name is a word here."""
-    first = F.substring(token, 1, 1)
-    return F.when(first.isin(NUMBER, UNIT, NAME), first).when(first == MAYBE, F.substring(token, 2, 1 << 30)).otherwise(token)
+#: A token's code: its kind (a place in MARKS, 0 for a word) above the hash of its value.
+MARKS = NUMBER + UNIT + NAME + PART + MAYBE
+IS_NUMBER, IS_UNIT, IS_NAME, MAY_BE_NAME = (MARKS.index(m) + 1 for m in (NUMBER, UNIT, NAME, MAYBE))
+KIND_BITS = 61
+VALUE = (1 << KIND_BITS) - 1
 
 
 def bare(token: Column) -> Column:
@@ -99,79 +95,93 @@ def bare(token: Column) -> Column:
     return F.translate(token, NUMBER + UNIT + NAME + MAYBE, "")
 
 
-def _nameless(token: Column) -> Column:
-    """The template of a token whose names are words like any other, so that letter case does not matter."""
-    first = F.substring(token, 1, 1)
-    return F.when(first.isin(NUMBER, UNIT), first).when(first.isin(NAME, MAYBE), F.substring(token, 2, 1 << 30)).otherwise(token)
+def code(token: Column) -> Column:
+    """Kind and value of a token in one long, so that a window is compared by five longs and no text."""
+    kind = F.instr(F.lit(MARKS), F.substring(token, 1, 1))
+    value = F.xxhash64(F.when(kind > 0, F.substring(token, 2, 1 << 30)).otherwise(token))
+    return F.shiftleft(kind.cast("long"), KIND_BITS).bitwiseOR(value.bitwiseAND(F.lit(VALUE)))
 
 
-def _all_names(token: Column) -> Column:
-    """The template of a token where what may be a name is one."""
-    first = F.substring(token, 1, 1)
-    return F.when(first.isin(NUMBER, UNIT, NAME), first).when(first == MAYBE, NAME).otherwise(token)
+def _any_of(tests: Sequence[Column]) -> Column:
+    return reduce(or_, tests)
 
 
-def _window_rows(df: DataFrame, *carry: str) -> DataFrame:
-    """Windows of ``marked`` texts: ``carry..., at, w0..w4, n_real, keys``.
+def _window_keys(codes: Sequence[Column], kinds: Sequence[Column]) -> Column:
+    """Hashes of a window: of its template, with names as words, and with all that may be names as slots.
 
-    Windows are cut by zipping the shifted words; no text is copied along. ``n_real`` counts the words
-    that are no placeholder. ``keys`` starts with the template's; windows are equal if they share any key.
+    A window without a word has the hash of its values, and so has one that is without once all
+    that may be names are slots: these alone would be found anywhere.
     """
-    df = df.select(*carry, F.col("marked").rlike(f"[{NUMBER}-{NAME}{MAYBE}]").alias("slotted"), tokens(F.col("marked")).alias("words"))
-    df = df.select(*carry, F.posexplode(_zipped()).alias("at", "z"), "slotted")
-    words = [F.col("z")[f"w{k}"] for k in range(WINDOW)]
-    n_real = sum((_real(w) for w in words[1:]), _real(words[0]))
-    df = df.select(*carry, "at", "z", "slotted", n_real.alias("n_real"))
-    return df.select(*carry, "at", *[F.col(f"z.w{k}") for k in range(WINDOW)], "n_real", _keys(words).alias("keys"))
-
+    values = [c.bitwiseAND(F.lit(VALUE)) for c in codes]
+    both = list(zip(codes, kinds, values))
+    template = F.xxhash64(*[F.when(k.between(IS_NUMBER, IS_NAME), k).otherwise(v) for _, k, v in both])
+    nameless = F.xxhash64(*[F.when(k.between(IS_NUMBER, IS_UNIT), k).otherwise(v) for _, k, v in both])
+    all_names = F.xxhash64(*[F.when(k == 0, c).otherwise(F.least(k, F.lit(IS_NAME).cast("long"))) for c, k, _ in both])
+    same_values = F.xxhash64(F.lit("values"), *values)
+    named, maybe = (_any_of([k == kind for k in kinds]) for kind in (IS_NAME, MAY_BE_NAME))
+    first = F.when(F.col("n_real") > 0, template).otherwise(same_values)
+    slots = F.when(_any_of([k == 0 for k in kinds]), all_names).otherwise(same_values)
+    more = F.when(named & maybe, F.array(nameless, slots)).when(named, F.array(nameless)).when(maybe, F.array(slots))
+    return F.when(F.col("marks") == 0, F.array(F.xxhash64(*codes))).otherwise(
+        F.concat(F.array(first), F.coalesce(more, F.array().cast("array<bigint>")))
+    )
 
-def _zipped() -> Column:
-    """The windows of ``words``; a text shorter than a window has one, with nulls behind its end."""
-    count = F.greatest(F.size("words") - (WINDOW - 1), F.lit(1))
-    return F.arrays_zip(*[F.slice("words", k + 1, count).alias(f"w{k}") for k in range(WINDOW)])
 
+def _short_key(codes: Sequence[Column]) -> Column:
+    """The hash of a text of fewer words than a window: of its values, as there is too little for a template."""
+    return F.xxhash64(F.lit("short"), F.lit(len(codes)), *[c.bitwiseAND(F.lit(VALUE)) for c in codes])
 
-def _real(token: Column) -> Column:
-    """1 for a word, 0 for a placeholder or the nulls behind a text's end."""
-    return F.coalesce(~F.substring(token, 1, 1).isin(NUMBER, UNIT, NAME), F.lit(False)).cast("int")
 
+def _window_rows(df: DataFrame, *carry: str, short: Sequence[int] = ()) -> DataFrame:
+    """Windows of ``marked`` texts: ``carry..., words, at, n_real, keys``.
 
-def _keys(words: Sequence[Column]) -> Column:
-    """Hashes of a window: of its template, with names as words, and with all that may be names as slots.
-
-    A window without a word has the hash of its values, and so has one that is without once
-    all that may be names are slots: these alone would be found anywhere.
+    Every token is coded once; windows then are places in the array of codes, so neither words nor
+    codes are copied for them. ``n_real`` counts the words that are no placeholder. ``keys`` starts with the
+    template's; windows are equal if they share any key. For the lengths in ``short``, keys of as many words from the
+    same place on come behind them; near the end of a text these stand alone.
     """
-
-    def some(mark: str) -> Column:
-        return reduce(or_, [F.coalesce(F.substring(w, 1, 1) == mark, F.lit(False)) for w in words])
-
-    plain = F.xxhash64(*[template(w) for w in words])
-    values = F.xxhash64(F.lit("values"), *[bare(w) for w in words])
-    nameless = F.xxhash64(*[_nameless(w) for w in words])
-    sure = reduce(or_, [F.coalesce(~F.substring(w, 1, 1).isin(NUMBER, UNIT, NAME, MAYBE), F.lit(False)) for w in words])
-    all_names = F.when(sure, F.xxhash64(*[_all_names(w) for w in words])).otherwise(values)
-    first = F.when(F.col("n_real") > 0, plain).otherwise(values)
-    named, maybe = some(NAME), some(MAYBE)
-    keys = F.when(named & maybe, F.array(first, nameless, all_names)).when(named, F.array(first, nameless))
-    keys = keys.when(maybe, F.array(first, all_names)).otherwise(F.array(first))
-    return F.when(F.col("slotted"), keys).otherwise(F.array(F.xxhash64(*words)))
-
-
-def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", names: Sequence[str] = GIVEN_NAMES) -> DataFrame:
-    """``(item_id, at, key, w0..w4, window, n_windows, probe)``: an item's windows, once per key.
+    df = df.select(*carry, tokens(F.col("marked")).alias("words"))
+    df = df.select(*carry, "words", F.transform("words", code).alias("codes"))
+    least = min([WINDOW, *short])
+    places = F.when(F.size("codes") >= least, F.sequence(F.lit(0), F.size("codes") - least))
+    df = df.select(*carry, "words", "codes", F.explode(places).alias("at"))
+    codes = [F.col(f"c{k}") for k in range(WINDOW)]
+    df = df.select(*carry, "words", "at", *[F.get("codes", F.col("at") + k).alias(f"c{k}") for k in range(WINDOW)])
+    kinds = [F.shiftrightunsigned(c, KIND_BITS) for c in codes]
+    marks = F.shiftrightunsigned(reduce(lambda a, b: a.bitwiseOR(b), codes), KIND_BITS)
+    n_real = sum(((~k.between(IS_NUMBER, IS_NAME)).cast("int") for k in kinds), F.lit(0))
+    df = df.select(*carry, "words", "at", *codes, marks.alias("marks"), n_real.alias("n_real"))
+    keys = _window_keys(codes, kinds)
+    if short:
+        nothing = F.array().cast("array<bigint>")
+        own = [F.when(codes[n - 1].isNotNull(), F.array(_short_key(codes[:n]))).otherwise(nothing) for n in short]
+        keys = F.concat(F.when(codes[-1].isNotNull(), keys).otherwise(nothing), *own)
+    return df.select(*carry, "words", "at", "n_real", keys.alias("keys"))
+
+
+def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """``(item_id, at, key, words, window, n_windows, n_words, probe)``: an item's windows, once per key.
 
     ``window`` is the key of its template; a window is found if any of its keys is.
     Windows of placeholders alone tell nothing about an item and do not count, unless it has
     no others: these are compared by their values. ``probe`` marks the rarest fifth plus one of the distinct
     windows, those of at least MIN_WORDS words first: a document with SIMILARITY of all of
     them holds at least one of these, so only these are looked up at first.
-    Rows with a null id or an empty text have no windows. Rows that repeat an id are one item.
+    An item of fewer words than a window is one window of ``n_words``, compared by its values.
+    Rows with a null id or a text without words have no windows. Rows that repeat an id are one item.
     """
-    marked_items = items.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("item_id"), marked(F.coalesce(F.col(text_col), F.lit("")), names).alias("marked")
+    texts = items.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("item_id"), marked(F.coalesce(F.col(text_col), F.lit(""))).alias("marked")
     )
-    rows = _window_rows(marked_items, "item_id").withColumn("window", F.col("keys")[0])
+    rows = _window_rows(texts, "item_id").withColumns({"window": F.col("keys")[0], "n_words": F.lit(WINDOW)})
+    rows = rows.withColumn("words", F.expr(f"slice(words, at + 1, {WINDOW})"))
+    few = texts.select("item_id", tokens(F.col("marked")).alias("words")).where(F.size("words").between(1, WINDOW - 1))
+    few = few.select("item_id", "words", F.transform("words", code).alias("codes"))
+    key = F.lit(None).cast("long")
+    for n in range(1, WINDOW):
+        key = F.when(F.size("words") == n, _short_key([F.col("codes")[k] for k in range(n)])).otherwise(key)
+    few = few.select("item_id", "words", F.lit(0).alias("at"), F.lit(0).alias("n_real"), F.array(key).alias("keys"))
+    rows = rows.unionByName(few.withColumns({"window": F.col("keys")[0], "n_words": F.size("words")}))
     rows = rows.withColumn("most", F.expr("max(n_real) OVER (PARTITION BY item_id)")).where("n_real > 0 OR most = 0").drop("most")
     keys = rows.groupBy("item_id", "window").agg((F.min("n_real") < MIN_WORDS).alias("few"))
     common = keys.groupBy("window").agg(F.count("*").alias("items"))
@@ -180,10 +190,15 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     ranked = ranked.withColumn("rank", F.expr("row_number() OVER (PARTITION BY item_id ORDER BY few, items, window)"))
     spare = F.col("n_windows") - F.ceil(F.col("n_windows") * SIMILARITY) + 1
     ranked = ranked.select("item_id", "window", "n_windows", (F.col("rank") <= spare).alias("probe"))
-    each = rows.select("item_id", "at", "window", *[f"w{k}" for k in range(WINDOW)], F.explode("keys").alias("key"))
+    each = rows.select("item_id", "at", "window", "words", "n_words", F.explode("keys").alias("key"))
     return each.join(ranked, ["item_id", "window"])
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` as the side of a join that is broadcast, where its number of rows allows."""
+    return F.broadcast(df) if within_rows(df, BROADCAST_WINDOWS) else df
+
+
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -191,7 +206,6 @@ def contaminated(
     text_col: str = "text",
     item_id_col: str = "item_id",
     item_text_col: str = "text",
-    names: Sequence[str] = GIVEN_NAMES,
 ) -> DataFrame:
     """Documents that hold an item: ``doc_id, text_key, item_id, n_windows, n_found, similarity, n_slots, n_changed, consistency``.
 
@@ -201,45 +215,50 @@ def contaminated(
 
     Nulls: a null text is empty and holds nothing; a null id stays null; null item ids are
     left out. Repeated documents give one row per item, as do equal ids with equal texts. Empty tables give no rows. Items
-    shorter than a window are one window and match texts that are as short. Other columns
-    are ignored. Texts are read whole; a very long one is exploded row by row.
+    shorter than a window are found by their words in a row, with the same values. Other columns
+    are ignored. Texts are read whole; the windows of a very long one are rows of their own.
     """
     spark = session(docs.sparkSession)
-    wanted = kept(item_windows(items, item_id_col, item_text_col, names), "item-windows")
-    probes = wanted.where("probe").select("key", "item_id").distinct()
-    if within_rows(probes, BROADCAST_WINDOWS):
-        probes = F.broadcast(probes)
+    wanted = kept(item_windows(items, item_id_col, item_text_col), "item-windows")
+    short = sorted(r[0] for r in wanted.where(F.col("n_words") < WINDOW).select("n_words").distinct().collect())
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
-    marking = marked(F.col("text"), names).alias("marked")
-    every = own.select("doc_id", "text_key", marking)
+    marking = marked(F.col("text")).alias("marked")
     # First look: any of an item's rarest windows.
-    found = _window_rows(every, "doc_id", "text_key").select("doc_id", "text_key", F.explode("keys").alias("key"))
+    found = _window_rows(own.select("doc_id", "text_key", marking), "doc_id", "text_key", short=short)
+    found = found.select("doc_id", "text_key", F.explode("keys").alias("key"))
+    probes = _small(wanted.where("probe").select("key", "item_id").distinct())
     pairs = kept(found.join(probes, "key").select("doc_id", "text_key", "item_id").distinct(), "item-candidates")
-    # Second look, at these documents only: all windows, with places and values.
-    wanted_docs = pairs.select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_")).distinct()
-    some = own.join(wanted_docs, own["doc_id"].eqNullSafe(F.col("id_")) & (F.col("text_key") == F.col("key_")), "left_semi")
-    rows = _window_rows(some.select("doc_id", "text_key", marking), "doc_id", "text_key")
-    rows = rows.select("doc_id", "text_key", "keys", *[F.col(f"w{k}").alias(f"d{k}") for k in range(WINDOW)]).distinct()
-    rows = rows.withColumn("key", F.explode("keys")).drop("keys")
+    # Second look, at these documents only: all windows, with places and values. Windows meet by key; of the
+    # items that share one, the candidates of the document stay.
     named = pairs.select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_"), "item_id")
-    rows = rows.join(named, rows["doc_id"].eqNullSafe(F.col("id_")) & (F.col("text_key") == F.col("key_"))).drop("id_", "key_")
-    hits = rows.join(wanted.drop("probe"), ["item_id", "key"])
+    some = own.join(
+        named.select("id_", "key_").distinct(), own["doc_id"].eqNullSafe(F.col("id_")) & (F.col("text_key") == F.col("key_")), "left_semi"
+    )
+    some = some.select("doc_id", "text_key", marking)
+    rows = _window_rows(some, "doc_id", "text_key", short=short)
+    rows = rows.select("doc_id", "text_key", F.expr(f"slice(words, at + 1, {WINDOW})").alias("own_words"), F.explode("keys").alias("key"))
+    hits = rows.join(_small(wanted.drop("probe")), "key")
+    same = hits["doc_id"].eqNullSafe(named["id_"]) & (hits["text_key"] == named["key_"]) & (hits["item_id"] == named["item_id"])
+    hits = kept(hits.join(named, same, "left_semi"), "item-hits")
     place = ["doc_id", "text_key", "item_id"]
     counted = hits.groupBy(*place).agg(F.count_distinct("window").alias("n_found"), F.max("n_windows").alias("n_windows"))
     counted = counted.where(F.col("n_found") >= SIMILARITY * F.col("n_windows"))
 
-    slots = F.array(
-        *[F.struct((F.col("at") + k).alias("place"), F.col(f"w{k}").alias("item"), F.col(f"d{k}").alias("doc")) for k in range(WINDOW)]
+    slots = F.transform(
+        F.sequence(F.lit(0), F.size("words") - 1),
+        lambda k: F.struct((F.col("at") + k).alias("place"), F.get("words", k).alias("item"), F.get("own_words", k).alias("doc")),
     )
     slots = F.filter(slots, lambda s: F.substring(s["item"], 1, 1).isin(NUMBER, UNIT, NAME, MAYBE))
-    pairs_of_slots = hits.select(*place, F.explode(slots).alias("s"))
+    filled = hits.select(*place, F.explode(slots).alias("s"))
     # The same value with and without a mark, as in a copy in lower case, is no change.
-    pairs_of_slots = pairs_of_slots.select(*place, "s.place", bare(F.col("s.item")).alias("item"), bare(F.col("s.doc")).alias("doc"), (F.substring("s.item", 1, 1) != MAYBE).alias("sure")).distinct()
-    mapped = pairs_of_slots.groupBy(*place, "item", "doc").agg(F.count("*").alias("n"))
+    sure = (F.substring("s.item", 1, 1) != MAYBE).alias("sure")
+    filled = filled.select(*place, "s.place", bare(F.col("s.item")).alias("item"), bare(F.col("s.doc")).alias("doc"), sure).distinct()
+    mapped = filled.groupBy(*place, "item", "doc").agg(F.count("*").alias("n"))
     # A place that several windows of the document fill differently counts through its best filling.
-    by_value = mapped.groupBy(*place, "item").agg(F.max("n").alias("agree"), F.max_by(F.col("item") != F.col("doc"), F.struct("n", F.col("item") == F.col("doc"), "doc")).alias("changed"))
-    sizes = pairs_of_slots.groupBy(*place, "item").agg(F.count_distinct("place").alias("n_places"), F.max("sure").alias("sure"))
+    best = F.max_by(F.col("item") != F.col("doc"), F.struct("n", F.col("item") == F.col("doc"), "doc"))
+    by_value = mapped.groupBy(*place, "item").agg(F.max("n").alias("agree"), best.alias("changed"))
+    sizes = filled.groupBy(*place, "item").agg(F.count_distinct("place").alias("n_places"), F.max("sure").alias("sure"))
     judged = (
         by_value.join(sizes, (_on(by_value, sizes, place)) & (by_value["item"] == sizes["item"]))
         .where(F.col("sure") | F.col("changed"))  # a capitalised word that stayed as it was is no slot
@@ -271,7 +290,10 @@ def _on(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> Column:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without documents that hold an item; columns and other rows stay as they are."""
+    """``docs`` without documents that hold an item; columns and other rows stay as they are.
+
+    Nulls, repeats and empty tables as in ``contaminated``: a repeated document goes or stays in all its rows.
+    """
     bad = kept(contaminated(docs, items, id_col, text_col).select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_")).distinct(), "contaminated")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     keyed = docs.select(row, F.col(id_col).alias("own_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("own_key"))

@@ -15,23 +15,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from .common import session
+from .common import kept, session
 from .vocab import GLUED, even_words, spelled, vocabulary_path, words_of
 
 VOCABULARY = "byte_bpe_50k.json"
-#: Words of the corpus that are compiled: the most frequent ones. It bounds the automaton (some 5 MB), not the texts.
-LEXICON_WORDS = 100_000
+#: Words of the corpus that are compiled, at most: the most frequent ones. It bounds the automaton (some 7 MB), not the texts.
+LEXICON_WORDS = 200_000
 #: Bytes of the longest word that is compiled, and the lookup's number of steps.
 LONGEST_WORD = 48
-#: Merged words, and pattern matches, whose ids a worker remembers.
-REMEMBERED = 300_000
 #: Bytes from which batches are worked on together: the more there are, the more words repeat.
 GATHERED = 4 << 20
 #: Rows of one batch handed back to Spark.
 BATCH = 256
-#: Symbols up to which a match is merged by scanning its ranks; a heap takes over beyond.
-SCANNED = 200
-_NEVER = 1 << 62
+#: Bytes up to which matches are merged side by side; a heap takes over beyond.
+SIDE_BY_SIDE = 32
+#: Matches merged side by side at once.
+AT_ONCE = 20_000
+_NEVER = 1 << 30
 
 
 def byte_characters() -> list[str]:
@@ -53,7 +53,7 @@ class Merges:
         with open(vocabulary_path(vocabulary), encoding="utf-8") as file:
             spec = json.load(file)
         self.ids: dict[str, int] = spec["model"]["vocab"]
-        pairs = (tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"])
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
         self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
         self.added: dict[str, int] = {}
         for token in spec["added_tokens"]:
@@ -66,7 +66,13 @@ class Merges:
         pattern = public_tokenizers.PATTERN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self.matches = regex.compile(pattern).findall
         self.characters = byte_characters()
-        self.parts: dict[str, list[int]] = {}
+        # The same merges by ids: sorted pairs, the rank of each, and what each rank makes.
+        self.size = len(self.ids) + 1
+        coded = np.array([self.ids[a] * self.size + self.ids[b] for a, b in pairs], np.int64)
+        order = np.argsort(coded)
+        self.pairs, self.pair_ranks = coded[order], order.astype(np.int32)
+        self.made = np.array([self.ids[a + b] for a, b in pairs], np.int32)
+        self.byte_ids = np.array([self.ids[c] for c in self.characters], np.int32)
         value = {c: b for b, c in enumerate(self.characters)}
         self.spelling = [b""] * (max([*self.ids.values(), *self.added.values()]) + 1)
         for text, i in [*self.ids.items(), *self.added.items()]:
@@ -74,24 +80,10 @@ class Merges:
             self.spelling[i] = bytes(map(value.__getitem__, text)) if known else text.encode()
 
     def merge(self, symbols: list[str]) -> list[str]:
-        """Symbols after all merges: the lowest-ranked adjacent pair first, the leftmost of equals."""
-        if len(symbols) > SCANNED:
-            return self._merge_long(symbols)
-        rank = self.ranks.get
-        parts = list(symbols)
-        waiting = [rank(pair, _NEVER) for pair in zip(parts, parts[1:])]
-        while waiting and (least := min(waiting)) != _NEVER:
-            i = waiting.index(least)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del waiting[i]
-            if i < len(waiting):
-                waiting[i] = rank((parts[i], parts[i + 1]), _NEVER)
-            if i:
-                waiting[i - 1] = rank((parts[i - 1], parts[i]), _NEVER)
-        return parts
-
-    def _merge_long(self, symbols: list[str]) -> list[str]:
-        """``merge`` with a heap of pairs over linked places: n log n steps. Pairs that are no more are skipped."""
+        """Symbols after all merges: the lowest-ranked adjacent pair first, the leftmost of equals.
+
+        A heap holds the pairs by rank and place, the places are linked: n log n steps. Pairs that are no more are skipped.
+        """
         parts: list[str | None] = list(symbols)
         following, leading = [*range(1, len(parts)), -1], list(range(-1, len(parts) - 1))
         heap = [(r, i, pair) for i, pair in enumerate(zip(symbols, symbols[1:])) if (r := self.ranks.get(pair)) is not None]
@@ -112,17 +104,72 @@ class Merges:
                         heapq.heappush(heap, (r, k, fresh))
         return [p for p in parts if p is not None]
 
-    def word(self, word: str) -> list[int]:
-        """Ids of a word as ``words_of`` cuts it, by merging each match of the pattern."""
-        out: list[int] = []
-        for match in self.matches(spelled(word)):
-            ids = self.parts.get(match)
-            if ids is None:
-                if len(self.parts) >= REMEMBERED:
-                    self.parts.clear()
-                ids = self.parts[match] = [self.ids[p] for p in self.merge([self.characters[b] for b in match.encode()])]
-            out += ids
-        return out
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids; a pair that never merges, or has an end of -1, is last."""
+        key = left.astype(np.int64) * self.size + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == key) & (right >= 0), self.pair_ranks[at], _NEVER).astype(np.int32)
+
+    def merge_many(self, matches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, sizes)`` of short matches, by ``merge``'s rule in all of them at once.
+
+        Every round merges one pair in each match that has one left: rows of ids, and of the ranks of their neighbours,
+        close up over the merged place, and the two ranks beside it are looked up again.
+        """
+        n, width = len(matches), max(map(len, matches), default=0) + 1
+        lengths = np.fromiter(map(len, matches), np.int64, n)
+        ids = np.full((n, width), -1, np.int32)
+        ids[np.arange(width) < lengths[:, None]] = self.byte_ids[np.frombuffer(b"".join(matches), np.uint8)]
+        ranks = self._rank(ids[:, :-1], ids[:, 1:]) if width > 1 else np.full((n, 1), _NEVER, np.int32)
+        columns, rows = np.arange(width), np.arange(n)
+        while len(rows):
+            own = ranks[rows]
+            place = own.argmin(axis=1)
+            least = own[np.arange(len(rows)), place]
+            live = least < _NEVER
+            rows, place, least, own = rows[live], place[live], least[live], own[live]
+            if not len(rows):
+                break
+            shift = columns + (columns > place[:, None])
+            symbols = np.take_along_axis(np.pad(ids[rows], ((0, 0), (0, 1)), constant_values=-1), shift, 1)
+            own = np.take_along_axis(np.pad(own, ((0, 0), (0, 1)), constant_values=_NEVER), columns[:-1] + (columns[:-1] >= place[:, None]), 1)
+            each = np.arange(len(rows))
+            symbols[each, place] = self.made[least]
+            own[each, place] = self._rank(symbols[each, place], symbols[each, place + 1])
+            inner = np.flatnonzero(place)
+            own[inner, place[inner] - 1] = self._rank(symbols[inner, place[inner] - 1], symbols[inner, place[inner]])
+            ids[rows], ranks[rows] = symbols, own
+        found = ids >= 0
+        return ids[found].astype(np.int64), found.sum(axis=1)
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, sizes)`` of words as ``words_of`` cuts them, by merging each match of the pattern."""
+        matches, per_word = [], []
+        for word in words:
+            text = spelled(word)
+            found = [text] if text.lstrip(" ").isalpha() and len(text) - len(text.lstrip(" ")) < 2 else self.matches(text)
+            matches += [m.encode() for m in found]
+            per_word.append(len(found))
+        sizes = np.zeros(len(matches), np.int64)
+        short = sorted((i for i, m in enumerate(matches) if len(m) <= SIDE_BY_SIDE), key=lambda i: len(matches[i]))
+        parts: list[np.ndarray] = []
+        places: list[np.ndarray] = []  # the match that each id belongs to
+        for start in range(0, len(short), AT_ONCE):
+            some = np.array(short[start : start + AT_ONCE])
+            ids, counts = self.merge_many([matches[i] for i in some.tolist()])
+            sizes[some] = counts
+            parts.append(ids)
+            places.append(np.repeat(some, counts))
+        for i, match in enumerate(matches):
+            if len(match) > SIDE_BY_SIDE:
+                ids = [self.ids[p] for p in self.merge([self.characters[b] for b in match])]
+                sizes[i] = len(ids)
+                parts.append(np.array(ids, np.int64))
+                places.append(np.full(len(ids), i))
+        flat = np.concatenate([np.zeros(0, np.int64), *parts])
+        order = np.argsort(np.concatenate([np.zeros(0, np.int64), *places]), kind="stable")
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(per_word, dtype=np.int64)])]
+        return flat[order], np.diff(ends)
 
 
 @lru_cache(maxsize=4)
@@ -348,19 +395,26 @@ def word_counts(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCAB
 def compile_lexicon(
     docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY, words: int = LEXICON_WORDS
 ) -> str:
-    """Compile the ``words`` most frequent words of all texts; returns the name the lexicon has on every worker.
+    """Compile the most frequent words of all texts; returns the name the lexicon has on every worker.
 
-    Words in fewer than two places are left out, equal counts are cut by the word. One task compiles, as the
-    number of words is bounded. The bytes go to the shared folder, from which Spark hands every executor,
+    Compiled are the words in as many places as at most ``words`` words are in, two at least: how often each number
+    of places occurs tells that number, so no task ever holds or orders more words. One task
+    compiles them, as there is a bound. The bytes go to the shared folder, from which Spark hands every executor,
     also one that replaces a lost one, a file of its own to map. An empty table gives an empty lexicon.
     """
     spark = session(docs.sparkSession)
-    top = word_counts(docs, text_col, vocabulary).filter("n > 1").orderBy(F.desc("n"), "word").limit(words)
+    counts = kept(word_counts(docs, text_col, vocabulary).filter("n > 1"), "word-counts")
+    upto = F.expr("sum(words) OVER (ORDER BY n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    often = counts.groupBy("n").agg(F.count("*").alias("words")).select("n", upto.alias("upto"))
+    least = often.filter(F.col("upto") <= words).agg(F.min("n")).first()[0]
+    top = counts.filter(F.col("n") >= F.lit(least)) if least is not None else counts.filter(F.lit(False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = merges(vocabulary)
         found = sorted((w.encode(), w) for batch in batches for w in batch.column("word").to_pylist())
-        compiled = compile_words((raw, tuple(known.word(w))) for raw, w in found)
+        ids, sizes = merges(vocabulary).words([w for _, w in found])
+        ends = np.cumsum(sizes).tolist()
+        rows = zip(found, ends, sizes.tolist())
+        compiled = compile_words((raw, tuple(ids[end - size : end].tolist())) for (raw, _), end, size in rows)
         yield pa.RecordBatch.from_arrays([pa.array([compiled], pa.binary())], names=["compiled"])
 
     compiled = top.select("word").coalesce(1).mapInArrow(run, "compiled binary").first()
@@ -388,23 +442,10 @@ def transducer(name: str) -> Transducer:
 
 
 class Encoder:
-    """Ids of whole texts: words of the lexicon by walking it, others by merging, which are remembered within a bound."""
+    """Ids of whole texts: words of the lexicon by walking it, others by merging."""
 
     def __init__(self, lexicon: Transducer, vocabulary: Merges):
         self.lexicon, self.vocabulary = lexicon, vocabulary
-        self.unseen: dict[str, np.ndarray] = {}
-
-    def _merged(self, words: list[str]) -> list[np.ndarray]:
-        known = self.unseen
-        if len(known) > REMEMBERED:
-            known.clear()
-        out = []
-        for word in words:
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = np.array(self.vocabulary.word(word), np.int64)
-            out.append(ids)
-        return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, number per text)``. The distinct words of all texts are looked up once."""
@@ -415,11 +456,11 @@ class Encoder:
         accepted, ids, counts = self.lexicon.walk(distinct)
         starts = np.cumsum(counts) - counts
         missing = np.flatnonzero(~accepted)
-        merged = self._merged(distinct.take(pa.array(missing)).to_pylist())
-        counts[missing] = [len(m) for m in merged]
-        starts[missing] = len(ids) + np.cumsum(counts[missing]) - counts[missing]
+        merged, numbers = self.vocabulary.words(distinct.take(pa.array(missing)).to_pylist())
+        counts[missing] = numbers
+        starts[missing] = len(ids) + np.cumsum(numbers) - numbers
         taken = counts[places]
-        flat = np.concatenate([ids, *merged])[_ragged(starts[places], taken)]
+        flat = np.concatenate([ids, merged])[_ragged(starts[places], taken)]
         bounds = np.concatenate([[0], np.cumsum(taken)])[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
         per_piece = np.diff(bounds)
         if len(sizes) == len(texts):

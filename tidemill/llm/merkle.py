@@ -77,19 +77,14 @@ def _levels(nodes: DataFrame, depth: int, name: str) -> tuple[DataFrame, DataFra
     Eight consecutive nodes become one, until a tree has one node: it is the tree's root and takes no part
     in further levels. Records are kept once per digest.
     """
-    session = nodes.sparkSession
-    schema = "level int, digest string, children array<string>"
-    records, roots = session.createDataFrame([], schema), nodes.filter("width = 1").select("tree", F.lit(0).alias("depth"), "digest")
+    records = nodes.sparkSession.createDataFrame([], "level int, digest string, children array<string>")
+    roots = nodes.filter("width = 1").select("tree", F.lit(0).alias("depth"), "digest")
     for level in range(1, depth + 1):
         run = nodes.filter("width > 1").groupBy("tree", F.expr(f"idx div {RUN}").alias("idx"))
         grouped = run.agg(F.sort_array(F.collect_list(F.struct("idx", "digest")))["digest"].alias("children"), F.max("width").alias("width"))
-        nodes = kept(
-            grouped.select(
-                "tree", "idx", F.ceil(F.col("width") / RUN).alias("width"), F.sha2(F.array_join("children", ""), 256).alias("digest"), "children"
-            ),
-            f"{name}-{level}",
-        )
-        once = nodes.groupBy("digest").agg(F.first("children").alias("children"))
+        digest_of = F.sha2(F.array_join("children", ""), 256).alias("digest")
+        nodes = kept(grouped.select("tree", "idx", F.ceil(F.col("width") / RUN).alias("width"), digest_of, "children"), f"{name}-{level}")
+        once = kept(nodes.groupBy("digest").agg(F.first("children").alias("children")), f"{name}-records-{level}")
         records = records.unionAll(once.select(F.lit(level).alias("level"), "digest", "children"))
         roots = roots.unionAll(nodes.filter("width = 1").select("tree", F.lit(level).alias("depth"), "digest"))
     return records, roots
@@ -165,21 +160,27 @@ def prove(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
     )
     for level in range(manifest.top_depth, 0, -1):
         frontier = _down(_opened(frontier, manifest.top_records, level), level)
-    at_trees = frontier.select("root", F.col("idx").alias("place"), "path").join(manifest.trees, "place")
-    frontier = at_trees.select(
-        "tree", "root", "subroot", F.lit(0).cast("long").alias("idx"), F.col("subroot").alias("digest"), F.col("depth").alias("level"), "path"
-    )
+    at_trees = kept(frontier.select("root", F.col("idx").alias("place"), "path").join(manifest.trees, "place"), "frontier")
+
+    def trees_of(depth: int) -> DataFrame:
+        """Trees whose root stands at this level, with the path to it."""
+        own = at_trees.filter(F.col("depth") == depth)
+        return own.select("tree", "root", "subroot", F.lit(0).cast("long").alias("idx"), F.col("subroot").alias("digest"), F.col("depth").alias("level"), "path")
+
+    frontier = trees_of(manifest.depth)
     for level in range(manifest.depth, 1, -1):
         below = _down(_opened(frontier, manifest.records, level), level)
         if not everything:
             wanted = requests.select("tree", F.expr(f"rank div {RUN ** (level - 1)}").alias("idx")).distinct()
             below = below.join(wanted, ["tree", "idx"], "left_semi")
-        frontier = below.unionByName(frontier.filter(F.col("level") < level))
+        frontier = below.unionByName(trees_of(level - 1))
+        if level > 2:
+            frontier = kept(frontier, "frontier")
 
     asked = requests.groupBy("tree", F.expr(f"rank div {RUN}").alias("idx")).agg(
         F.collect_list(F.struct((F.col("rank") % RUN).cast("int").alias("digit"), *payload)).alias("asked")
     )
-    parents = _opened(frontier, manifest.records, 1) if manifest.depth else frontier.filter(F.lit(False)).withColumn("children", F.array().cast("array<string>"))
+    parents = _opened(frontier if manifest.depth else trees_of(1), manifest.records, 1)
     found = parents.join(asked, ["tree", "idx"]).select("root", "subroot", "path", "children", F.explode("asked").alias("one"))
     within = found.filter(F.col("one.digit") < F.size("children")).select(
         F.expr("children[one.digit]").alias("leaf"),
@@ -188,7 +189,7 @@ def prove(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
         F.concat("path", F.array(_segment(F.col("children"), F.col("one.digit")))).alias("path"),
         *[F.col(f"one.{c}").alias(c) for c in payload],
     )
-    lone = frontier.filter("level = 0").join(requests.filter("rank = 0").drop("rank"), "tree")
+    lone = trees_of(0).join(requests.filter("rank = 0").drop("rank"), "tree")
     alone = lone.select(F.col("digest").alias("leaf"), "subroot", "root", "path", *payload)
     return within.unionByName(alone).withColumn("path", F.reverse("path"))
 

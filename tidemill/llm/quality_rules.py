@@ -14,11 +14,13 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 #: A document fails if more than this percentage of its words lies in repeated 3-word windows.
 MAX_REPEAT_PERCENT = 50
-#: A line is boilerplate of its host if it occurs in more distinct documents than this ...
-LINE_MIN_DOCS = 20
-#: ... and in more than this share of the host's distinct documents.
-LINE_MAX_SHARE = 0.01
-#: A document is depleted if boilerplate lines hold more than this share of its words.
+#: A line is boilerplate of its host if it occurs in more distinct documents than this, however many the host has ...
+LINE_DOCS = 5
+#: ... a line of more words than LONG_LINE in more than LONG_DOCS ...
+LONG_LINE, LONG_DOCS = 50, 2
+#: ... and if more than this share of these documents differ beside it: the lines of near copies are no boilerplate.
+LINE_APART = 0.5
+#: A document is depleted if boilerplate lines hold more than this share of its words, or leave fewer than MIN_WORDS.
 MAX_LOST_SHARE = 0.5
 
 
@@ -93,21 +95,25 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFr
     )
 
 
-def boilerplate_lines(docs: DataFrame, min_docs: int = LINE_MIN_DOCS, max_share: float = LINE_MAX_SHARE) -> DataFrame:
-    """``(host, line_hash, n_docs, host_docs)`` of lines above both limits of their host.
+def boilerplate_lines(docs: DataFrame, line_docs: int = LINE_DOCS, long_docs: int = LONG_DOCS) -> DataFrame:
+    """``(host, line_hash, n_docs, n_apart)`` of lines beyond the limits of their host.
 
-    ``docs`` has ``host, text, text_key``. Equal texts are one document, so that a group of copies
-    does not turn its own lines into boilerplate. A document adds each of its lines once; one
-    more row per document, without a line, counts the host's documents in the same pass.
+    ``docs`` has ``host, text, text_key``. Equal texts are one document, so that a group of copies does not turn its
+    own lines into boilerplate. Near copies are told by what stands beside a line: the least digest among the other
+    lines of its document is the same in most of them, and another one in documents that only share the line;
+    ``n_apart`` counts these. A document adds each of its lines once.
     """
-    lines = F.filter(F.transform(F.split("text", "\n"), _normal), lambda x: x != "")
-    hashes = F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x)))
-    each = docs.select("host", "text_key", F.explode(F.concat(F.array(F.lit(None).cast("long")), hashes)).alias("line_hash"))
-    counts = each.distinct().groupBy("host", "line_hash").agg(F.count("*").alias("n_docs"))
-    counts = kept(counts.where(F.col("line_hash").isNull() | (F.col("n_docs") > min_docs)), "line-counts")
-    totals = counts.where("line_hash is null").select(F.col("host").alias("host_"), F.col("n_docs").alias("host_docs"))
-    found = counts.where("line_hash is not null").join(totals, F.col("host").eqNullSafe(F.col("host_"))).drop("host_")
-    return kept(found.where(F.col("n_docs") > max_share * F.col("host_docs")), "boilerplate-lines")
+    found = F.filter(F.transform(F.split("text", "\n"), _normal), lambda x: x != "")
+    line = lambda x: F.struct(F.xxhash64(x).alias("h"), F.md5(x).alias("m"), (F.size(F.split(x, " ")) > LONG_LINE).alias("long"))
+    lines = docs.select("host", "text_key", F.array_distinct(F.transform(found, line)).alias("lines"))
+    least = F.slice(F.array_sort(F.transform("lines", lambda x: x["m"])), 1, 2)
+    each = lines.select("host", "text_key", least.alias("least"), F.explode("lines").alias("line"))
+    beside = F.when(F.get("least", F.lit(0)) == F.col("line.m"), F.get("least", F.lit(1))).otherwise(F.get("least", F.lit(0)))
+    each = each.select("host", "text_key", F.col("line.h").alias("line_hash"), F.col("line.long").alias("long"), F.xxhash64(beside).alias("beside"))
+    sides = each.distinct().groupBy("host", "line_hash", "beside").agg(F.count("*").alias("n"), F.max("long").alias("long"))
+    counts = sides.groupBy("host", "line_hash").agg(F.sum("n").alias("n_docs"), F.count("*").alias("n_apart"), F.max("long").alias("long"))
+    often = (F.col("n_docs") > line_docs) | (F.col("long") & (F.col("n_docs") > long_docs))
+    return kept(counts.where(often & (F.col("n_apart") > LINE_APART * F.col("n_docs"))).drop("long"), "boilerplate-lines")
 
 
 def lost_words(docs: DataFrame, boilerplate: DataFrame) -> DataFrame:
@@ -134,13 +140,15 @@ def _same(a: DataFrame, b: DataFrame) -> Column:
     )
 
 
-def _judged(own: DataFrame, min_docs: int, max_share: float, max_lost: float) -> DataFrame:
+def _judged(own: DataFrame, line_docs: int, long_docs: int, max_lost: float) -> DataFrame:
     """Rules and verdict per row of ``own``, with the hashes of boilerplate lines in ``removed``."""
-    lost = lost_words(own, boilerplate_lines(own, min_docs, max_share))
+    lost = lost_words(own, boilerplate_lines(own, line_docs, long_docs))
     rules = text_rules(own, F.col("text")).drop("text")
     found = rules.join(lost, _same(rules, lost), "left")
     found = found.select(rules["*"], F.coalesce(lost["lost"], F.lit(0)).cast("long").alias("n_lost_words"), lost["removed"])
-    return found.withColumn("kept", ~F.col("base_failed") & (F.col("n_lost_words") <= max_lost * F.col("n_words")))
+    left = F.col("n_words") - F.col("n_lost_words")
+    depleted = (F.col("n_lost_words") > max_lost * F.col("n_words")) | (left < MIN_WORDS)
+    return found.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
 def quality_rules(
@@ -148,20 +156,20 @@ def quality_rules(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
-    min_docs: int = LINE_MIN_DOCS,
-    max_share: float = LINE_MAX_SHARE,
+    line_docs: int = LINE_DOCS,
+    long_docs: int = LONG_DOCS,
     max_lost: float = MAX_LOST_SHARE,
 ) -> DataFrame:
     """One row per row of ``docs``: the text rules, ``n_lost_words`` and ``kept``.
 
-    A document is kept unless the text rules fail it or boilerplate lines hold more than
-    ``max_lost`` of its words. Nulls: a null text has no words; a null host is a host of its own; a
+    A document is kept unless the text rules fail it or boilerplate lines deplete it: they hold more than
+    ``max_lost`` of its words or leave fewer than MIN_WORDS. Nulls: a null text has no words; a null host is a host of its own; a
     null id is carried along. Repeated rows are kept and judged alike, and count as one document in
     line frequencies. An empty table gives no rows. Other columns are ignored.
     """
     session(docs.sparkSession)
     own = _keyed(docs, id_col, text_col, host_col)
-    return _judged(own, min_docs, max_share, max_lost).drop("text_key", "removed")
+    return _judged(own, line_docs, long_docs, max_lost).drop("text_key", "removed")
 
 
 def keep_good(
@@ -170,18 +178,19 @@ def keep_good(
     text_col: str = "text",
     host_col: str = "source",
     length_col: str | None = "n_chars",
-    min_docs: int = LINE_MIN_DOCS,
-    max_share: float = LINE_MAX_SHARE,
+    line_docs: int = LINE_DOCS,
+    long_docs: int = LONG_DOCS,
     max_lost: float = MAX_LOST_SHARE,
 ) -> DataFrame:
     """``docs`` without rejected documents and without boilerplate lines in the others.
 
     Columns stay as they are; ``length_col`` follows the shortened text where ``docs`` has it. Verdicts are a
     small table, written first, so that the rules are computed once; documents meet theirs in one
-    merge join on id, host and text hash, the only step that moves texts.
+    merge join on id, host and text hash, the only step that moves texts. Nulls, repeated rows and empty tables as in
+    ``quality_rules``; repeated rows stay or go together.
     """
     session(docs.sparkSession)
-    verdicts = kept(_judged(_keyed(docs, id_col, text_col, host_col), min_docs, max_share, max_lost), "verdicts")
+    verdicts = kept(_judged(_keyed(docs, id_col, text_col, host_col), line_docs, long_docs, max_lost), "verdicts")
     good = verdicts.where("kept").select("doc_id", "host", "text_key", "removed").dropDuplicates(["doc_id", "host", "text_key"])
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -211,10 +220,14 @@ words AS (
 lines AS (
     SELECT DISTINCT host, text, unnest(list_transform(l, lambda x: trim(regexp_replace(regexp_replace(lower(x), '[0-9]', '0', 'g'),
         '[\x20\x09-\x0D]+', ' ', 'g'), ' '))) AS line FROM words),
-hosts AS (SELECT host, count(DISTINCT text) AS host_docs FROM d GROUP BY host),
+least AS (SELECT host, text, list_sort(list(md5(line))) AS m FROM lines GROUP BY host, text),
+beside AS (
+    SELECT host, line, text, coalesce(CASE WHEN m[1] = md5(line) THEN m[2] ELSE m[1] END, '') AS other
+    FROM lines JOIN least USING (host, text)),
 common AS (
-    SELECT host, line FROM (SELECT host, line, count(*) AS n_docs FROM lines GROUP BY host, line) JOIN hosts USING (host)
-    WHERE n_docs > 20 AND n_docs > 0.01 * host_docs),
+    SELECT host, line FROM (
+        SELECT host, line, count(*) AS n_docs, count(DISTINCT other) AS n_apart FROM beside GROUP BY host, line)
+    WHERE (n_docs > 5 OR (n_docs > 2 AND len(string_split(line, ' ')) > 50)) AND n_apart > 0.5 * n_docs),
 each_line AS (
     SELECT doc_id, host, unnest(l) AS line FROM words),
 lost AS (
@@ -239,6 +252,6 @@ ruled AS (
     FROM words LEFT JOIN repeated USING (doc_id) LEFT JOIN lost USING (doc_id)),
 failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM ruled)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lost_words, base_failed,
-    NOT base_failed AND n_lost_words <= 0.5 * n_words AS kept
+    NOT base_failed AND n_lost_words <= 0.5 * n_words AND n_words - n_lost_words >= 50 AS kept
 FROM failed
 """
