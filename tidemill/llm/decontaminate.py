@@ -144,18 +144,23 @@ def _window_rows(df: DataFrame, *carry: str, short: Sequence[int] = ()) -> DataF
     df = df.select(*carry, "words", F.transform("words", code).alias("codes"))
     least = min([WINDOW, *short])
     places = F.when(F.size("codes") >= least, F.sequence(F.lit(0), F.size("codes") - least))
-    df = df.select(*carry, "words", "codes", F.explode(places).alias("at"))
+    # Outer, as otherwise the planner adds a test that the exploded array is not empty, and makes it twice.
+    df = df.select(*carry, "words", "codes", F.explode_outer(places).alias("at")).where("at IS NOT NULL")
     codes = [F.col(f"c{k}") for k in range(WINDOW)]
-    df = df.select(*carry, "words", "at", *[F.get("codes", F.col("at") + k).alias(f"c{k}") for k in range(WINDOW)])
-    kinds = [F.shiftrightunsigned(c, KIND_BITS) for c in codes]
-    marks = F.shiftrightunsigned(reduce(lambda a, b: a.bitwiseOR(b), codes), KIND_BITS)
+    nothing = F.lit(0).cast("long")
+    cut = [F.coalesce(F.get("codes", F.col("at") + k), nothing).alias(f"c{k}") for k in range(WINDOW)]
+    df = df.select(*carry, "words", "at", (F.size("codes") - F.col("at")).alias("left"), *cut)
+    kinds = [F.col(f"k{k}") for k in range(WINDOW)]
+    own_kinds = [F.shiftrightunsigned(c, KIND_BITS).alias(f"k{k}") for k, c in enumerate(codes)]
+    df = df.select(*carry, "words", "at", "left", *codes, *own_kinds)
+    marks = reduce(lambda a, b: a.bitwiseOR(b), kinds)
     n_real = sum(((~k.between(IS_NUMBER, IS_NAME)).cast("int") for k in kinds), F.lit(0))
-    df = df.select(*carry, "words", "at", *codes, marks.alias("marks"), n_real.alias("n_real"))
+    df = df.select(*carry, "words", "at", "left", *codes, *kinds, marks.alias("marks"), n_real.alias("n_real"))
     keys = _window_keys(codes, kinds)
     if short:
-        nothing = F.array().cast("array<bigint>")
-        own = [F.when(codes[n - 1].isNotNull(), F.array(_short_key(codes[:n]))).otherwise(nothing) for n in short]
-        keys = F.concat(F.when(codes[-1].isNotNull(), keys).otherwise(nothing), *own)
+        none = F.array().cast("array<bigint>")
+        own = [F.when(F.col("left") >= n, F.array(_short_key(codes[:n]))).otherwise(none) for n in short]
+        keys = F.concat(F.when(F.col("left") >= WINDOW, keys).otherwise(none), *own)
     return df.select(*carry, "words", "at", "n_real", keys.alias("keys"))
 
 
@@ -190,7 +195,7 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     ranked = ranked.withColumn("rank", F.expr("row_number() OVER (PARTITION BY item_id ORDER BY few, items, window)"))
     spare = F.col("n_windows") - F.ceil(F.col("n_windows") * SIMILARITY) + 1
     ranked = ranked.select("item_id", "window", "n_windows", (F.col("rank") <= spare).alias("probe"))
-    each = rows.select("item_id", "at", "window", "words", "n_words", F.explode("keys").alias("key"))
+    each = rows.select("item_id", "at", "window", "words", "n_words", F.explode_outer("keys").alias("key"))
     return each.join(ranked, ["item_id", "window"])
 
 
@@ -226,7 +231,7 @@ def contaminated(
     marking = marked(F.col("text")).alias("marked")
     # First look: any of an item's rarest windows.
     found = _window_rows(own.select("doc_id", "text_key", marking), "doc_id", "text_key", short=short)
-    found = found.select("doc_id", "text_key", F.explode("keys").alias("key"))
+    found = found.select("doc_id", "text_key", F.explode_outer("keys").alias("key"))
     probes = _small(wanted.where("probe").select("key", "item_id").distinct())
     pairs = kept(found.join(probes, "key").select("doc_id", "text_key", "item_id").distinct(), "item-candidates")
     # Second look, at these documents only: all windows, with places and values. Windows meet by key; of the
@@ -237,7 +242,7 @@ def contaminated(
     )
     some = some.select("doc_id", "text_key", marking)
     rows = _window_rows(some, "doc_id", "text_key", short=short)
-    rows = rows.select("doc_id", "text_key", F.expr(f"slice(words, at + 1, {WINDOW})").alias("own_words"), F.explode("keys").alias("key"))
+    rows = rows.select("doc_id", "text_key", F.expr(f"slice(words, at + 1, {WINDOW})").alias("own_words"), F.explode_outer("keys").alias("key"))
     hits = rows.join(_small(wanted.drop("probe")), "key")
     same = hits["doc_id"].eqNullSafe(named["id_"]) & (hits["text_key"] == named["key_"]) & (hits["item_id"] == named["item_id"])
     hits = kept(hits.join(named, same, "left_semi"), "item-hits")
