@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from tidemill.session import local_session  # noqa: E402
+from tidemill.session import local_session, release_staged  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,6 +15,7 @@ def spark():
     session = local_session("tests", cores="4", partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release_staged(session)
     session.stop()
 
 

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import statistics
 from collections import Counter
+from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from conftest import rows
@@ -67,12 +70,12 @@ def test_collecting_needs_room(spark):
     st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-4, 4).map(float))), max_size=25),
     st.sampled_from([0, 5, 100]),
 )
-def test_median_and_mode_match_brute_force(spark, data, small_group):
-    ranks.SMALL_GROUP, kept = small_group, ranks.SMALL_GROUP
+def test_median_and_mode_match_brute_force(spark, data, band):
+    ranks.BAND, kept = band, ranks.BAND
     try:
         _check_median_and_mode(spark, data)
     finally:
-        ranks.SMALL_GROUP = kept
+        ranks.BAND = kept
 
 
 def _check_median_and_mode(spark, data):
@@ -89,9 +92,9 @@ def _check_median_and_mode(spark, data):
     assert got == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("small_group", [0, 5000, 10**9])
-def test_median_of_a_large_hot_group(spark, monkeypatch, small_group):
-    monkeypatch.setattr("tidemill.operators.ranks.SMALL_GROUP", small_group)
+@pytest.mark.parametrize("band", [0, 3, 10**9])
+def test_median_of_a_large_hot_group(spark, monkeypatch, band):
+    monkeypatch.setattr("tidemill.operators.ranks.BAND", band)
     df = spark.range(0, 30001).select(
         F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 50)).alias("g"),
         F.pmod(F.hash("id"), F.lit(9973)).cast("double").alias("x"),
@@ -102,6 +105,38 @@ def test_median_of_a_large_hot_group(spark, monkeypatch, small_group):
     assert rows(aggregate(df, None, "median:x")) == [(whole,)]
 
 
+@pytest.mark.parametrize("band", [0, 7, 10**9])
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_percentiles_keep_their_type(spark, monkeypatch, band, broadcast):
+    monkeypatch.setattr(ranks, "BAND", band)
+    monkeypatch.setattr(ranks, "MARGIN", 0.2)  # wide enough for a narrowing at this size
+    if not broadcast:
+        monkeypatch.setattr(ranks, "broadcast_if_small", lambda df: (df, False))
+    start = date(2000, 1, 1)
+    data = []
+    for i in range(400):
+        k = i * 7919 % 401
+        day, cents = start + timedelta(days=k // 3), Decimal(k).scaleb(-2)
+        data.append(("ab"[i % 2], 2**53 + 1 + k, 2**62 + k % 9, cents, day, float("nan") if k % 50 == 0 else k / 8))
+    data += [("b", None, None, None, None, None), (None, None, None, None, None, None)]
+    df = spark.createDataFrame(data, "g string, wide long, tied long, price decimal(20,2), day date, rough double")
+    for name in df.columns[1:]:
+        got = ranks.percentiles(df, ["g"], F.col(name), {"low": 0.0, "p33": 0.33, "top": 1.0})
+        assert got.schema["p33"].dataType == df.schema[name].dataType
+        found = {r.g: (r.low, r.p33, r.top) for r in got.collect()}
+        assert found.pop(None) == (None, None, None)
+        for g in "ab":
+            own = [r[df.columns.index(name)] for r in data if r[0] == g and r[df.columns.index(name)] is not None]
+            own.sort(key=lambda x: (x != x, x))
+            want = tuple(own[max(math.ceil(len(own) * p), 1) - 1] for p in (0.0, 0.33, 1.0))
+            assert repr(found[g]) == repr(want)
+    whole = ranks.percentiles(df, [], F.col("wide"), {"p50": 0.5}).collect()
+    assert [r.p50 for r in whole] == [sorted(r[1] for r in data if r[1] is not None)[199]]
+    assert ranks.percentiles(df.filter("wide < 0"), ["g"], F.col("wide"), {"p50": 0.5}).collect() == []
+    with pytest.raises(ValueError, match="numbers"):
+        ranks.percentiles(df, [], F.col("g"), {"p50": 0.5})
+
+
 def test_levels(spark):
     df = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", "x", 3)], "p string, q string, n int")
     got = rows(aggregate_levels(df, "sum:n", rollup="p,q", level="level"))

@@ -1,6 +1,10 @@
 from __future__ import annotations
 
 import json
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -26,7 +30,8 @@ from tidemill.plans import (
     run_flow,
     run_history,
 )
-from tidemill.quality import Range
+from tidemill.plans.flow import shared_steps
+from tidemill.quality import Range, read_quarantine
 from tidemill.sources import read_csv
 
 # Readings of river gauges; one gauge sent its first reading twice with different levels.
@@ -237,8 +242,8 @@ def test_schema_ref_may_name_columns_of_later_steps(spark, home):
     assert [r.keeper for r in done.datasets["levels"].collect()] == ["Ada"]
 
 
-def test_a_csv_target_named_like_a_file_is_one_whatever_its_size(spark, home):
-    targets = [{"type": "csv", "path": f"{home}/all.csv"}, {"type": "csv", "path": f"{home}/parts.csv", "singleFile": "false"}]
+def test_a_csv_target_is_one_file_if_it_says_so(spark, home):
+    targets = [{"type": "csv", "path": f"{home}/all.csv", "singleFile": "true"}, {"type": "csv", "path": f"{home}/parts.csv"}]
     assert run(spark, home, gauge_flow(home, steps=[], targets=targets)).metrics["rows_written"] == 12
     assert (home / "all.csv").is_file() and (home / "parts.csv").is_dir()
     assert rows(read_csv(spark, f"{home}/all.csv")) == rows(read_csv(spark, f"{home}/parts.csv"))
@@ -304,6 +309,19 @@ def test_run_reports(logs):
     assert rows(failure_reasons(logs)) == [("boom", 1)]
 
 
+def test_metrics_keep_their_json_types(spark, tmp_path):
+    cases = [
+        ({"rows_processed": "12.5", "rows_in": 3}, 15), ({"rows_processed": "-5"}, None), ({"rows_processed": 12.9}, 12), ({"rows_written": True}, 1),
+        ({"rows_processed": "007", "rows_written": 9}, 7), ({"rows_processed": None, "records_written": 4}, 4), ({"rows_processed": -5}, -5),
+        ({"rows_processed": 9007199254740993}, 9007199254740993), ({"rows_a": "1e2", "rows_b": [1], "rows_c": "x"}, 100), ({"rows_processed": "9" * 30, "row": 1}, 1),
+        ({}, None), ([1, 2], None), (7, None), (None, None),
+    ]
+    lines = [json.dumps({"run_id": f"{i:02}", "metrics": m}) for i, (m, _) in enumerate(cases)]
+    (tmp_path / "runs.log").write_text("\n".join([*lines, "{broken", ""]))
+    got = run_history(read_run_logs(spark, str(tmp_path), multi_line=False), newest_first=False)
+    assert {r.run_id: r.rows_processed for r in got.collect()} == {f"{i:02}": want for i, (_, want) in enumerate(cases)}
+
+
 @pytest.mark.parametrize(
     "metrics, expected",
     [
@@ -316,6 +334,11 @@ def test_rows_processed(spark, metrics, expected):
     assert df.select(rows_processed(F.col("m"))).first()[0] == expected
 
 
+def test_latency_keeps_fractions(spark):
+    df = spark.createDataFrame([("p", d) for d in ("6739.5", "100", "900000.5", "NaN", "x", None)], "pipeline_id string, duration_ms string")
+    assert rows(latency_percentiles(df, "pipeline_id")) == [("p", 6, 6739.5, 900000.5, 900000.5)]
+
+
 def test_latency_is_nearest_rank(spark):
     df = spark.createDataFrame([("p", str(i)) for i in range(1, 101)] + [("q", "5"), ("q", None)], "pipeline_id string, duration_ms string")
     assert rows(latency_percentiles(df, "pipeline_id")) == [("p", 100, 50, 90, 99), ("q", 2, 5, 5, 5)]
@@ -326,8 +349,11 @@ def test_inventory(spark, tmp_path):
         (tmp_path / "apps" / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / "apps" / name).write_text("x")
     (tmp_path / "apps" / "stray.csv").write_text("x")
+    (tmp_path / "apps" / "loans" / "service" / "empty.csv").write_text("")
+    (tmp_path / "apps" / "loans" / "service" / "_hidden").write_text("x")
+    (tmp_path / "apps" / "loans" / "bare").mkdir()
     files = file_inventory(spark, f"{tmp_path}/apps")
-    assert rows(files) == [("cards", "staging", 2), ("loans", "service", 1)]
+    assert rows(files) == [("cards", "staging", 2), ("loans", "service", 3)]
     entries = spark.createDataFrame(
         [("cards", "staging", "pipeline", "Zed"), ("cards", "staging", "pipeline", "abc"), ("cards", "staging", "job", "j"), ("cards", "service", "pipeline", "abc")],
         "app string, layer string, kind string, id string",
@@ -345,3 +371,132 @@ def test_rows_processed_ignores_what_is_no_count(spark):
     df = spark.createDataFrame([(i, m) for i, m in enumerate(metrics)], "i int, metrics map<string,double>")
     got = df.select("i", rows_processed(F.col("metrics")).alias("n")).orderBy("i").collect()
     assert [r.n for r in got] == [3, None, 7]
+
+
+# --- shared results, target schemas, secrets ---
+
+
+def branching(frame, keep, tmp_path, targets=2):
+    return {
+        "id": "b", "app": "a", "layer": "staging",
+        "sources": [{"id": "items", "type": "frame", "frame": frame}],
+        "steps": [
+            {"step": "deduplicate", "source": "items", "keys": "k", "keep": keep, "orderBy": "x"},
+            {"step": "record_hash", "source": "items", "columns": "k,x", "output": "hashed"},
+            {"step": "aggregate", "source": "hashed", "groupBy": "g", "metrics": "sum:x,count:*", "output": "totals"},
+            {"step": "aggregate", "source": "items", "groupBy": "g", "metrics": "max:x", "output": "unused"},
+        ],
+        "targets": [{"type": "table", "source": s, "path": f"{tmp_path}/{s}"} for s in ("hashed", "totals")[:targets]],
+    }
+
+
+@pytest.mark.parametrize("keep", ["any", "latest"])
+def test_what_targets_share_is_computed_once(spark, tmp_path, keep):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def watched(x):
+        seen.add(1)
+        return x
+
+    # Rows of a key differ at random each time they are computed.
+    noisy = spark.range(0, 400, numPartitions=4).select((F.col("id") % 100).alias("k"), (F.col("id") % 3).alias("g"), (watched("id") + F.floor(F.rand() * 1e6)).alias("x"))
+    flow = branching(noisy, keep, tmp_path)
+    assert shared_steps(flow) == {1}
+    done = run_flow(spark, flow)
+    assert seen.value == 400 and done.metrics["rows_written"] == 103
+    hashed, totals = (spark.read.parquet(f"{tmp_path}/{s}") for s in ("hashed", "totals"))
+    assert rows(totals) == rows(hashed.groupBy("g").agg(F.sum("x").alias("sum_x"), F.count("*").alias("count_rows")))
+    assert len(done.staged) == 1
+    done.release(spark)
+    assert done.staged == [] and shared_steps(branching(noisy, keep, tmp_path, 1)) == set()
+
+
+def test_where_ways_part():
+    def flow(steps, targets, sources=("a", "b")):
+        named = [{"step": "join" if "right" in s else "mask", **s} for s in steps]
+        return {"sources": [{"id": s} for s in sources], "steps": named, "targets": [{"source": t} for t in targets]}
+
+    one = {"source": "a", "output": "c"}
+    assert shared_steps(flow([one], ["c", "c"])) == {0}
+    assert shared_steps(flow([one], ["a", "a"])) == set()  # a source is not copied
+    assert shared_steps(flow([one, {"source": "c", "output": "d"}, {"source": "d", "output": "e"}], ["d", "e"])) == {1}
+    twice = [one, {"left": "c", "right": "b", "output": "d"}, {"left": "b", "right": "c", "output": "e"}]
+    assert shared_steps(flow(twice, ["d", "e"])) == {0} and shared_steps(flow(twice, ["e"])) == set()
+    overwritten = [{"source": "a"}, {"source": "a"}, {"source": "a", "output": "f"}]
+    assert shared_steps(flow(overwritten, ["a", "f"])) == {1}
+
+
+@pytest.mark.parametrize("policy", ["quarantine", "skip"])
+def test_a_target_keeps_its_schema(spark, home, policy):
+    fields = [{"name": "gauge", "type": "string"}, {"name": "level", "type": "float"}, {"name": "reach", "type": "string"}]
+    (home / "out.avsc").write_text(json.dumps({"fields": fields}))
+    targets = [{"type": "table", "path": f"{home}/out", "schemaRef": f"{home}/out.avsc"}, {"type": "table", "path": f"{home}/all"}]
+    flow = gauge_flow(home, steps=[], targets=targets, on_record_error=policy)
+    done = run(spark, home, flow)
+    n = len(READINGS.splitlines())
+    assert done.metrics["rows_rejected"] == 1 and done.metrics["rows_written"] == 2 * n - 1
+    kept = spark.read.parquet(f"{home}/out")
+    assert kept.dtypes == [("gauge", "string"), ("level", "float"), ("reach", "string")] and kept.count() == n - 1
+    assert done.metrics.get("rows_quarantined") == (1 if policy == "quarantine" else None)
+    if policy == "quarantine":
+        (bad,) = read_quarantine(spark, f"{home}/exceptions", spark.read.parquet(f"{home}/all").schema).collect()
+        assert (bad.gauge, bad.rule_id, bad.reason) == ("R9", "reach", "target_schema:raw")
+    (home / "more.avsc").write_text(json.dumps({"fields": [*fields, {"name": "absent", "type": "string"}]}))
+    flow["targets"] = [{**targets[0], "schemaRef": f"{home}/more.avsc"}]
+    with pytest.raises(ValueError, match="not found"):
+        run(spark, home, flow)
+
+
+def test_increments_count_once_their_targets_are_written(spark, home):
+    source = {"id": "readings", "type": "csv", "path": f"{home}/feed/may.txt", "header": "false", "delimiter": "|",
+              "schema": "gauge string, at timestamp_ntz, level double, reach string", "watermark": "at", "state": f"{home}/state"}
+    good = [{"type": "table", "path": f"{home}/kept", "mode": "merge", "keys": "gauge,at,level", "buckets": 4}]
+    flow = {"id": "i", "app": "a", "layer": "staging", "sources": [source], "targets": [*good, {"type": "csv", "path": f"{home}/x", "mode": "wrong"}]}
+    with pytest.raises(ValueError, match="mode"):
+        run_flow(spark, flow)
+    flow["targets"] = good
+    n = len(READINGS.splitlines())
+    assert [run_flow(spark, flow).metrics["rows_written"] for _ in range(2)] == [n, 0.0]
+    with open(home / "feed" / "may.txt", "a") as feed:
+        feed.write("R9|2031-05-02 09:00|1.25|lower\nR9|2031-05-03 09:00|1.50|lower\n")
+    run_flow(spark, flow)
+    again = {"id": "r", "app": "a", "layer": "staging", "sources": [{"id": "t", "type": "table", "path": f"{home}/kept"}]}
+    assert run_flow(spark, again).datasets["t"].count() == n + 2
+    assert any("both watermark and state" in e for e in check_flow({**flow, "sources": [{**source, "state": None}]}))
+
+
+def test_a_secret_is_in_no_plan_and_no_log(tmp_path):
+    """In a process of its own, as the event log is set when a session starts."""
+    script = """
+import sys
+from pyspark.sql import functions as F
+from tidemill.operators import mask, unmask
+from tidemill.session import local_session
+log, key_file = sys.argv[1:]
+spark = local_session("secrets", cores="2", partitions=2, **{"spark.eventLog.enabled": "true", "spark.eventLog.compress": "false", "spark.eventLog.dir": log})
+df = spark.range(50).select(F.concat(F.lit("card"), "id").alias("card"))
+for ref in ("env:CARD_KEY", f"file:{key_file}"):
+    hidden = mask(df, "card", "encrypt", secret_ref=ref)
+    shown = unmask(hidden, "card", secret_ref=ref)
+    assert sorted(r.card for r in shown.collect()) == sorted(r.card for r in df.collect())
+    for frame in (hidden, shown):
+        frame.explain("extended")
+        print(frame._jdf.queryExecution().toString())
+for call in (lambda: mask(df, "card", "encrypt"), lambda: mask(df, "card", "encrypt", secret_ref="nowhere:x"), lambda: mask(df, "card", "encrypt", secret_ref="env:NO_SUCH_KEY")):
+    try:
+        call()
+    except (ValueError, KeyError):
+        continue
+    raise SystemExit("accepted")
+spark.stop()
+"""
+    (tmp_path / "log").mkdir()
+    (tmp_path / "key").write_text("0123456789abcdeF\n")
+    env = {**os.environ, "CARD_KEY": "0123456789abcdeF", "PYTHONPATH": str(Path(__file__).resolve().parents[1])}
+    done = subprocess.run([sys.executable, "-c", script, f"file://{tmp_path}/log", f"{tmp_path}/key"], env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "aes_encrypt" in done.stdout
+    logged = "".join(p.read_text(errors="replace") for p in (tmp_path / "log").rglob("*") if p.is_file())
+    assert "SparkListenerSQLExecutionStart" in logged
+    assert "0123456789abcdeF" not in logged + done.stdout + done.stderr

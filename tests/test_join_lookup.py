@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from importlib import import_module
+
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
@@ -8,14 +10,17 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import join, lookup
 
+joins = import_module("tidemill.operators.join")
 
 
 @pytest.fixture(scope="module", autouse=True)
 def no_broadcast(spark):
-    """Tiny frames would all be broadcast, and the split form of outer joins never used."""
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    """Tiny frames would all be broadcast, and have no hot keys: the split form of outer joins would never be used."""
+    before, rows_before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), joins.HOT_ROWS
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joins.HOT_ROWS = 0
     yield
+    joins.HOT_ROWS = rows_before
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
@@ -176,21 +181,56 @@ def test_small_optional_side_is_broadcast_in_one_scan(spark, tmp_path, how, spli
     assert ("Union" in plan) == split and "BroadcastHashJoin" in plan
 
 
-def test_outer_join_reuses_the_exchange(spark, tmp_path):
+@pytest.fixture
+def shuffled(spark, tmp_path):
+    """Both sides as tables, no broadcasts, plans as they are first made."""
     left(spark).write.parquet(f"{tmp_path}/l")
     right(spark).write.parquet(f"{tmp_path}/r")
     settings_ = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     before = {k: spark.conf.get(k) for k in settings_}
     for k, v in settings_.items():
         spark.conf.set(k, v)
-    try:
-        joined = join(spark.read.parquet(f"{tmp_path}/l"), spark.read.parquet(f"{tmp_path}/r"), "k", "full")
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    yield spark.read.parquet(f"{tmp_path}/l"), spark.read.parquet(f"{tmp_path}/r")
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_outer_join_reuses_the_exchange(shuffled):
+    joined = join(*shuffled, "k", "full")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ReusedExchange") == 2
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert rows(joined) == sorted(brute("full", LEFT, RIGHT), key=repr)
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_outer_join_without_hot_keys_is_native(shuffled, monkeypatch, how):
+    monkeypatch.setattr(joins, "HOT_ROWS", 10_000)
+    a, b = shuffled
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (join(a, b, "k", how), a.join(b, "k", how))]
+    for word in ("FileScan", "Exchange", "SortMergeJoin", "Union"):
+        assert plans[0].count(word) == plans[1].count(word)
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_hot_keys_change_no_result(shuffled, spark, how, null_safe):
+    a, b = shuffled
+    assert rows(join(a, b, "k", how, null_safe=null_safe)) == sorted(brute(how, LEFT, RIGHT, null_safe), key=repr)
+    # Keys of two types, two columns, nulls in either, a hot key on both sides, an inequality beside the equality.
+    left_rows = [(1, "x", i) for i in range(30)] + [(None, "x", 100), (1, None, 101), (2, "y", 102), (3, "z", 103)] + [(None, None, i) for i in range(20)]
+    right_rows = [(1, "x", i) for i in range(0, 60, 5)] + [(2, "y", 0), (2, "y", 500), (None, "x", 1), (9, "z", 2)] + [(None, None, 7)] * 9
+    wide = spark.createDataFrame(left_rows, "k int, g string, n int"), spark.createDataFrame(right_rows, "k long, g string, m int")
+    assert joins.hot_keys(wide[0], [F.col("k"), F.col("g")], null_safe)
+    a, b = wide[0].alias("l"), wide[1].alias("r")
+    same = F.col("l.k").eqNullSafe(F.col("r.k")) & F.col("l.g").eqNullSafe(F.col("r.g")) if null_safe else F.expr("l.k = r.k AND l.g = r.g")
+    for text, on in (("l.k = r.k AND l.g = r.g", same), ("l.k = r.k AND l.g = r.g AND l.n < r.m", same & F.expr("l.n < r.m"))):
+        if null_safe and "<" in text:
+            continue
+        got = join(*wide, text, how, left_id="l", right_id="r", null_safe=null_safe)
+        assert rows(got) == rows(a.join(b, on, how))
+        picked = join(*wide, text, how, left_id="l", right_id="r", null_safe=null_safe, select=["l.n AS n", "coalesce(r.m, -1) AS m"])
+        assert rows(picked) == rows(a.join(b, on, how).selectExpr("l.n AS n", "coalesce(r.m, -1) AS m"))
 
 
 def test_grouped_sides_are_spread(spark):

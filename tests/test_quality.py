@@ -113,9 +113,9 @@ def test_quarantine_and_replay(spark, tmp_path):
 
 def test_fx(spark):
     data = [
-        ("USD", "USD", "6409281725.92507", "6409281725.92507"),
-        ("USD", "GBP", "4873221157.23831", "5847865388.68597"),
-        ("USD", "EUR", "1608847089.30413", "2413270633.95620"),
+        ("USD", "USD", "7000000001.00009", "7000000001.00009"),
+        ("USD", "GBP", "1234567890.11111", "1481481468.13333"),
+        ("USD", "EUR", "90000000000.00002", "135000000000.00003"),
         ("GBP", "EUR", "10.00000", "9.00200"),
         ("EUR", "USD", "1.00000", "1.00000"),
     ]

@@ -1,5 +1,6 @@
 from .names import col, expressions, flag, fresh, names, quoted, require_columns
 from .rounding import round_binary
+from .secrets import secret
 from .sizing import BROADCAST_ROWS, broadcast_if_small, fits_broadcast, spread, within_rows
 
 __all__ = [
@@ -14,6 +15,7 @@ __all__ = [
     "quoted",
     "require_columns",
     "round_binary",
+    "secret",
     "spread",
     "within_rows",
 ]

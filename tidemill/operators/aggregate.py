@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import col, fresh, names, require_columns
-from .ranks import median, mode
+from .ranks import medians, modes
 
 #: Aggregates Spark computes with partial aggregation and a bounded buffer per group.
 SIMPLE: dict[str, Callable[[Column], Column]] = {
@@ -125,11 +125,15 @@ def aggregate(
     if not ranked:
         return df.groupBy(*keys).agg(*[_expression(*m) for m in simple])
 
-    # One narrow frame per ranked metric, stacked under the plain result and folded by
-    # group: each metric is non-null in one frame only, so `first` has nothing to choose.
+    # One narrow frame for all medians and one for all modes, stacked under the plain result and
+    # folded by group: each metric is non-null in one frame only, so `first` has nothing to choose.
     row_count = fresh("group_rows", df.columns)
     base = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(row_count), *[_expression(*m) for m in simple])
-    frames = [base] + [(median if f == "median" else mode)(df, groups, c, a) for f, c, a in ranked]
+    frames = [base]
+    for function, wanted in (("median", medians), ("mode", modes)):
+        columns = {a: c for f, c, a in ranked if f == function}
+        if columns:
+            frames.append(wanted(df, groups, columns))
     stacked = frames[0]
     for frame in frames[1:]:
         stacked = stacked.unionByName(frame, allowMissingColumns=True)

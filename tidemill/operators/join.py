@@ -111,12 +111,14 @@ def join(
     also has is returned as ``<right_id>_<name>``; ``select`` (SQL expressions over the
     two ids) replaces the default column list.
 
-    Inner, semi and anti joins are Spark's own, with adaptive skew splitting. An outer
-    join is built as *matched rows* + *unmatched rows* (``split_outer``): adaptive
-    execution can split both sides of an inner join but not the null-supplying side of an
-    outer join and no side of a full join, so one hot key would otherwise end in one
-    task. Rows with a null key bypass the exchange altogether. ``split_outer=False`` asks
-    for the native operator.
+    Inner, semi and anti joins are Spark's own, with adaptive skew splitting. Adaptive execution splits
+    neither the null-supplying side of an outer join nor any side of a full one, so a hot key there
+    would end in one task. Where such a side is too large to broadcast, one pass over its key columns (a sketch of
+    frequent items, see ``hot_keys``) tells whether it has any. (A full join of which one side is small is split, as its
+    parts can be broadcast.) Without hot keys the join is the native operator. With
+    hot keys their rows, and only theirs, are joined as *matched rows* + *unmatched rows* (inner + anti,
+    which can be split), and null keys that are hot bypass the exchange; inputs are then read once more per part,
+    so stage one that is not deterministic first. ``split_outer=False`` asks for the native operator unmeasured.
     """
     kind = join_type(how)
     if left_id == right_id:
@@ -127,7 +129,6 @@ def join(
     unknown = set(names(grouped)) - {left_id, right_id}
     if unknown:
         raise ValueError(f"join: grouped names {sorted(unknown)}, the sides are {left_id!r} and {right_id!r}")
-    left, right = (spread(df) if i in names(grouped) else df for df, i in ((left, left_id), (right, right_id)))
 
     using: list[str] = []
     pairs: list[tuple[str, str]] | None
@@ -142,36 +143,38 @@ def join(
         require_columns(left, [x for x, _ in pairs], "join left")
         require_columns(right, [y for _, y in pairs], "join right")
 
+    def partner_is_hot(side: int) -> bool:
+        """Whether the other side has keys worth splitting; where there are no columns to look at, yes."""
+        return pairs is None or bool(hot_keys((right, left)[side], _common_keys(left, right, pairs, 1 - side), null_safe))
+
+    ends = enumerate(((left, left_id), (right, right_id)))
+    left, right = [spread(df) if own in names(grouped) and partner_is_hot(side) else df for side, (df, own) in ends]
+
     def on() -> Column:
         return _equal(pairs, left_id, right_id, null_safe) if pairs else F.expr(condition)
 
     def few_keys(df: DataFrame, side: int) -> DataFrame:
         return _few_copies(df, [pair[side] for pair in pairs]) if pairs else df
 
-    a, b = left.alias(left_id), right.alias(right_id)
     if kind in ("left_semi", "left_anti"):
-        tested = a.join(few_keys(right, 1).alias(right_id), on(), kind)
+        tested = left.alias(left_id).join(few_keys(right, 1).alias(right_id), on(), kind)
         return tested if select is None else tested.selectExpr(*select)
-    optional = {"left": right, "right": left}.get(kind)
-    if optional is not None and split_outer:
-        split_outer = not fits_broadcast(optional)
-    if select is not None and (kind == "inner" or not split_outer):
-        return a.join(b, on(), kind).selectExpr(*select)
-
     left_cols = [col(c, left_id).alias(c) for c in left.columns]
     renamed = {c: (f"{right_id}_{c}" if c in left.columns else c) for c in right.columns if c not in using}
     right_cols = [col(c, right_id).alias(n) for c, n in renamed.items()]
     out = [*left.columns, *renamed.values()]
     if select is None and len(set(out)) != len(out):
         raise ValueError(f"join: result columns are not unique: {out}; pass select=")
-    if kind == "inner":
-        return a.join(b, on(), "inner").select(*left_cols, *right_cols)
-    if not split_outer:
-        first = [
-            F.coalesce(col(c, left_id), col(c, right_id)).alias(c) if c in using else x
-            for c, x in zip(left.columns, left_cols)
-        ]
-        return a.join(b, on(), kind).select(*first, *right_cols)
+
+    def native(left: DataFrame, right: DataFrame) -> DataFrame:
+        joined = left.alias(left_id).join(right.alias(right_id), on(), kind)
+        if select is not None:
+            return joined.selectExpr(*select)
+        first = left_cols
+        if kind != "inner":
+            shared = {c: F.coalesce(col(c, left_id), col(c, right_id)).alias(c) for c in using}
+            first = [shared.get(c, x) for c, x in zip(left.columns, left_cols)]
+        return joined.select(*first, *right_cols)
 
     def shape(has_left: bool, has_right: bool) -> list[Column]:
         """The result columns of rows that have a left side, a right side or both."""
@@ -182,23 +185,97 @@ def join(
         ]
         return [*cols, *(right_cols if has_right else [_null(right, c, n) for c, n in renamed.items()])]
 
-    # A null key cannot match: take such rows around the join when they must be kept.
-    bypass = bool(pairs) and not null_safe
-    left_full, left_null = _by_null_key(left, [x for x, _ in pairs] if bypass else [])
-    right_full, right_null = _by_null_key(right, [y for _, y in pairs] if bypass else [])
-    a, b = left_full.alias(left_id), right_full.alias(right_id)
-
-    parts = [a.join(b, on(), "inner").select(*shape(True, True))]
-    if kind in ("left", "full"):
-        parts.append(a.join(few_keys(right_full, 1).alias(right_id), on(), "left_anti").select(*shape(True, False)))
-        if left_null is not None:
-            parts.append(left_null.alias(left_id).select(*shape(True, False)))
-    if kind in ("right", "full"):
-        parts.append(b.join(few_keys(left_full, 0).alias(left_id), on(), "left_anti").select(*shape(False, True)))
-        if right_null is not None:
-            parts.append(right_null.alias(right_id).select(*shape(False, True)))
-    joined = reduce(DataFrame.unionAll, parts)
-    return joined if select is None else joined.selectExpr(*select)
+    def split(left: DataFrame, right: DataFrame) -> DataFrame:
+        a, b = left.alias(left_id), right.alias(right_id)
+        parts = [a.join(b, on(), "inner").select(*shape(True, True))]
+        if kind in ("left", "full"):
+            parts.append(a.join(few_keys(right, 1).alias(right_id), on(), "left_anti").select(*shape(True, False)))
+        if kind in ("right", "full"):
+            parts.append(b.join(few_keys(left, 0).alias(left_id), on(), "left_anti").select(*shape(False, True)))
+        joined = reduce(DataFrame.unionAll, parts)
+        return joined if select is None else joined.selectExpr(*select)
+
+    def alone(left: DataFrame | None, right: DataFrame | None) -> DataFrame:
+        """Rows of one side that cannot match."""
+        rows = left.alias(left_id) if right is None else right.alias(right_id)
+        shaped = rows.select(*shape(left is not None, right is not None))
+        return shaped if select is None else shaped.selectExpr(*select)
+
+    supplied = {"left": [right], "right": [left], "full": [left, right]}.get(kind, [])
+    if not split_outer or (kind != "full" and all(map(fits_broadcast, supplied))):
+        return native(left, right)
+    if kind == "full" and any(map(fits_broadcast, supplied)):  # its parts can be broadcast, a full join cannot
+        return split(left, right)
+    equal = pairs if pairs is not None else _some_pairs(condition, left_id, right_id)
+    if not equal:  # equal expressions rather than columns: there are no keys to look at
+        return split(left, right)
+    keys = [_common_keys(left, right, equal, side) for side in (0, 1)]
+    sides = [(df, key) for df, key in zip((left, right), keys) if any(df is s for s in supplied)]
+    hot = {k for df, key in sides for k in hot_keys(df, key, null_safe)}
+    if not hot:
+        return native(left, right)
+    parts = []
+    if None in hot:  # cannot match: such rows are taken around the join if they are kept
+        absent = [_any_null(key) for key in keys]
+        if kind in ("left", "full"):
+            parts.append(alone(left.filter(absent[0]), None))
+        if kind in ("right", "full"):
+            parts.append(alone(None, right.filter(absent[1])))
+        left, right = left.filter(~absent[0]), right.filter(~absent[1])
+    hot = sorted(hot - {None})
+    if hot:
+        # Null keys stay with the others; saying so on both sides lets the parts share their exchanges.
+        is_hot = [F.xxhash64(*key).isin(hot) & (F.lit(null_safe) | ~_any_null(key)) for key in keys]
+        parts.append(split(left.filter(is_hot[0]), right.filter(is_hot[1])))
+        left, right = left.filter(~is_hot[0]), right.filter(~is_hot[1])
+    return reduce(DataFrame.unionAll, [native(left, right), *parts])
+
+
+#: A key is hot if it has more rows than an even share of a shuffle partition, and more than this.
+HOT_ROWS = 10_000
+#: Frequent keys that are looked at, and keys the sketch keeps count of.
+HOT_KEYS, TRACKED_KEYS = 1_000, 100_000
+
+
+def hot_keys(df: DataFrame, keys: Iterable[Column], null_safe: bool = False) -> list[int | None]:
+    """Hashes of the keys that hold more rows than an even share of a shuffle partition.
+
+    Keys with a null in them count together as None, or like any other if ``null_safe``. One pass over the key columns
+    with a sketch of frequent items per task. Estimates only choose the plan: they do not change any result.
+    """
+    keys = list(keys)
+    key = F.when(F.lit(null_safe) | ~_any_null(keys), F.xxhash64(*keys))
+    sketched = df.select(key.alias("key")).agg(
+        F.expr(f"approx_top_k(key, {HOT_KEYS}, {TRACKED_KEYS})").alias("top"), F.count(F.lit(1)).alias("n")
+    )
+    found = sketched.first()
+    share = found["n"] / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return [r["item"] for r in found["top"] or [] if r["count"] > max(share, HOT_ROWS)]
+
+
+def _any_null(keys: Iterable[Column]) -> Column:
+    return reduce(lambda p, q: p | q, [k.isNull() for k in keys])
+
+
+def _some_pairs(condition: str, left_id: str, right_id: str) -> list[tuple[str, str]]:
+    """Column pairs of the equalities among a condition's parts, if it is a plain conjunction."""
+    if re.search(r"\b(or|not|case|between)\b|['\"()]", condition, flags=re.IGNORECASE):
+        return []
+    parts = re.split(r"\s+and\s+", condition.strip(), flags=re.IGNORECASE)
+    return [pair for part in parts for pair in _pairs(part, left_id, right_id) or []]
+
+
+def _common_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], side: int) -> list[Column]:
+    """The key columns of one side in the type both sides are compared in, so that equal keys have equal hashes."""
+    keys = []
+    for pair in pairs:
+        kinds = [df.schema[name].dataType for df, name in zip((left, right), pair)]
+        key = col(pair[side])
+        if kinds[0] != kinds[1]:
+            both = [F.lit(None).cast(kind) for kind in kinds]
+            key = key.cast(left.sparkSession.range(1).select((F.coalesce(*both)).alias("key")).schema["key"].dataType)
+        keys.append(key)
+    return keys
 
 
 def _null(df: DataFrame, column: str, name: str) -> Column:
@@ -229,14 +306,6 @@ def _few_copies(df: DataFrame, keys: list[str]) -> DataFrame:
     return salted.distinct().select(*[col(k) for k in keys])
 
 
-def _by_null_key(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:
-    """Split into rows with a complete key and rows with a null in it."""
-    if not keys:
-        return df, None
-    complete = reduce(lambda p, q: p & q, [col(k).isNotNull() for k in dict.fromkeys(keys)])
-    return df.filter(complete), df.filter(~complete)
-
-
 def lookup(
     df: DataFrame,
     ref: DataFrame,
@@ -261,8 +330,8 @@ def lookup(
     when its measured size is under the session threshold and shuffles it otherwise;
     ``broadcast=True`` raises that bound to ``broadcast_rows`` rows, counted before the
     hint is given, and falls back to the shuffle join beyond it. ``grouped`` says that the
-    reference was just grouped by these keys (and may be large): it is spread first, so that a
-    hot key of ``df`` can be split.
+    reference was just grouped by these keys (and may be large): if ``df`` has hot keys the reference is spread first,
+    so that they can be split.
     """
     keys, fields = names(join_columns), names(output_fields)
     kind = join_type(how)
@@ -288,7 +357,7 @@ def lookup(
     if broadcast:
         slim, small = broadcast_if_small(slim, broadcast_rows)
         grouped = grouped and not small
-    if grouped:
+    if grouped and hot_keys(df, _common_keys(df, slim, [(k, k) for k in keys], 0)):
         slim = spread(slim)
     test = _equal([(k, k) for k in keys], "src", "lkp", null_safe=False)
     return (

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import col, names, require_columns
+from ..functions import col, names, require_columns, secret
 
 STRATEGIES = ("hash", "tokenize", "redact", "encrypt")
 #: Fixed value: what a redacted column holds.
@@ -30,12 +30,14 @@ def mask(
     strategy: str = "hash",
     key: str | Column | None = None,
     salt: str | None = None,
+    secret_ref: str | None = None,
 ) -> DataFrame:
     """Rewrite the named columns in place, order of columns unchanged.
 
     ``hash`` and unsalted ``tokenize`` are the SHA-256 hex of the value's text;
     ``redact`` is the literal ``***`` also for nulls (and frees the scan from reading the
-    column); ``encrypt`` is base64 of AES-GCM under ``key`` (16, 24 or 32 bytes).
+    column); ``encrypt`` is base64 of AES-GCM under a key of 16, 24 or 32 bytes. ``secret_ref`` names
+    that key (see :func:`~tidemill.functions.secret`); a literal ``key`` would be readable in plans and event logs.
     A column that does not exist raises, since a typo would leak data.
     """
     wanted = names(columns)
@@ -47,23 +49,31 @@ def mask(
     elif strategy == "redact":
         hide = lambda c: F.lit(REDACTED)
     elif strategy == "encrypt":
-        if key is None:
-            raise ValueError("mask: strategy 'encrypt' needs a key")
-        secret = key if isinstance(key, Column) else F.lit(key)
-        hide = lambda c: F.base64(F.aes_encrypt(_text(c), secret, F.lit("GCM")))
+        value = _key(df, key, secret_ref, "mask: strategy 'encrypt'")
+        hide = lambda c: F.base64(F.aes_encrypt(_text(c), value, F.lit("GCM")))
     else:
         raise ValueError(f"mask: strategy must be one of {STRATEGIES}, got {strategy!r}")
     return df.select(*[hide(col(c)).alias(c) if c in wanted else col(c) for c in df.columns])
 
 
-def unmask(df: DataFrame, columns: str | Iterable[str], key: str | Column) -> DataFrame:
+def _key(df: DataFrame, key: str | Column | None, secret_ref: str | None, who: str) -> Column:
+    if (key is None) == (secret_ref is None):
+        raise ValueError(f"{who} needs a key: give secret_ref, or key")
+    if secret_ref is not None:
+        return secret(df.sparkSession, secret_ref)
+    return key if isinstance(key, Column) else F.lit(key)
+
+
+def unmask(
+    df: DataFrame, columns: str | Iterable[str], key: str | Column | None = None, secret_ref: str | None = None
+) -> DataFrame:
     """Reverse of ``mask(strategy="encrypt")``; the columns come back as text."""
     wanted = names(columns)
     require_columns(df, wanted, "unmask")
-    secret = key if isinstance(key, Column) else F.lit(key)
+    value = _key(df, key, secret_ref, "unmask")
     return df.select(
         *[
-            F.aes_decrypt(F.unbase64(col(c)), secret, F.lit("GCM")).cast("string").alias(c)
+            F.aes_decrypt(F.unbase64(col(c)), value, F.lit("GCM")).cast("string").alias(c)
             if c in wanted
             else col(c)
             for c in df.columns

@@ -23,19 +23,20 @@ import datetime as dt
 import json
 import logging
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import cache
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..quality import quarantine, split_by_rules
+from ..session import shared_path
 from ..sources import (
     avro_schema,
     declare,
+    load_increment,
     path_exists,
     preflight,
     read_csv,
@@ -43,11 +44,14 @@ from ..sources import (
     read_files,
     read_reference,
     read_sql,
+    read_table,
     table_path,
     write_csv,
     write_database,
     write_table,
 )
+from ..sources.files import discard
+from ..sources.schema import FAILED_COLUMNS, broken_columns, conforming
 from ..sources.writers import merge_into_table
 from .steps import STEPS, Step, dataset
 
@@ -58,13 +62,14 @@ SOURCES_LOADED = "pipeline_source_loaded"
 STEP_APPLIED = "pipeline_transform_"
 TARGETS_WRITTEN = "pipeline_targets_written"
 STEP_FAILURE = "transformation_failure:"
+TARGET_SCHEMA = "target_schema:"
 
 LAYERS = ("staging", "standardization", "service")
 STEP_ERRORS = ("halt", "quarantine", "skip")
 RECORD_ERRORS = ("quarantine", "skip")
 
 #: Options each source and target type cannot do without.
-SOURCE_REQUIRED = {"csv": ("path",), "files": ("path",), "parquet": ("path",), "database": (), "sql": ("sql",), "frame": ("frame",)}
+SOURCE_REQUIRED = {"csv": ("path",), "files": ("path",), "parquet": ("path",), "database": (), "sql": ("sql",), "frame": ("frame",), "table": ()}
 TARGET_REQUIRED = {"csv": ("path",), "table": (), "hive": ("table",), "database": ("url", "table")}
 
 
@@ -79,6 +84,22 @@ class FlowRun:
     error: str | None = None
     duration_ms: int = 0
     executed_at: str = ""
+    #: Copies in the shared folder that datasets read from.
+    staged: list[str] = field(default_factory=list)
+    #: What makes the increments of sources count as loaded.
+    commits: list[Callable[[], None]] = field(default_factory=list)
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written to the shared folder, to be computed once for all that read it."""
+        path = shared_path(df.sparkSession, name)
+        df.write.parquet(path)
+        self.staged.append(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def release(self, spark: SparkSession) -> None:
+        """Remove the staged copies, once the datasets are no longer needed."""
+        while self.staged:
+            discard(spark, self.staged.pop())
 
     def count(self, name: str, by: float = 1.0) -> None:
         self.metrics[name] = self.metrics.get(name, 0.0) + by
@@ -97,6 +118,10 @@ def check_flow(flow: Mapping[str, Any], steps: Mapping[str, Step] = STEPS) -> li
         errors.append(f"flow: on_record_error must be one of {RECORD_ERRORS}")
     for s in flow.get("sources", []):
         errors += _missing("source", s.get("type"), s, SOURCE_REQUIRED, ("id",))
+        if s.get("type") == "table" and not (s.get("path") or s.get("table")):
+            errors.append("source 'table': path or table is required")
+        if (s.get("watermark") is None) != (s.get("state") is None):
+            errors.append(f"source {s.get('id')!r}: an increment needs both watermark and state")
         if s.get("type") == "database" and not s.get("mockDataPath"):
             errors += _missing("source", "database", s, {"database": ("url",)}, ())
             if not (s.get("table") or s.get("sql")):
@@ -186,7 +211,9 @@ def _load(
     if kind == "sql":
         used = {k: v for k, v in params.items() if f":{k}" in entry["sql"]}
         return read_sql(spark, entry["sql"], datasets, used)
-    options = _arguments(entry, "id", "type", "schemaRef")
+    options = _arguments(entry, "id", "type", "schemaRef", "watermark", "state")
+    if kind == "table":
+        return read_table(spark, _table_at(options, data_root), options.get("format", "parquet"))
     declared = entry.get("schemaRef")
     if "path" in options:
         options["path"] = _resolve(spark, options["path"], data_root)
@@ -216,6 +243,15 @@ def _resolve(spark: SparkSession, path: str, data_root: str | None) -> str:
     return f"{data_root.rstrip('/')}/{path}"
 
 
+def _table_at(options: Mapping[str, Any], data_root: str | None) -> str:
+    """Where a table named by ``path`` or ``table`` lies."""
+    if "table" not in options:
+        return options["path"]
+    if data_root is None:
+        raise ValueError("a table given by name needs data_root")
+    return table_path(data_root, options["table"])
+
+
 def _write(
     df: DataFrame, entry: Mapping[str, Any], data_root: str | None, run_time: dt.datetime, counted: Observation | None
 ) -> None:
@@ -223,16 +259,12 @@ def _write(
     options["counted"] = counted
     if kind == "csv":
         options["path"] = _resolve(df.sparkSession, options["path"], data_root)
-        named_like_a_file = "." in options["path"].rstrip("/").rsplit("/", 1)[-1]
-        options.setdefault("single_file", named_like_a_file and options.get("mode") != "append")
         write_csv(df, run_time=run_time, **options)
     elif kind == "database":
         write_database(df, **options)
     else:
-        if "table" in options:
-            if data_root is None:
-                raise ValueError("a target named by table needs data_root")
-            options["path"] = table_path(data_root, options.pop("table"))
+        options["path"] = _table_at(options, data_root)
+        options.pop("table", None)
         if options.get("mode") == "merge":
             options.pop("mode")
             merge_into_table(df, **options)
@@ -249,16 +281,19 @@ def run_flow(
     reference_root: str | None = None,
     quarantine_path: str | None = None,
     logs_root: str | None = None,
-    persist_shared: bool = False,
+    persist_shared: bool = True,
     write: bool = True,
 ) -> FlowRun:
     """Load the sources, fold the steps over the named datasets, write the targets.
 
     ``params`` bind into ``sql`` sources (``:runDate``); ``run_id`` among them names the run.
-    Targets without a ``source`` take the first dataset; a CSV path named like a file becomes one
-    file whatever its size, unless ``singleFile`` or the mode ``append`` says otherwise. Row counts come from an observation on
-    each write, at no extra pass. ``persist_shared`` keeps a dataset that feeds several targets
-    (memory and disk; lineage stays, so a lost executor costs a recomputation, not the run).
+    Targets without a ``source`` take the first dataset; a CSV target is a folder, or with ``singleFile`` one
+    file. Row counts come from an observation on each write, at no extra pass. With ``persist_shared`` the result of a
+    step that several targets depend on is written once to the shared folder, where their ways part (see
+    :func:`shared_steps`), so what leads to it is computed once and all targets see the same rows; the datasets of
+    the run read these copies until ``FlowRun.release``. A target's ``schemaRef`` is enforced before it is written: rows
+    that break it go to the quarantine, or are left out under ``on_record_error: skip``. A source with ``watermark`` and
+    ``state`` brings what no run before has loaded; it counts as loaded once all targets are written.
     ``write=False`` stops after planning. With ``logs_root`` one run log row is appended, on
     failure too. The counts may exceed the rows when a lost executor makes tasks run again.
     """
@@ -271,9 +306,12 @@ def run_flow(
     started = time.monotonic()
     try:
         _load_sources(spark, flow, run, params, data_root, quarantine_path)
-        _apply_steps(spark, flow, run, steps, reference_root, quarantine_path)
+        shared = shared_steps(flow, steps) if write and persist_shared else set()
+        _apply_steps(spark, flow, run, steps, reference_root, quarantine_path, shared)
         if write:
-            _write_targets(flow, run, data_root, now, persist_shared)
+            _write_targets(spark, flow, run, data_root, quarantine_path, now)
+            for commit in run.commits:
+                commit()
     except Exception as error:
         run.status, run.error = "failed", str(error)
         raise
@@ -292,6 +330,9 @@ def _load_sources(spark, flow, run: FlowRun, params, data_root: str | None, quar
     policy = flow.get("on_record_error", "quarantine")
     for entry in flow["sources"]:
         df = _load(spark, entry, run.datasets, params, data_root)
+        if entry.get("state"):
+            df, commit = load_increment(df, _resolve(spark, entry["state"], data_root), entry["watermark"])
+            run.commits.append(commit)
         rules = flow.get("record_rules", {}).get(entry["id"])
         if rules:
             df, rejected = split_by_rules(df, rules)
@@ -306,7 +347,41 @@ def _load_sources(spark, flow, run: FlowRun, params, data_root: str | None, quar
         run.count(SOURCES_LOADED)
 
 
-def _apply_steps(spark, flow, run: FlowRun, steps: Mapping[str, Step], reference_root, quarantine_path) -> None:
+#: Options of a step that may name a dataset it reads.
+INPUTS = ("source", "left", "right", "target", "reference")
+
+
+def shared_steps(flow: Mapping[str, Any], steps: Mapping[str, Step] = STEPS) -> set[int]:
+    """Numbers of the steps at which the ways to several targets part.
+
+    Every step is a node that reads the nodes its options name. A result is shared where at least two
+    steps or targets read it and each of them leads to a target; its own inputs are then read by it alone.
+    """
+    current: dict[str, int | str] = {s["id"]: f"source {s['id']}" for s in flow.get("sources", [])}
+    first = next(iter(current), None)
+    reads: dict[int | str, set] = {}
+    for number, entry in enumerate(flow.get("steps", [])):
+        used = {current[entry[o]] for o in INPUTS if isinstance(entry.get(o), str) and entry[o] in current}
+        reads[number] = used
+        stores = steps[entry["step"]].stores
+        output = next((entry[o] for o in stores if entry.get(o)), None)
+        if output is not None:
+            current[output] = number
+    for number, entry in enumerate(flow.get("targets", [])):
+        name = entry.get("source") or entry.get("dataset") or first
+        reads[f"target {number}"] = {current[name]} if name in current else set()
+    needed, readers = [n for n in reads if isinstance(n, str)], {}
+    for node in needed:  # grows while it is walked
+        for used in reads.get(node, ()):
+            if used not in readers:
+                needed.append(used)
+            readers.setdefault(used, set()).add(node)
+    return {n for n, own in readers.items() if isinstance(n, int) and len(own) > 1}
+
+
+def _apply_steps(
+    spark, flow, run: FlowRun, steps: Mapping[str, Step], reference_root, quarantine_path, shared: set[int]
+) -> None:
     @cache
     def reference(name: str) -> DataFrame:
         if reference_root is None:
@@ -314,11 +389,13 @@ def _apply_steps(spark, flow, run: FlowRun, steps: Mapping[str, Step], reference
         return read_reference(spark, f"{reference_root.rstrip('/')}/{name}.json")
 
     policy = flow.get("on_step_error", "halt")
-    for entry in flow.get("steps", []):
+    for number, entry in enumerate(flow.get("steps", [])):
         name, options = entry["step"], _options(entry, "step")
         step = steps[name]
         try:
             result = step.run(run.datasets, options, reference)
+            if number in shared:
+                result = run.stage(result, "flow-step")
             output = next(options[o] for o in step.stores if options.get(o))
             run.datasets[output] = result
             run.count(STEP_APPLIED + name)
@@ -334,28 +411,48 @@ def _apply_steps(spark, flow, run: FlowRun, steps: Mapping[str, Step], reference
                 quarantine(run.datasets[source], quarantine_path, STEP_FAILURE + name, run.run_id)
 
 
-def _write_targets(flow, run: FlowRun, data_root, run_time, persist_shared: bool) -> None:
-    first = next(iter(run.datasets))
-    wanted = [t.get("source") or t.get("dataset") or first for t in flow.get("targets", [])]
-    if not wanted:
+def _write_targets(spark, flow, run: FlowRun, data_root, quarantine_path: str | None, run_time) -> None:
+    if not flow.get("targets"):
         log.warning("flow %s has no targets", flow["id"])
-    kept = {}
-    try:
-        for entry, name in zip(flow.get("targets", []), wanted):
-            df = dataset(run.datasets, name)
-            if persist_shared and wanted.count(name) > 1:
-                if name not in kept:
-                    kept[name] = df.persist(StorageLevel.MEMORY_AND_DISK)
-                df = kept[name]
-            # A write that mode "ignore" skips never runs, and its count would never arrive.
-            counted = None if entry.get("mode") == "ignore" else Observation()
-            _write(df, entry, data_root, run_time, counted)
-            run.count(TARGETS_WRITTEN)
-            if counted is not None:
-                run.count("rows_written", float(counted.get["rows"]))
-    finally:
-        for df in kept.values():
-            df.unpersist()
+    first = next(iter(run.datasets))
+    for entry in flow.get("targets", []):
+        name = entry.get("source") or entry.get("dataset") or first
+        df = dataset(run.datasets, name)
+        if entry.get("schemaRef"):
+            df = _conforming(spark, flow, run, df, entry, name, data_root, quarantine_path)
+        # A write that mode "ignore" skips never runs, and its count would never arrive.
+        counted = None if entry.get("mode") == "ignore" else Observation()
+        _write(df, entry, data_root, run_time, counted)
+        run.count(TARGETS_WRITTEN)
+        if counted is not None:
+            run.count("rows_written", float(counted.get["rows"]))
+
+
+def _conforming(
+    spark, flow, run: FlowRun, df: DataFrame, entry: Mapping[str, Any], name: str, data_root, quarantine_path: str | None
+) -> DataFrame:
+    """Rows that keep a target's declared schema, in its columns and types; the others are put aside.
+
+    The dataset is computed once: its rows go to the shared folder with what is wrong with them, are counted on
+    the way, and both the target and the quarantine are written from there.
+    """
+    policy = flow.get("on_record_error", "quarantine")
+    if policy == "quarantine" and quarantine_path is None:
+        raise ValueError("a target with schemaRef needs quarantine_path, or on_record_error 'skip'")
+    document = spark.read.text(_resolve(spark, entry["schemaRef"], data_root), wholetext=True).first()[0]
+    schema = avro_schema(document)
+    broken = broken_columns(df, schema)
+    counted = Observation()
+    flagged = df.withColumn(FAILED_COLUMNS, broken).observe(counted, F.count_if(F.col(FAILED_COLUMNS) != "").alias("rows"))
+    rows = run.stage(flagged, "flow-target")
+    found = counted.get["rows"]
+    if found:
+        run.count("rows_rejected", float(found))
+        if policy == "quarantine":
+            rejected = rows.filter(F.col(FAILED_COLUMNS) != "")
+            quarantine(rejected, quarantine_path, TARGET_SCHEMA + name, run.run_id, FAILED_COLUMNS)
+            run.count("rows_quarantined", float(found))
+    return conforming(rows.filter(F.col(FAILED_COLUMNS) == ""), schema)
 
 
 def append_run_log(spark: SparkSession, flow: Mapping[str, Any], run: FlowRun, logs_root: str) -> None:

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 from ..functions import round_binary
 from ..operators.ranks import percentiles
 
-#: Schema of one run log. Metric values are read as text: they may be numbers or digits in quotes.
+#: Fixed value: schema of one run log. Metrics keep their JSON types: a number and digits in quotes count differently.
 LOG_SCHEMA = (
     "run_id string, pipeline_id string, app_name string, layer string, version string, executed_at string, "
-    "metrics map<string,string>, config_path string, status string, duration_ms string, error string"
+    "metrics variant, config_path string, status string, duration_ms string, error string"
 )
 
 #: Metric names that give the row count directly, in order of preference.
@@ -50,36 +51,49 @@ def _or_folder(column: str, position: int) -> Column:
 
 
 def rows_processed(metrics: Column) -> Column:
-    """Row count of a run from its metrics map.
+    """``row_count`` of metrics in a map; text values count as quoted ones."""
+    return row_count(F.to_variant_object(metrics))
 
-    The first preferred metric that holds a number (quoted or not), else the sum of all
-    numeric metrics whose name contains ``row`` or ``record``. A zero sum, or nothing at
-    all, is null. Fractions are cut. NaN, infinities and values no long can hold count as absent, so one
-    bad metric does not fail the report.
+
+def row_count(metrics: Column) -> Column:
+    """Row count of a run from its metrics, a JSON object as ``variant``.
+
+    The first preferred metric that is a number, or nothing but digits in quotes, with fractions cut; else the sum of
+    all metrics whose name contains ``row`` or ``record`` and that are, or read as, numbers. A sum that is not
+    positive, or nothing at all, is null, as are metrics that are no object. NaN, infinities and
+    values no long can hold count as absent, so one bad metric does not fail the report.
     """
-    text = metrics.cast("map<string,string>")
+    entries = F.try_variant_get(metrics, "$", "map<string,variant>")
+
+    def finite(value: Column) -> Column:
+        return F.when(~F.isnan(value) & (F.abs(value) < 2.0**63), value)
 
     def number(value: Column) -> Column:
-        found = value.try_cast("double")
-        return F.when(~F.isnan(found) & (F.abs(found) < 2.0**63), found)
+        return finite(F.try_variant_get(value, "$", "double"))
 
-    preferred = [number(F.try_element_at(text, F.lit(name))) for name in ROW_METRICS]
-    related = F.map_filter(text, lambda k, v: F.lower(k).contains("row") | F.lower(k).contains("record"))
+    def counted(value: Column) -> Column:
+        kind, text = F.schema_of_variant(value), F.try_variant_get(value, "$", "string")
+        whole = F.when((kind == "BIGINT") | ((kind == "STRING") & text.rlike(r"^\d+$")), text.try_cast("long"))
+        return F.coalesce(whole, F.when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT|BOOLEAN)"), number(value)).try_cast("long"))
+
+    preferred = [counted(F.try_element_at(entries, F.lit(name))) for name in ROW_METRICS]
+    related = F.map_filter(entries, lambda k, v: F.lower(k).contains("row") | F.lower(k).contains("record"))
     total = F.aggregate(
         F.map_values(related), F.lit(0.0), lambda acc, v: acc + F.coalesce(number(v), F.lit(0.0))
     )
-    return F.coalesce(*preferred, F.when(total > 0, total)).try_cast("long")
+    return F.coalesce(*preferred, F.when(total > 0, total).try_cast("long"))
 
 
 def run_history(logs: DataFrame, newest_first: bool = True) -> DataFrame:
     """Eight report fields per run, newest first, runs without a time last."""
+    read_as_json = isinstance(logs.schema["metrics"].dataType, VariantType)
     runs = logs.select(
         "run_id",
         "pipeline_id",
         "app_name",
         "layer",
         "executed_at",
-        rows_processed(F.col("metrics")).alias("rows_processed"),
+        (row_count if read_as_json else rows_processed)(F.col("metrics")).alias("rows_processed"),
         F.coalesce(F.col("status"), F.lit("completed")).alias("status"),
         round_binary(F.col("duration_ms").try_cast("double") / 60000, 2).alias("duration_minutes"),
     )
@@ -146,10 +160,10 @@ def failure_reasons(logs: DataFrame) -> DataFrame:
 
 
 def latency_percentiles(logs: DataFrame, by: str, points: tuple[float, ...] = (0.5, 0.9, 0.99)) -> DataFrame:
-    """Runs and exact nearest-rank percentiles of ``duration_ms`` per group."""
-    ms = F.col("duration_ms").try_cast("long")
+    """Runs and exact nearest-rank percentiles of ``duration_ms``, fractions included, per group."""
+    ms = F.col("duration_ms").try_cast("double")
     runs = logs.groupBy(by).agg(F.count(F.lit(1)).alias("runs"))
-    placed = percentiles(logs.filter(ms.isNotNull()), [by], ms, {f"p{round(p * 100)}_ms": p for p in points})
+    placed = percentiles(logs.filter(ms.isNotNull() & ~F.isnan(ms)), [by], ms, {f"p{round(p * 100)}_ms": p for p in points})
     same = F.col(f"runs.{by}").eqNullSafe(F.col(f"placed.{by}"))
     return runs.alias("runs").join(placed.alias("placed"), same, "left").select("runs.*", *[c for c in placed.columns if c != by])
 

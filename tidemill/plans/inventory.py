@@ -5,23 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import hadoop
+
 
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """``app, layer, files`` for ``<root>/<app>/<layer>/...``, any depth below. Metadata only.
 
-    Spark lists no hidden files (names starting with ``_`` or ``.``) and no files without bytes.
+    Every file counts, also hidden and empty ones, which Spark's own listings leave out: the file system sums up
+    each layer's folder, one request per layer.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    # `path` is a full URI while the root may be a bare path: cut after the root's own text.
-    marker = root.rstrip("/").split("://")[-1].lstrip("/") + "/"
-    tail = F.substring_index(F.col("path"), marker, -1)
-    parts = F.split(tail, "/")
-    return (
-        files.select(parts.alias("parts"))
-        .filter(F.size("parts") > 2)
-        .groupBy(F.col("parts")[0].alias("app"), F.col("parts")[1].alias("layer"))
-        .agg(F.count(F.lit(1)).alias("files"))
-    )
+    fs, where = hadoop(spark, root)
+    folders = lambda path: [s.getPath() for s in fs.listStatus(path) if s.isDirectory()]
+    found = [
+        (app.getName(), layer.getName(), int(fs.getContentSummary(layer).getFileCount()))
+        for app in folders(where)
+        for layer in folders(app)
+    ]
+    return spark.createDataFrame([f for f in found if f[2]], "app string, layer string, files long")
 
 
 def inventory_summary(entries: DataFrame, files: DataFrame | None = None, max_ids: int | None = None) -> DataFrame:

@@ -56,7 +56,7 @@ def _deduplicate(ds: Datasets, o: Options, reference) -> DataFrame:
 
 
 def _sort(ds: Datasets, o: Options, reference) -> DataFrame:
-    return sort(dataset(ds, o["source"]), o["orderBy"], o.get("direction", "asc"), o.get("nulls"))
+    return sort(dataset(ds, o["source"]), o["orderBy"], o.get("direction", "asc"), o.get("nulls"), position=o.get("position"))
 
 
 def _join(ds: Datasets, o: Options, reference) -> DataFrame:
@@ -90,7 +90,9 @@ def _lookup(ds: Datasets, o: Options, reference) -> DataFrame:
 
 
 def _mask(ds: Datasets, o: Options, reference) -> DataFrame:
-    return mask(dataset(ds, o["source"]), o["columns"], o.get("strategy", "hash"), o.get("key"), o.get("salt"))
+    return mask(
+        dataset(ds, o["source"]), o["columns"], o.get("strategy", "hash"), o.get("key"), o.get("salt"), o.get("secretRef")
+    )
 
 
 def _aggregate(ds: Datasets, o: Options, reference) -> DataFrame:
@@ -120,7 +122,7 @@ def _golden(ds: Datasets, o: Options, reference) -> DataFrame:
 
 
 def _unmask(ds: Datasets, o: Options, reference) -> DataFrame:
-    return unmask(dataset(ds, o["source"]), o["columns"], o["key"])
+    return unmask(dataset(ds, o["source"]), o["columns"], o.get("key"), o.get("secretRef"))
 
 
 def _record_hash(ds: Datasets, o: Options, reference) -> DataFrame:
@@ -150,7 +152,7 @@ STEPS: dict[str, Step] = {
     "rolling": Step(_rolling, ("source", "time", "days", "metrics")),
     "levels": Step(_levels, ("source", "metrics")),
     "golden": Step(_golden, ("source", "keys", "orderBy")),
-    "unmask": Step(_unmask, ("source", "columns", "key")),
+    "unmask": Step(_unmask, ("source", "columns")),
     "record_hash": Step(_record_hash),
 }
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggregate, aggregate_levels, aggregate_rolling, aggregate_window, lookup
+from ..operators.ranks import Rank, order_statistics
 from .registry import day, query, rounded, table
 
 
@@ -143,6 +144,27 @@ def agg_median_global(spark, sf):
     return aggregate(table(spark, sf, "orders"), None, "median:o_totalprice,count:*")
 
 
+@query(
+    "agg_percentiles_exact",
+    """
+    SELECT l_returnflag, quantile_disc(9007199254740993 + l_orderkey, 0.5) AS p50_wide, quantile_disc(9007199254740993 + l_orderkey, 0.99) AS p99_wide,
+           quantile_disc(CAST(l_quantity AS BIGINT), 0.1) AS p10_tied, strftime(quantile_disc(l_shipdate, 0.9), '%Y-%m-%d') AS p90_day
+    FROM lineitem GROUP BY l_returnflag
+    """,
+)
+def agg_percentiles_exact(spark, sf):
+    """Percentiles of integers no double can hold, of values with many ties and of times, all in the same passes."""
+    wide = F.lit(9007199254740993) + F.col("l_orderkey")
+    nearest = lambda p: lambda n: F.greatest(F.ceil(n * F.lit(p)), F.lit(1))
+    ranks = [
+        Rank("p50_wide", wide, 0.5, nearest(0.5)),
+        Rank("p99_wide", wide, 0.99, nearest(0.99)),
+        Rank("p10_tied", F.col("l_quantity").cast("long"), 0.1, nearest(0.1)),
+        Rank("p90_day", F.col("l_shipdate"), 0.9, nearest(0.9)),
+    ]
+    return order_statistics(_items(spark, sf), ["l_returnflag"], ranks).withColumn("p90_day", day("p90_day"))
+
+
 _PICK = ["first", "last", "first_value", "last_value", "any_value"]
 
 

@@ -8,12 +8,15 @@ from ..operators import aggregate
 from ..session import shared_path
 from ..sources import (
     enforce_schema,
+    load_increment,
     merge_into_table,
     preflight,
+    purge_table,
     read_csv,
     read_files,
     read_increment,
     read_sql,
+    read_table,
     schema_drift,
     write_csv,
     write_table,
@@ -102,6 +105,38 @@ def src_incremental(spark, sf):
     return read_increment(orders, loaded, "o_orderdate").select("o_orderkey", "o_totalprice")
 
 
+@query(
+    "src_increment_ties",
+    """
+    WITH o AS (SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 9 <> 0 THEN date_trunc('month', o_orderdate) END AS month FROM orders),
+         mark AS (SELECT max(month) AS month FROM o WHERE month < DATE '1998-01-01'),
+         old AS (SELECT *, coalesce(month < (SELECT month FROM mark), false) AS below FROM o
+                 WHERE month IS NULL OR month <= (SELECT month FROM mark)),
+         first AS (SELECT * FROM old WHERE below OR o_orderkey % 2 = 0)
+    SELECT CASE WHEN o.o_orderkey IN (SELECT o_orderkey FROM first) THEN 1 ELSE 2 END AS load, count(*) AS count_rows,
+           CAST(sum(o_orderkey) AS BIGINT) AS sum_key, count(month) AS with_month
+    FROM o GROUP BY 1
+    """,
+)
+def src_increment_ties(spark, sf):
+    """Two loads that share their mark: the second brings late rows at the mark and without one, each row once."""
+    month = F.when(F.col("o_orderkey") % 9 != 0, F.date_trunc("month", "o_orderdate"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", month.cast("date").alias("month"))
+    mark = orders.filter("month < '1998-01-01'").agg(F.max("month")).first()[0]
+    at_mark = F.col("month").isNull() | (F.col("month") == F.lit(mark))
+    first_feed = orders.filter((F.col("month") < F.lit(mark)) | (at_mark & (F.col("o_orderkey") % 2 == 0)))
+    state, loads = shared_path(spark, "increment-state"), []
+    for feed in (first_feed, orders):
+        increment = load_increment(feed, state, "month")
+        loads.append(increment.rows.withColumn("load", F.lit(len(loads) + 1)))
+        increment.commit()
+    assert load_increment(orders, state, "month").rows.isEmpty()
+    both = loads[0].unionByName(loads[1])
+    return both.groupBy("load").agg(
+        F.count(F.lit(1)).alias("count_rows"), F.sum("o_orderkey").alias("sum_key"), F.count("month").alias("with_month")
+    )
+
+
 @query(
     "src_preflight",
     """
@@ -224,8 +259,8 @@ def sink_merge_mode(spark, sf):
         {"o_totalprice": F.round(F.col("o_totalprice") + 1, 2), "o_orderstatus": F.lit("X")}
     )
     added = orders.filter("o_orderstatus = 'P'").withColumn("o_orderkey", F.col("o_orderkey") + 1000000000)
-    merge_into_table(changed.unionByName(added), path, "o_orderkey", partition_by="o_orderstatus")
-    return read_files(spark, path, "parquet")
+    merge_into_table(changed.unionByName(added), path, "o_orderkey", partition_by="o_orderstatus", atomic=True)
+    return read_table(spark, path)
 
 
 @query(
@@ -244,6 +279,45 @@ def sink_merge_partitions(spark, sf):
     return read_files(spark, path, "parquet")
 
 
+@query(
+    "sink_merge_buckets",
+    """
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 50 = 0 THEN 0.0 ELSE l_quantity END AS l_quantity
+    FROM (SELECT l_orderkey, l_linenumber, max(l_quantity) AS l_quantity FROM lineitem GROUP BY 1, 2)
+    """,
+)
+def sink_merge_buckets(spark, sf):
+    """Line items in a table of 16 buckets by key; two merges, of which the second meets a part of them."""
+    path = shared_path(spark, "merge-buckets")
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    merge_into_table(items, path, "l_orderkey,l_linenumber", order_by="l_quantity", buckets=16)
+    changed = items.filter("l_orderkey % 50 = 0").withColumn("l_quantity", F.lit(0.0))
+    merge_into_table(changed, path, "l_orderkey,l_linenumber")
+    return read_table(spark, path)
+
+
+@query(
+    "retention_purge",
+    """
+    SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS count_rows, CAST(sum(event_id) AS BIGINT) AS sum_event_id,
+           strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts
+    FROM events WHERE ts >= TIMESTAMP '2024-01-17 09:30:00' GROUP BY 1
+    """,
+)
+def retention_purge(spark, sf):
+    """Events stored by day; days before the moment go by their folder, its own day is written again."""
+    path = shared_path(spark, "retention")
+    events = table(spark, sf, "events").select("event_id", "ts", day("ts").alias("day"))
+    write_table(events, path, partition_by="day", cluster=True)
+    purge_table(spark, path, "day", "ts", "2024-01-17 09:30:00")
+    left = read_files(spark, path, "parquet", schema=events.schema)
+    return left.groupBy("day").agg(
+        F.count(F.lit(1)).alias("count_rows"),
+        F.sum("event_id").alias("sum_event_id"),
+        F.date_format(F.min("ts"), "yyyy-MM-dd HH:mm:ss").alias("first_ts"),
+    )
+
+
 # --- declared schemas ------------------------------------------------------------------
 
 _DECLARED = "o_orderkey bigint not null, o_totalprice decimal(12,2), o_orderdate date, o_orderpriority int"

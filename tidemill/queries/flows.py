@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from ..plans import STEPS, custom_step, read_run_logs, run_flow
-from ..quality import Check, NotNull
+from ..quality import Check, NotNull, read_quarantine
 from ..session import shared_path
 from ..sources import read_csv, read_files
+from ..sources.files import publish_small
 from .registry import day, query, rounded, table
 
 
@@ -62,9 +65,41 @@ def flow_with_targets(spark, sf):
     ]
     run = run_flow(spark, flow, data_root=root)
     back = read_csv(spark, summary_path, schema=run.datasets["summary"].schema)
+    run.release(spark)
     return rounded(back, "sum_o_totalprice")
 
 
+@query(
+    "flow_target_schema",
+    """
+    SELECT CASE WHEN o_orderpriority = '1-URGENT' OR o_orderkey % 13 = 0 THEN 'rejected' ELSE 'kept' END AS outcome, count(*) AS count_rows,
+           CAST(sum(o_orderkey) AS BIGINT) AS sum_key,
+           CAST(sum(CASE WHEN o_orderpriority <> '1-URGENT' AND o_orderkey % 13 <> 0 THEN CAST(substr(o_orderpriority, 1, 1) AS INT) ELSE 0 END) AS BIGINT)
+               AS sum_priority
+    FROM orders GROUP BY 1
+    """,
+)
+def flow_target_schema(spark, sf):
+    """A target with a declared schema: rows with a bad priority or no status go to the quarantine."""
+    path, held, ref = shared_path(spark, "declared"), shared_path(spark, "held"), shared_path(spark, "declared-schema")
+    fields = [("o_orderkey", "long"), ("priority", "int"), ("o_orderstatus", "string")]
+    publish_small(spark, ref, json.dumps({"type": "record", "name": "o", "fields": [{"name": n, "type": t} for n, t in fields]}))
+    priority = F.when(F.col("o_orderpriority") == "1-URGENT", "urgent").otherwise(F.substring("o_orderpriority", 1, 1))
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        priority.alias("priority"),
+        F.when(F.col("o_orderkey") % 13 != 0, F.col("o_orderstatus")).alias("o_orderstatus"),
+    )
+    flow = _flow("declared", [_frame("orders", orders)], targets=[{"type": "table", "path": path, "schemaRef": ref}])
+    run_flow(spark, flow, quarantine_path=held).release(spark)
+    kept = spark.read.parquet(path).select(F.lit("kept").alias("outcome"), "o_orderkey", "priority")
+    rejected = read_quarantine(spark, held, orders.schema)
+    rejected = rejected.select(F.lit("rejected").alias("outcome"), F.col("o_orderkey").cast("long").alias("o_orderkey"), F.lit(0).alias("priority"))
+    return kept.unionAll(rejected).groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("count_rows"), F.sum("o_orderkey").alias("sum_key"), F.sum("priority").alias("sum_priority")
+    )
+
+
 @query("flow_passthrough", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def flow_passthrough(spark, sf):
     path = shared_path(spark, "passthrough")

@@ -23,33 +23,31 @@ from ..session import shared_path
 from .registry import query, table
 
 # Events as run logs: the type names the pipeline, the hour of day the layer, the value the
-# duration. `view` logs are old ones without status, `signup` logs carry no metrics.
+# duration, with fractions. `view` logs are old ones without status, `signup` logs carry no metrics. A quoted number is a
+# direct row count only if it is all digits ("12.5" is not), but adds to the sum; a negative sum is none.
 _LOGS_SQL = """
     e AS (SELECT *, CASE WHEN hour(ts) < 8 THEN 'staging' WHEN hour(ts) < 16 THEN 'standardization' ELSE 'service' END AS layer,
                  CASE WHEN user_id < 50 THEN 'cards' ELSE 'loans' END AS app_name FROM events),
     logs AS (SELECT 'run-' || event_id AS run_id, 'load_' || event_type AS pipeline_id, app_name, layer,
                     strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS executed_at,
                     CASE event_type WHEN 'click' THEN event_id
-                                    WHEN 'purchase' THEN CASE WHEN 2 * user_id > 0 THEN 2 * user_id END END AS rows_processed,
+                                    WHEN 'purchase' THEN CASE WHEN 2 * user_id > 0 THEN 2 * user_id END
+                                    WHEN 'error' THEN event_id + 12 END AS rows_processed,
                     CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END AS status,
-                    CAST(floor(value * 1000) AS BIGINT) AS duration_ms,
+                    floor(value * 4000) / 4 AS duration_ms,
                     CASE WHEN event_type = 'error' THEN 'bad input ' || layer END AS error
              FROM e)"""
 
 
 def _logs(spark, sf):
     kind, hour = F.col("event_type"), F.hour("ts")
-    none = F.create_map().cast("map<string,string>")
+    event, user = F.col("event_id").cast("string"), F.col("user_id").cast("string")
     metrics = (
-        F.when(kind == "click", F.create_map(F.lit("rows_processed"), F.col("event_id").cast("string"), F.lit("bad_rows"), F.lit("1")))
-        .when(
-            kind == "purchase",
-            F.create_map(
-                F.lit("Rows_in"), F.col("user_id").cast("string"), F.lit("good_records"), F.col("user_id").cast("string"), F.lit("seconds"), F.lit("9")
-            ),
-        )
-        .when(kind == "signup", F.lit(None).cast("map<string,string>"))
-        .otherwise(none)
+        F.when(kind == "click", F.concat(F.lit('{"rows_processed": "'), event, F.lit('", "bad_rows": 1}')))
+        .when(kind == "purchase", F.concat(F.lit('{"Rows_in": '), user, F.lit(', "good_records": "'), user, F.lit('", "seconds": 9}')))
+        .when(kind == "error", F.concat(F.lit('{"rows_processed": "12.5", "rows_in": '), event, F.lit("}")))
+        .when(kind == "view", F.lit('{"records_written": "-5"}'))
+        .when(kind != "signup", F.lit("{}"))
     )
     layer = F.when(hour < 8, "staging").when(hour < 16, "standardization").otherwise("service")
     return table(spark, sf, "events").select(
@@ -59,9 +57,9 @@ def _logs(spark, sf):
         layer.alias("layer"),
         F.lit("1.0").alias("version"),
         F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")).alias("executed_at"),
-        metrics.alias("metrics"),
+        F.parse_json(metrics).alias("metrics"),
         F.when(kind == "error", "failed").when(kind != "view", "completed").alias("status"),
-        F.floor(F.col("value") * 1000).cast("string").alias("duration_ms"),
+        (F.floor(F.col("value") * 4000) / 4).cast("string").alias("duration_ms"),
         F.when(kind == "error", F.concat(F.lit("bad input "), layer)).alias("error"),
     )
 
@@ -105,15 +103,17 @@ def runs_history(spark, sf):
     "run_log_roundtrip",
     """
     SELECT 'load_' || event_type AS pipeline_id, count(*) AS runs,
-           CAST(sum(CASE event_type WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 ELSE 0 END) AS BIGINT) AS metrics
+           CAST(sum(CASE event_type WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 WHEN 'error' THEN 2 WHEN 'view' THEN 1 ELSE 0 END)
+                AS BIGINT) AS metrics
     FROM events GROUP BY event_type
     """,
 )
 def run_log_roundtrip(spark, sf):
     path = shared_path(spark, "run-log-table")
     _logs(spark, sf).write.mode("append").json(path)
+    named = F.size(F.try_variant_get("metrics", "$", "map<string,variant>"))
     return read_run_logs(spark, path, multi_line=False).groupBy("pipeline_id").agg(
-        F.count(F.lit(1)).alias("runs"), F.sum(F.coalesce(F.size("metrics"), F.lit(0))).cast("long").alias("metrics")
+        F.count(F.lit(1)).alias("runs"), F.sum(F.coalesce(named, F.lit(0))).cast("long").alias("metrics")
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import shared_path
+from ..sources import read_table
 from ..streaming import (
     drain_merge,
     drain_to_files,
@@ -59,8 +60,8 @@ def stream_window_agg(spark, sf):
 def stream_upsert(spark, sf):
     """The latest event per user, kept as a table that every batch merges into."""
     path = shared_path(spark, "stream-upsert")
-    drain_merge(_events(spark, sf), path, path + "-checkpoint", "user_id", order_by="ts,event_id")
-    return spark.read.parquet(path).select("user_id", "event_id", "event_type", "value")
+    drain_merge(_events(spark, sf), path, path + "-checkpoint", "user_id", order_by="ts,event_id", buckets=8)
+    return read_table(spark, path).select("user_id", "event_id", "event_type", "value")
 
 
 @query(
@@ -77,5 +78,5 @@ def stream_late_rows(spark, sf):
     turn = F.coalesce(F.pmod(F.datediff(F.to_date("ts"), F.lit("1970-01-01")), F.lit(5)), F.lit(0))
     for batch in (3, 0, 4, 2, 1):
         events.filter(turn == batch).write.mode("append").parquet(feed)
-        drain_merge(stream_files(spark, feed, events.schema), path, path + "-checkpoint", "user_id", order_by="ts,event_id")
-    return spark.read.parquet(path).select("user_id", "event_id", "event_type", "value")
+        drain_merge(stream_files(spark, feed, events.schema), path, path + "-checkpoint", "user_id", order_by="ts,event_id", buckets=8)
+    return read_table(spark, path).select("user_id", "event_id", "event_type", "value")

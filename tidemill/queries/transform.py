@@ -109,41 +109,56 @@ def dedup_survivorship(spark, sf):
 
 @query(
     "sort_asc_topk",
-    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice ASC NULLS FIRST, o_orderkey ASC NULLS FIRST",
+    """
+    SELECT o_orderkey, o_custkey, o_totalprice,
+           row_number() OVER (ORDER BY o_totalprice ASC NULLS FIRST, o_orderkey ASC NULLS FIRST) AS position
+    FROM orders
+    """,
 )
 def sort_asc_topk(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return sort(orders, "o_totalprice,o_orderkey")
+    return sort(orders, "o_totalprice,o_orderkey", position="position")
 
 
 @query(
     "sort_desc_topk",
     """
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
-    ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey DESC NULLS LAST, l_linenumber DESC NULLS LAST,
-             l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+           row_number() OVER (ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey DESC NULLS LAST, l_linenumber DESC NULLS LAST,
+                              l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST) AS position
+    FROM lineitem
     """,
 )
 def sort_desc_topk(spark, sf):
     columns = ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return sort(table(spark, sf, "lineitem").select(*columns), columns, "desc")
+    return sort(table(spark, sf, "lineitem").select(*columns), columns, "desc", position="position")
 
 
 @query(
     "sort_nulls_last",
     """
-    SELECT o_orderkey, CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderpriority END AS priority, o_totalprice
-    FROM orders ORDER BY priority ASC NULLS LAST, o_totalprice DESC NULLS LAST, o_orderkey ASC
+    WITH o AS (SELECT o_orderkey, CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderpriority END AS priority, o_totalprice FROM orders)
+    SELECT *, row_number() OVER (ORDER BY priority ASC NULLS LAST, o_totalprice DESC NULLS LAST, o_orderkey ASC) AS position
+    FROM o
     """,
 )
 def sort_nulls_last(spark, sf):
     orders = table(spark, sf, "orders").select(
         "o_orderkey", F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("priority"), "o_totalprice"
     )
-    return sort(orders, "priority,o_totalprice,o_orderkey", "asc,desc,asc", nulls="last")
+    return sort(orders, "priority,o_totalprice,o_orderkey", "asc,desc,asc", nulls="last", position="position")
 
 
-@query("sort_global", "SELECT l_returnflag, l_shipdate < DATE '1998-01-01' AS early, l_orderkey, l_linenumber, l_quantity FROM lineitem")
+@query(
+    "sort_global",
+    """
+    WITH i AS (SELECT l_returnflag, l_shipdate < DATE '1998-01-01' AS early, l_orderkey, l_linenumber, l_quantity FROM lineitem)
+    SELECT *, rank() OVER (ORDER BY l_returnflag ASC NULLS FIRST, early ASC NULLS FIRST) AS least_position,
+           rank() OVER (ORDER BY l_returnflag ASC NULLS FIRST, early ASC NULLS FIRST)
+               + count(*) OVER (PARTITION BY l_returnflag, early) - 1 AS last_position
+    FROM i
+    """,
+)
 def sort_global(spark, sf):
     items = table(spark, sf, "lineitem").select(
         "l_returnflag",
@@ -152,7 +167,13 @@ def sort_global(spark, sf):
         "l_linenumber",
         "l_quantity",
     )
-    return sort(items, "l_returnflag,early")
+    # Rows of equal keys have no order among themselves, but their positions are a block.
+    placed = sort(items, "l_returnflag,early", position="position")
+    blocks = placed.groupBy("l_returnflag", "early").agg(
+        F.min("position").alias("least_position"), F.max("position").alias("last_position")
+    )
+    same = F.col("i.l_returnflag").eqNullSafe(F.col("b.l_returnflag")) & F.col("i.early").eqNullSafe(F.col("b.early"))
+    return placed.alias("i").join(blocks.alias("b"), same).select(*[f"i.{c}" for c in items.columns], "least_position", "last_position")
 
 
 # --- mask ------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the library is tuned for; a cluster adds its own sizes on top.
 SETTINGS = {
@@ -94,3 +94,27 @@ def shared_root(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_staged: list[str] = []
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, whatever reads it, and not lost with an executor.
+
+    The copy stays until ``release_staged``, as a result may be read at any later time.
+    """
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    _staged.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_staged(spark: SparkSession) -> int:
+    """Remove all copies ``staged`` has made, once no result that reads them is needed; returns their number."""
+    done = 0
+    while _staged:
+        where = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        done += 1
+    return done

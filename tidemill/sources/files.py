@@ -28,7 +28,7 @@ def discard(spark: SparkSession, path: str) -> None:
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly under ``path``; none if it is absent."""
     fs, where = hadoop(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
 def read_small(spark: SparkSession, path: str) -> str:

@@ -91,20 +91,36 @@ def _breaks(field: StructField) -> Column:
     return broken if field.nullable else broken | value.isNull()
 
 
-def enforce_schema(df: DataFrame, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
-    """Split rows into (typed rows that conform, rejected rows as they came).
+#: Column in which a rejected row names the declared columns it breaks.
+FAILED_COLUMNS = "failed_columns"
 
-    Columns must all be present (a missing one raises). Conforming rows carry exactly the
-    declared columns and types; rejected rows keep their own columns plus ``failed_columns``.
+
+def broken_columns(df: DataFrame, schema: StructType | str) -> Column:
+    """Names of the declared columns whose values a row breaks, joined by commas; empty for a row that conforms.
+
+    Columns must all be present (a missing one raises).
     """
     declared = as_schema(schema)
     missing = [f.name for f in declared if f.name not in df.columns]
     if missing:
         raise ValueError(f"enforce_schema: columns {missing} not found; available: {df.columns}")
-    failed = F.concat_ws(",", *[F.when(_breaks(f), F.lit(f.name)) for f in declared])
-    bad = reduce(lambda a, b: a | b, [_breaks(f) for f in declared])
-    good = df.filter(~bad).select(*[col(f.name).try_cast(f.dataType).alias(f.name) for f in declared])
-    return good, df.filter(bad).withColumn("failed_columns", failed)
+    return F.concat_ws(",", *[F.when(_breaks(f), F.lit(f.name)) for f in declared])
+
+
+def conforming(df: DataFrame, schema: StructType | str) -> DataFrame:
+    """Exactly the declared columns in their types, of rows that conform."""
+    return df.select(*[col(f.name).try_cast(f.dataType).alias(f.name) for f in as_schema(schema)])
+
+
+def enforce_schema(df: DataFrame, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
+    """Split rows into (typed rows that conform, rejected rows as they came).
+
+    Columns must all be present (a missing one raises). Conforming rows carry exactly the
+    declared columns and types; rejected rows keep their own columns plus ``failed_columns``.
+    """
+    failed = broken_columns(df, schema)
+    bad = reduce(lambda a, b: a | b, [_breaks(f) for f in as_schema(schema)])
+    return conforming(df.filter(~bad), schema), df.filter(bad).withColumn(FAILED_COLUMNS, failed)
 
 
 def schema_drift(df: DataFrame, schema: StructType | str) -> DataFrame:

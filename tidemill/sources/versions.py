@@ -205,15 +205,15 @@ def clean_versions(spark: SparkSession, path: str, keep: int = KEPT_VERSIONS) ->
 NAMED_PARTITIONS = 1000
 
 
-def touched(target: DataFrame, source: DataFrame, parts: list[str]) -> DataFrame:
+def touched(target: DataFrame, source: DataFrame, parts: list[str], limit: int = NAMED_PARTITIONS) -> DataFrame:
     """Target rows in partitions that ``source`` has rows for, null partitions included.
 
     A limited number of partitions becomes a filter on the partition columns, which the scan
     prunes by; beyond it a semi join decides.
     """
     values = source.select(*[col(p) for p in parts]).distinct()
-    named = values.take(NAMED_PARTITIONS + 1)
-    if len(named) > NAMED_PARTITIONS:
+    named = values.take(limit + 1)
+    if len(named) > limit:
         same = reduce(lambda a, b: a & b, [col(p, "t").eqNullSafe(col(p, "s")) for p in parts])
         return target.alias("t").join(values.alias("s"), same, "left_semi")
     tests = [reduce(lambda a, b: a & b, [col(p).eqNullSafe(F.lit(row[p])) for p in parts]) for row in named]

@@ -5,17 +5,18 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Iterable
-from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ..functions import col, flag, names, require_columns
+from ..functions import col, flag, fresh, names, require_columns
 from ..operators.merge import merge
 from ..session import shared_path
+from .files import children, discard, hadoop, path_exists
 from .readers import NULL_MARK
+from .versions import NAMED_PARTITIONS, table_version, touched, upsert_version
 
 MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 
@@ -39,22 +40,6 @@ def dated(path: str, run_time: dt.datetime | None) -> str:
     return path if run_time is None else re.sub(r"%[YmdHMS]", lambda found: run_time.strftime(found[0]), path)
 
 
-def _hadoop(spark: SparkSession, path: str) -> tuple[Any, Any]:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def _discard(spark: SparkSession, path: str) -> None:
-    """Remove a staged copy this module wrote, once what it was for is done."""
-    fs, where = _hadoop(spark, path)
-    fs.delete(where, True)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, where = _hadoop(spark, path)
-    return fs.exists(where)
-
-
 def write_csv(
     df: DataFrame,
     path: str,
@@ -80,10 +65,10 @@ def write_csv(
     its nulls are written as ``NULL_MARK``. A file whose values hold line breaks is read by one
     task, so files end after ``rows_per_file`` rows.
 
-    ``single_file`` makes ``path`` one file of any size, rows in their order. It is written in
-    parallel; the parts are then put one behind the other through the file system, which
-    takes as long as copying the bytes once. It cannot be appended to, and takes no compression
-    but gzip and bzip2.
+    ``single_file`` makes ``path`` one file of any size, rows in their order. Rows are computed in parallel into the shared
+    folder; one task, as one file has one writer, sorts them by their place (spilling) and writes
+    them, and the driver only renames the result. It cannot be appended to, and takes no compression but
+    gzip and bzip2.
     """
     mode, path = check_mode(mode), dated(path, run_time)
     single = flag(single_file, False)
@@ -110,43 +95,28 @@ def write_csv(
     if compression not in JOINABLE or encoding.upper() in ("UTF-16", "UTF-32"):
         raise ValueError("write_csv: a single file takes gzip, bzip2 or no compression, and no encoding with a byte-order mark")
     spark = df.sparkSession
-    fs, final = _hadoop(spark, path)
+    fs, final = hadoop(spark, path)
     if mode != "overwrite" and fs.exists(final):
         if mode == "ignore":
             return
         raise FileExistsError(path)
-    folder = f"{path}.parts-{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}"
-    _counting(df, counted).write.options(**settings).csv(f"{folder}/rows")
-    pieces = _part_files(spark, f"{folder}/rows")
-    if flag(header, True):
-        spark.createDataFrame([df.columns], ", ".join(f"c{i} string" for i in range(len(df.columns)))).coalesce(
-            1
-        ).write.options(**settings).csv(f"{folder}/header")
-        pieces = _part_files(spark, f"{folder}/header") + pieces
-    joined = _hadoop(spark, f"{folder}/joined")[1]
-    out = fs.create(joined)
-    try:
-        for piece in pieces:
-            read = fs.open(piece)
-            try:
-                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(read, out, 1 << 20, False)
-            finally:
-                read.close()
-    finally:
-        out.close()
+    # Rows are computed in parallel, with their place; one task puts them in order and writes the file.
+    place = fresh("row_place", df.columns)
+    staged, folder = shared_path(spark, "csv-rows"), f"{path}.parts-{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}"
+    _counting(df, counted).withColumn(place, F.monotonically_increasing_id()).write.parquet(staged)
+    rows = spark.read.parquet(staged).repartition(1).sortWithinPartitions(place).select(*[col(c) for c in df.columns])
+    rows.write.options(**settings).option("header", flag(header, True)).csv(folder)
+    parts = [n for n in children(spark, folder) if n.startswith("part-")]
+    if not parts:  # no rows: nothing but the header
+        spark.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").options(**settings).option("header", flag(header, True)).csv(folder)
+        parts = [n for n in children(spark, folder) if n.startswith("part-")]
     if fs.exists(final):
         fs.delete(final, True)
     fs.mkdirs(final.getParent())
-    if not fs.rename(joined, final):
-        raise OSError(f"could not move {joined} to {path}")
-    _discard(spark, folder)
-
-
-def _part_files(spark: SparkSession, folder: str) -> list[Any]:
-    """Files a write left in ``folder``, in the order of the tasks that wrote them."""
-    fs, where = _hadoop(spark, folder)
-    found = {s.getPath().getName(): s.getPath() for s in fs.listStatus(where)}
-    return [found[n] for n in sorted((n for n in found if n.startswith("part-")), key=lambda n: int(n.split("-")[1]))]
+    if not fs.rename(hadoop(spark, f"{folder}/{parts[0]}")[1], final):
+        raise OSError(f"could not move {folder}/{parts[0]} to {path}")
+    discard(spark, folder)
+    discard(spark, staged)
 
 
 def table_path(root: str, table: str) -> str:
@@ -193,6 +163,8 @@ def merge_into_table(
     target_unique: bool = False,
     counted: Observation | None = None,
     newest_wins: bool = False,
+    atomic: bool | str = False,
+    buckets: int | str | None = None,
 ) -> None:
     """Upsert ``source`` into a path-based table, source rows winning, or with ``newest_wins`` the row
     of a key that is last by ``order_by``, whichever side it is on.
@@ -203,8 +175,10 @@ def merge_into_table(
 
     Files cannot be replaced while they are read, so the merged rows are first written to the
     shared folder and then swapped in; after a crash in between, that copy is still there and
-    complete. It is removed after the swap. The swap is not atomic: who reads the table meanwhile
-    may see a part of it.
+    complete. It is removed after the swap. This swap is not atomic: who reads the table meanwhile
+    may see a part of it. ``atomic`` keeps the table in versions instead (:mod:`.versions`), as do ``buckets``, a
+    layout by hash of the key in which a merge only rewrites the buckets it meets; both are read with
+    :func:`~tidemill.sources.versions.read_table`, and once a table has versions every merge adds one.
 
     When every partition column is also a key, a row cannot change partition: only the
     partitions that ``source`` touches are read and rewritten, the others stay as they are.
@@ -214,6 +188,10 @@ def merge_into_table(
     spark, keys, parts = source.sparkSession, names(keys), names(partition_by)
     if not keys:
         raise ValueError("merge_into_table: keys are required")
+    if buckets or flag(atomic, False) or table_version(spark, path) is not None:
+        laid_out = int(buckets) if buckets else None
+        upsert_version(source, path, keys, format, parts, laid_out, order_by, target_unique, newest_wins, counted)
+        return
     if not path_exists(spark, path):
         first = merge(source, source.filter(F.lit(False)), keys, order_by)
         write_table(first, path, "error", format, parts, counted=counted)
@@ -227,31 +205,12 @@ def merge_into_table(
     target = spark.read.format(format).schema(StructType(typed)).load(path)
     narrow = bool(parts) and set(parts) <= set(keys)
     if narrow:
-        target = _touched(target, source, parts)
+        target = touched(target, source, parts, NAMED_PARTITIONS)
     staged = shared_path(spark, "merge-stage")
     _counting(merge(source, target, keys, order_by, target_unique, newest_wins), counted).write.format(format).save(staged)
     write_table(spark.read.format(format).load(staged), path, "overwrite", format, parts, dynamic=narrow)
-    _discard(spark, staged)
-    _discard(spark, incoming)
-
-
-#: Partitions up to which a merge names them in the target's scan.
-NAMED_PARTITIONS = 1000
-
-
-def _touched(target: DataFrame, source: DataFrame, parts: list[str]) -> DataFrame:
-    """Target rows in partitions that ``source`` has rows for, null partitions included.
-
-    A limited number of partitions becomes a filter on the partition columns, which the scan
-    prunes by; beyond it a semi join decides.
-    """
-    values = source.select(*[col(p) for p in parts]).distinct()
-    named = values.take(NAMED_PARTITIONS + 1)
-    if len(named) > NAMED_PARTITIONS:
-        same = reduce(lambda a, b: a & b, [col(p, "t").eqNullSafe(col(p, "s")) for p in parts])
-        return target.alias("t").join(values.alias("s"), same, "left_semi")
-    tests = [reduce(lambda a, b: a & b, [col(p).eqNullSafe(F.lit(row[p])) for p in parts]) for row in named]
-    return target.filter(reduce(lambda a, b: a | b, tests, F.lit(False)))
+    discard(spark, staged)
+    discard(spark, incoming)
 
 
 def jdbc_write_options(

@@ -99,9 +99,13 @@ def drain_merge(
     keys: str | Iterable[str],
     partition_by: str | Iterable[str] | None = None,
     order_by: str | Iterable[str] | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Upsert every batch into a path-based table. Nothing else may write to the table.
 
+    With ``buckets`` it is a table of versions laid out by a hash of the key: a batch reads and writes only the buckets that
+    its keys fall in, and readers (:func:`~tidemill.sources.read_table`) never see half a batch.
+
     Without ``order_by`` the batch wins over what is there. With it the row of a key that is last
     by these columns stays, however late its batch comes; on a tie the batch wins. A batch that
     is repeated after a failure merges to the same table.
@@ -109,7 +113,7 @@ def drain_merge(
     newest = bool(names(order_by))
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        merge_into_table(batch, path, keys, partition_by=partition_by, order_by=order_by, target_unique=True, newest_wins=newest)
+        merge_into_table(batch, path, keys, partition_by=partition_by, order_by=order_by, target_unique=True, newest_wins=newest, buckets=buckets)
 
     _drain_batches(df, put, checkpoint)
 
