@@ -112,6 +112,30 @@ def test_simhash_edges(spark):
     assert simhash.fingerprint_of(base) == int(found.where("doc_id = 5").first().fp) % (1 << 64)
 
 
+def test_keep_one_with_maps_and_text_ids(spark):
+    rows = [("b", sentences(1), {"x": 1}), ("a", sentences(1), {"x": 2}), ("a", sentences(1), {"x": 3}), (None, sentences(1), None), ("c", sentences(2), None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, more map<string,int>")
+    kept = simhash.keep_one(docs)
+    assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == ["a", "c"]
+    assert simhash.keep_one(docs.limit(0)).collect() == []
+
+
+def test_fingerprints_by_hand(spark):
+    import xxhash
+
+    texts = [None, "", " \t", "One", "one TWO", "A b c", "a B c D", "é È x y z É", sentences(3), "spam " * 500, "x\u00a0y z\u2003w v"]
+    found = {r.i: r.fp for r in spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", simhash.fingerprint(F.col("t")).alias("fp")).collect()}
+    for i, text in enumerate(texts):
+        lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+        shingles = [" ".join(words[k : k + 3]) for k in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+        value = 0
+        for bit in range(64):
+            ones = sum(xxhash.xxh64(s.encode(), seed=42).intdigest() >> bit & 1 for s in shingles)
+            value |= (2 * ones > len(shingles)) << bit
+        assert found[i] % (1 << 64) == value
+
+
 # --- shards ---
 
 
@@ -178,6 +202,31 @@ def test_rules_edges(spark):
     assert quality_rules.quality_rules(docs.limit(0)).count() == 0 and quality_rules.keep_good(docs.limit(0)).count() == 0
 
 
+def test_line_limits_do_not_rise_with_the_host(spark):
+    def page(i, more):
+        return (i, sentences(10_000 + i, 6).rstrip("\n") + "\n" + more, "en", "big", 1)
+
+    shared, rare = "All rights are reserved by the owners of this page", "This line stands in five pages and no more"
+    long_line = " ".join(f"word{i}" for i in range(60))
+    rows = [page(i, shared if i < 6 else rare if i < 11 else long_line if i < 14 else f"own line {'x' * i}") for i in range(600)]
+    near = sentences(5, 12)
+    rows += [(1000 + i, near.replace(near.split("\n")[i % 12], f"edited {'y' * i}"), "en", "big", 1) for i in range(60)]
+    short = [(2000 + i, f"{'z' * i} {sentences(20_000 + i, 5)}\n{shared}\n{shared} 2", "en", "big", 1) for i in range(8)]
+    docs = spark.createDataFrame(rows + short, DOCS)
+    own = quality_rules._keyed(docs, "doc_id", "text", "source")
+    found = {r.h for r in quality_rules.boilerplate_lines(quality_rules.line_hits(own, quality_rules.frequent_lines(own))).collect()}
+    hashed = {name: spark.range(1).select(F.xxhash64(F.lit(quality_rules_normal(line)))).first()[0] for name, line in (("shared", shared), ("rare", rare), ("long", long_line))}
+    assert hashed["shared"] in found and hashed["long"] in found and hashed["rare"] not in found
+    judged = {r.doc_id: r for r in quality_rules.quality_rules(docs).collect()}
+    assert all(judged[1000 + i].kept and judged[1000 + i].n_lost_words == 0 for i in range(60))  # near copies keep their lines
+    # 41 words of their own and two boilerplate lines: enough words at first, too few afterwards.
+    assert all(not judged[2000 + i].kept and not judged[2000 + i].base_failed for i in range(1, 8))
+
+
+def quality_rules_normal(line):
+    return re.sub(r"\s+", " ", re.sub("[0-9]", "0", line.lower())).strip()
+
+
 def repeated_words(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
@@ -295,6 +344,47 @@ def test_classifier(spark):
     assert classifier.classify(docs.limit(0), model).count() == 0
 
 
+def test_fit_solves_the_ridge_and_the_curve_directly(spark):
+    texts = [sentences(i, 2 + i % 7) if i % 2 else "SPAM " * (5 + i % 11) + sentences(i, 1) for i in range(300)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+    model = classifier.fit(docs, labels, F.lit(True), features=64)
+    rows = classifier.labelled(docs, labels, F.lit(True), classifier.FIT_ROWS, "doc_id", "text", "quality").collect()
+    assert len(rows) == 300
+    x = np.array([np.frombuffer(r.x, "<f8") for r in rows])
+    y, back = np.array([r.y for r in rows]), np.array([r.calibrates for r in rows])
+    assert sorted(map(tuple, x)) == sorted(tuple(classifier.statistics(t)) for t in texts)
+    np.testing.assert_allclose(model.mean, x.mean(0))
+    np.testing.assert_allclose(model.scale[x.std(0) > 1e-6], x.std(0)[x.std(0) > 1e-6], rtol=1e-6)
+    # The ridge as least squares over rows and, below them, the penalty's own rows.
+    z = model.lift(x[~back])
+    penalty = np.sqrt(np.append(np.full(64, classifier.RIDGE * (~back).sum()), 1e-9))
+    direct = np.linalg.lstsq(np.vstack([z, np.diag(penalty)]), np.concatenate([y[~back], np.zeros(65)]), rcond=None)[0]
+    np.testing.assert_allclose(z @ model.weights, z @ direct, atol=1e-6)
+    # The curve over bins of the raw scores held back, by the formula of the best non-decreasing fit.
+    raw = np.clip(model.raw(x[back]), -0.5, 1.5)
+    place = np.minimum(((raw + 0.5) / 2 * classifier.BINS).astype(int), classifier.BINS - 1)
+    bins = sorted(set(place))
+    n, p = (np.array([w[place == b].sum() for b in bins]) for w in (np.ones(len(raw)), y[back]))
+    mean = lambda a, b: p[a : b + 1].sum() / n[a : b + 1].sum()
+    best = [max(min(mean(a, b) for b in range(i, len(bins))) for a in range(i + 1)) for i in range(len(bins))]
+    middles = np.array([raw[place == b].mean() for b in bins])
+    blocks = sorted(set(np.round(best, 12)))
+    np.testing.assert_allclose(model.values, blocks, atol=1e-9)
+    centres = [np.average(middles[np.isclose(best, v)], weights=n[np.isclose(best, v)]) for v in blocks]
+    np.testing.assert_allclose(model.knots, centres, atol=1e-9)
+
+
+def test_features_approximate_a_gaussian_kernel():
+    r = np.random.default_rng(5)
+    width = classifier.WIDTH
+    model = classifier.Model(np.zeros(19), np.ones(19), r.normal(size=(19, 50_000)) / width, r.uniform(0, 2 * np.pi, 50_000), *[np.zeros(1)] * 3)
+    x = r.normal(size=(12, 19))
+    z = model.lift(x)[:, :-1]
+    exact = np.exp(-((x[:, None] - x[None, :]) ** 2).sum(-1) / (2 * width**2))
+    assert np.abs(z @ z.T - exact).max() < 0.03
+
+
 def test_isotonic_never_falls():
     r = np.random.default_rng(2)
     n = r.integers(1, 9, 50).astype(float)

@@ -279,6 +279,17 @@ def test_lexicon_over_the_table(spark, library):
         assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_decoding_any_ids(spark, library):
+    random.seed(9)
+    lists = [random.choices(range(50_257), k=k) for k in (1, 2, 3, 50, 400)] + [[], None, [50_256], [187, 247, 102, 187]]
+    df = spark.createDataFrame(list(enumerate(lists)), "i int, ids array<int>")
+    for row in lexicon.decode(df).collect():
+        own = lists[row.i]
+        assert row.decoded == (None if own is None else library.decode(own, skip_special_tokens=False))
+    with pytest.raises(Exception, match="beyond the vocabulary"):
+        lexicon.decode(spark.createDataFrame([([60_000],)], "ids array<int>")).collect()
+
+
 def test_word_counts_are_those_of_all_texts(spark):
     docs = spark.createDataFrame([("b a a",), (None,), ("a<|endoftext|> a",), ("",)], "text string")
     found = {r.word: r.n for r in lexicon.word_counts(docs).collect() if r.word != "\0"}

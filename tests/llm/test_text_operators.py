@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tidemill.llm import bpe_codec, chat, html_text, token_count, token_file, vocab
 from tidemill.session import shared_path
@@ -63,6 +64,17 @@ def test_merging_takes_lowest_rank_then_leftmost():
     assert token_count.merged_count([], ranks) == 0
 
 
+def test_packed_columns_unpack(spark):
+    values = [[], [0], [5, 0, 1 << 59, (1 << 62) + 3], list(range(500)), None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v array<long>")
+    for row in df.select("i", token_file.packed(F.col("v")).alias("p")).collect():
+        if values[row.i] is None:
+            assert row.p.words is None
+        else:
+            got = token_file.unpack(np.frombuffer(row.p.words, "<u8"), np.frombuffer(row.p.escapes, "<u8"))
+            assert got.tolist() == values[row.i]
+
+
 def test_token_file(spark, docs):
     path = shared_path(spark, "tokens-test")
     token_file.write_tokens(docs, path)
@@ -165,6 +177,82 @@ def test_html_deep_and_long():
     assert html_text.render("<b" * 50_000) is not None
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "x=2"),
+        ("<math><semantics><mi>y</mi><annotation>why</annotation></semantics></math>", "y"),
+        ("<svg><title>no</title><desc>no</desc><defs><text>no</text></defs>stray<text>seen <tspan>too</tspan></text></svg>", "seen too"),
+        ("<svg style='visibility:hidden'><text>no</text></svg>x", "x"),
+        ("<svg><foreignObject><p>in</p></foreignObject></svg>", "in"),
+        ("<select><option>a<option selected>b</select>c", "a\nb\nc"),
+        ("<object data=x><p>fallback</p></object>", "fallback"),
+        ("<details><summary>more</summary><p>no</p></details>", "more"),
+        ("<details open><summary>more</summary><p>yes</p></details>", "more\n\nyes"),
+        ("<style media=print>p{display:none}</style><p>on screen", "on screen"),
+        ("<style media='screen, print'>p{display:none}</style><p>no", ""),
+        ("<style>p{display:none !important}</style><p style='display:block'>no", ""),
+        ("<style>p{display:none}</style><p style='display:block'>yes", "yes"),
+        ("<style>p{display:none !important}</style><p style='display:block !important'>yes", "yes"),
+        ("<style>#a{display:none} .b{display:block}</style><p id=a class=b>no", ""),
+        ("<style>.b{display:none} p{display:block}</style><p class=b>no", ""),
+        ("<style>.b{display:none} .b{display:block}</style><p class=b>yes", "yes"),
+        ("<style>.a.b{display:none} .b{display:block}</style><p class='a b'>no</p><p class=b>yes", "yes"),
+        ("<style>/* p{display:none} */ @media x { q{} p{display:none} } @import 'x'; i{display:none}</style><p>yes <i>no</i>", "yes"),
+        ("<style>p{display:none", ""),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a  b\n   c"),
+        ("<table><tr><td colspan=2>wide one<td>z<tr><td>a<td>b<td>c</table>", "wide one  z\na  b      c"),
+    ],
+)
+def test_html_cascade_and_elements(page, text):
+    assert html_text.render(page) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<style>" + "lorem ipsum dolor " * 40_000,
+        "<style>" + "a{" * 200_000,
+        "<style>" + "/*" * 200_000,
+        "<style>" + "}" * 200_000 + "display",
+        "<style>" + "".join(f".c{i}{{display:none}}" for i in range(20_000)) + "</style>" + "".join(f"<p class=c{i}>x" for i in range(20_000)),
+        "<table>" + ("<tr>" + "<td colspan=1000 rowspan=1000>a" * 10) * 100 + "</table>",
+        "<table>" + ("<tr>" + "<td rowspan=1000>a" * 30) * 700 + "</table>",
+        "<table>" + "<tr><td>a<td>" + "<br>b" * 30_000 + "<td>c" * 3_000 + "</table>",
+        "<table><tr>" + "<td colspan=2>ab" * 20_000 + "</table>",
+        "<svg>" * 5_000 + "<text>x",
+    ],
+)
+def test_html_of_hostile_pages_is_quick(page):
+    import time
+
+    start = time.process_time()
+    html_text.render(page)
+    assert time.process_time() - start < 5
+
+
+def test_table_spans_take_the_places_a_plain_walk_finds():
+    import random
+
+    r = random.Random(6)
+    for _ in range(300):
+        rows = [[(r.randint(1, 4), r.randint(1, 4)) for _ in range(r.randint(0, 5))] for _ in range(r.randint(1, 7))]
+        taken, busy = set(), html_text._Busy()
+        for i, row in enumerate(rows):
+            at = plain = 0
+            for across, down in row:
+                while (i, plain) in taken:
+                    plain += 1
+                at = busy.free_from(at, i)
+                assert at == plain
+                down = min(down, len(rows) - i)
+                taken |= {(i + k, at + c) for k in range(1, down) for c in range(across)}
+                if down > 1:
+                    busy.take(at, at + across, i + down, i)
+                at += across
+                plain += across
+
+
 def test_html_query_columns(spark):
     rows = spark.createDataFrame([(1, "<p>a", "clash"), (1, "<p>a", "clash"), (None, None, None)], "page_id long, html string, text string")
     assert sorted(map(tuple, html_text.extract_text(rows).collect()), key=repr) == [(1, "a", 1, 1), (1, "a", 1, 1), (None, "", 0, 0)]

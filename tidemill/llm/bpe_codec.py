@@ -77,6 +77,6 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
 
 
 def decode(tokens: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``tokens (ids)`` with the bytes of each row as ``decoded``."""
+    """``tokens (ids)`` with the bytes of each row as ``decoded``. Null ids give null, no ids no bytes; repeated rows stay."""
     session(tokens.sparkSession)
     return tokens.withColumn("decoded", decoded(F.col("ids"), vocabulary))

@@ -246,7 +246,10 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` whose score reaches ``threshold``; columns stay as they are."""
+    """``docs`` whose score reaches ``threshold``; columns stay as they are.
+
+    A null text is scored as an empty one, repeated rows stay or go together, an empty table gives no rows.
+    """
     session(docs.sparkSession)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(row, scored(F.col(text_col), model).alias("own_score"))

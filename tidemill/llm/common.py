@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import shared_path, tune
+from ..session import staged, tune
 
 #: Rows in one Arrow batch to Python: a batch of very long texts must fit in a worker's memory.
 ARROW_ROWS = 256
@@ -46,11 +46,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back.
+    """``df`` written to the shared folder and read back, until ``release_staged``.
 
     Used where a result is read more than once or ends a loop step: its lineage is cut, it
     outlives the executor that computed it, and the planner knows its size.
     """
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return staged(df, name)

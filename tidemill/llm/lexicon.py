@@ -74,10 +74,14 @@ class Merges:
         self.made = np.array([self.ids[a + b] for a, b in pairs], np.int32)
         self.byte_ids = np.array([self.ids[c] for c in self.characters], np.int32)
         value = {c: b for b, c in enumerate(self.characters)}
-        self.spelling = [b""] * (max([*self.ids.values(), *self.added.values()]) + 1)
+        spelling = [b""] * (max([*self.ids.values(), *self.added.values()]) + 1)
         for text, i in [*self.ids.items(), *self.added.items()]:
             known = all(c in value for c in text)
-            self.spelling[i] = bytes(map(value.__getitem__, text)) if known else text.encode()
+            spelling[i] = bytes(map(value.__getitem__, text)) if known else text.encode()
+        # The bytes of all ids one behind the other.
+        self.letters = np.frombuffer(b"".join(spelling), np.uint8)
+        self.lengths = np.fromiter(map(len, spelling), np.int64, len(spelling))
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
     def merge(self, symbols: list[str]) -> list[str]:
         """Symbols after all merges: the lowest-ranked adjacent pair first, the leftmost of equals.
@@ -511,10 +515,17 @@ def decoded(ids: Column, vocabulary: str = VOCABULARY) -> Column:
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        spelling = merges(vocabulary).spelling
+        known = merges(vocabulary)
         for batch in batches:
-            texts = [None if own is None else b"".join(map(spelling.__getitem__, own)).decode("utf-8", "replace") for own in batch.to_pylist()]
-            yield pa.array(texts, pa.string())
+            ids = batch.flatten().to_numpy(zero_copy_only=False)
+            if len(ids) and not 0 <= ids.min() <= ids.max() < len(known.lengths):
+                raise ValueError("decode: ids beyond the vocabulary")
+            taken = known.lengths[ids]
+            raw = known.letters[_ragged(known.starts[ids], taken)].tobytes()
+            counts = pc.list_value_length(batch).fill_null(0).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(taken)])[np.cumsum(counts)].tolist()
+            texts = [raw[start:end].decode("utf-8", "replace") for start, end in zip([0, *ends], ends)]
+            yield pa.array(texts, pa.string(), mask=batch.is_null().to_numpy(zero_copy_only=False))
 
     return run(ids)
 

@@ -20,6 +20,8 @@ LINE_DOCS = 5
 LONG_LINE, LONG_DOCS = 50, 2
 #: ... and if more than this share of these documents differ beside it: the lines of near copies are no boilerplate.
 LINE_APART = 0.5
+#: Orders of a document's lines, each by other digits of their digest: the first other line is what stands beside a line.
+ORDERS = 4
 #: A document is depleted if boilerplate lines hold more than this share of its words, or leave fewer than MIN_WORDS.
 MAX_LOST_SHARE = 0.5
 
@@ -95,43 +97,74 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFr
     )
 
 
-def boilerplate_lines(docs: DataFrame, line_docs: int = LINE_DOCS, long_docs: int = LONG_DOCS) -> DataFrame:
-    """``(host, line_hash, n_docs, n_apart)`` of lines beyond the limits of their host.
+def frequent_lines(docs: DataFrame, line_docs: int = LINE_DOCS, long_docs: int = LONG_DOCS) -> DataFrame:
+    """``(host, h)`` of lines in more distinct documents of their host than the limits, whatever the host's size.
 
     ``docs`` has ``host, text, text_key``. Equal texts are one document, so that a group of copies does not turn its
-    own lines into boilerplate. Near copies are told by what stands beside a line: the least digest among the other
-    lines of its document is the same in most of them, and another one in documents that only share the line;
-    ``n_apart`` counts these. A document adds each of its lines once.
+    own lines into boilerplate. A document adds each of its lines once.
     """
     found = F.filter(F.transform(F.split("text", "\n"), _normal), lambda x: x != "")
-    line = lambda x: F.struct(F.xxhash64(x).alias("h"), F.md5(x).alias("m"), (F.size(F.split(x, " ")) > LONG_LINE).alias("long"))
-    lines = docs.select("host", "text_key", F.array_distinct(F.transform(found, line)).alias("lines"))
-    least = F.slice(F.array_sort(F.transform("lines", lambda x: x["m"])), 1, 2)
-    each = lines.select("host", "text_key", least.alias("least"), F.explode("lines").alias("line"))
-    beside = F.when(F.get("least", F.lit(0)) == F.col("line.m"), F.get("least", F.lit(1))).otherwise(F.get("least", F.lit(0)))
-    each = each.select("host", "text_key", F.col("line.h").alias("line_hash"), F.col("line.long").alias("long"), F.xxhash64(beside).alias("beside"))
-    sides = each.distinct().groupBy("host", "line_hash", "beside").agg(F.count("*").alias("n"), F.max("long").alias("long"))
-    counts = sides.groupBy("host", "line_hash").agg(F.sum("n").alias("n_docs"), F.count("*").alias("n_apart"), F.max("long").alias("long"))
+    marked = F.transform(found, lambda x: F.struct(F.xxhash64(x).alias("h"), (F.size(F.split(x, " ")) > LONG_LINE).alias("long")))
+    each = docs.select("host", "text_key", F.explode(F.array_distinct(marked)).alias("line"))
+    each = each.select("host", "text_key", F.col("line.h").alias("h"), F.col("line.long").alias("long")).distinct()
+    counts = each.groupBy("host", "h").agg(F.count("*").alias("n_docs"), F.max("long").alias("long"))
     often = (F.col("n_docs") > line_docs) | (F.col("long") & (F.col("n_docs") > long_docs))
-    return kept(counts.where(often & (F.col("n_apart") > LINE_APART * F.col("n_docs"))).drop("long"), "boilerplate-lines")
+    return kept(counts.where(often).select("host", "h"), "frequent-lines")
 
 
-def lost_words(docs: DataFrame, boilerplate: DataFrame) -> DataFrame:
+def line_hits(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """``(doc_id, host, text_key, at, h, n, beside)`` of the places at which ``lines`` occur, with their ``n`` words.
+
+    ``beside`` tells documents apart: for each of ORDERS orders the least digest among a document's other lines. Repeated
+    rows give one. Texts are not moved.
+    """
+    found = F.filter(
+        F.transform(
+            F.split("text", "\n"), lambda x: F.struct(F.xxhash64(_normal(x)).alias("h"), F.md5(_normal(x)).alias("m"), F.size(_words(x)).alias("n"))
+        ),
+        lambda x: x["n"] > 0,
+    )
+    whole = docs.select("doc_id", "host", "text_key", found.alias("lines"))
+    digests = F.array_distinct(F.transform("lines", lambda x: x["m"]))
+    least = [F.slice(F.array_sort(F.transform(digests, _digits_of(k))), 1, 2) for k in range(ORDERS)]
+    each = whole.select("doc_id", "host", "text_key", F.array(*least).alias("least"), F.posexplode("lines").alias("at", "line"))
+    own = lines.select(F.col("host").alias("host_"), F.col("h").alias("h_"))
+    hits = each.join(own, F.col("host").eqNullSafe(F.col("host_")) & (F.col("line.h") == F.col("h_")))
+    beside = [
+        F.when(F.get(F.col("least")[k], F.lit(0)) == _digits_of(k)(F.col("line.m")), F.get(F.col("least")[k], F.lit(1)))
+        .otherwise(F.get(F.col("least")[k], F.lit(0)))
+        for k in range(ORDERS)
+    ]
+    hits = hits.select("doc_id", "host", "text_key", "at", "line.h", "line.n", F.array(*beside).alias("beside"))
+    return kept(hits.distinct(), "line-hits")
+
+
+def _digits_of(order: int):
+    """The digits of a digest that an order goes by."""
+    return lambda digest: F.substring(digest, 1 + 8 * order, 8)
+
+
+def boilerplate_lines(hits: DataFrame) -> DataFrame:
+    """``(host, h)`` of the lines in ``hits`` that are no near copies' own.
+
+    In near copies the line beside another is the same one in most of them, by any order; documents that only share some
+    lines differ, at least by an order that does not put one of the shared lines first.
+    """
+    sides = [F.count_distinct(F.coalesce(F.col("beside")[k], F.lit(""))).alias(f"n{k}") for k in range(ORDERS)]
+    counts = hits.groupBy("host", "h").agg(F.count_distinct("text_key").alias("n_docs"), *sides)
+    return counts.where(F.greatest(*[F.col(f"n{k}") for k in range(ORDERS)]) > LINE_APART * F.col("n_docs")).select("host", "h")
+
+
+def lost_words(docs: DataFrame, line_docs: int = LINE_DOCS, long_docs: int = LONG_DOCS) -> DataFrame:
     """``(doc_id, host, text_key, lost, removed)`` of documents with boilerplate lines.
 
     ``lost`` counts the words in such lines, repeats included; ``removed`` holds their hashes. A
     document's lines are gathered only where they are boilerplate. Repeated rows give one row.
     """
-    lines = F.filter(
-        F.transform(F.split("text", "\n"), lambda x: F.struct(F.xxhash64(_normal(x)).alias("h"), F.size(_words(x)).alias("n"))),
-        lambda x: x["n"] > 0,
-    )
-    each = docs.select("doc_id", "host", "text_key", F.posexplode(lines).alias("at", "line"))
-    each = each.select("doc_id", "host", "text_key", "at", F.col("line.h").alias("h"), F.col("line.n").alias("n"))
-    own = boilerplate.select(F.col("host").alias("host_"), F.col("line_hash").alias("h"))
-    hits = each.join(own, (F.col("host").eqNullSafe(F.col("host_"))) & (each["h"] == own["h"])).drop(own["h"])
-    hits = hits.select("doc_id", "host", "text_key", "at", "h", "n").distinct()
-    return hits.groupBy("doc_id", "host", "text_key").agg(F.sum("n").alias("lost"), F.collect_set("h").alias("removed"))
+    hits = line_hits(docs, frequent_lines(docs, line_docs, long_docs))
+    lines = boilerplate_lines(hits).select(F.col("host").alias("host_"), F.col("h").alias("h_"))
+    found = hits.join(lines, F.col("host").eqNullSafe(F.col("host_")) & (F.col("h") == F.col("h_")), "left_semi")
+    return found.groupBy("doc_id", "host", "text_key").agg(F.sum("n").alias("lost"), F.collect_set("h").alias("removed"))
 
 
 def _same(a: DataFrame, b: DataFrame) -> Column:
@@ -142,7 +175,7 @@ def _same(a: DataFrame, b: DataFrame) -> Column:
 
 def _judged(own: DataFrame, line_docs: int, long_docs: int, max_lost: float) -> DataFrame:
     """Rules and verdict per row of ``own``, with the hashes of boilerplate lines in ``removed``."""
-    lost = lost_words(own, boilerplate_lines(own, line_docs, long_docs))
+    lost = lost_words(own, line_docs, long_docs)
     rules = text_rules(own, F.col("text")).drop("text")
     found = rules.join(lost, _same(rules, lost), "left")
     found = found.select(rules["*"], F.coalesce(lost["lost"], F.lit(0)).cast("long").alias("n_lost_words"), lost["removed"])
@@ -220,14 +253,19 @@ words AS (
 lines AS (
     SELECT DISTINCT host, text, unnest(list_transform(l, lambda x: trim(regexp_replace(regexp_replace(lower(x), '[0-9]', '0', 'g'),
         '[\x20\x09-\x0D]+', ' ', 'g'), ' '))) AS line FROM words),
-least AS (SELECT host, text, list_sort(list(md5(line))) AS m FROM lines GROUP BY host, text),
+often AS (
+    SELECT host, line FROM (SELECT host, line, count(*) AS n_docs FROM lines GROUP BY host, line)
+    WHERE n_docs > 5 OR (n_docs > 2 AND len(string_split(line, ' ')) > 50)),
+orders AS (SELECT unnest([1, 9, 17, 25]) AS k),
+least AS (
+    SELECT host, text, k, list_sort(list(substr(md5(line), k, 8)))[1:2] AS m FROM lines CROSS JOIN orders GROUP BY host, text, k),
 beside AS (
-    SELECT host, line, text, coalesce(CASE WHEN m[1] = md5(line) THEN m[2] ELSE m[1] END, '') AS other
-    FROM lines JOIN least USING (host, text)),
+    SELECT o.host, o.line, k, l.text, coalesce(CASE WHEN m[1] = substr(md5(o.line), k, 8) THEN m[2] ELSE m[1] END, '') AS other
+    FROM often o JOIN lines l ON o.host = l.host AND o.line = l.line JOIN least ON least.host = l.host AND least.text = l.text),
 common AS (
-    SELECT host, line FROM (
-        SELECT host, line, count(*) AS n_docs, count(DISTINCT other) AS n_apart FROM beside GROUP BY host, line)
-    WHERE (n_docs > 5 OR (n_docs > 2 AND len(string_split(line, ' ')) > 50)) AND n_apart > 0.5 * n_docs),
+    SELECT DISTINCT host, line FROM (
+        SELECT host, line, k, count(DISTINCT text) AS n_docs, count(DISTINCT other) AS n_apart FROM beside GROUP BY host, line, k)
+    WHERE n_apart > 0.5 * n_docs),
 each_line AS (
     SELECT doc_id, host, unnest(l) AS line FROM words),
 lost AS (

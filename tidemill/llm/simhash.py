@@ -358,11 +358,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """``docs`` with one document of each near-duplicate group: the one with the smallest id.
 
     Rows with a null id give way to rows with one. Among rows that share id and fingerprint one
-    with the smallest text hash stays; exact repeats of a row count once. Columns stay as they are.
+    with the smallest text hash stays; rows that repeat id and text count once, whatever else they hold. Columns, of any
+    type, stay as they are; ids may be of any type that has an order. An empty table gives no rows.
     """
     light = near_duplicates(docs, id_col, text_col, words, distance)
     light = kept(light.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("copies")), "near-duplicate-rows")
-    order = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "text_key").alias("place")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key").alias("place")
     light = light.withColumn("place", order)
     first = light.groupBy("root").agg(F.min("place").alias("first"))
     marked = light.join(first, "root").select("doc_id", "text_key", "copies", (F.col("place") == F.col("first")).alias("stays"))
@@ -381,6 +382,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
 
     out = match(gone.union(repeated), "left_anti").select("row.*")
     if repeated.take(1):
-        once = match(repeated, "left_semi").groupBy("id", "key").agg(F.min("row").alias("row"))
+        once = match(repeated, "left_semi").groupBy("id", "key").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
         out = out.union(once.select("row.*"))
     return out

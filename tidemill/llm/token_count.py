@@ -81,7 +81,8 @@ class Counter:
             spec = json.load(file)
         pairs = (tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"])
         self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
-        self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)")
+        self.strings = [t["content"] for t in spec["added_tokens"]]
+        self.special = regex.compile("|".join(map(regex.escape, self.strings)) or "(?!)")
         # White space as the library's engine counts it: by the Unicode property.
         self.matches = regex.compile(public_tokenizers.PATTERN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
         self.symbols = byte_symbols()
@@ -102,7 +103,7 @@ class Counter:
         if not text:
             return 0
         total, stretches = 0, [text]
-        if "<" in text:
+        if any(s in text for s in self.strings):
             stretches = self.special.split(text)
             total = len(stretches) - 1
         known = self.words
