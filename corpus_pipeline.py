@@ -14,31 +14,34 @@ from tidemill.llm.common import kept, session, table
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; boilerplate lines go from the others."""
+    """Rejected documents go; boilerplate lines go from the others. Null texts are rejected, repeats share their fate."""
     session(spark)
     return quality_rules.keep_good(docs)
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored under the threshold go. The model is fitted on the labelled rows of all documents."""
+    """Documents scored under the threshold go. The model is fitted on the labelled rows of all documents.
+
+    Null ids are never labelled; a null text is scored as an empty one. No documents give none.
+    """
     truth = table(spark, sf_dir, "labels")
     model = classifier.fit(table(spark, sf_dir, "documents"), truth, ~classifier.held_out(F.col("doc_id")))
     return classifier.keep_good(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by fingerprints one document stays."""
+    """Of each group linked by fingerprints one document stays: the one with the least id, null ids last."""
     session(spark)
     return simhash.keep_one(docs, words=3, distance=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go, in all their repeats. Null texts hold none."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text."""
+    """Token ids of every text; a null text has none."""
     session(spark)
     return bpe_codec.encode(docs)
 
