@@ -152,8 +152,15 @@ def prove(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
 
     A rank or tree that is not there has no row. Repeated requests are each answered. No requests: no rows.
     """
-    everything = requests is None
-    requests = manifest.leaves.drop("leaf", "width") if requests is None else requests
+    if requests is not None:  # each leaf is looked up once, however often it is asked for
+        own = {"own_tree": F.col("tree"), "own_rank": F.col("rank")}
+        found = _descend(manifest, requests.select("tree", "rank").distinct().withColumns(own), False)
+        return requests.join(found.withColumnsRenamed({"own_tree": "tree", "own_rank": "rank"}), ["tree", "rank"]).drop("tree", "rank")
+    return _descend(manifest, manifest.leaves.drop("leaf", "width"), True)
+
+
+def _descend(manifest: Manifest, requests: DataFrame, everything: bool) -> DataFrame:
+    """``prove`` for distinct ``requests``, whose other columns are passed on."""
     payload = [c for c in requests.columns if c not in ("tree", "rank")]
     frontier = manifest.top.select(
         "root", F.lit(0).cast("long").alias("idx"), F.col("root").alias("digest"), F.lit(manifest.top_depth).alias("level"), F.array().cast(_PATH).alias("path")

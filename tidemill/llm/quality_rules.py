@@ -126,7 +126,7 @@ def line_hits(docs: DataFrame, lines: DataFrame) -> DataFrame:
     )
     whole = docs.select("doc_id", "host", "text_key", found.alias("lines"))
     digests = F.array_distinct(F.transform("lines", lambda x: x["m"]))
-    least = [F.slice(F.array_sort(F.transform(digests, _digits_of(k))), 1, 2) for k in range(ORDERS)]
+    least = [F.slice(F.sort_array(F.transform(digests, _digits_of(k))), 1, 2) for k in range(ORDERS)]
     each = whole.select("doc_id", "host", "text_key", F.array(*least).alias("least"), F.posexplode("lines").alias("at", "line"))
     own = lines.select(F.col("host").alias("host_"), F.col("h").alias("h_"))
     hits = each.join(own, F.col("host").eqNullSafe(F.col("host_")) & (F.col("line.h") == F.col("h_")))
