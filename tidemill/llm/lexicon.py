@@ -24,7 +24,7 @@ LEXICON_WORDS = 200_000
 #: Bytes of the longest word that is compiled, and the lookup's number of steps.
 LONGEST_WORD = 48
 #: Bytes from which batches are worked on together: the more there are, the more words repeat.
-GATHERED = 4 << 20
+GATHERED = 2 << 20
 #: Rows of one batch handed back to Spark.
 BATCH = 256
 #: Bytes up to which matches are merged side by side; a heap takes over beyond.
