@@ -95,12 +95,14 @@ def src_sql_params(spark, sf):
 @query(
     "src_incremental",
     """
-    SELECT o_orderkey, o_totalprice FROM orders
-    WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01')
+    WITH o AS (SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 9 <> 0 THEN o_orderdate END AS o_orderdate FROM orders)
+    SELECT o_orderkey, o_totalprice FROM o
+    WHERE o_orderdate > (SELECT max(o_orderdate) FROM o WHERE o_orderdate < TIMESTAMP '1998-01-01') OR o_orderdate IS NULL
     """,
 )
 def src_incremental(spark, sf):
-    orders = table(spark, sf, "orders")
+    """Every ninth order has no date, and is part of each increment."""
+    orders = table(spark, sf, "orders").withColumn("o_orderdate", F.when(F.col("o_orderkey") % 9 != 0, F.col("o_orderdate")))
     loaded = orders.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     return read_increment(orders, loaded, "o_orderdate").select("o_orderkey", "o_totalprice")
 

@@ -208,7 +208,8 @@ def run_metrics(spark, sf):
     )
     run_flow(spark, flow, logs_root=logs, persist_shared=True)
     entry = read_run_logs(spark, f"{logs}/applications", multi_line=False)
-    return entry.select(F.explode("metrics").alias("metric", "value")).withColumn("value", F.col("value").cast("double"))
+    values = F.try_variant_get("metrics", "$", "map<string,double>")
+    return entry.select(F.explode(values).alias("metric", "value"))
 
 
 @query(
