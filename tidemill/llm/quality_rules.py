@@ -105,7 +105,7 @@ def frequent_lines(docs: DataFrame, line_docs: int = LINE_DOCS, long_docs: int =
     """
     found = F.filter(F.transform(F.split("text", "\n"), _normal), lambda x: x != "")
     marked = F.transform(found, lambda x: F.struct(F.xxhash64(x).alias("h"), (F.size(F.split(x, " ")) > LONG_LINE).alias("long")))
-    each = docs.select("host", "text_key", F.explode(F.array_distinct(marked)).alias("line"))
+    each = docs.select("host", "text_key", F.explode_outer(F.array_distinct(marked)).alias("line")).where("line IS NOT NULL")
     each = each.select("host", "text_key", F.col("line.h").alias("h"), F.col("line.long").alias("long")).distinct()
     counts = each.groupBy("host", "h").agg(F.count("*").alias("n_docs"), F.max("long").alias("long"))
     often = (F.col("n_docs") > line_docs) | (F.col("long") & (F.col("n_docs") > long_docs))
@@ -127,7 +127,9 @@ def line_hits(docs: DataFrame, lines: DataFrame) -> DataFrame:
     whole = docs.select("doc_id", "host", "text_key", found.alias("lines"))
     digests = F.array_distinct(F.transform("lines", lambda x: x["m"]))
     least = [F.slice(F.sort_array(F.transform(digests, _digits_of(k))), 1, 2) for k in range(ORDERS)]
-    each = whole.select("doc_id", "host", "text_key", F.array(*least).alias("least"), F.posexplode("lines").alias("at", "line"))
+    whole = whole.select("*", F.array(*least).alias("least"))
+    # Outer, as otherwise the planner adds a test that the exploded array is not empty, and makes it twice.
+    each = whole.select("doc_id", "host", "text_key", "least", F.posexplode_outer("lines").alias("at", "line"))
     own = lines.select(F.col("host").alias("host_"), F.col("h").alias("h_"))
     hits = each.join(own, F.col("host").eqNullSafe(F.col("host_")) & (F.col("line.h") == F.col("h_")))
     beside = [
