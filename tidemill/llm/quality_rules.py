@@ -19,7 +19,9 @@ LINE_DOCS = 5
 #: ... a line of more words than LONG_LINE in more than LONG_DOCS ...
 LONG_LINE, LONG_DOCS = 50, 2
 #: ... and if more than this share of these documents differ beside it: the lines of near copies are no boilerplate.
-LINE_APART = 0.5
+LINE_APART = 0.8
+#: Lines of fewer words are not judged: in a large host they recur by chance.
+LINE_WORDS = 5
 #: Orders of a document's lines, each by other digits of their digest: the first other line is what stands beside a line.
 ORDERS = 4
 #: A document is depleted if boilerplate lines hold more than this share of its words, or leave fewer than MIN_WORDS.
@@ -101,9 +103,9 @@ def frequent_lines(docs: DataFrame, line_docs: int = LINE_DOCS, long_docs: int =
     """``(host, h)`` of lines in more distinct documents of their host than the limits, whatever the host's size.
 
     ``docs`` has ``host, text, text_key``. Equal texts are one document, so that a group of copies does not turn its
-    own lines into boilerplate. A document adds each of its lines once.
+    own lines into boilerplate. A document adds each of its lines once. Lines of fewer than LINE_WORDS words are left out.
     """
-    found = F.filter(F.transform(F.split("text", "\n"), _normal), lambda x: x != "")
+    found = F.filter(F.transform(F.split("text", "\n"), _normal), lambda x: F.size(F.split(x, " ")) >= LINE_WORDS)
     marked = F.transform(found, lambda x: F.struct(F.xxhash64(x).alias("h"), (F.size(F.split(x, " ")) > LONG_LINE).alias("long")))
     each = docs.select("host", "text_key", F.explode_outer(F.array_distinct(marked)).alias("line")).where("line IS NOT NULL")
     each = each.select("host", "text_key", F.col("line.h").alias("h"), F.col("line.long").alias("long")).distinct()
@@ -257,7 +259,7 @@ lines AS (
         '[\x20\x09-\x0D]+', ' ', 'g'), ' '))) AS line FROM words),
 often AS (
     SELECT host, line FROM (SELECT host, line, count(*) AS n_docs FROM lines GROUP BY host, line)
-    WHERE n_docs > 5 OR (n_docs > 2 AND len(string_split(line, ' ')) > 50)),
+    WHERE (n_docs > 5 AND len(string_split(line, ' ')) >= 5) OR (n_docs > 2 AND len(string_split(line, ' ')) > 50)),
 orders AS (SELECT unnest([1, 9, 17, 25]) AS k),
 least AS (
     SELECT host, text, k, list_sort(list(substr(md5(line), k, 8)))[1:2] AS m FROM lines CROSS JOIN orders GROUP BY host, text, k),
@@ -267,7 +269,7 @@ beside AS (
 common AS (
     SELECT DISTINCT host, line FROM (
         SELECT host, line, k, count(DISTINCT text) AS n_docs, count(DISTINCT other) AS n_apart FROM beside GROUP BY host, line, k)
-    WHERE n_apart > 0.5 * n_docs),
+    WHERE n_apart > 0.8 * n_docs),
 each_line AS (
     SELECT doc_id, host, unnest(l) AS line FROM words),
 lost AS (
