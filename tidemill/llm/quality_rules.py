@@ -120,12 +120,8 @@ def line_hits(docs: DataFrame, lines: DataFrame) -> DataFrame:
     ``beside`` tells documents apart: for each of ORDERS orders the least digest among a document's other lines. Repeated
     rows give one. Texts are not moved.
     """
-    found = F.filter(
-        F.transform(
-            F.split("text", "\n"), lambda x: F.struct(F.xxhash64(_normal(x)).alias("h"), F.md5(_normal(x)).alias("m"), F.size(_words(x)).alias("n"))
-        ),
-        lambda x: x["n"] > 0,
-    )
+    normal = F.filter(F.transform(F.split("text", "\n"), _normal), lambda x: x != "")
+    found = F.transform(normal, lambda x: F.struct(F.xxhash64(x).alias("h"), F.md5(x).alias("m"), F.size(F.split(x, " ")).alias("n")))
     whole = docs.select("doc_id", "host", "text_key", found.alias("lines"))
     digests = F.array_distinct(F.transform("lines", lambda x: x["m"]))
     least = [F.slice(F.sort_array(F.transform(digests, _digits_of(k))), 1, 2) for k in range(ORDERS)]
