@@ -111,7 +111,7 @@ def test_percentiles_keep_their_type(spark, monkeypatch, band, broadcast):
     monkeypatch.setattr(ranks, "BAND", band)
     monkeypatch.setattr(ranks, "MARGIN", 0.2)  # wide enough for a narrowing at this size
     if not broadcast:
-        monkeypatch.setattr(ranks, "broadcast_if_small", lambda df: (df, False))
+        monkeypatch.setattr(ranks, "fits_broadcast", lambda df: False)
     start = date(2000, 1, 1)
     data = []
     for i in range(400):

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, NumericType, TimestampNTZType, TimestampType
 
-from ..functions import broadcast_if_small, col, spread
+from ..functions import col, fits_broadcast, spread
 from ..session import staged
 
 #: Half the share of a group that lies between the two cut points around a wanted quantile.
@@ -76,7 +76,7 @@ def _attached(values: DataFrame, keys: Sequence[str], table: DataFrame, few: boo
     if not keys:
         row = table.first()
         return values.select("*", *[F.lit(row[c]).cast(table.schema[c].dataType).alias(c) for c in own])
-    side = (F.broadcast(table) if few else spread(table)).alias("side")
+    side = (table if few else spread(table)).alias("side")
     same = reduce(lambda a, b: a & b, [F.col(f"row.{k}").eqNullSafe(F.col(f"side.{k}")) for k in keys])
     joined = values.alias("row").join(side, same, "inner")
     return joined.select(*[F.col(f"row.{c}") for c in values.columns], *[F.col(f"side.{c}") for c in own])
@@ -91,7 +91,7 @@ def _placed(
     values: DataFrame, keys: Sequence[str], ranks: Sequence[Rank], kinds: Sequence[DataType]
 ) -> tuple[DataFrame, bool, bool]:
     """``(places, few, done)``. Per group and rank a place has ``found``, or ``low, high`` around it with ``start`` values
-    up to ``low`` and ``size`` between. ``few`` groups may be broadcast; ``done``: all are found."""
+    up to ``low`` and ``size`` between. ``few``: the groups' rows are broadcast; ``done``: all are found."""
     n = range(len(ranks))
     points = [[max(r.near - MARGIN, 0.0), min(r.near + MARGIN, 1.0)] for r in ranks]
     sketch = [F.percentile_approx(f"v{i}", points[i], ACCURACY).alias(f"cuts{i}") for i in n]
@@ -99,7 +99,7 @@ def _placed(
     unbounded = [F.lit(None).cast(kinds[i]).alias(f"{c}{i}") for i in n for c in ("low", "high")]
     nothing = [F.lit(0).cast("long").alias(f"start{i}") for i in n]
     cuts = staged(values.groupBy(*keys).agg(*sketch).select(*keys, *ends, *unbounded, *nothing), "rank-cuts")
-    few = bool(keys) and broadcast_if_small(cuts)[1]
+    few = bool(keys) and fits_broadcast(cuts)  # by the size of the files just written
     places = _counted(values, keys, ranks, cuts, few, first=True)
     before = None
     while True:
