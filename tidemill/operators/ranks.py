@@ -94,8 +94,9 @@ def _placed(
     up to ``low`` and ``size`` between. ``few``: the groups' rows are broadcast; ``done``: all are found."""
     n = range(len(ranks))
     points = [[max(r.near - MARGIN, 0.0), min(r.near + MARGIN, 1.0)] for r in ranks]
-    sketch = [F.percentile_approx(f"v{i}", points[i], ACCURACY).alias(f"cuts{i}") for i in n]
-    ends = [F.get(f"cuts{i}", F.lit(k)).alias(f"{c}{i}") for i in n for k, c in enumerate("ab")]
+    alike = _alike(ranks)
+    sketch = [F.percentile_approx(f"v{i}", points[i], ACCURACY).alias(f"cuts{i}") for i in n if alike[i] == i]
+    ends = [F.get(f"cuts{alike[i]}", F.lit(k)).alias(f"{c}{i}") for i in n for k, c in enumerate("ab")]
     unbounded = [F.lit(None).cast(kinds[i]).alias(f"{c}{i}") for i in n for c in ("low", "high")]
     nothing = [F.lit(0).cast("long").alias(f"start{i}") for i in n]
     cuts = staged(values.groupBy(*keys).agg(*sketch).select(*keys, *ends, *unbounded, *nothing), "rank-cuts")
@@ -111,6 +112,11 @@ def _placed(
         places = _narrowed(values, keys, ranks, places, few)
 
 
+def _alike(ranks: Sequence[Rank]) -> list[int]:
+    """For each rank the first one of the same value expected at the same quantile: they begin with the same cut points."""
+    return [next(k for k, r in enumerate(ranks) if r.value is rank.value and r.near == rank.near) for rank in ranks]
+
+
 def _narrowed(values: DataFrame, keys: Sequence[str], ranks: Sequence[Rank], places: DataFrame, few: bool) -> DataFrame:
     """One more round between the bounds of ``places``: the sketch's grid around the rank's share of what lies there."""
     rows = _attached(values, keys, places, few)
@@ -134,8 +140,8 @@ def _narrowed(values: DataFrame, keys: Sequence[str], ranks: Sequence[Rank], pla
 
 def _counted(values: DataFrame, keys: Sequence[str], ranks: Sequence[Rank], cuts: DataFrame, few: bool, first: bool) -> DataFrame:
     """Count the values around the cut points ``a`` and ``b`` of each rank and close in on the rank."""
-    counts = []
-    for i in range(len(ranks)):
+    counts, like = [], _alike(ranks) if first else list(range(len(ranks)))
+    for i in sorted(set(like)):
         v, a, b = F.col(f"v{i}"), F.col(f"a{i}"), F.col(f"b{i}")
         own = _inside(v, F.col(f"low{i}"), F.col(f"high{i}"))
         tests = {"below": v < a, "at_a": v == a, "middle": (v > a) & (v < b), "at_b": (v == b) & (a < b), "above": v > F.greatest(a, b)}
@@ -145,7 +151,7 @@ def _counted(values: DataFrame, keys: Sequence[str], ranks: Sequence[Rank], cuts
     out = [F.col(k) for k in keys]
     for i, rank in enumerate(ranks):
         a, b, low, high = (F.col(f"{c}{i}") for c in ("a", "b", "low", "high"))
-        parts = [F.col(f"{c}{i}") for c in ("below", "at_a", "middle", "at_b", "above")]
+        parts = [F.col(f"{c}{like[i]}") for c in ("below", "at_a", "middle", "at_b", "above")]
         at = rank.at(sum(parts[1:], parts[0])).cast("long") if first else F.col(f"at{i}")
         starts = [F.col(f"start{i}")]
         for part in parts:
