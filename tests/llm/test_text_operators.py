@@ -253,6 +253,56 @@ def test_table_spans_take_the_places_a_plain_walk_finds():
                 plain += across
 
 
+@pytest.mark.parametrize("width", [1, 50, 3_990, 3_994, 3_999, 4_000, 4_001, 60_000])
+def test_columns_are_aligned_in_tables_of_any_width(width):
+    wide = "x" * width
+    page = f"<table><tr><td>{wide}<td>b<td>c<tr><td>a<td>d<td>e<tr><td><td>f<td>g</table>"
+    assert html_text.render(page) == f"{wide}  b  c\n{'a'.ljust(width)}  d  e\n{' ' * width}  f  g"
+    assert html_text.render(f"<table><tr><td>{page}<td>b</table>") == f"{wide}  b  c  b\n{'a'.ljust(width)}  d  e\n{' ' * width}  f  g"
+
+
+def test_cells_over_columns_without_text_stand_apart():
+    assert html_text.render("<table><tr><td colspan=3>abcd<td>z<tr><td>e<td><td><td>f</table>") == "abcd  z\ne     f"
+    assert html_text.render("<table><tr>" + "<td colspan=1000>ab" * 3_000 + "</table>") == "  ".join(["ab"] * 3_000)
+
+
+@pytest.mark.parametrize("longest", [3, 5_000])
+def test_cells_of_a_column_start_at_one_place(longest):
+    import random
+    import re
+
+    r = random.Random(longest)
+    for _ in range(200):
+        table, grid, taken = html_text.Table(), [], set()
+        n_rows = r.randint(1, 7)
+        for i in range(n_rows):
+            at, cells, row = 0, [], []
+            for _ in range(r.randint(0, 5)):
+                across, down, text = r.randint(1, 4), r.randint(1, 4), "x" * r.choice((0, 1, r.randint(1, longest)))
+                while (i, at) in taken:
+                    at += 1
+                taken |= {(i + k, at + c) for k in range(1, down) for c in range(across)}
+                row.append((across, down, [text]))
+                cells.append((at, text))
+                at += across
+            table.rows.append(row)
+            grid.append(cells)
+        places = {}
+        for cells, line in zip([cells for cells in grid if cells], table.layout(), strict=True):
+            found = [(m.start(), m[0]) for m in re.finditer(r"\S+", line)]
+            assert [text for _, text in found] == [text for _, text in cells if text] and " " not in re.sub("  +", "", line)
+            for (at, _), (place, _) in zip([c for c in cells if c[1]], found, strict=True):
+                assert places.setdefault(at, place) == place
+        assert sorted(places, key=lambda at: (places[at], at)) == sorted(places)
+
+
+def test_html_of_padded_tables_is_handed_on_in_pieces(spark):
+    page = "<table><tr><td>" + "x" * 20_000 + "<td>b" + "<tr><td>a<td>b" * 250
+    rows = spark.createDataFrame([(i, page if i % 2 else "<p>a<p>b") for i in range(6)], "page_id long, html string").coalesce(1)
+    found = {r.page_id: (r.n_chars, r.n_lines) for r in html_text.extract_text(rows).select("page_id", "n_chars", "n_lines").collect()}
+    assert found == {i: (251 * 20_003 + 250, 251) if i % 2 else (4, 3) for i in range(6)}
+
+
 def test_html_query_columns(spark):
     rows = spark.createDataFrame([(1, "<p>a", "clash"), (1, "<p>a", "clash"), (None, None, None)], "page_id long, html string, text string")
     assert sorted(map(tuple, html_text.extract_text(rows).collect()), key=repr) == [(1, "a", 1, 1), (1, "a", 1, 1), (None, "", 0, 0)]

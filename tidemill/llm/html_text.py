@@ -424,10 +424,6 @@ class _Sums:
         return total
 
 
-#: Characters up to which the columns of a table are aligned. In a wider one cells only stand apart.
-WIDEST = 4_000
-
-
 class Table:
     """Cells of an open table, by row; each cell is rendered on a canvas of its own."""
 
@@ -436,9 +432,10 @@ class Table:
         self.captions: list[str] = []
 
     def layout(self) -> list[str]:
-        """Rows of text in which the cells of a column start at the same place.
+        """Rows of text in which the cells of a column start at the same place, however wide the table is.
 
-        Columns are only looked at where a cell begins or ends, so large spans cost no more than small ones.
+        Columns are only looked at where a cell begins or ends, so large spans cost no more than small ones, and
+        each line is put together once. A column's width has the two blanks behind it; one without text has none.
         """
         grid: list[list[tuple[int, list[str]]]] = []
         spans: list[tuple[int, int, int]] = []
@@ -456,31 +453,31 @@ class Table:
         columns = sorted({at + across - 1 for at, across, _ in spans})
         widths, sums = dict.fromkeys(columns, 0), _Sums(len(columns))
         for at, across, width in spans:
-            if across == 1:
-                widths[at] = max(widths[at], width)
+            if across == 1 and width:
+                widths[at] = max(widths[at], width + 2)
         for k, column in enumerate(columns):
             sums.add(k, widths[column])
         for at, across, width in spans:
-            if across > 1:
+            if across > 1 and width:
                 first, last = bisect_left(columns, at), bisect_left(columns, at + across - 1)
-                have = sums.upto(last + 1) - sums.upto(first) + 2 * across - 2
-                if width > have:
-                    widths[columns[last]] += width - have
-                    sums.add(last, width - have)
+                missing = width + 2 - sums.upto(last + 1) + sums.upto(first)
+                if missing > 0:
+                    widths[columns[last]] += missing
+                    sums.add(last, missing)
         filled = [c for c in columns if widths[c]]
         places = [0]
         for column in filled:
-            places.append(places[-1] + widths[column] + 2)
+            places.append(places[-1] + widths[column])
         out = list(self.captions)
         for cells in grid:
-            left, k = cells, 0
+            left, k = [(places[bisect_left(filled, at)], lines) for at, lines in cells], 0
             while left := [c for c in left if k < len(c[1])]:
-                line = ""
-                for at, lines in left:
+                line, length = [], 0
+                for place, lines in left:
                     if lines[k]:
-                        apart = places[bisect_left(filled, at)] if places[-1] <= WIDEST else len(line) + 2 * bool(line)
-                        line = line.ljust(apart) + lines[k]
-                out.append(line.rstrip())
+                        line += " " * (place - length), lines[k]
+                        length = place + len(lines[k])
+                out.append("".join(line).rstrip())
                 k += 1
         return out
 
@@ -499,7 +496,8 @@ def render(html: str | None) -> str:
     ``visibility: hidden`` from style attributes and simple style rules by importance, specificity and order (sheets
     for other media than the screen do not count), what a closed ``details`` holds beside its summary, and elements
     that are never shown. Formulas, the text of drawings, options and the fallback of objects are shown.
-    The tree is walked with a stack of its own, so nesting may be of any depth. Time and memory grow about with the page.
+    The tree is walked with a stack of its own, so nesting may be of any depth. Time and memory grow about with the page
+    and its text, which is longer than the page where short cells stand beside wide columns.
     """
     if not html:
         return ""
@@ -592,12 +590,28 @@ def render(html: str | None) -> str:
     return re.sub(r"\n{3,}", "\n\n", text).strip("\n")
 
 
+#: Characters of text after which a worker hands on what it has of a batch: padded tables are longer than their pages.
+HANDED_ON = 8_000_000
+RENDERED = "struct<text: string, n_lines: long>"
+
+
 def rendered(html: Column) -> Column:
-    """``render`` as a column."""
-    @F.arrow_udf("string")
+    """``render`` as a column, with the number of lines: counted here, the text need not be copied for it."""
+    @F.arrow_udf(RENDERED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def struct(texts: list[str]) -> pa.Array:
+            n_lines = pa.array([text.count("\n") + 1 if text else 0 for text in texts], pa.int64())
+            return pa.StructArray.from_arrays([pa.array(texts, pa.string()), n_lines], ["text", "n_lines"])
+
         for batch in batches:
-            yield pa.array([render(page) for page in batch.to_pylist()], pa.string())
+            texts, n_chars = [], 0
+            for page in batch:
+                texts.append(render(page.as_py()))
+                n_chars += len(texts[-1])
+                if n_chars > HANDED_ON:
+                    yield struct(texts)
+                    texts, n_chars = [], 0
+            yield struct(texts)
 
     return run(html)
 
@@ -606,9 +620,9 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     """``page_id, text, n_chars, n_lines`` per row of ``pages``.
 
     A null page is empty and gives an empty text, a null id is carried along, repeated rows stay, an empty table
-    gives no rows, other columns are ignored. Pages are read whole; broken markup never fails.
+    gives no rows, other columns are ignored. Pages are read whole; broken markup never fails. A text over 2 GB, as a
+    table of many rows beside a very wide column may give, is more than a Spark value holds, and fails.
     """
     session(pages.sparkSession)
-    found = pages.select(F.col(id_col).alias("page_id"), rendered(F.col(html_col)).alias("text"))
-    lines = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n")))
-    return found.select("page_id", "text", F.length("text").cast("long").alias("n_chars"), lines.cast("long").alias("n_lines"))
+    found = pages.select(F.col(id_col).alias("page_id"), rendered(F.col(html_col)).alias("found"))
+    return found.select("page_id", "found.text", F.length("found.text").cast("long").alias("n_chars"), "found.n_lines")
